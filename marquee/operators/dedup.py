@@ -29,14 +29,16 @@ def add_rank(df: DataFrame, partition: list[str], order_by: list[str | Column],
     return df.withColumn(name, F.row_number().over(window))
 
 
-def top_n(df: DataFrame, partition: list[str], order_by: list[str | Column], n: int) -> DataFrame:
+def top_n(
+    df: DataFrame, partition: list[str], order_by: list[str | Column], n: int, salt_on: list[str] | None = None
+) -> DataFrame:
     """First ``n`` rows of each group with their rank from 1; exact for any ``n``.
 
-    Beyond the planner's own limit the group is first ranked inside salts, which run in parallel,
-    and only the survivors (at most salts x n per group) are ranked together.
+    Beyond the planner's own limit the group is first ranked inside salts (hash of ``salt_on``),
+    which run in parallel, and only the survivors (at most salts x n per group) are ranked together.
     """
     if n > GROUP_LIMIT_MAX:
-        salted = df.withColumn("_salt", F.spark_partition_id() % SALTS)
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*(salt_on or df.columns)), F.lit(SALTS)))
         df = add_rank(salted, [*partition, "_salt"], order_by, "_r").where(F.col("_r") <= n).drop("_salt", "_r")
     return add_rank(df, partition, order_by).where(F.col("rank") <= n)
 

@@ -58,7 +58,7 @@ def slice_rows(catalogue: DataFrame, strategy: str = "all", genres=GENRES, years
 def listed(catalogue: DataFrame, strategy: str = "all", pages: int = PAGES, page_size: int = PAGE_SIZE, **axes) -> DataFrame:
     """The most popular ``pages * page_size`` movies of each slice, with rank and page number."""
     rows = slice_rows(catalogue, strategy, **axes)
-    ranked = top_n(rows, ["slice"], [F.desc("popularity"), F.col("id")], pages * page_size)
+    ranked = top_n(rows, ["slice"], [F.desc("popularity"), F.col("id")], pages * page_size, ["id"])
     return ranked.withColumn("page", F.ceil(F.col("rank") / page_size).cast("int"))
 
 

@@ -55,6 +55,9 @@ HIT_SOURCE_FIELDS = (
     "cast_names", "crew_names", "original_language", "origin_country", "poster_path", "imdb_id",
 )
 
-POSTINGS_DDL = "doc_id string, dl int, term string, tf int, field string, term_bucket int"
 TERM_STATS_DDL = "field string, term string, df bigint"
 FIELD_STATS_DDL = "field string, n_docs bigint, sum_dl bigint"
+
+
+def postings_ddl(key_type: str = "string") -> str:
+    return f"doc_id {key_type}, dl int, term string, tf int, head boolean, field string, term_bucket int"
