@@ -18,8 +18,7 @@ ENCODE_BATCH = 64
 # Queries sent to every task at once, and rows of a block when there are more than that.
 QUERY_BLOCK = 2048
 VECTOR_BLOCK = 65_536
-
-_PAIR_DDL = "query_id {q}, vec_id {v}, distance double"
+_QUERY_SLICE = 256
 
 
 def embed(df: DataFrame, text_col: str, encoder: Callable[[], Callable[[list[str]], np.ndarray]],
@@ -65,87 +64,163 @@ def squared_l2(a, b):
     )
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
+def _flat(column) -> pa.Array:
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
-def _nearest(query: np.ndarray, vectors: np.ndarray, vec_ids: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """Rows of the k nearest vectors of each query: (query row, vector row, squared distance).
+def _matrix(column) -> np.ndarray:
+    column = _flat(column)
+    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return values.reshape(len(column), -1) if len(column) else values.reshape(0, 0)
 
-    A matrix product finds the candidates, with a margin above its rounding error; their distances
-    are then computed by difference, and ties go to the smaller id.
-    """
-    q_norm, v_norm = (query**2).sum(1), (vectors**2).sum(1)
-    rough = q_norm[:, None] + v_norm[None, :] - 2.0 * (query @ vectors.T)
-    k = min(k, len(vectors))
-    margin = 1e-12 * (q_norm + v_norm.max()) * query.shape[1]
-    bound = np.partition(rough, k - 1, axis=1)[:, k - 1] + margin
-    q_rows, v_rows = np.nonzero(rough <= bound[:, None])
-    exact = ((query[q_rows] - vectors[v_rows]) ** 2).sum(1)
-    order = np.lexsort((vec_ids[v_rows], exact, q_rows))
-    q_rows, v_rows, exact = q_rows[order], v_rows[order], exact[order]
-    place = np.arange(len(q_rows)) - np.searchsorted(q_rows, q_rows)
-    keep = place < k
-    return q_rows[keep], v_rows[keep], exact[keep]
-
-
-def _pairs(query_ids: pa.Array, vec_ids: pa.Array, found: tuple[np.ndarray, ...]) -> pa.Table:
-    q_rows, v_rows, distance = found
-    return pa.table(
-        {"query_id": query_ids.take(pa.array(q_rows)), "vec_id": vec_ids.take(pa.array(v_rows)), "distance": distance}
-    )
 
+def _keys(column) -> np.ndarray:
+    """Sortable ids: numbers as they are, anything else as text."""
+    values = _flat(column).to_numpy(zero_copy_only=False)
+    return values.astype(str) if values.dtype == object else values
 
-def _one_array(column) -> pa.Array:
-    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
+def _blocked(query_country: list, codes) -> np.ndarray:
+    """Query x vector mask of the pairs that the query's country rules out."""
+    codes = _flat(codes)
+    flat = np.asarray(codes.flatten().to_pylist(), dtype=object)
+    owner = np.repeat(np.arange(len(codes)), codes.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    mask = np.zeros((len(query_country), len(codes)), dtype=bool)
+    for country in set(query_country) - {None}:
+        carried = np.zeros(len(codes), dtype=bool)
+        carried[owner[flat == country]] = True
+        mask[[c == country for c in query_country]] = ~carried
+    return mask
 
-def _scan(query_vectors: DataFrame, vectors: DataFrame, k: int, ddl: str) -> DataFrame:
-    """Every task compares its own vectors with the whole (bounded) query block; nothing is shuffled."""
-    table = query_vectors.toArrow()
-    shared = vectors.sparkSession.sparkContext.broadcast((_one_array(table["query_id"]), _matrix(table["embedding"])))
 
-    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, query = shared.value
-        for batch in batches:
-            if batch.num_rows and len(query):
-                ids, block = _one_array(batch["vec_id"]), _matrix(batch["embedding"])
-                found = _nearest(query, block, ids.to_numpy(zero_copy_only=False), k)
-                yield from _pairs(query_ids, ids, found).to_batches()
+def _first_k(found: dict[str, np.ndarray], k: int) -> dict[str, np.ndarray]:
+    """Nearest k rows per query, one per group when groups are given; ties to the smaller id."""
+    order = np.lexsort((found["vec_id"], found["distance"], found["query"]))
+    found = {name: values[order] for name, values in found.items()}
+    if "group" in found and len(order):
+        _, code = np.unique(found["group"], return_inverse=True)
+        _, first = np.unique(found["query"] * (code.max() + 1) + code, return_index=True)
+        first.sort()
+        found = {name: values[first] for name, values in found.items()}
+    place = np.arange(len(found["query"])) - np.searchsorted(found["query"], found["query"])
+    return {name: values[place < k] for name, values in found.items()}
+
 
-    return vectors.select("vec_id", "embedding").mapInArrow(nearest, ddl)
+def _nearest(queries: pa.Table, query: np.ndarray, block, k: int) -> dict[str, np.ndarray]:
+    """The k nearest vectors of a block for every query, as parallel arrays.
 
+    A matrix product finds the candidates, with a margin above its rounding error; their distances
+    are then computed by difference.  Queries go in slices so that the product stays small.
+    """
+    vectors, ids = _matrix(block["embedding"]), _keys(block["vec_id"])
+    names = block.schema.names
+    groups = _keys(block["group"]) if "group" in names else np.arange(len(ids))
+    by_group = np.argsort(groups, kind="stable")
+    vectors, ids, groups = vectors[by_group], ids[by_group], groups[by_group]
+    starts = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
+    blocked = None
+    if "codes" in names:
+        blocked = _blocked(queries["country"].to_pylist(), block["codes"])[:, by_group]
+    v_norm = (vectors**2).sum(1)
+    parts = []
+    for at in range(0, len(query), _QUERY_SLICE):
+        q = query[at : at + _QUERY_SLICE]
+        q_norm = (q**2).sum(1)
+        rough = q_norm[:, None] + v_norm[None, :] - 2.0 * (q @ vectors.T)
+        if blocked is not None:
+            rough[blocked[at : at + _QUERY_SLICE]] = np.inf
+        best = np.minimum.reduceat(rough, starts, axis=1)
+        depth = min(k, best.shape[1])
+        margin = 1e-12 * (q_norm + v_norm.max()) * q.shape[1]
+        bound = np.partition(best, depth - 1, axis=1)[:, depth - 1] + margin
+        q_rows, v_rows = np.nonzero((rough <= bound[:, None]) & np.isfinite(rough))
+        exact = ((q[q_rows] - vectors[v_rows]) ** 2).sum(1)
+        parts.append({"query": q_rows + at, "vec_id": ids[v_rows], "distance": exact, "group": groups[v_rows]})
+    found = {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
+    if "group" not in names:
+        del found["group"]
+    return _first_k(found, k)
+
+
+def _as_batch(found: dict[str, np.ndarray], query_ids: pa.Array, vec_type: pa.DataType, group_type) -> pa.Table:
+    columns = {
+        "query_id": query_ids.take(pa.array(found["query"])),
+        "vec_id": pa.array(found["vec_id"].tolist(), vec_type),
+        "distance": pa.array(found["distance"], pa.float64()),
+    }
+    if "group" in found:
+        columns["group"] = pa.array(found["group"].tolist(), group_type)
+    return pa.table(columns)
+
+
+def _scan(queries: DataFrame, vectors: DataFrame, k: int, ddl: str) -> DataFrame:
+    """Every task compares its own vectors with the whole (bounded) query block.
+
+    Nothing is shuffled but the answers: a task keeps the best k per query over all its batches.
+    """
+    shared = vectors.sparkSession.sparkContext.broadcast(queries.toArrow())
 
-def _blocks(query_vectors: DataFrame, vectors: DataFrame, k: int, ddl: str, query_block: int, vector_block: int) -> DataFrame:
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        query = _matrix(table["embedding"])
+        best: dict[str, np.ndarray] = {}
+        schema = None
+        for batch in batches:
+            if not batch.num_rows or not len(query):
+                continue
+            schema = batch.schema
+            found = _nearest(table, query, batch, k)
+            if best:
+                found = _first_k({name: np.concatenate([best[name], found[name]]) for name in found}, k)
+            best = found
+        if best:
+            group_type = schema.field("group").type if "group" in best else None
+            out = _as_batch(best, _flat(table["query_id"]), schema.field("vec_id").type, group_type)
+            yield from out.to_batches(max_chunksize=50_000)
+
+    return vectors.mapInArrow(nearest, ddl)
+
+
+def _blocks(queries: DataFrame, vectors: DataFrame, k: int, ddl: str, query_block: int, vector_block: int) -> DataFrame:
     """Both sides cut into blocks by hash; every pair of blocks meets in one task of bounded size.
 
     Each side is replicated once per block of the other, and a cell returns k rows per query.
     """
-    n_q = max(1, -(-query_vectors.count() // query_block))
+    n_q = max(1, -(-queries.count() // query_block))
     n_v = max(1, -(-vectors.count() // vector_block))
-    cell = lambda df, key, own, other, n_own, n_other: df.select(
-        key,
-        "embedding",
-        F.pmod(F.xxhash64(key), F.lit(n_own)).cast("int").alias(own),
-        F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other),
+    cell = lambda df, key, own, other, n_own, n_other: df.withColumns(
+        {
+            own: F.pmod(F.xxhash64(key), F.lit(n_own)).cast("int"),
+            other: F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))),
+        }
     )
-    left = cell(query_vectors, "query_id", "qb", "vb", n_q, n_v)
+    left = cell(queries, "query_id", "qb", "vb", n_q, n_v)
     right = cell(vectors, "vec_id", "vb", "qb", n_v, n_q)
 
-    def nearest(queries: pa.Table, block: pa.Table) -> pa.Table:
-        if not queries.num_rows or not block.num_rows:
-            return pa.schema(
-                [("query_id", queries.schema.field("query_id").type), ("vec_id", block.schema.field("vec_id").type), ("distance", pa.float64())]
-            ).empty_table()
-        ids = _one_array(block["vec_id"])
-        found = _nearest(_matrix(queries["embedding"]), _matrix(block["embedding"]), ids.to_numpy(zero_copy_only=False), k)
-        return _pairs(_one_array(queries["query_id"]), ids, found)
+    def nearest(query_part: pa.Table, block: pa.Table) -> pa.Table:
+        if query_part.num_rows and block.num_rows:
+            found = _nearest(query_part, _matrix(query_part["embedding"]), block, k)
+        else:
+            found = {name: np.array([], dtype=int) for name in ("query", "vec_id", "distance")}
+            if "group" in block.schema.names:
+                found["group"] = np.array([], dtype=int)
+        group_type = block.schema.field("group").type if "group" in found else None
+        return _as_batch(found, _flat(query_part["query_id"]), block.schema.field("vec_id").type, group_type)
 
     return left.groupBy("qb", "vb").cogroup(right.groupBy("qb", "vb")).applyInArrow(nearest, ddl)
 
 
+def _compare(queries: DataFrame, vectors: DataFrame, k: int, query_block: int, vector_block: int) -> DataFrame:
+    """Candidates ``(query_id, vec_id, distance[, group])`` that contain the k nearest of each query."""
+    types = dict(queries.dtypes) | dict(vectors.dtypes)
+    ddl = f"query_id {types['query_id']}, vec_id {types['vec_id']}, distance double"
+    if "group" in types:
+        ddl += f", group {types['group']}"
+    if fits(queries, query_block):
+        return _scan(queries, vectors, k, ddl)
+    return _blocks(queries, vectors, k, ddl, query_block, vector_block)
+
+
 def knn(
     query_vectors: DataFrame, vectors: DataFrame, k: int = 5,
     query_block: int = QUERY_BLOCK, vector_block: int = VECTOR_BLOCK,
@@ -155,13 +230,9 @@ def knn(
     ``distance`` is the squared L2 distance; ties go to the smaller id.  Up to ``query_block``
     queries are sent to all tasks; more are compared block by block.
     """
-    queries = query_vectors.select("query_id", "embedding")
-    types = dict(queries.dtypes) | dict(vectors.dtypes)
-    ddl = _PAIR_DDL.format(q=types["query_id"], v=types["vec_id"])
-    if fits(queries, query_block):
-        pairs = _scan(queries, vectors, k, ddl)
-    else:
-        pairs = _blocks(queries, vectors, k, ddl, query_block, vector_block)
+    pairs = _compare(
+        query_vectors.select("query_id", "embedding"), vectors.select("vec_id", "embedding"), k, query_block, vector_block
+    )
     ranked = top_n(pairs, ["query_id"], [F.col("distance"), F.col("vec_id")], k)
     return ranked.select("query_id", "rank", "vec_id", "distance")
 
@@ -209,23 +280,10 @@ def _cut(hits: DataFrame, k: int, movie_key: str) -> DataFrame:
 
 
 def _prefiltered(query_vectors: DataFrame, vectors: DataFrame, k: int, movie_key: str, country_col: str) -> DataFrame:
-    """One comparison per distinct country asked for, over the vectors that carry it.
-
-    A country code list is short by nature; the codes are read from the queries and bounded.
-    """
-    codes = [r["country"] for r in query_vectors.select("country").distinct().limit(301).collect()]
-    if len(codes) > 300:
-        raise ValueError("more than 300 distinct countries in one batch")
-    parts = []
-    for code in codes:
-        asked = F.col("country").isNull() if code is None else F.col("country") == code
-        pool = vectors if code is None else vectors.where(F.array_contains(country_col, code))
-        unique = dedup_first(
-            attach_metadata(knn(query_vectors.where(asked), pool, 2 * k), pool.select("vec_id", movie_key)),
-            ["query_id", movie_key], ["rank"],
-        )
-        parts.append(_cut(unique.drop("rank"), k, movie_key))
-    done = parts[0]
-    for part in parts[1:]:
-        done = done.unionByName(part)
-    return done
+    """The k nearest distinct movies among those that carry the country asked for."""
+    pool = vectors.select(
+        "vec_id", "embedding", F.col(movie_key).alias("group"), F.col(country_col).alias("codes")
+    )
+    near = _compare(query_vectors.select("query_id", "embedding", "country"), pool, k, QUERY_BLOCK, VECTOR_BLOCK)
+    near = near.withColumnRenamed("group", movie_key)
+    return _cut(dedup_first(near, ["query_id", movie_key], ["distance", "vec_id"]), k, movie_key)
