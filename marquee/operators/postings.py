@@ -45,11 +45,16 @@ def term_bucket(term: Column, buckets: int) -> Column:
 
 
 def token_rows(docs: DataFrame, fields: list[str], option: str, key: str = "doc_id") -> DataFrame:
-    """``(doc_id, field, tokens)``: one analysed row per document and field; arrays are joined first."""
+    """``(doc_id, field, tokens)``: one analysed row per document and field; arrays are joined first.
+
+    Documents are hashed by key before analysis.  Their text is smaller than the postings made of
+    it, and later grouping by document then needs no shuffle of its own.
+    """
     types = dict(docs.dtypes)
     text = lambda c: F.array_join(c, " ") if types[c].startswith("array") else F.col(c)
     stacked = F.array(*[F.struct(F.lit(f).alias("field"), text(f).alias("text")) for f in fields])
-    rows = docs.select(F.col(key).alias("doc_id"), F.explode(stacked).alias("f"))
+    docs = docs.select(F.col(key).alias("doc_id"), *fields).repartition("doc_id")
+    rows = docs.select("doc_id", F.explode(stacked).alias("f"))
     rows = rows.where(F.col("f.text") != "").select("doc_id", "f.field", "f.text")
     return rows.select("doc_id", "field", analyze(F.col("text"), option).alias("tokens"))
 
@@ -57,8 +62,8 @@ def token_rows(docs: DataFrame, fields: list[str], option: str, key: str = "doc_
 def build_postings(tokens: DataFrame) -> DataFrame:
     """``(field, doc_id, dl, term, tf, head)`` from token rows.
 
-    Counting is partial before the shuffle, and the grouping key holds the document, so a common
-    term spreads over all tasks.  ``head`` marks the one posting that holds a document's first
+    The grouping key holds the document, so a common term spreads over all tasks and the hashing
+    of `token_rows` serves the aggregation.  ``head`` marks the one posting that holds a document's first
     token, so documents can be counted from postings alone.
     """
     terms = tokens.select(

@@ -13,13 +13,25 @@ from marquee.operators.records import is_movie_record
 MAX_ERROR_SAMPLES = 20
 
 
-def build_counters(records: DataFrame, documents: DataFrame) -> DataFrame:
+def _side_by_side(*rows: DataFrame) -> DataFrame:
+    """One-row tables with different columns as one row."""
+    united = rows[0]
+    for row in rows[1:]:
+        united = united.unionByName(row, allowMissingColumns=True)
+    return united.agg(*[F.any_value(c, F.lit(True)).alias(c) for c in united.columns])
+
+
+def build_counters(records: DataFrame, documents: DataFrame, limited: bool = False) -> DataFrame:
     """One row of build counters.
 
     ``records`` are decoded rows (NULL record = parse error), ``documents`` the deduplicated
-    result, so seen = prepared + skipped non-movie + skipped duplicate.
+    result with its ``source_path`` and ``pos``.  When a document limit stopped the build
+    (``limited``), records after the last document kept were never seen.  Always
+    seen = prepared + skipped non-movie + skipped duplicate.
     """
-    # Reading is_movie_record of a NULL record gives false, so parse errors are counted apart.
+    if limited:
+        last = documents.agg(F.max(F.struct("source_path", "pos")).alias("last"))
+        records = records.join(F.broadcast(last), F.struct("source_path", "pos") <= F.col("last")).drop("last")
     ok = F.col("record").isNotNull()
     movie = F.coalesce(is_movie_record(F.col("record")), F.lit(False))
     per_file = records.groupBy("source_path").agg(
@@ -31,9 +43,7 @@ def build_counters(records: DataFrame, documents: DataFrame) -> DataFrame:
         F.coalesce(F.sum("other"), F.lit(0)).alias("docs_skipped_non_movie"),
         F.coalesce(F.sum("bad"), F.lit(0)).alias("parse_errors"),
     )
-    prepared = documents.agg(F.count("*").alias("docs_prepared"))
-    # Two one-row tables side by side.
-    both = seen.withColumn("one", F.lit(1)).join(F.broadcast(prepared.withColumn("one", F.lit(1))), "one").drop("one")
+    both = _side_by_side(seen, documents.agg(F.count("*").alias("docs_prepared")))
     return both.withColumn(
         "docs_skipped_duplicate", F.col("docs_seen") - F.col("docs_skipped_non_movie") - F.col("docs_prepared")
     )
@@ -54,8 +64,7 @@ def crawl_stats(movies: DataFrame, files: DataFrame | None = None) -> DataFrame:
     )
     if files is None:
         return stats
-    size = stored_size(files).withColumn("one", F.lit(1))
-    return stats.withColumn("one", F.lit(1)).join(F.broadcast(size), "one").drop("one")
+    return _side_by_side(stats, stored_size(files))
 
 
 def stored_size(files: DataFrame) -> DataFrame:
@@ -143,8 +152,7 @@ def run_report(counters: DataFrame, args: dict, source: str, index_name: str, op
     if errors is None:
         return report.withColumn("error_samples", F.array().cast("array<string>"))
     samples = errors.select(F.to_json(F.struct("*")).alias("e")).limit(MAX_ERROR_SAMPLES)
-    packed = samples.agg(F.collect_list("e").alias("error_samples")).withColumn("one", F.lit(1))
-    return report.withColumn("one", F.lit(1)).join(F.broadcast(packed), "one").drop("one")
+    return _side_by_side(report, samples.agg(F.collect_list("e").alias("error_samples")))
 
 
 def observed(df: DataFrame, name: str):

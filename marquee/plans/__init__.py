@@ -1,0 +1,9 @@
+"""Whole jobs: the index build and the registered queries."""
+
+
+def all_queries():
+    """``(queries, check SQL)`` of every query module."""
+    from marquee.plans import search_queries, text_queries  # noqa: F401
+    from marquee.plans.registry import CHECK_SQL, QUERIES
+
+    return dict(QUERIES), dict(CHECK_SQL)
