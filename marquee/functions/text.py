@@ -8,6 +8,7 @@ import unicodedata
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.functions.porter import stem_word
 
@@ -93,7 +94,7 @@ def drop_stop_words(tokens: Column) -> Column:
     return F.filter(tokens, lambda t: ~t.isin(*STOP_WORDS))
 
 
-@F.arrow_udf("array<string>")
+@F.arrow_udf(T.ArrayType(T.StringType()))
 def stem_tokens(tokens: pa.Array) -> pa.Array:
     """Porter stems of token lists; each distinct token of an Arrow batch is stemmed once."""
     if isinstance(tokens, pa.ChunkedArray):

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.functions.values import similarity
 from marquee.operators.dedup import dedup_first, top_n
@@ -29,7 +30,7 @@ def embed(df: DataFrame, text_col: str, encoder: Callable[[], Callable[[list[str
     a list of texts to a matrix.  Texts are encoded ``batch_size`` at a time.
     """
 
-    @F.arrow_udf("array<float>")
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = encoder()
         for batch in batches:

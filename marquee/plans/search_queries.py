@@ -26,7 +26,9 @@ def _tables(toks, docs: str = "SELECT doc_id, 'text' AS field, text FROM documen
     """CTEs postings(field, doc_id, term, tf, dl), sizes(field, n, avgdl), dfs(field, term, df), qt(query_id, term, qtf)."""
     raw = (
         f"docs AS ({docs}), "
-        f"draw AS MATERIALIZED (SELECT field, doc_id, len({toks('text')}) AS dl, unnest({toks('text')}) AS term FROM docs), "
+        f"lists AS MATERIALIZED (SELECT field, doc_id, {toks('text')} AS toks FROM docs), "
+        "sized AS MATERIALIZED (SELECT field, doc_id, toks, len(toks) AS dl FROM lists), "
+        "draw AS MATERIALIZED (SELECT field, doc_id, dl, unnest(toks) AS term FROM sized), "
         f"qraw AS MATERIALIZED (SELECT item_id AS query_id, unnest({toks('text')}) AS term FROM benchmark), "
     )
     if stem:
@@ -169,12 +171,11 @@ def fuzzy_expand(spark, sf_dir):
 @query(
     "bm25_fuzzy_multifield",
     f"WITH {_tables(sql.tokens, _PAGES)}, {_NEAR}, {_EXPANDED}, "
-    "scores AS (SELECT query_id, doc_id, field, sum(qtf * similarity * " + sql.bm25("n", "df_used", "tf", "dl", "avgdl") + ") AS s "
-    "FROM qt JOIN expanded e ON qt.term = e.q JOIN postings p ON p.field = e.field AND p.term = e.term "
-    "JOIN sizes USING (field) GROUP BY query_id, doc_id, field), ".replace("GROUP BY query_id, doc_id, field", "GROUP BY query_id, doc_id, e.field")
-    .replace("SELECT query_id, doc_id, field,", "SELECT query_id, doc_id, e.field AS field,")
-    .replace("JOIN sizes USING (field)", "JOIN sizes z ON z.field = e.field")
-    + "best AS (SELECT query_id, doc_id, round(max(s * CASE field WHEN 'title' THEN 3.0 ELSE 1.0 END), 6) AS score FROM scores GROUP BY query_id, doc_id), "
+    "scores AS (SELECT query_id, doc_id, e.field AS field, sum(qtf * similarity * "
+    + sql.bm25("n", "df_used", "tf", "dl", "avgdl")
+    + ") AS s FROM qt JOIN expanded e ON qt.term = e.q JOIN postings p ON p.field = e.field AND p.term = e.term "
+    "JOIN sizes z ON z.field = e.field GROUP BY query_id, doc_id, e.field), "
+    "best AS (SELECT query_id, doc_id, round(max(s * CASE field WHEN 'title' THEN 3.0 ELSE 1.0 END), 6) AS score FROM scores GROUP BY query_id, doc_id), "
     f"{_ranked('best')} {_HITS}",
 )
 def bm25_fuzzy_multifield(spark, sf_dir):

@@ -82,7 +82,7 @@ def analyze_english_stem(spark, sf_dir):
 
 @query(
     "postings",
-    f"WITH rows AS (SELECT doc_id, {sql.tokens('text')} AS toks FROM documents), "
+    f"WITH rows AS MATERIALIZED (SELECT doc_id, {sql.tokens('text')} AS toks FROM documents), "
     "terms AS (SELECT doc_id, len(toks) AS dl, unnest(toks) AS term FROM rows) "
     "SELECT doc_id, term, CAST(dl AS INTEGER) AS dl, CAST(count(*) AS INTEGER) AS tf FROM terms GROUP BY ALL",
 )
