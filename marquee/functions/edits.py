@@ -42,74 +42,88 @@ def swaps(term: Column) -> Column:
     )
 
 
+def skip_swaps(term: Column) -> Column:
+    """All strings made by dropping a character and swapping its two neighbours."""
+    n = F.length(term)
+    return F.transform(
+        _positions(term, n - 2),
+        lambda i: F.concat(
+            F.substring(term, F.lit(1), i - 1),
+            F.substring(term, i + 2, F.lit(1)),
+            F.substring(term, i, F.lit(1)),
+            F.substring(term, i + 3, n),
+        ),
+    )
+
+
+def variants(term: Column, edits: Column) -> Column:
+    """Forms of a query term with the swaps already made, as (form, cost) structs.
+
+    With swaps counted as one edit, the distance of two terms within two edits is the smallest
+    cost + plain edit distance over the forms of one of them.
+    """
+    at = lambda forms, cost: F.transform(F.array_distinct(forms), lambda f: F.struct(f.alias("form"), F.lit(cost).alias("cost")))
+    one = swaps(term)
+    two = F.concat(F.flatten(F.transform(one, swaps)), skip_swaps(term))
+    own = at(F.array(term), 0)
+    return F.when(edits == 0, own).when(edits == 1, F.concat(own, at(one, 1))).otherwise(
+        F.concat(own, at(one, 1), at(two, 2))
+    )
+
+
 def deletion_keys(term: Column, edits: int) -> Column:
-    """The term with up to ``edits`` characters left out; two terms within that many edits share one."""
-    once = F.array_distinct(_drop_one(term))
-    keys = F.concat(F.array(term), once)
+    """The term with up to ``edits`` characters left out, as (key, dropped) structs.
+
+    Two terms within that many plain edits share a key.
+    """
+    at = lambda keys, n: F.transform(F.array_distinct(keys), lambda k: F.struct(k.alias("key"), F.lit(n).alias("dropped")))
+    keys = at(F.array(term), 0)
+    if edits >= 1:
+        once = _drop_one(term)
+        keys = F.concat(keys, at(once, 1))
     if edits == 2:
-        keys = F.concat(keys, F.flatten(F.transform(once, _drop_one)))
-    return F.array_distinct(keys)
-
-
-def damerau(a: Column, b: Column, limit: int = 2) -> Column:
-    """Edit distance where an adjacent swap is one edit, or NULL above ``limit`` (at most 2)."""
-    plain = F.levenshtein(a, b, limit)
-    swapped = F.array_contains(swaps(a), b)
-    distance = F.when(a == b, 0).when((F.levenshtein(a, b, 1) >= 0) | swapped, 1)
-    if limit == 2:
-        two = (
-            (plain >= 0)
-            | F.exists(swaps(a), lambda s: F.levenshtein(s, b, 1) >= 0)
-            | F.exists(swaps(b), lambda s: F.levenshtein(a, s, 1) >= 0)
-            | F.arrays_overlap(swaps(a), swaps(b))
-        )
-        distance = distance.when(two, 2)
-    return F.when(F.abs(F.length(a) - F.length(b)) <= limit, distance)
+        keys = F.concat(keys, at(F.flatten(F.transform(F.array_distinct(once), _drop_one)), 2))
+    return keys
 
 
 def segments(term: Column, parts: int) -> Column:
-    """``parts`` consecutive pieces as (length, index, piece).
+    """``parts`` consecutive pieces of a term as key texts (length, index, piece).
 
-    One edit touches at most two pieces (a swap across a border), so with five pieces and two
-    edits at least one piece survives, shifted by no more than two positions.
+    Each plain edit touches one piece, so of three pieces and two edits one survives, shifted by no
+    more than two positions.
     """
     n = F.length(term)
     start = lambda i: F.floor(i * n / parts).cast("int")
     return F.transform(
         F.sequence(F.lit(0), F.lit(parts - 1)),
-        lambda i: F.struct(
-            n.alias("len"), i.alias("part"), F.substring(term, start(i) + 1, start(i + 1) - start(i)).alias("piece")
-        ),
+        lambda i: _piece_key(n, i, F.substring(term, start(i) + 1, start(i + 1) - start(i))),
     )
 
 
+def _piece_key(length: Column, part: Column, piece: Column) -> Column:
+    return F.concat_ws(":", length.cast("string"), part.cast("string"), piece)
+
+
 def segment_probes(term: Column, parts: int, edits: int = 2) -> Column:
-    """Pieces of ``term`` that could equal a piece of a term of nearby length, as `segments` structs."""
+    """Pieces of ``term`` that could equal a piece of a term of nearby length, as `segments` keys."""
     n = F.length(term)
     start = lambda length, i: F.floor(i * length / parts).cast("int")
     shifts = F.array(*[F.lit(s) for s in range(-edits, edits + 1)])
+
+    def probe(length: Column, i: Column, shift: Column) -> Column:
+        first = start(length, i) + 1 + shift
+        size = start(length, i + 1) - start(length, i)
+        return F.when((first >= 1) & (first + size - 1 <= n), _piece_key(length, i, F.substring(term, first, size)))
+
     probes = F.flatten(
         F.flatten(
             F.transform(
                 shifts,
                 lambda d: F.transform(
                     F.sequence(F.lit(0), F.lit(parts - 1)),
-                    lambda i: F.transform(
-                        shifts,
-                        lambda s: F.struct(
-                            (n + d).alias("len"),
-                            i.alias("part"),
-                            F.substring(
-                                term, start(n + d, i) + 1 + s, start(n + d, i + 1) - start(n + d, i)
-                            ).alias("piece"),
-                            (start(n + d, i) + 1 + s >= 1).alias("valid"),
-                        ),
-                    ),
+                    lambda i: F.transform(shifts, lambda s: probe(n + d, i, s)),
                 ),
             )
         )
     )
-    kept = F.filter(probes, lambda p: p["valid"] & (F.length(p["piece"]) > 0))
-    return F.array_distinct(
-        F.transform(kept, lambda p: F.struct(p["len"].alias("len"), p["part"].alias("part"), p["piece"].alias("piece")))
-    )
+    return F.array_distinct(F.filter(probes, lambda p: p.isNotNull()))

@@ -6,7 +6,6 @@ Each step is a suffix table; the measure of a stem is the number of vowel-conson
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 # Suffix tables of the published algorithm.
 STEP2 = (
@@ -62,7 +61,6 @@ def _replace(word: str, table) -> str:
     return word
 
 
-@lru_cache(maxsize=100_000)
 def stem_word(word: str) -> str:
     """Stem of one lower-case word; words of one or two letters are returned unchanged."""
     if len(word) < 3:

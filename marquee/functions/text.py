@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,6 +32,7 @@ FOLD_MANY = {"ß": "ss", "ẞ": "SS", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ":
 WHITESPACE = "".join(chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace())
 
 MAX_TOKEN_CHARS = 255
+STEM_MEMO = 1_000_000
 
 # A word is a run of letters (joined inside by . ' : and the middle dot), of digits (joined by
 # . , ; ') or of underscores, in any mix.  Possessive quantifiers make the matcher iterate, not
@@ -95,28 +98,93 @@ def drop_stop_words(tokens: Column) -> Column:
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
-def stem_tokens(tokens: pa.Array) -> pa.Array:
-    """Porter stems of token lists; each distinct token of an Arrow batch is stemmed once."""
-    if isinstance(tokens, pa.ChunkedArray):
-        tokens = tokens.combine_chunks()
-    coded = tokens.flatten().dictionary_encode()
-    stems = pa.array([stem_word(w) if w is not None else None for w in coded.dictionary.to_pylist()], pa.string())
-    lengths = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    offsets = pa.array([0, *lengths.cumsum().tolist()], pa.int32())
-    return pa.ListArray.from_arrays(offsets, stems.take(coded.indices), mask=tokens.is_null())
+def stem_tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Porter stems of token lists; a task stems each distinct token once (its memo is bounded)."""
+    memo: dict[str, str] = {}
+    for tokens in batches:
+        coded = tokens.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        if len(memo) > STEM_MEMO:
+            memo.clear()
+        for word in words:
+            if word not in memo:
+                memo[word] = stem_word(word)
+        stems = pa.array([memo[w] for w in words], pa.string())
+        lengths = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        offsets = pa.array([0, *lengths.cumsum().tolist()], pa.int32())
+        yield pa.ListArray.from_arrays(offsets, stems.take(coded.indices), mask=tokens.is_null())
+
+
+@F.arrow_udf(
+    T.StructType(
+        [
+            T.StructField("dl", T.IntegerType()),
+            T.StructField(
+                "terms",
+                T.ArrayType(
+                    T.StructType(
+                        [
+                            T.StructField("term", T.StringType()),
+                            T.StructField("tf", T.IntegerType()),
+                            T.StructField("head", T.BooleanType()),
+                        ]
+                    )
+                ),
+            ),
+        ]
+    )
+)
+def stem_counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Stems of each token list with their counts, and the list's length.
+
+    Counting here, while the list is at hand, spares a shuffle of one row per token.
+    """
+    memo: dict[str, str] = {}
+    for tokens in batches:
+        coded = tokens.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        if len(memo) > STEM_MEMO:
+            memo.clear()
+        for word in words:
+            if word not in memo:
+                memo[word] = stem_word(word)
+        stems = pa.array([memo[w] for w in words], pa.string()).dictionary_encode()
+        codes = stems.indices.to_numpy()[coded.indices.to_numpy()].astype(np.int64)
+        lengths = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        rows = np.repeat(np.arange(len(lengths)), lengths)
+        width = max(len(stems.dictionary), 1)
+        cells, first, counts = np.unique(rows * width + codes, return_index=True, return_counts=True)
+        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(lengths) else np.zeros(0, np.int64)
+        owners = cells // width
+        terms = pa.StructArray.from_arrays(
+            [
+                stems.dictionary.take(pa.array(cells % width)),
+                pa.array(counts.astype(np.int32)),
+                pa.array(first == starts[owners]),
+            ],
+            ["term", "tf", "head"],
+        )
+        offsets = np.searchsorted(owners, np.arange(len(lengths) + 1)).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), terms)
+        yield pa.StructArray.from_arrays([pa.array(lengths.astype(np.int32)), lists], ["dl", "terms"])
 
 
 def analyze(col: Column, option: str = "english_stem") -> Column:
     """Token array of a text column under one of the three analyser options."""
     if option not in ANALYZER_OPTIONS:
         raise ValueError(f"unknown analyzer option: {option}")
+    tokens = words(col, option)
+    return stem_tokens(tokens) if option == "english_stem" else tokens
+
+
+def words(col: Column, option: str) -> Column:
+    """Token array before stemming."""
     tokens = tokenize(ascii_fold(F.lower(F.coalesce(col, F.lit("")))))
     if option == "standard":
         return tokens
     if option == "english_stem":
         tokens = drop_possessive(tokens)
-    tokens = drop_stop_words(tokens)
-    return stem_tokens(tokens) if option == "english_stem" else tokens
+    return drop_stop_words(tokens)
 
 
 def raw_keyword(col: Column, ignore_above: int = 512) -> Column:

@@ -7,71 +7,79 @@ two vocabularies.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.functions.edits import DELETION_MAX, allowed_edits, damerau, deletion_keys, segment_probes, segments
+from marquee.functions.edits import DELETION_MAX, allowed_edits, deletion_keys, segment_probes, segments, variants
 from marquee.operators.dedup import top_n
-from marquee.session import small_side
+from marquee.session import materialise, small_side
 
 MAX_EXPANSIONS = 50
-_PARTS = 5
+# Upper bound of broadcast query keys; about 100 bytes each.
+KEY_ROWS = 1_000_000
+_PARTS = 3
+_NO_KEYS = "array<struct<key:string,dropped:int>>"
 
 
-def _tagged(kind: int, keys: Column) -> Column:
-    return F.transform(keys, lambda k: F.struct(F.lit(kind).alias("kind"), k.alias("key")))
+def _piece_rows(pieces: Column) -> Column:
+    return F.transform(pieces, lambda p: F.struct(p.alias("key"), F.lit(0).alias("dropped")))
 
 
-def _piece_text(piece: Column) -> Column:
-    return F.concat_ws(":", piece["len"].cast("string"), piece["part"].cast("string"), piece["piece"])
-
-
-def _query_keys(term: Column) -> Column:
-    n = F.length(term)
+def _query_keys(term: Column, budget: Column) -> Column:
+    """Keys of a query form that may still take ``budget`` plain edits."""
     return (
-        F.when(n <= 2, _tagged(0, F.array(term)))
-        .when(n <= 5, _tagged(1, deletion_keys(term, 1)))
-        .when(n <= DELETION_MAX, _tagged(2, deletion_keys(term, 2)))
-        .otherwise(_tagged(3, F.transform(segments(term, _PARTS), _piece_text)))
+        F.when(budget == 0, deletion_keys(term, 0))
+        .when(F.length(term) > DELETION_MAX, _piece_rows(segments(term, _PARTS)))
+        .when(budget == 1, deletion_keys(term, 1))
+        .otherwise(deletion_keys(term, 2))
     )
 
 
 def _vocabulary_keys(term: Column) -> Column:
-    """Keys under which any query term within its edit allowance would be found."""
+    """Keys under which any query form within its budget would be found."""
     n = F.length(term)
-    none = F.array().cast("array<struct<kind:int,key:string>>")
-    pick = lambda when, kind, keys: F.when(when, _tagged(kind, keys)).otherwise(none)
+    pick = lambda when, keys: F.when(when, keys).otherwise(F.array().cast(_NO_KEYS))
     return F.concat(
-        pick(n <= 2, 0, F.array(term)),
-        pick(n.between(2, 6), 1, deletion_keys(term, 1)),
-        pick(n.between(4, DELETION_MAX + 2), 2, deletion_keys(term, 2)),
-        pick(n >= DELETION_MAX - 1, 3, F.transform(segment_probes(term, _PARTS), _piece_text)),
+        pick((n < 2) | (n > DELETION_MAX + 2), deletion_keys(term, 0)),
+        pick(n.between(2, 3), deletion_keys(term, 1)),
+        pick(n.between(4, DELETION_MAX + 2), deletion_keys(term, 2)),
+        pick(n >= DELETION_MAX - 1, _piece_rows(segment_probes(term, _PARTS))),
     )
 
 
 def near_terms(query_terms: DataFrame, vocabulary: DataFrame, prefix_length: int = 0) -> DataFrame:
-    """``(query_term, term, edits)`` for every vocabulary term within the allowance of a query term."""
+    """``(query_term, term, edits)`` for every vocabulary term within the allowance of a query term.
+
+    Swaps are spelt out on the query side, so one plain (and JVM-side) edit distance per candidate
+    decides; keys are compared by hash and a collision fails that test like any other candidate.
+    """
     terms = query_terms.select(F.col("term").alias("query_term")).distinct()
-    keys = terms.select("query_term", F.explode(_query_keys(F.col("query_term"))).alias("k"))
-    keys = keys.select("query_term", "k.kind", "k.key")
-    keys, _ = small_side(keys)
+    terms = terms.withColumn("allowed", allowed_edits(F.col("query_term")))
+    forms = terms.select("query_term", "allowed", F.explode(variants(F.col("query_term"), F.col("allowed"))).alias("v"))
+    forms = forms.select("query_term", "v.form", "v.cost", (F.col("allowed") - F.col("v.cost")).alias("budget"))
+    keys = forms.select("*", F.explode(_query_keys(F.col("form"), F.col("budget"))).alias("k"))
+    keys = keys.select("query_term", "form", "cost", "budget", F.xxhash64("k.key").alias("key")).distinct()
+    keys, _ = small_side(keys, KEY_ROWS)
 
     # Vocabulary terms of a length no query term can reach make no keys.
-    reach = terms.select(F.length("query_term").alias("n"), allowed_edits(F.col("query_term")).alias("k"))
+    reach = terms.select(F.length("query_term").alias("n"), F.col("allowed").alias("k"))
     reach = reach.select(F.explode(F.sequence(F.col("n") - F.col("k"), F.col("n") + F.col("k"))).alias("n")).distinct()
-    vocab = vocabulary.select("term").where(F.length("term") > 0)
+    # One shuffle brings equal terms together; its width is fixed, as few bytes make much work here.
+    width = int(vocabulary.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    vocab = vocabulary.select("term").where(F.length("term") > 0).repartition(width, "term").distinct()
     vocab = vocab.join(reach, F.length("term") == F.col("n"), "left_semi")
-    vocab = vocab.select("term", F.explode(_vocabulary_keys(F.col("term"))).alias("k"))
-    vocab = vocab.select("term", "k.kind", "k.key")
-
-    pairs = vocab.join(keys, ["kind", "key"]).select("query_term", "term").distinct()
     if prefix_length:
-        pairs = pairs.where(F.substring("query_term", 1, prefix_length) == F.substring("term", 1, prefix_length))
-    edits = F.when(F.col("query_term") == F.col("term"), 0).when(
-        F.length("query_term") > 5, damerau(F.col("query_term"), F.col("term"), 2)
-    ).otherwise(damerau(F.col("query_term"), F.col("term"), 1))
-    allowed = allowed_edits(F.col("query_term"))
-    return pairs.withColumn("edits", edits).where(F.col("edits") <= allowed)
+        keys = keys.withColumn("prefix", F.substring("query_term", 1, prefix_length))
+        vocab = vocab.withColumn("prefix", F.substring("term", 1, prefix_length))
+    extra = ["prefix"] if prefix_length else []
+    vocab = vocab.select("term", *extra, F.explode(_vocabulary_keys(F.col("term"))).alias("k"))
+    vocab = vocab.select("term", *extra, F.xxhash64("k.key").alias("key"), "k.dropped")
+
+    pairs = vocab.join(keys, ["key", *extra]).where(F.col("dropped") <= F.col("budget"))
+    plain = F.when(F.col("budget") == 2, F.levenshtein("form", "term", 2)).otherwise(F.levenshtein("form", "term", 1))
+    pairs = pairs.withColumn("plain", F.when(F.col("form") == F.col("term"), 0).otherwise(plain))
+    pairs = pairs.where(F.col("plain").between(0, F.col("budget")))
+    return pairs.groupBy("query_term", "term").agg(F.min(F.col("cost") + F.col("plain")).alias("edits"))
 
 
 def expand_terms(
@@ -86,14 +94,13 @@ def expand_terms(
     None keeps all.  ``similarity`` is 1 - edits / shorter length; ``df_used`` is the largest
     document frequency among the kept terms, so that a rare misspelling does not outscore the word.
     """
-    near = near_terms(query_terms, term_stats.select("term").distinct(), prefix_length)
-    near, _ = small_side(near)
-    found = term_stats.join(near, "term")
+    near = materialise(near_terms(query_terms, term_stats, prefix_length), "near")
+    found = term_stats.join(small_side(near)[0], "term")
     if max_expansions:
         found = top_n(found, ["field", "query_term"], [F.col("edits"), F.col("term")], max_expansions).drop("rank")
     shorter = F.least(F.length("query_term"), F.length("term"))
-    widest = found.groupBy("field", "query_term").agg(F.max("df").alias("df_used"))
-    return found.join(widest, ["field", "query_term"]).select(
+    widest = F.max("df").over(Window.partitionBy("field", "query_term"))
+    return found.withColumn("df_used", widest).select(
         "field",
         "query_term",
         "term",

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.functions.text import analyze
+from marquee.functions.text import stem_counts, words
 from marquee.schemas import FIELD_STATS_DDL, TERM_STATS_DDL, postings_ddl
 from marquee.session import scratch_path
 
@@ -44,34 +44,37 @@ def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def token_rows(docs: DataFrame, fields: list[str], option: str, key: str = "doc_id") -> DataFrame:
-    """``(doc_id, field, tokens)``: one analysed row per document and field; arrays are joined first.
-
-    Documents are hashed by key before analysis.  Their text is smaller than the postings made of
-    it, and later grouping by document then needs no shuffle of its own.
-    """
+def _field_texts(docs: DataFrame, fields: list[str], key: str) -> DataFrame:
+    """``(doc_id, field, text)``: one row per document and non-empty field; arrays are joined."""
     types = dict(docs.dtypes)
     text = lambda c: F.array_join(c, " ") if types[c].startswith("array") else F.col(c)
     stacked = F.array(*[F.struct(F.lit(f).alias("field"), text(f).alias("text")) for f in fields])
+    # Documents are hashed by key before the analysis: text is smaller than the postings made of
+    # it, the work spreads evenly, and grouping by document then needs no shuffle of its own.
     docs = docs.select(F.col(key).alias("doc_id"), *fields).repartition("doc_id")
-    rows = docs.select("doc_id", F.explode(stacked).alias("f"))
-    rows = rows.where(F.col("f.text") != "").select("doc_id", "f.field", "f.text")
-    return rows.select("doc_id", "field", analyze(F.col("text"), option).alias("tokens"))
+    rows = docs.select("doc_id", F.explode(stacked).alias("f")).select("doc_id", "f.field", "f.text")
+    return rows.where(F.col("text") != "")
 
 
-def build_postings(tokens: DataFrame) -> DataFrame:
-    """``(field, doc_id, dl, term, tf, head)`` from token rows.
+def build_postings(docs: DataFrame, fields: list[str], option: str = "english_stem", key: str = "doc_id") -> DataFrame:
+    """``(doc_id, field, dl, term, tf, head)``: one row per document, field and term.
 
-    The grouping key holds the document, so a common term spreads over all tasks and the hashing
-    of `token_rows` serves the aggregation.  ``head`` marks the one posting that holds a document's first
-    token, so documents can be counted from postings alone.
+    ``head`` marks the one posting that holds a document's first token, so documents can be counted
+    from postings alone.  No step gathers the rows of a term, however common it is.
     """
-    terms = tokens.select(
-        "doc_id", "field", F.size("tokens").alias("dl"), F.posexplode("tokens").alias("pos", "term")
-    )
-    return terms.groupBy("field", "doc_id", "dl", "term").agg(
+    texts = _field_texts(docs, fields, key)
+    if option == "english_stem":
+        counted = texts.select("doc_id", "field", stem_counts(words(F.col("text"), option)).alias("c"))
+        # The outer form keeps the planner from evaluating the counts twice for an emptiness test.
+        rows = counted.select("doc_id", "field", "c.dl", F.explode_outer("c.terms").alias("t"))
+        rows = rows.select("doc_id", "field", "dl", "t.term", "t.tf", "t.head")
+        return rows.where(F.col("term").isNotNull())
+    tokens = texts.select("doc_id", "field", words(F.col("text"), option).alias("tokens"))
+    rows = tokens.select("doc_id", "field", F.size("tokens").alias("dl"), F.posexplode_outer("tokens").alias("pos", "term"))
+    counted = rows.where(F.col("term").isNotNull()).groupBy("doc_id", "field", "dl", "term").agg(
         F.count("*").cast("int").alias("tf"), (F.min("pos") == 0).alias("head")
     )
+    return counted.select("doc_id", "field", "dl", "term", "tf", "head")
 
 
 def term_statistics(postings: DataFrame) -> DataFrame:
@@ -98,15 +101,14 @@ def write_index(
 
     Postings are partitioned on disk by field and term bucket, so a query reads only the buckets of
     its terms; ``rebalance`` lets adaptive execution split a bucket with a very common term over
-several files and join tiny ones.  Both statistics tables come from the written postings, so the
+several files and join tiny ones; rows are sorted by term inside a file.  Both statistics tables come from the written postings, so the
     text is analysed once.
     """
-    postings = build_postings(token_rows(docs, fields, option, key))
-    postings = postings.select(
+    postings = build_postings(docs, fields, option, key).select(
         "doc_id", "dl", "term", "tf", "head", "field", term_bucket(F.col("term"), buckets).alias("term_bucket")
     )
     index = TextIndex(docs.sparkSession, path, option, buckets, dict(postings.dtypes)["doc_id"])
-    laid_out = postings.hint("rebalance", "field", "term_bucket")
+    laid_out = postings.hint("rebalance", "field", "term_bucket").sortWithinPartitions("field", "term_bucket", "term")
     laid_out.write.mode("errorifexists").partitionBy("field", "term_bucket").parquet(f"{path}/postings")
     term_statistics(index.postings).write.mode("errorifexists").partitionBy("field").parquet(f"{path}/term_stats")
     field_statistics(index.postings).coalesce(1).write.mode("errorifexists").parquet(f"{path}/field_stats")

@@ -39,49 +39,46 @@ def query_clauses(
     boosts: dict[str, float],
     fuzzy: str | None = "AUTO",
     max_expansions: int | None = MAX_EXPANSIONS,
-) -> tuple[DataFrame, bool]:
-    """Scored index terms of each query, and whether they are few enough to broadcast.
+) -> DataFrame:
+    """Scored index terms of each query, as a small stored table.
 
     ``(query_id, field, term, term_bucket, weight, avgdl)``, where weight is query frequency x field
-    boost x fuzzy similarity x idf.
+    boost x fuzzy similarity x idf.  Stored, its size is known before the large join is planned and
+    it is not worked out twice.
     """
     terms = query_terms(queries, index.option)
     stats = index.term_stats.where(F.col("field").isin(*boosts))
     # At most one row per field.
     sizes = F.broadcast(index.field_stats.select("field", "n_docs", (F.col("sum_dl") / F.col("n_docs")).alias("avgdl")))
-    per_clause = len(boosts) * ((max_expansions or 0) if fuzzy else 1)
     if fuzzy:
         expanded = expand_terms(terms, stats, max_expansions)
         clauses = terms.withColumnRenamed("term", "query_term").join(expanded, "query_term")
         strength = F.col("qtf") * F.col("similarity")
     else:
-        few_terms, _ = small_side(terms)
-        clauses = stats.join(few_terms, "term").withColumn("df_used", F.col("df"))
+        clauses = stats.join(small_side(terms)[0], "term").withColumn("df_used", F.col("df"))
         strength = F.col("qtf")
     boost = F.element_at(F.create_map(*[F.lit(x) for kv in boosts.items() for x in kv]), F.col("field"))
     weight = strength * boost * bm25_idf(F.col("n_docs"), F.col("df_used"))
     clauses = clauses.join(sizes, "field").select(
         "query_id", "field", "term", term_bucket(F.col("term"), index.buckets).alias("term_bucket"),
         weight.alias("weight"), "avgdl",
-    ).where(F.col("weight") > 0)
-    if per_clause:
-        return clauses, fits(terms, BROADCAST_ROWS // per_clause)
-    clauses = materialise(clauses, "clauses")
-    return clauses, fits(clauses)
+    )
+    return materialise(clauses, "clauses").where(F.col("weight") > 0)
 
 
 def score_documents(
-    clauses: DataFrame, index: TextIndex, boosts: dict[str, float], broadcast: bool, k1: float = K1, b: float = B
+    clauses: DataFrame, index: TextIndex, boosts: dict[str, float], k1: float = K1, b: float = B,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``(query_id, doc_id, score)`` for every document that shares a term with a query.
 
-    Few clauses are broadcast and prune the postings' partitions; many are joined by shuffle, where
-    each term is cut into salts by document so that no task meets all postings of a common term.
+    Up to ``broadcast_rows`` clauses are broadcast and prune the postings' partitions; more are
+    joined by shuffle, where each term is cut into salts by document so that no task meets all postings of a common term.
     The per-field sums and their maximum come from one aggregation.
     """
     postings = index.postings.where(F.col("field").isin(*boosts)).drop("head")
     keys = ["field", "term_bucket", "term"]
-    if broadcast:
+    if fits(clauses, broadcast_rows):
         matched = postings.join(F.broadcast(clauses), keys)
     else:
         salted = clauses.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -137,8 +134,8 @@ def sparse_search(
     needs ``documents`` (``doc_id, origin_country``).
     """
     boosts = fields or FIELD_BOOSTS
-    clauses, small = query_clauses(queries, index, boosts, fuzzy, max_expansions)
-    scored = score_documents(clauses, index, boosts, small, k1, b)
+    clauses = query_clauses(queries, index, boosts, fuzzy, max_expansions)
+    scored = score_documents(clauses, index, boosts, k1, b)
     if "country" in queries.columns and documents is not None:
         scored = in_country(scored, queries, documents)
     hits = best_per_query(scored, queries, top_k)

@@ -8,7 +8,7 @@ from marquee.functions.edits import allowed_edits
 from marquee.functions.text import (
     analyze, ascii_fold, drop_possessive, drop_stop_words, raw_keyword, tokenize, truncate,
 )
-from marquee.operators.postings import build_index, build_postings, token_rows
+from marquee.operators.postings import build_index, build_postings
 from marquee.plans import check_sql as sql
 from marquee.plans.registry import query
 from marquee.plans.views import page_documents, table
@@ -87,8 +87,7 @@ def analyze_english_stem(spark, sf_dir):
     "SELECT doc_id, term, CAST(dl AS INTEGER) AS dl, CAST(count(*) AS INTEGER) AS tf FROM terms GROUP BY ALL",
 )
 def postings(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return build_postings(token_rows(docs, ["text"], "standard")).select("doc_id", "term", "dl", "tf")
+    return build_postings(table(spark, sf_dir, "documents"), ["text"], "standard").select("doc_id", "term", "dl", "tf")
 
 
 @query(
