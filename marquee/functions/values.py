@@ -32,42 +32,47 @@ def _kind(record: Column, path: str) -> Column:
     return F.schema_of_variant(get(record, path))
 
 
-def as_text(record: Column, path: str) -> Column:
-    """Stripped text of a JSON value; missing and null give ``''``, booleans print capitalised."""
-    text = get(record, path, "string")
+def as_text(record: Column, path: str, text: Column | None = None) -> Column:
+    """Stripped text of a JSON value; missing and null give ``''``, booleans print capitalised.
+
+    ``text`` is the value as a string where the caller has it already; the record is then only
+    consulted for the rare words that could be booleans.
+    """
+    text = get(record, path, "string") if text is None else text
     boolean = text.isin("true", "false") & (_kind(record, path) == "BOOLEAN")
     return F.coalesce(F.when(boolean, F.initcap(text)).otherwise(strip(text)), F.lit(""))
 
 
-def as_int(record: Column, path: str, as_type: str = "bigint") -> Column:
+def as_int(record: Column, path: str, as_type: str = "bigint", text: Column | None = None) -> Column:
     """Whole number of a JSON value.
 
     Numbers truncate, booleans are 0/1, text must be an optionally signed digit string; anything
     else, and values outside the type, give NULL.
     """
-    text = strip(get(record, path, "string"))
+    text = strip(get(record, path, "string") if text is None else text)
     return (
         F.when(text.rlike(_INTEGER), F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint"))
-        .when(_kind(record, path) != "STRING", get(record, path, "bigint"))
+        .when(text.isNotNull() & (_kind(record, path) != "STRING"), get(record, path, "bigint"))
         .try_cast(as_type)
     )
 
 
-def as_float(record: Column, path: str) -> Column:
+def as_float(record: Column, path: str, text: Column | None = None) -> Column:
     """Double of a JSON number, boolean or numeric text; anything else gives NULL."""
-    text = strip(get(record, path, "string"))
+    text = strip(get(record, path, "string") if text is None else text)
     return (
         F.when(text.rlike(_DECIMAL) | text.rlike(_SPECIAL), text.try_cast("double"))
-        .when(_kind(record, path) == "BOOLEAN", get(record, path, "double"))
+        .when(text.isin("true", "false") & (_kind(record, path) == "BOOLEAN"), get(record, path, "double"))
     )
 
 
-def truthy(record: Column, path: str) -> Column:
+def truthy(record: Column, path: str, text: Column | None = None) -> Column:
     """Truth of a JSON value: empty text, zero, empty containers, null and missing are false."""
-    text = get(record, path, "string")
+    text = get(record, path, "string") if text is None else text
     kind = _kind(record, path)
     return F.coalesce(
-        F.when(kind == "BOOLEAN", text == "true")
+        F.when(text.isNull(), False)
+        .when(kind == "BOOLEAN", text == "true")
         .when(kind == "STRING", text != "")
         .when(kind.startswith("ARRAY"), text != "[]")
         .when(kind.startswith("OBJECT"), text != "{}")
@@ -81,18 +86,30 @@ def as_list(record: Column, path: str) -> Column:
     return F.coalesce(get(record, path, "array<variant>"), F.array().cast("array<variant>"))
 
 
-def text_list(items: Column, key: str, head: int = 0, distinct: bool = True) -> Column:
+def _head(items: Column, n: int) -> Column:
+    return F.slice(items, 1, n) if n > 0 else items
+
+
+def text_list(record: Column, path: str, key: str, texts: Column, head: int = 0, distinct: bool = True) -> Column:
     """Non-blank texts under ``key`` of the objects in a list.
 
     The head cut comes first, then blanks and non-objects go, then repeats (first position stays).
+    ``texts`` holds the same values as plain strings (NULL for non-objects); only a list with a word
+    that could be a boolean is looked up element by element.
     """
-    rows = F.slice(items, 1, head) if head > 0 else items
-    texts = F.filter(F.transform(rows, lambda item: as_text(item, f"$.{key}")), lambda t: t != "")
-    return F.array_distinct(texts) if distinct else texts
-
-
-def int_list(items: Column, key: str) -> Column:
-    numbers = F.transform(items, lambda item: as_int(item, f"$.{key}", "int"))
+    plain = F.transform(_head(texts, head), strip)
+    exact = F.transform(_head(as_list(record, path), head), lambda item: as_text(item, f"$.{key}"))
+    values = F.when(F.exists(plain, lambda t: t.isin("true", "false")), exact).otherwise(plain)
+    kept = F.filter(F.coalesce(values, F.array().cast("array<string>")), lambda t: t.isNotNull() & (t != ""))
+    return F.array_distinct(kept) if distinct else kept
+
+
+def int_list(record: Column, path: str, key: str, texts: Column) -> Column:
+    """Whole numbers under ``key`` of the objects in a list, repeats kept."""
+    plain = F.transform(texts, lambda t: t.try_cast("int"))
+    exact = F.transform(as_list(record, path), lambda item: as_int(item, f"$.{key}", "int"))
+    odd = F.exists(texts, lambda t: ~t.rlike("^[0-9]+$"))
+    numbers = F.coalesce(F.when(odd, exact).otherwise(plain), F.array().cast("array<int>"))
     return F.filter(numbers, lambda n: n.isNotNull())
 
 

@@ -51,7 +51,9 @@ def _field_texts(docs: DataFrame, fields: list[str], key: str) -> DataFrame:
     stacked = F.array(*[F.struct(F.lit(f).alias("field"), text(f).alias("text")) for f in fields])
     # Documents are hashed by key before the analysis: text is smaller than the postings made of
     # it, the work spreads evenly, and grouping by document then needs no shuffle of its own.
-    docs = docs.select(F.col(key).alias("doc_id"), *fields).repartition("doc_id")
+    # The width is fixed because few bytes of text make much work.
+    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    docs = docs.select(F.col(key).alias("doc_id"), *fields).repartition(width, "doc_id")
     rows = docs.select("doc_id", F.explode(stacked).alias("f")).select("doc_id", "f.field", "f.text")
     return rows.where(F.col("text") != "")
 

@@ -9,7 +9,6 @@ from marquee.functions.text import strip, truncate
 from marquee.functions.values import (
     as_float,
     as_int,
-    as_list,
     as_text,
     combined_text,
     fallback_id,
@@ -28,6 +27,21 @@ from marquee.schemas import INDEX_FIELDS
 SHAPE_KEYS = ("release_date", "vote_average", "runtime", "genres", "cast")
 KEY_JOBS = ("Director", "Writer", "Screenplay", "Producer", "Executive Producer")
 CAST_HEAD = 20
+_TEXT_KEYS = (
+    "imdb_id", "title", "original_title", "overview", "tagline", "status", "original_language",
+    "poster_path", "backdrop_path", "homepage", "crawled_at",
+)
+_NUMBER_KEYS = (
+    "id", "review_count", "vote_average", "vote_count", "popularity", "runtime", "budget", "revenue", "adult",
+)
+_LISTS = {"genres": ("id", "name"), "cast": ("name", "character"), "crew": ("name", "job"), "reviews": ("author", "content")}
+_TEXTS = "struct<{}>".format(
+    ", ".join(
+        [f"`{k}`: string" for k in (*_TEXT_KEYS, "release_date", *_NUMBER_KEYS)]
+        + [f"`{k}`: array<struct<{', '.join(f'`{f}`: string' for f in fields)}>>" for k, fields in _LISTS.items()]
+        + ["origin_country: array<string>"]
+    )
+)
 REVIEW_HEAD = 10
 
 
@@ -58,49 +72,41 @@ def normalize(records: DataFrame, max_review_chars: int = 2000) -> DataFrame:
     Empty strings become NULL; empty arrays, zero and false stay.
     """
     rec = F.col("record")
-    text = lambda key: as_text(rec, f"$.{key}")
-    lists = records.where(is_movie_record(rec)).withColumns(
-        {
-            "_genres": as_list(rec, "$.genres"),
-            "_cast": as_list(rec, "$.cast"),
-            "_crew": as_list(rec, "$.crew"),
-            "_reviews": as_list(rec, "$.reviews"),
-        }
+    # One pass over the record: every value as text, lists as lists of texts.  A value of another
+    # shape is NULL here, and the coercions look at the record itself where text does not decide.
+    rows = records.where(is_movie_record(rec)).withColumn("_t", get(rec, "$", _TEXTS))
+    value = lambda key: F.col(f"_t.{key}")
+    text = lambda key: as_text(rec, f"$.{key}", value(key))
+    number = lambda key, kind: as_int(rec, f"$.{key}", kind, value(key)).alias(key)
+    decimal = lambda key: as_float(rec, f"$.{key}", value(key)).alias(key)
+    texts = lambda path, key, head=0, distinct=True: text_list(
+        rec, f"$.{path}", key, F.col(f"_t.{path}.{key}"), head, distinct
     )
-    genres, cast, crew, reviews = (F.col(c) for c in ("_genres", "_cast", "_crew", "_reviews"))
-    flat = lists.select(
+    flat = rows.select(
         "source_path",
         "pos",
-        as_int(rec, "$.id").alias("movie_id"),
-        *[
-            text(key).alias(key)
-            for key in (
-                "imdb_id", "title", "original_title", "overview", "tagline", "status", "original_language",
-                "poster_path", "backdrop_path", "homepage", "crawled_at",
-            )
-        ],
+        as_int(rec, "$.id", "bigint", value("id")).alias("movie_id"),
+        *[text(key).alias(key) for key in _TEXT_KEYS],
         text("release_date").alias("_date_text"),
-        text_list(genres, "name").alias("genres"),
-        int_list(genres, "id").alias("genre_ids"),
-        text_list(cast, "name", CAST_HEAD).alias("cast_names"),
-        text_list(cast, "character", CAST_HEAD).alias("cast_characters"),
-        text_list(crew, "name").alias("crew_names"),
-        text_list(crew, "job").alias("crew_jobs"),
-        text_list(reviews, "author", REVIEW_HEAD).alias("review_authors"),
+        texts("genres", "name").alias("genres"),
+        int_list(rec, "$.genres", "id", F.col("_t.genres.id")).alias("genre_ids"),
+        texts("cast", "name", CAST_HEAD).alias("cast_names"),
+        texts("cast", "character", CAST_HEAD).alias("cast_characters"),
+        texts("crew", "name").alias("crew_names"),
+        texts("crew", "job").alias("crew_jobs"),
+        texts("reviews", "author", REVIEW_HEAD).alias("review_authors"),
         F.transform(
-            text_list(reviews, "content", REVIEW_HEAD, distinct=False), lambda t: truncate(t, max_review_chars)
+            texts("reviews", "content", REVIEW_HEAD, False), lambda t: truncate(t, max_review_chars)
         ).alias("reviews_text"),
-        as_int(rec, "$.review_count", "int").alias("_review_count"),
-        as_float(rec, "$.vote_average").alias("vote_average"),
-        as_int(rec, "$.vote_count", "int").alias("vote_count"),
-        as_float(rec, "$.popularity").alias("popularity"),
-        as_int(rec, "$.runtime", "int").alias("runtime"),
-        as_int(rec, "$.budget").alias("budget"),
-        as_int(rec, "$.revenue").alias("revenue"),
-        truthy(rec, "$.adult").alias("adult"),
-        F.coalesce(get(rec, "$.origin_country", "array<string>"), F.array().cast("array<string>")).alias(
-            "origin_country"
-        ),
+        as_int(rec, "$.review_count", "int", value("review_count")).alias("_review_count"),
+        decimal("vote_average"),
+        number("vote_count", "int"),
+        decimal("popularity"),
+        number("runtime", "int"),
+        number("budget", "bigint"),
+        number("revenue", "bigint"),
+        truthy(rec, "$.adult", value("adult")).alias("adult"),
+        F.coalesce(value("origin_country"), F.array().cast("array<string>")).alias("origin_country"),
     )
     joined = lambda c: F.array_join(c, " ")
     done = flat.withColumns(
