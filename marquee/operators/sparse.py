@@ -90,7 +90,7 @@ def score_documents(
     totals = matched.groupBy("query_id", "doc_id").agg(*sums)
     best = [F.coalesce(F.col(f"_{i}"), F.lit(0.0)) for i in range(len(fields))]
     score = F.greatest(*best) if len(best) > 1 else best[0]
-    return totals.select("query_id", "doc_id", F.round(score, SCORE_DIGITS).alias("score"))
+    return totals.select("query_id", "doc_id", score.alias("score"))
 
 
 def in_country(scored: DataFrame, queries: DataFrame, documents: DataFrame, col: str = "origin_country") -> DataFrame:
@@ -109,7 +109,7 @@ def in_country(scored: DataFrame, queries: DataFrame, documents: DataFrame, col:
 
 def best_per_query(scored: DataFrame, queries: DataFrame, top_k: int = 10) -> DataFrame:
     """Ranked hits: score descending, then document key; k is the query's own where given, at most 100."""
-    order = [F.desc("score"), F.col("doc_id")]
+    order = [F.desc(F.round("score", SCORE_DIGITS)), F.col("doc_id")]
     if "top_k" not in queries.columns:
         return top_n(scored, ["query_id"], order, min(top_k, MAX_K))
     wanted = queries.select("query_id", F.least(F.coalesce("top_k", F.lit(top_k)), F.lit(MAX_K)).alias("k"))

@@ -555,7 +555,7 @@ def _movie_tables() -> str:
 
 @query(
     "movie_search_hits",
-    f"WITH {_VIEW}, {_movie_tables()}, {_SCORES}, best AS (SELECT query_id, doc_id, round(max(s * {_BOOST}), 6) AS score FROM scores GROUP BY query_id, doc_id), "
+    f"WITH {_VIEW}, {_movie_tables()}, {_SCORES}, best AS (SELECT query_id, doc_id, max(s * {_BOOST}) AS score FROM scores GROUP BY query_id, doc_id), "
     f"{_ranked('best')} SELECT query_id, rank, r.doc_id AS movie_id, title, '' AS overview, round(score, 4) AS score, genres, origin_country AS countries, "
     "0.0::DOUBLE AS rating, left(release_date, 4) AS release_year, imdb_id, '' AS poster_path, 'https://www.imdb.com/title/' || imdb_id || '/' AS imdb_url, "
     "'https://www.themoviedb.org/movie/' || r.doc_id AS page_url FROM ranked r JOIN movies m ON CAST(m.id AS VARCHAR) = r.doc_id WHERE rank <= 10",

@@ -53,12 +53,12 @@ _SCORES = (
 
 def _ranked(scored: str, k: str = str(K)) -> str:
     return (
-        f"ranked AS (SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM {scored})"
+        f"ranked AS (SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, doc_id) AS rank FROM {scored})"
     )
 
 
 _HITS = f"SELECT query_id, rank, doc_id, round(score, 4) AS score FROM ranked WHERE rank <= {K}"
-_ONE_FIELD = f"{_SCORES}, best AS (SELECT query_id, doc_id, round(s, 6) AS score FROM scores), {_ranked('best')}"
+_ONE_FIELD = f"{_SCORES}, best AS (SELECT query_id, doc_id, s AS score FROM scores), {_ranked('best')}"
 
 _PAGES = (
     r"SELECT page_id AS doc_id, 'title' AS field, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS text FROM pages UNION ALL "
@@ -78,7 +78,7 @@ def bm25_batch_topk(spark, sf_dir):
 
 @query(
     "bm25_topk",
-    f"WITH {_tables(sql.tokens)}, {_SCORES}, total AS (SELECT 0 AS query_id, doc_id, round(sum(s), 6) AS score FROM scores GROUP BY doc_id), "
+    f"WITH {_tables(sql.tokens)}, {_SCORES}, total AS (SELECT 0 AS query_id, doc_id, sum(s) AS score FROM scores GROUP BY doc_id), "
     f"{_ranked('total')} SELECT rank, doc_id, round(score, 4) AS score FROM ranked WHERE rank <= 20",
 )
 def bm25_topk(spark, sf_dir):
@@ -98,7 +98,7 @@ def bm25_stem_topk(spark, sf_dir):
 @query(
     "bm25_multifield_boosted",
     f"WITH {_tables(sql.tokens, _PAGES)}, {_SCORES}, best AS (SELECT query_id, doc_id, "
-    "round(max(s * CASE field WHEN 'title' THEN 3.0 ELSE 1.0 END), 6) AS score FROM scores GROUP BY query_id, doc_id), "
+    "max(s * CASE field WHEN 'title' THEN 3.0 ELSE 1.0 END) AS score FROM scores GROUP BY query_id, doc_id), "
     f"{_ranked('best')} {_HITS}",
 )
 def bm25_multifield_boosted(spark, sf_dir):
@@ -111,7 +111,7 @@ _LANGS = "('en', 'fr', 'de', 'es')"
 
 @query(
     "bm25_filtered",
-    f"WITH {_tables(sql.tokens)}, {_SCORES}, best AS (SELECT query_id, doc_id, round(s, 6) AS score FROM scores "
+    f"WITH {_tables(sql.tokens)}, {_SCORES}, best AS (SELECT query_id, doc_id, s AS score FROM scores "
     "JOIN documents USING (doc_id) WHERE lang = ['en', 'fr', 'de', 'es'][query_id % 4 + 1]), "
     f"{_ranked('best')} {_HITS}",
 )
@@ -175,7 +175,7 @@ def fuzzy_expand(spark, sf_dir):
     + sql.bm25("n", "df_used", "tf", "dl", "avgdl")
     + ") AS s FROM qt JOIN expanded e ON qt.term = e.q JOIN postings p ON p.field = e.field AND p.term = e.term "
     "JOIN sizes z ON z.field = e.field GROUP BY query_id, doc_id, e.field), "
-    "best AS (SELECT query_id, doc_id, round(max(s * CASE field WHEN 'title' THEN 3.0 ELSE 1.0 END), 6) AS score FROM scores GROUP BY query_id, doc_id), "
+    "best AS (SELECT query_id, doc_id, max(s * CASE field WHEN 'title' THEN 3.0 ELSE 1.0 END) AS score FROM scores GROUP BY query_id, doc_id), "
     f"{_ranked('best')} {_HITS}",
 )
 def bm25_fuzzy_multifield(spark, sf_dir):
