@@ -9,9 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.session import materialise
+
 # Largest k for which Spark plants the per-partition limit; above it, salted ranks do the same work.
 GROUP_LIMIT_MAX = 1000
 SALTS = 64
+# Largest overall limit that is taken as one top-n.
+TAKE_MAX = 100_000
 
 
 def dedup_first(df: DataFrame, keys: list[str], order_by: list[str | Column]) -> DataFrame:
@@ -43,6 +47,24 @@ def top_n(
     return add_rank(df, partition, order_by).where(F.col("rank") <= n)
 
 
-def limit_first(df: DataFrame, n: int, order_by: list[str | Column]) -> DataFrame:
-    """First ``n`` rows overall; 0 or less keeps all."""
-    return df.orderBy(*order_by).limit(n) if n > 0 else df
+def limit_first(df: DataFrame, n: int, order_by: list[str], take_max: int = TAKE_MAX) -> DataFrame:
+    """First ``n`` rows overall; 0 or less keeps all.
+
+    A small ``n`` is a top-n.  A large one is cut without bringing n rows to one task: rows are
+    range-partitioned and sorted, each partition numbers its own rows, and the partition sizes (one
+    row per partition) give the offset of each.
+    """
+    if n <= 0:
+        return df
+    if n <= take_max:
+        return df.orderBy(*order_by).limit(n)
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(width, *order_by).sortWithinPartitions(*order_by)
+    # The low 33 bits of this id are the row's place in its partition.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = materialise(ranged.withColumns({"_part": F.spark_partition_id(), "_place": place}), "ordered")
+    sizes = numbered.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")
+    offsets = F.broadcast(sizes.select("_part", before.alias("_before")))
+    kept = numbered.join(offsets, "_part").where(F.col("_before") + F.col("_place") < n)
+    return kept.select(*df.columns)

@@ -194,9 +194,3 @@ def catalogue_slice(
     if language is not None:
         movies = movies.where(F.col("original_language") == language)
     return movies
-
-
-def describe_index(documents: DataFrame, facet: str = "origin_country") -> dict:
-    """Schema facts: field names and whether the facet field exists."""
-    names = documents.schema.fieldNames()
-    return {"fields": names, f"has_{facet}": facet in names}

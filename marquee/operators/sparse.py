@@ -10,11 +10,13 @@ from marquee.operators.dedup import top_n
 from marquee.operators.fuzzy import MAX_EXPANSIONS, expand_terms
 from marquee.operators.postings import TextIndex, term_bucket
 from marquee.schemas import FIELD_BOOSTS
-from marquee.session import BROADCAST_ROWS, fits, materialise, small_side
+from marquee.session import fits, materialise, small_side
 
 K1, B = 1.2, 0.75
 MAX_K = 100
 SALTS = 16
+# Upper bound of broadcast clauses; about 100 bytes each.
+CLAUSE_ROWS = 1_000_000
 # Scores are compared at this many digits, so that summation order cannot split equal documents.
 SCORE_DIGITS = 6
 
@@ -68,7 +70,7 @@ def query_clauses(
 
 def score_documents(
     clauses: DataFrame, index: TextIndex, boosts: dict[str, float], k1: float = K1, b: float = B,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows: int = CLAUSE_ROWS,
 ) -> DataFrame:
     """``(query_id, doc_id, score)`` for every document that shares a term with a query.
 

@@ -10,12 +10,14 @@ from marquee.functions.values import (
 )
 from marquee.operators import discover as disco
 from marquee.operators.dedup import dedup_first, limit_first
-from marquee.operators.facets import band_histogram, facet_counts, matched_shapes, shape_counts, translate_codes
+from marquee.operators.facets import (
+    band_histogram, facet_counts, index_status, matched_shapes, shape_counts, translate_codes,
+)
 from marquee.operators.merge import gather_first, merge_entities, pending
 from marquee.operators.postings import build_index
-from marquee.operators.records import dense_metadata, is_movie_record, key_crew, normalize, to_sparse_json, write_rejects
+from marquee.operators.records import catalogue_slice, dense_metadata, is_movie_record, key_crew, normalize, to_sparse_json, write_rejects
 from marquee.operators.report import (
-    build_counters, crawl_stats, discovery_counters, fetch_counters, progress_checkpoints, stored_size, throughput,
+    build_counters, crawl_stats, discovery_counters, fetch_counters, progress_checkpoints, runtime_sweep, stored_size, throughput,
 )
 from marquee.operators.search import sparse_hits, with_links
 from marquee.operators.sparse import sparse_search
@@ -341,6 +343,17 @@ def facet_bins(spark, sf_dir):
     return band_histogram(facet_occurrences(spark, sf_dir))
 
 
+@query(
+    "index_status",
+    f"WITH {_FACET} SELECT 'l_orderkey|origin_country' AS fields, true AS has_facet, count(*) AS country_total, "
+    "(SELECT string_agg(country_code || '=' || count, '|') FROM (SELECT * FROM facet ORDER BY count DESC, country_code LIMIT 10)) AS country_sample FROM facet",
+)
+def status(spark, sf_dir):
+    row = index_status(_line_countries(spark, sf_dir))
+    sample = F.array_join(F.transform("country_sample", lambda b: F.concat_ws("=", b["country_code"], b["count"].cast("string"))), "|")
+    return row.select(F.array_join("fields", "|").alias("fields"), "has_facet", "country_total", sample.alias("country_sample"))
+
+
 _SHAPES = (
     "shapes AS (SELECT n_name AS a3, CASE WHEN n_nationkey % 3 = 0 THEN 'F' || n_nationkey END AS iso_a2, n_nationkey FROM nation), "
     "codes AS (SELECT n_name AS a3, CASE WHEN n_nationkey % 5 = 0 THEN '' ELSE 'N' || n_nationkey END AS a2 FROM nation WHERE n_nationkey % 2 = 0), "
@@ -431,6 +444,15 @@ def discover_counts(spark, sf_dir):
     return discovery_counters(disco.listed(views.catalogue(spark, sf_dir)))
 
 
+@query(
+    "catalogue_slice",
+    f"WITH {_CATALOGUE} SELECT id, vote_count, popularity FROM cat WHERE id IN (SELECT id FROM gen WHERE g = 28) AND vote_count BETWEEN 100 AND 1000 AND lang = 'en'",
+)
+def one_slice(spark, sf_dir):
+    rows = catalogue_slice(views.catalogue(spark, sf_dir), genre=28, votes=(100, 1000), language="en")
+    return rows.select("id", "vote_count", "popularity")
+
+
 @query(
     "slice_plan",
     f"WITH {_CATALOGUE}, n AS (SELECT slice, CAST(least(ceil(count(*) / 20.0), 500) AS INTEGER) AS pages FROM slices GROUP BY slice) "
@@ -535,6 +557,25 @@ def checkpoints(spark, sf_dir):
     return progress_checkpoints(log, "event_type", ["ts", "event_id"], "started", "ts", every=500)
 
 
+@query(
+    "runtime_sweep",
+    "WITH n AS (SELECT count(*) AS n FROM documents), p AS (SELECT n * k // 4 AS max_docs FROM n, (VALUES (1), (2), (4)) t(k)) "
+    "SELECT max_docs, max_docs AS prepared_docs, max_docs AS indexed_docs, CAST(0 AS BIGINT) AS failed_docs FROM p",
+)
+def sweep(spark, sf_dir):
+    """The same index build at a quarter, half and all of the documents (times left out of the result)."""
+    docs = table(spark, sf_dir, "documents")
+    total = docs.count()
+
+    def build(limit: int) -> dict:
+        stored = materialise(limit_first(docs, limit, ["doc_id"]), "sweep")
+        build_index(stored, ["text"], "standard")
+        kept = stored.count()
+        return {"prepared": kept, "indexed": kept}
+
+    return runtime_sweep(spark, build, [total // 4, total // 2, total]).drop("duration_sec", "docs_per_sec")
+
+
 # -- end to end ---------------------------------------------------------------------------------------
 
 _MOVIE_FIELDS = " UNION ALL ".join(

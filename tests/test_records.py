@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee.functions.values import as_float, as_int, as_text, passage, truthy
-from marquee.operators.dedup import dedup_first, top_n
+from marquee.operators.dedup import dedup_first, limit_first, top_n
 from marquee.operators.merge import merge_entities, pending
 from marquee.operators.records import INDEX_FIELDS, is_api_error, normalize
 from marquee.operators.report import build_counters, run_report
@@ -96,6 +96,14 @@ def test_top_n_beyond_the_planner_limit(spark):
     assert len(got) == 10_000 and set(zip(got.g, got.id)) == set(zip(want.g, want.id))
 
 
+def test_large_limit_equals_top_n(spark):
+    rows = spark.range(5000).select(F.xxhash64("id").alias("v"), "id").repartition(7)
+    want = {r.id for r in limit_first(rows, 1234, ["v", "id"]).collect()}
+    got = limit_first(rows, 1234, ["v", "id"], take_max=10)
+    assert {r.id for r in got.collect()} == want and got.columns == ["v", "id"]
+    assert limit_first(rows, 0, ["v"]).count() == limit_first(rows, 9000, ["v"], take_max=10).count() == 5000
+
+
 def test_dedup_is_idempotent(spark):
     rows = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
     once = dedup_first(rows, ["k"], ["id"])

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 from marquee.functions.values import count_band
 from marquee.operators.dense import dense_search, embed, knn, mean_pool
 from marquee.operators.discover import discover, page_plan, slice_plan
-from marquee.operators.facets import facet_counts, facet_with_source, translate_codes
+from marquee.operators.facets import facet_counts, facet_with_source, index_status, translate_codes
 from marquee.operators.postings import build_index
-from marquee.operators.records import describe_index, find_by_id, normalize
+from marquee.operators.records import find_by_id, normalize
 from marquee.operators.search import compare_rankings, dense_hits, scoped_queries, search, sparse_hits, validate_requests
 from marquee.operators.sparse import best_per_query, query_clauses, score_documents, sparse_search
 from marquee.plans.dense_queries import hashed_words
@@ -88,7 +88,7 @@ def test_hit_defaults(spark):
     row = sparse_hits(hits, docs).first()
     assert (row.release_year, row.rating, row.genres, row.cast, row.imdb_id, len(row.overview)) == ("1999", 0.0, [], [], "", 300)
     assert find_by_id(docs, 3).count() == 1 and find_by_id(docs, "4").count() == 0
-    assert describe_index(docs)["has_origin_country"] is True
+    assert index_status(docs).first().has_facet is True and index_status(docs.drop("origin_country")).first().has_facet is False
     meta = spark.createDataFrame([(3, None, None, None, None, None, None, None)], "id int, imdb_id string, title string, overview string, genres array<string>, release_date string, vote_average double, origin_country array<string>")
     dense = dense_hits(hits.withColumn("movie_id", F.lit(3)), meta).first()
     assert (dense.title, dense.release_year, dense.countries) == ("Unknown", "", [])
