@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Terms up to this length are matched by deletion keys, longer ones by segments.
@@ -19,15 +19,6 @@ def _positions(term: Column, last: Column) -> Column:
     return F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
 
 
-def _drop_one(term: Column) -> Column:
-    """All strings one deletion away."""
-    n = F.length(term)
-    return F.transform(
-        _positions(term, n),
-        lambda i: F.concat(F.substring(term, F.lit(1), i - 1), F.substring(term, i + 1, n)),
-    )
-
-
 def swaps(term: Column) -> Column:
     """All strings one adjacent swap away."""
     n = F.length(term)
@@ -71,19 +62,23 @@ def variants(term: Column, edits: Column) -> Column:
     )
 
 
-def deletion_keys(term: Column, edits: int) -> Column:
-    """The term with up to ``edits`` characters left out, as (key, dropped) structs.
+def deletions(rows: DataFrame, term: str, drops: Column) -> DataFrame:
+    """Each row once per way to leave out up to ``drops`` (at most 2) characters: adds ``key, dropped``.
 
-    Two terms within that many plain edits share a key.
+    Two terms within that many plain edits share a key.  Positions are exploded rather than handled
+    inside array functions, so the string work is compiled.
     """
-    at = lambda keys, n: F.transform(F.array_distinct(keys), lambda k: F.struct(k.alias("key"), F.lit(n).alias("dropped")))
-    keys = at(F.array(term), 0)
-    if edits >= 1:
-        once = _drop_one(term)
-        keys = F.concat(keys, at(once, 1))
-    if edits == 2:
-        keys = F.concat(keys, at(F.flatten(F.transform(F.array_distinct(once), _drop_one)), 2))
-    return keys
+    text, n = F.col(term), F.length(term)
+    i, j = F.col("_i"), F.col("_j")
+    rows = rows.withColumn("_d", drops)
+    rows = rows.withColumn("_i", F.explode(F.sequence(F.lit(0), F.when(F.col("_d") > 0, n).otherwise(0))))
+    rows = rows.withColumn("_j", F.explode(F.sequence(i, F.when((F.col("_d") > 1) & (i > 0), n).otherwise(i))))
+    part = lambda start, size: F.substring(text, start, size)
+    one = F.concat(part(F.lit(1), i - 1), part(i + 1, n))
+    two = F.concat(part(F.lit(1), i - 1), part(i + 1, j - i - 1), part(j + 1, n))
+    key = F.when(i == 0, text).when(i == j, one).otherwise(two)
+    dropped = F.when(i == 0, 0).when(i == j, 1).otherwise(2)
+    return rows.withColumns({"key": F.xxhash64(key), "dropped": dropped}).drop("_d", "_i", "_j")
 
 
 def segments(term: Column, parts: int) -> Column:

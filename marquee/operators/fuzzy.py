@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.functions.edits import DELETION_MAX, allowed_edits, deletion_keys, segment_probes, segments, variants
+from marquee.functions.edits import DELETION_MAX, allowed_edits, deletions, segment_probes, segments, variants
 from marquee.operators.dedup import top_n
 from marquee.session import materialise, small_side
 
@@ -18,33 +18,26 @@ MAX_EXPANSIONS = 50
 # Upper bound of broadcast query keys; about 100 bytes each.
 KEY_ROWS = 1_000_000
 _PARTS = 3
-_NO_KEYS = "array<struct<key:string,dropped:int>>"
 
 
-def _piece_rows(pieces: Column) -> Column:
-    return F.transform(pieces, lambda p: F.struct(p.alias("key"), F.lit(0).alias("dropped")))
+def _piece_rows(rows: DataFrame, pieces: Column) -> DataFrame:
+    keyed = rows.withColumn("key", F.explode(pieces))
+    return keyed.withColumns({"key": F.xxhash64("key"), "dropped": F.lit(0)})
 
 
-def _query_keys(term: Column, budget: Column) -> Column:
-    """Keys of a query form that may still take ``budget`` plain edits."""
-    return (
-        F.when(budget == 0, deletion_keys(term, 0))
-        .when(F.length(term) > DELETION_MAX, _piece_rows(segments(term, _PARTS)))
-        .when(budget == 1, deletion_keys(term, 1))
-        .otherwise(deletion_keys(term, 2))
-    )
+def _query_keys(forms: DataFrame) -> DataFrame:
+    """Keys of query forms that may still take ``budget`` plain edits."""
+    long = (F.length("form") > DELETION_MAX) & (F.col("budget") > 0)
+    short = deletions(forms.where(~long), "form", F.col("budget"))
+    return short.unionByName(_piece_rows(forms.where(long), segments(F.col("form"), _PARTS)))
 
 
-def _vocabulary_keys(term: Column) -> Column:
+def _vocabulary_keys(terms: DataFrame) -> DataFrame:
     """Keys under which any query form within its budget would be found."""
-    n = F.length(term)
-    pick = lambda when, keys: F.when(when, keys).otherwise(F.array().cast(_NO_KEYS))
-    return F.concat(
-        pick((n < 2) | (n > DELETION_MAX + 2), deletion_keys(term, 0)),
-        pick(n.between(2, 3), deletion_keys(term, 1)),
-        pick(n.between(4, DELETION_MAX + 2), deletion_keys(term, 2)),
-        pick(n >= DELETION_MAX - 1, _piece_rows(segment_probes(term, _PARTS))),
-    )
+    n = F.length("term")
+    drops = F.when((n < 2) | (n > DELETION_MAX + 2), 0).when(n <= 3, 1).otherwise(2)
+    pieces = _piece_rows(terms.where(n >= DELETION_MAX - 1), segment_probes(F.col("term"), _PARTS))
+    return deletions(terms, "term", drops).unionByName(pieces)
 
 
 def near_terms(query_terms: DataFrame, vocabulary: DataFrame, prefix_length: int = 0) -> DataFrame:
@@ -57,8 +50,7 @@ def near_terms(query_terms: DataFrame, vocabulary: DataFrame, prefix_length: int
     terms = terms.withColumn("allowed", allowed_edits(F.col("query_term")))
     forms = terms.select("query_term", "allowed", F.explode(variants(F.col("query_term"), F.col("allowed"))).alias("v"))
     forms = forms.select("query_term", "v.form", "v.cost", (F.col("allowed") - F.col("v.cost")).alias("budget"))
-    keys = forms.select("*", F.explode(_query_keys(F.col("form"), F.col("budget"))).alias("k"))
-    keys = keys.select("query_term", "form", "cost", "budget", F.xxhash64("k.key").alias("key")).distinct()
+    keys = _query_keys(forms).drop("dropped").distinct()
     keys, _ = small_side(keys, KEY_ROWS)
 
     # Vocabulary terms of a length no query term can reach make no keys.
@@ -71,11 +63,7 @@ def near_terms(query_terms: DataFrame, vocabulary: DataFrame, prefix_length: int
     if prefix_length:
         keys = keys.withColumn("prefix", F.substring("query_term", 1, prefix_length))
         vocab = vocab.withColumn("prefix", F.substring("term", 1, prefix_length))
-    extra = ["prefix"] if prefix_length else []
-    vocab = vocab.select("term", *extra, F.explode(_vocabulary_keys(F.col("term"))).alias("k"))
-    vocab = vocab.select("term", *extra, F.xxhash64("k.key").alias("key"), "k.dropped")
-
-    pairs = vocab.join(keys, ["key", *extra]).where(F.col("dropped") <= F.col("budget"))
+    pairs = _vocabulary_keys(vocab).join(keys, ["key", "prefix"] if prefix_length else ["key"]).where(F.col("dropped") <= F.col("budget"))
     plain = F.when(F.col("budget") == 2, F.levenshtein("form", "term", 2)).otherwise(F.levenshtein("form", "term", 1))
     pairs = pairs.withColumn("plain", F.when(F.col("form") == F.col("term"), 0).otherwise(plain))
     pairs = pairs.where(F.col("plain").between(0, F.col("budget")))

@@ -53,6 +53,7 @@ def query_clauses(
     # At most one row per field.
     sizes = F.broadcast(index.field_stats.select("field", "n_docs", (F.col("sum_dl") / F.col("n_docs")).alias("avgdl")))
     if fuzzy:
+        terms = materialise(terms, "query-terms")
         expanded = expand_terms(terms, stats, max_expansions)
         clauses = terms.withColumnRenamed("term", "query_term").join(expanded, "query_term")
         strength = F.col("qtf") * F.col("similarity")
