@@ -84,11 +84,14 @@ def expand_terms(
     """
     near = materialise(near_terms(query_terms, term_stats, prefix_length), "near")
     found = term_stats.join(small_side(near)[0], "term")
+    group = ["field", "query_term"]
     if max_expansions:
-        found = top_n(found, ["field", "query_term"], [F.col("edits"), F.col("term")], max_expansions).drop("rank")
+        found = top_n(found, group, [F.col("edits"), F.col("term")], max_expansions).drop("rank")
+        found = found.withColumn("df_used", F.max("df").over(Window.partitionBy(*group)))
+    else:
+        found = found.join(found.groupBy(*group).agg(F.max("df").alias("df_used")), group)
     shorter = F.least(F.length("query_term"), F.length("term"))
-    widest = F.max("df").over(Window.partitionBy("field", "query_term"))
-    return found.withColumn("df_used", widest).select(
+    return found.select(
         "field",
         "query_term",
         "term",

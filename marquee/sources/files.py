@@ -6,8 +6,9 @@ All readers return ``(source_path string, pos bigint, body string)`` or, after `
 
 from __future__ import annotations
 
-import io
+import contextlib
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,8 +18,11 @@ from pyspark.sql import functions as F
 from marquee.functions.text import strip
 
 _JSON_GLOB, _JSONL_GLOB = "*.[jJ][sS][oO][nN]", "*.[jJ][sS][oO][nN][lL]"
-_MEMBER_LIST_DDL = "archive string, member string, compressed_size bigint"
-_MEMBER_BODY_DDL = "archive string, member string, content binary"
+_MEMBER_LIST_DDL = "archive string, member string, header_offset bigint"
+_MEMBER_BODY_DDL = "member string, chunk bigint, content binary"
+# A task hands on member bodies in frames of about this many bytes, and long JSONL members in
+# chunks of as much, cut between lines.
+_FRAME_BYTES = 8 << 20
 
 
 def wanted_name(path: Column, subpath: str | None = None, include_jsonl: bool = False) -> Column:
@@ -70,20 +74,42 @@ def _list_members(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         for uri in frame["archive"]:
             with _open(uri) as handle, zipfile.ZipFile(handle) as archive:
-                rows = [(uri, m.filename, m.compress_size) for m in archive.infolist() if not m.is_dir()]
-            yield pd.DataFrame(rows, columns=["archive", "member", "compressed_size"])
+                rows = [(uri, m.filename, m.header_offset) for m in archive.infolist() if not m.is_dir()]
+            yield pd.DataFrame(rows, columns=["archive", "member", "header_offset"])
+
+
+def _chunks(archive: zipfile.ZipFile, member: str) -> Iterator[tuple[int, bytes | None]]:
+    """Numbered pieces of a member: one for JSON, several between lines for a long JSONL file."""
+    try:
+        if not member.lower().endswith(".jsonl"):
+            yield 0, archive.read(member)
+            return
+        with archive.open(member) as lines:
+            for number, piece in enumerate(iter(lambda: lines.readlines(_FRAME_BYTES), [])):
+                yield number, b"".join(piece)
+    except (zipfile.BadZipFile, zlib.error, NotImplementedError, RuntimeError, OSError, EOFError):
+        yield 0, None
 
 
 def _read_members(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for uri, group in frame.groupby("archive", sort=False):
-            with _open(uri) as handle, zipfile.ZipFile(handle) as archive:
-                for member in group["member"]:
-                    try:
-                        content = archive.read(member)
-                    except (zipfile.BadZipFile, NotImplementedError, RuntimeError, OSError, EOFError):
-                        content = None
-                    yield pd.DataFrame([(uri, member, content)], columns=["archive", "member", "content"])
+    columns = ["member", "chunk", "content"]
+    with contextlib.ExitStack() as opened:
+        archives: dict[str, zipfile.ZipFile] = {}
+        rows, size = [], 0
+        for frame in frames:
+            for uri, member in zip(frame["archive"], frame["member"]):
+                if uri not in archives:
+                    # Members come sorted by archive: only one is open at a time.
+                    opened.close()
+                    archives = {uri: opened.enter_context(zipfile.ZipFile(opened.enter_context(_open(uri))))}
+                for chunk, content in _chunks(archives[uri], member):
+                    rows.append((member, chunk, content))
+                    size += len(content or b"")
+                    if size >= _FRAME_BYTES or len(rows) >= 10_000:
+                        yield pd.DataFrame(rows, columns=columns)
+                        rows, size = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
 
 
 def read_archives(
@@ -96,8 +122,8 @@ def read_archives(
     """Members of ZIP archives, one row each.
 
     Only the central directory is read per archive; the member list is then spread over
-    ``parallelism`` tasks, each of which seeks to its own members, so one huge archive is read in
-    parallel and never held whole.
+    ``parallelism`` tasks, each of which seeks to its own members in file order, so one huge archive
+    is read in parallel and never held whole.  Rows are ``(source_path, chunk, body)``.
     """
     archives = (
         spark.read.format("binaryFile")
@@ -109,18 +135,30 @@ def read_archives(
     members = archives.mapInPandas(_list_members, _MEMBER_LIST_DDL)
     members = members.where(wanted_name(F.col("member"), subpath, include_jsonl))
     width = parallelism or spark.sparkContext.defaultParallelism
-    spread = members.repartition(width, "archive", "member").select("archive", "member")
-    bodies = spread.mapInPandas(_read_members, _MEMBER_BODY_DDL)
-    return bodies.select(F.col("member").alias("source_path"), _text(F.col("content")).alias("body"))
+    spread = members.repartition(width, "archive", "member").sortWithinPartitions("archive", "header_offset")
+    bodies = spread.select("archive", "member").mapInPandas(_read_members, _MEMBER_BODY_DDL)
+    return bodies.select(F.col("member").alias("source_path"), "chunk", _text(F.col("content")).alias("body"))
 
 
 def split_lines(files: DataFrame) -> DataFrame:
-    """JSONL bodies to non-blank stripped lines with their line number; JSON bodies stay whole."""
+    """JSONL bodies to non-blank stripped lines with their line number; JSON bodies stay whole.
+
+    A body that could not be read stays as one NULL row, which counts as a parse error.
+    """
     is_lines = F.lower(F.col("source_path")).endswith(".jsonl")
-    pieces = F.when(is_lines, F.split(F.col("body"), r"\r\n|\n|\r")).otherwise(F.array("body"))
-    rows = files.select("source_path", is_lines.alias("is_lines"), F.posexplode(pieces).alias("line", "body"))
-    rows = rows.withColumn("body", F.when(F.col("is_lines"), strip(F.col("body"))).otherwise(F.col("body")))
-    return rows.where(~F.col("is_lines") | (F.col("body") != ""))
+    chunk = F.col("chunk") if "chunk" in files.columns else F.lit(0)
+    pieces = F.when(is_lines & F.col("body").isNotNull(), F.split(F.col("body"), r"\r\n|\n|\r")).otherwise(F.array("body"))
+    rows = files.select(
+        "source_path", is_lines.alias("is_lines"), chunk.cast("bigint").alias("chunk"), F.posexplode(pieces).alias("line", "body")
+    )
+    rows = rows.withColumns(
+        {
+            "body": F.when(F.col("is_lines"), strip(F.col("body"))).otherwise(F.col("body")),
+            # Lines of a later chunk come after all lines of an earlier one.
+            "line": F.col("chunk") * (1 << 32) + F.col("line"),
+        }
+    )
+    return rows.where(~F.col("is_lines") | F.col("body").isNull() | (F.col("body") != "")).drop("chunk")
 
 
 def decode_json(rows: DataFrame) -> DataFrame:

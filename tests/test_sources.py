@@ -63,6 +63,26 @@ def test_zip_equals_tree(spark, tree, tmp_path):
     assert ids(files.read_records(spark, str(path))) == [1, 1, 2, 5, 9, 1001]
 
 
+def test_damaged_member_is_one_error_and_long_lines_are_chunked(spark, tmp_path, monkeypatch):
+    path = tmp_path / "a.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for i in range(3):
+            archive.writestr(f"{i}.json", json.dumps({**MOVIE, "id": i + 1, "overview": "x" * 500}))
+        archive.writestr("rows.jsonl", "\n".join(json.dumps({**MOVIE, "id": 100 + i}) for i in range(200)))
+    raw = bytearray(path.read_bytes())
+    at = raw.find(b"1.json") + len("1.json") + 5
+    raw[at : at + 20] = b"\0" * 20
+    path.write_bytes(bytes(raw))
+    records = files.read_records(spark, str(path), include_jsonl=True)
+    assert ids(records) == [1, 3, *range(100, 300)] and files.parse_errors(records).count() == 1
+    monkeypatch.setattr(files, "_FRAME_BYTES", 1000)
+    chunked = files.read_archives(spark, str(path), include_jsonl=True).where("source_path like '%jsonl'")
+    assert chunked.count() > 5
+    lines = files.decode_json(files.split_lines(chunked))
+    order = [r.id for r in lines.orderBy("pos").select(F.expr("try_variant_get(record, '$.id', 'bigint')").alias("id")).collect()]
+    assert order == list(range(100, 300))
+
+
 def test_single_files_and_bad_source(spark, tree):
     root = tree / "data" / "movies"
     assert ids(files.read_records(spark, str(root / "list.JSON"))) == [1, 5]
