@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.text import strip, truncate
+from marquee.functions.text import truncate
 from marquee.functions.values import (
     as_float,
     as_int,

@@ -106,9 +106,6 @@ def bm25_multifield_boosted(spark, sf_dir):
     return sparse_search(benchmark_queries(spark, sf_dir), index, fields=_PAGE_BOOSTS, fuzzy=None, top_k=K)
 
 
-_LANGS = "('en', 'fr', 'de', 'es')"
-
-
 @query(
     "bm25_filtered",
     f"WITH {_tables(sql.tokens)}, {_SCORES}, best AS (SELECT query_id, doc_id, s AS score FROM scores "

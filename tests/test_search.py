@@ -71,7 +71,7 @@ def test_router_hits_and_comparison(spark, docs, index):
     queries = asked(spark, (1, "space station drama", 3, None), (2, "  ", 3, None), (3, "x", 0, None))
     valid, errors = validate_requests(queries)
     assert valid.count() == 1 and {r.error for r in errors.collect()} == {"Query cannot be empty.", "top_k must be at least 1."}
-    sparse = search(queries, "elasticsearch", index=index, documents=docs, fields=BOOSTS)
+    sparse = search(queries, "sparse", index=index, documents=docs, fields=BOOSTS)
     dense = search(queries, "bert", vectors=vectors, encode=encode)
     assert ids(sparse)[0] == "01" and dense.orderBy("rank").first().movie_id == 1
     named = dense.select("query_id", "rank", F.format_string("%02d", "movie_id").alias("doc_id"), "score")
