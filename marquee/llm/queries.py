@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import rule_ledger
+from marquee.llm import linked_secrets, rule_ledger
 from marquee.llm.registry import CHECK_SQL, QUERIES, query, table  # noqa: F401
 
 OP3_SQL = r"""
@@ -49,3 +49,8 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept"
     )
+
+
+@query("op9_secrets")
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_secrets.digest(linked_secrets.scan(table(spark, sf_dir, "documents")))
