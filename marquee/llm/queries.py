@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import linked_secrets, rule_ledger
+from marquee.llm import bpe_tree, langid_ftrl, linked_secrets, rule_ledger
 from marquee.llm.registry import CHECK_SQL, QUERIES, query, table  # noqa: F401
 
 OP3_SQL = r"""
@@ -54,3 +55,18 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_secrets")
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_secrets.digest(linked_secrets.scan(table(spark, sf_dir, "documents")))
+
+
+@query("op4_byte_bpe")
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = bpe_tree.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe_tree.digests(docs, ranks, public_tokenizers.PATTERN).drop("text")
+
+
+@query("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid_ftrl.fit(docs.where(~langid_ftrl.held_out()))
+    found = langid_ftrl.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", langid_ftrl.held_out().alias("held_out"), "lang_pred", "score")
