@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe_tree, langid_ftrl, linked_secrets, rule_ledger
+from marquee.llm import bpe_tree, langid_ftrl, linked_secrets, quality_knn, rule_ledger
 from marquee.llm.registry import CHECK_SQL, QUERIES, query, table  # noqa: F401
 
 OP3_SQL = r"""
@@ -70,3 +70,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid_ftrl.fit(docs.where(~langid_ftrl.held_out()))
     found = langid_ftrl.predict(docs.select("doc_id", "text"), model)
     return found.select("doc_id", langid_ftrl.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op1_quality")
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~quality_knn.held_out())
+    scored = quality_knn.score(docs, quality_knn.fit(docs, labels))
+    predicted = (F.col("score") >= quality_knn.KEEP_SCORE).cast("int").alias("predicted")
+    return scored.select("doc_id", quality_knn.held_out().alias("held_out"), "score", predicted)
