@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe_tree, langid_ftrl, linked_secrets, quality_knn, rule_ledger
+from marquee.llm import bpe_tree, budget_mix, langid_ftrl, linked_secrets, quality_knn, rule_ledger
 from marquee.llm.registry import CHECK_SQL, QUERIES, query, table  # noqa: F401
 
 OP3_SQL = r"""
@@ -79,3 +79,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_knn.score(docs, quality_knn.fit(docs, labels))
     predicted = (F.col("score") >= quality_knn.KEEP_SCORE).cast("int").alias("predicted")
     return scored.select("doc_id", quality_knn.held_out().alias("held_out"), "score", predicted)
+
+
+@query("op6_mix_sources")
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = budget_mix.mix(table(spark, sf_dir, "documents"))
+    taken = (F.col("size") * F.col("times")).cast("long").alias("taken")
+    return rows.select(F.col("_carry.doc_id").alias("doc_id"), "size", "source_size", "target", taken)
