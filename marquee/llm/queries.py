@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe_tree, budget_mix, langid_ftrl, linked_secrets, quality_knn, rule_ledger
+from marquee.llm import bpe_tree, budget_mix, chat_collapse, langid_ftrl, linked_secrets, quality_knn, rule_ledger
 from marquee.llm.registry import CHECK_SQL, QUERIES, query, table  # noqa: F401
 
 OP3_SQL = r"""
@@ -86,3 +86,30 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = budget_mix.mix(table(spark, sf_dir, "documents"))
     taken = (F.col("size") * F.col("times")).cast("long").alias("taken")
     return rows.select(F.col("_carry.doc_id").alias("doc_id"), "size", "source_size", "target", taken)
+
+
+OP7_SQL = r"""
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, count(*) AS n,
+    list({'r': role, 't': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS turns FROM t GROUP BY conv_id
+), u AS (
+  SELECT min(conv_id) AS conv_id, n, turns, count(*) AS n_copies FROM c GROUP BY n, turns
+), kept AS (
+  SELECT * FROM u WHERE NOT EXISTS (
+    SELECT 1 FROM c WHERE c.n > u.n AND c.turns[1].t IS NOT DISTINCT FROM u.turns[1].t AND c.turns[1:u.n] = u.turns)
+), parts AS (
+  SELECT *, unnest(range(0, (n - 1) // 1024 + 1)) AS part FROM kept
+)
+SELECT conv_id, part, n AS n_turns, n_copies,
+  sha256(list_aggregate(list_transform(turns[part * 1024 + 1:part * 1024 + 1024],
+    lambda x: '<|im_start|>' || coalesce(x.r, 'user') || chr(10) || coalesce(x.t, '') || '<|im_end|>' || chr(10)), 'string_agg', '')) AS chat_sha256
+FROM parts
+"""
+
+
+@query("op7_chat_format", OP7_SQL)
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = chat_collapse.format_chats(table(spark, sf_dir, "conversations"))
+    return chats.select("conv_id", "part", "n_turns", "n_copies", F.sha2("chat", 256).alias("chat_sha256"))
