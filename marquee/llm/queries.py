@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe_tree, budget_mix, chat_collapse, langid_ftrl, linked_secrets, quality_knn, rule_ledger
+from marquee.llm import bpe_tree, budget_mix, chat_collapse, langid_ftrl, linked_secrets, minhash_bbit, quality_knn, rule_ledger
 from marquee.llm.registry import CHECK_SQL, QUERIES, query, table  # noqa: F401
 
 OP3_SQL = r"""
@@ -113,3 +113,38 @@ FROM parts
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = chat_collapse.format_chats(table(spark, sf_dir, "conversations"))
     return chats.select("conv_id", "part", "n_turns", "n_copies", F.sha2("chat", 256).alias("chat_sha256"))
+
+
+OP2_SQL = r"""
+WITH t AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), listed AS (
+  SELECT doc_id, len(words) AS n, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM t
+), grams AS (
+  SELECT doc_id, n, i, word || coalesce(' ' || lead(word, 1) OVER o, '') || coalesce(' ' || lead(word, 2) OVER o, '') AS gram
+  FROM listed WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+), sets AS (
+  SELECT DISTINCT doc_id, gram FROM grams WHERE i <= greatest(1, n - 2)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM sets a JOIN sets b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)
+), edges AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  WITH RECURSIVE r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN edges e ON e.a = r.b)
+  SELECT a, min(b) AS component_id FROM r GROUP BY a
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id, d.doc_id = r.component_id AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach r ON r.a = d.doc_id
+"""
+
+
+@query("op2_minhash_dedup", OP2_SQL)
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = minhash_bbit.Near(words=3, percent=85)
+    return minhash_bbit.find(table(spark, sf_dir, "documents"), near).select("doc_id", "n_shingles", "component_id", "kept")
