@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe_tree, budget_mix, chat_collapse, langid_ftrl, linked_secrets, minhash_bbit, quality_knn, rule_ledger
+from marquee.llm import bpe_tree, budget_mix, chat_collapse, hnsw_dedup, langid_ftrl, linked_secrets, minhash_bbit, quality_knn, rule_ledger
 from marquee.llm.registry import CHECK_SQL, QUERIES, query, table  # noqa: F401
 
 OP3_SQL = r"""
@@ -148,3 +148,28 @@ FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach r ON r.a =
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = minhash_bbit.Near(words=3, percent=85)
     return minhash_bbit.find(table(spark, sf_dir, "documents"), near).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+OP5_SQL = r"""
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e, label,
+    label IS NOT NULL AND embedding IS NOT NULL AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), false)
+      AND coalesce(list_bool_or(list_transform(embedding, lambda x: x <> 0)), false) AS usable
+  FROM embeddings
+), edges AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND a.usable AND b.usable
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), n AS (
+  SELECT a, count(*) AS n_links FROM edges GROUP BY a
+), reach AS (
+  WITH RECURSIVE r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, e.b FROM r JOIN edges e ON e.a = r.b)
+  SELECT a, min(b) AS component_id FROM r GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN reach ON reach.a = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
+
+@query("op5_embedding_dedup", OP5_SQL)
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw_dedup.find(table(spark, sf_dir, "embeddings"))
