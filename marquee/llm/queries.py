@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe_tree, budget_mix, chat_collapse, hnsw_dedup, langid_ftrl, linked_secrets, minhash_bbit, quality_knn, rule_ledger
+from marquee.llm import bootstrapped_pii, bpe_tree, budget_mix, chat_collapse, hnsw_dedup, langid_ftrl, linked_secrets, minhash_bbit, quality_knn, rule_ledger
 from marquee.llm.registry import CHECK_SQL, QUERIES, query, table  # noqa: F401
 
 OP3_SQL = r"""
@@ -173,3 +173,8 @@ FROM v JOIN reach ON reach.a = vec_id LEFT JOIN n ON n.a = vec_id
 @query("op5_embedding_dedup", OP5_SQL)
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw_dedup.find(table(spark, sf_dir, "embeddings"))
+
+
+@query("op10_personal_data")
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bootstrapped_pii.digest(bootstrapped_pii.scan(table(spark, sf_dir, "documents")))
