@@ -162,15 +162,24 @@ def _per_text(docs: DataFrame, text: str, ranks: bytes, pattern: str, fields: li
     return docs.mapInArrow(run, schema)
 
 
-def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", name: str = "token_ids") -> DataFrame:
+def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", name: str = "token_ids", checked: bool = False) -> DataFrame:
     """``docs`` and the ids of each whole text as ``array<int>``.
 
     A null or empty text has no ids.  Rows are independent, so repeated rows repeat; no shuffle.
-    ``name`` must not be a column of ``docs`` (ValueError).
+    ``checked`` decodes the ids again and adds ``decoded_sha256`` of the bytes.  New columns must not exist
+    in ``docs`` (ValueError).
     """
-    _free(docs, [name])
-    field = T.StructField(name, T.ArrayType(T.IntegerType(), False), False)
-    return _per_text(docs, text, ranks, pattern, [field], lambda codec, value: (np.asarray(codec.encode(value), np.int32),))
+    fields = [T.StructField(name, T.ArrayType(T.IntegerType(), False), False)]
+    if checked:
+        fields.append(T.StructField("decoded_sha256", T.StringType(), False))
+    _free(docs, [f.name for f in fields])
+
+    def make(codec: TreeCodec, value: str) -> tuple:
+        ids = codec.encode(value)
+        row = (np.asarray(ids, np.int32),)
+        return (*row, hashlib.sha256(codec.decode(ids)).hexdigest()) if checked else row
+
+    return _per_text(docs, text, ranks, pattern, fields, make)
 
 
 def decode(tokens: DataFrame, ranks: bytes, ids: str = "token_ids", name: str = "text") -> DataFrame:
