@@ -11,55 +11,47 @@ from pyspark.sql import functions as F
 
 from marquee.session import materialise
 
-# Largest k for which Spark plants the per-partition limit; above it, salted ranks do the same work.
-GROUP_LIMIT_MAX = 1000
-SALTS = 64
-# Largest overall limit that is taken as one top-n.
-TAKE_MAX = 100_000
-
 
 def dedup_first(df: DataFrame, keys: list[str], order_by: list[str | Column]) -> DataFrame:
     """One row per key: the first in ``order_by``."""
     return top_n(df, keys, order_by, 1).drop("rank")
 
 
-def dedup_any(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key when the rows of a key are alike."""
-    return df.dropDuplicates(keys)
-
-
 def add_rank(df: DataFrame, partition: list[str], order_by: list[str | Column], name: str = "rank") -> DataFrame:
     window = Window.partitionBy(*partition).orderBy(*order_by)
     return df.withColumn(name, F.row_number().over(window))
 
 
-def top_n(
-    df: DataFrame, partition: list[str], order_by: list[str | Column], n: int, salt_on: list[str] | None = None
-) -> DataFrame:
-    """First ``n`` rows of each group with their rank from 1; exact for any ``n``.
+def top_n(df: DataFrame, partition: list[str], order_by: list[str | Column], n: int) -> DataFrame:
+    """First ``n`` rows of each group with their rank from 1; exact for any ``n``."""
+    return add_rank(df, partition, order_by).where(F.col("rank") <= n)
 
-    Beyond the planner's own limit the group is first ranked inside salts (hash of ``salt_on``),
-    which run in parallel, and only the survivors (at most salts x n per group) are ranked together.
+
+def top_per_query(df: DataFrame, queries: DataFrame, order_by: list[str | Column], top_k: int, factor: int = 1) -> DataFrame:
+    """First ``factor`` x k rows of each query, where k is its ``top_k`` if it has one, else the argument.
+
+    The largest k asked for (one number) bounds what each task hands on; the queries' own follow.
     """
-    if n > GROUP_LIMIT_MAX:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*(salt_on or df.columns)), F.lit(SALTS)))
-        df = add_rank(salted, [*partition, "_salt"], order_by, "_r").where(F.col("_r") <= n).drop("_salt", "_r")
-    return add_rank(df, partition, order_by).where(F.col("rank") <= n)
+    if "top_k" not in queries.columns:
+        return top_n(df, ["query_id"], order_by, factor * top_k)
+    wanted = queries.select("query_id", F.coalesce("top_k", F.lit(top_k)).alias("_k"))
+    most = wanted.agg(F.max("_k")).first()[0] or 0
+    ranked = top_n(df, ["query_id"], order_by, factor * most).join(wanted, "query_id")
+    return ranked.where(F.col("rank") <= factor * F.col("_k")).drop("_k")
 
 
-def limit_first(df: DataFrame, n: int, order_by: list[str], take_max: int = TAKE_MAX) -> DataFrame:
+def limit_first(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
     """First ``n`` rows overall; 0 or less keeps all.
 
-    A small ``n`` is a top-n.  A large one is cut without bringing n rows to one task: rows are
-    range-partitioned and sorted, each partition numbers its own rows, and the partition sizes (one
-    row per partition) give the offset of each.
+    No task meets the n rows: they are range-partitioned and sorted, each partition numbers its own, and
+    the partition sizes (one row per partition) give the offset of each.  Rows that tie in ``order_by``
+    are ordered by a hash of all columns, so the same rows are kept whatever the partitions.
     """
     if n <= 0:
         return df
-    if n <= take_max:
-        return df.orderBy(*order_by).limit(n)
+    order = [*order_by, "_tie"]
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(width, *order_by).sortWithinPartitions(*order_by)
+    ranged = df.withColumn("_tie", F.xxhash64(*df.columns)).repartitionByRange(width, *order).sortWithinPartitions(*order)
     # The low 33 bits of this id are the row's place in its partition.
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     numbered = materialise(ranged.withColumns({"_part": F.spark_partition_id(), "_place": place}), "ordered")

@@ -11,12 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.functions.values import similarity
-from marquee.operators.dedup import dedup_first, top_n
-from marquee.session import fits
+from marquee.operators.dedup import dedup_first, top_n, top_per_query
 
-MAX_K = 100
 ENCODE_BATCH = 64
-# Queries sent to every task at once, and rows of a block when there are more than that.
+# Bytes of queries sent to every task at once, and rows of a block when there are more than that.
+QUERY_BYTES = 16 << 20
 QUERY_BLOCK = 2048
 VECTOR_BLOCK = 65_536
 _QUERY_SLICE = 256
@@ -76,8 +75,11 @@ def _matrix(column) -> np.ndarray:
 
 
 def _keys(column) -> np.ndarray:
-    """Sortable ids: numbers as they are, anything else as text."""
-    values = _flat(column).to_numpy(zero_copy_only=False)
+    """Sortable ids: numbers as they are, anything else as text; a null number is the smallest."""
+    flat = _flat(column)
+    if flat.null_count and pa.types.is_integer(flat.type):
+        flat = flat.fill_null(-(2 ** (flat.type.bit_width - 1)))
+    values = flat.to_numpy(zero_copy_only=False)
     return values.astype(str) if values.dtype == object else values
 
 
@@ -212,12 +214,18 @@ def _blocks(queries: DataFrame, vectors: DataFrame, k: int, ddl: str, query_bloc
 
 
 def _compare(queries: DataFrame, vectors: DataFrame, k: int, query_block: int, vector_block: int) -> DataFrame:
-    """Candidates ``(query_id, vec_id, distance[, group])`` that contain the k nearest of each query."""
+    """Candidates ``(query_id, vec_id, distance[, group])`` that contain the k nearest of each query.
+
+    Rows without a vector (or an id of one) are compared with nothing.
+    """
     types = dict(queries.dtypes) | dict(vectors.dtypes)
     ddl = f"query_id {types['query_id']}, vec_id {types['vec_id']}, distance double"
     if "group" in types:
         ddl += f", group {types['group']}"
-    if fits(queries, query_block):
+    queries, vectors = queries.where("embedding IS NOT NULL"), vectors.where("embedding IS NOT NULL AND vec_id IS NOT NULL")
+    rows, width = queries.agg(F.count("*"), F.max(F.size("embedding"))).first()
+    query_block = max(1, min(query_block, QUERY_BYTES // (8 * (width or 1))))
+    if rows <= query_block:
         return _scan(queries, vectors, k, ddl)
     return _blocks(queries, vectors, k, ddl, query_block, vector_block)
 
@@ -254,29 +262,32 @@ def dense_search(
     """Top hits ``(query_id, rank, movie_id, distance, score)`` of vector queries.
 
     ``vectors`` has ``vec_id, embedding``, the movie key and the country array; ``query_vectors``
-    has ``query_id, embedding`` and may have ``country``.  As in the contract of the search, 5k
-    neighbours are fetched for a query with a country and 2k without, then cut to the first per
-    movie, filtered and cut to k, so fewer than k may return.  ``prefilter=True`` filters before
+    has ``query_id, embedding`` and may have ``country`` (empty is none) and its own ``top_k``.  As in the
+    contract of the search, 5k neighbours are fetched for a query with a country and 2k without, then cut
+    to the first per movie, filtered and cut to k, so fewer than k may return.  ``prefilter=True`` filters before
     the comparison instead and always fills k when it can.
     """
-    k = min(top_k, MAX_K)
     meta = [c for c in (movie_key, country_col) if c in vectors.columns]
     has_country = "country" in query_vectors.columns
+    own_k = F.coalesce("top_k", F.lit(top_k)) if "top_k" in query_vectors.columns else F.lit(top_k)
+    asked = query_vectors.withColumn("top_k", own_k)
+    if has_country:
+        asked = asked.withColumn("country", F.nullif("country", F.lit("")))
+    k = asked.agg(F.max("top_k")).first()[0] or 0
     if prefilter and has_country:
-        return _prefiltered(query_vectors, vectors, k, movie_key, country_col)
-    near = knn(query_vectors, vectors, 5 * k if has_country else 2 * k)
+        return _prefiltered(asked, vectors, k, movie_key, country_col)
+    near = knn(asked, vectors, 5 * k if has_country else 2 * k)
     hits = attach_metadata(near, vectors.select("vec_id", *meta))
-    if has_country:
-        hits = hits.join(query_vectors.select("query_id", "country"), "query_id")
-        hits = hits.where(F.col("country").isNotNull() | (F.col("rank") <= 2 * k))
+    fetched = F.when(F.col("country").isNotNull(), 5).otherwise(2) if has_country else F.lit(2)
+    hits = hits.join(asked.drop("embedding"), "query_id").where(F.col("rank") <= fetched * F.col("top_k")).drop("top_k")
     first = dedup_first(hits.withColumnRenamed("rank", "near"), ["query_id", movie_key], ["near"])
     if has_country:
         first = first.where(F.col("country").isNull() | F.array_contains(country_col, F.col("country")))
-    return _cut(first, k, movie_key)
+    return _cut(first, asked, movie_key)
 
 
-def _cut(hits: DataFrame, k: int, movie_key: str) -> DataFrame:
-    ranked = top_n(hits, ["query_id"], [F.col("distance"), F.col("vec_id")], k)
+def _cut(hits: DataFrame, asked: DataFrame, movie_key: str) -> DataFrame:
+    ranked = top_per_query(hits, asked.select("query_id", "top_k"), [F.col("distance"), F.col("vec_id")], 0)
     return ranked.select("query_id", "rank", movie_key, "distance", similarity(F.col("distance")).alias("score"))
 
 
@@ -287,4 +298,4 @@ def _prefiltered(query_vectors: DataFrame, vectors: DataFrame, k: int, movie_key
     )
     near = _compare(query_vectors.select("query_id", "embedding", "country"), pool, k, QUERY_BLOCK, VECTOR_BLOCK)
     near = near.withColumnRenamed("group", movie_key)
-    return _cut(dedup_first(near, ["query_id", movie_key], ["distance", "vec_id"]), k, movie_key)
+    return _cut(dedup_first(near, ["query_id", movie_key], ["distance", "vec_id"]), query_vectors, movie_key)

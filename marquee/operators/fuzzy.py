@@ -12,11 +12,8 @@ from pyspark.sql import functions as F
 
 from marquee.functions.edits import DELETION_MAX, allowed_edits, deletions, segment_probes, segments, variants
 from marquee.operators.dedup import top_n
-from marquee.session import materialise, small_side
+from marquee.session import materialise
 
-MAX_EXPANSIONS = 50
-# Upper bound of broadcast query keys; about 100 bytes each.
-KEY_ROWS = 1_000_000
 _PARTS = 3
 
 
@@ -50,8 +47,8 @@ def near_terms(query_terms: DataFrame, vocabulary: DataFrame, prefix_length: int
     terms = terms.withColumn("allowed", allowed_edits(F.col("query_term")))
     forms = terms.select("query_term", "allowed", F.explode(variants(F.col("query_term"), F.col("allowed"))).alias("v"))
     forms = forms.select("query_term", "v.form", "v.cost", (F.col("allowed") - F.col("v.cost")).alias("budget"))
-    keys = _query_keys(forms).drop("dropped").distinct()
-    keys, _ = small_side(keys, KEY_ROWS)
+    # Stored, so that the planner knows its size when it joins.
+    keys = materialise(_query_keys(forms).drop("dropped").distinct(), "query-keys")
 
     # Vocabulary terms of a length no query term can reach make no keys.
     reach = terms.select(F.length("query_term").alias("n"), F.col("allowed").alias("k"))
@@ -73,17 +70,17 @@ def near_terms(query_terms: DataFrame, vocabulary: DataFrame, prefix_length: int
 def expand_terms(
     query_terms: DataFrame,
     term_stats: DataFrame,
-    max_expansions: int | None = MAX_EXPANSIONS,
+    max_expansions: int | None = None,
     prefix_length: int = 0,
 ) -> DataFrame:
     """``(field, query_term, term, df, edits, similarity, df_used)`` per field of ``term_stats``.
 
-    Of each query term and field the nearest ``max_expansions`` terms are kept (order: edits, term);
-    None keeps all.  ``similarity`` is 1 - edits / shorter length; ``df_used`` is the largest
+    All near terms are kept, or of each query term and field the nearest ``max_expansions`` (order: edits,
+    term).  ``similarity`` is 1 - edits / shorter length; ``df_used`` is the largest
     document frequency among the kept terms, so that a rare misspelling does not outscore the word.
     """
     near = materialise(near_terms(query_terms, term_stats, prefix_length), "near")
-    found = term_stats.join(small_side(near)[0], "term")
+    found = term_stats.join(near, "term")
     group = ["field", "query_term"]
     if max_expansions:
         found = top_n(found, group, [F.col("edits"), F.col("term")], max_expansions).drop("rank")

@@ -136,7 +136,9 @@ def to_sparse_json(documents: DataFrame) -> DataFrame:
 def write_rejects(documents: DataFrame) -> DataFrame:
     """Documents whose date fields an index with typed dates would refuse, with the reason."""
     date, stamp = F.col("release_date"), F.col("crawled_at")
-    bad_date = date.isNotNull() & F.try_to_timestamp(date).isNull()
+    # Written out in full: a loose reading would also take "2020-1-1" or a bare time.
+    shaped = date.rlike(r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?$")
+    bad_date = date.isNotNull() & ~(shaped & F.try_to_timestamp(date).isNotNull())
     bad_stamp = stamp.isNotNull() & F.try_to_timestamp(stamp).isNull()
     reason = F.when(bad_date, F.lit("release_date")).when(bad_stamp, F.lit("crawled_at"))
     return documents.withColumn("reject_reason", reason)

@@ -6,17 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.text import analyze
-from marquee.operators.dedup import top_n
-from marquee.operators.fuzzy import MAX_EXPANSIONS, expand_terms
+from marquee.operators.dedup import top_per_query
+from marquee.operators.fuzzy import expand_terms
 from marquee.operators.postings import TextIndex, term_bucket
 from marquee.schemas import FIELD_BOOSTS
-from marquee.session import fits, materialise, small_side
+from marquee.session import materialise
 
 K1, B = 1.2, 0.75
-MAX_K = 100
-SALTS = 16
-# Upper bound of broadcast clauses; about 100 bytes each.
-CLAUSE_ROWS = 1_000_000
 # Scores are compared at this many digits, so that summation order cannot split equal documents.
 SCORE_DIGITS = 6
 
@@ -40,7 +36,7 @@ def query_clauses(
     index: TextIndex,
     boosts: dict[str, float],
     fuzzy: str | None = "AUTO",
-    max_expansions: int | None = MAX_EXPANSIONS,
+    max_expansions: int | None = None,
 ) -> DataFrame:
     """Scored index terms of each query, as a small stored table.
 
@@ -58,7 +54,7 @@ def query_clauses(
         clauses = terms.withColumnRenamed("term", "query_term").join(expanded, "query_term")
         strength = F.col("qtf") * F.col("similarity")
     else:
-        clauses = stats.join(small_side(terms)[0], "term").withColumn("df_used", F.col("df"))
+        clauses = stats.join(materialise(terms, "query-terms"), "term").withColumn("df_used", F.col("df"))
         strength = F.col("qtf")
     boost = F.element_at(F.create_map(*[F.lit(x) for kv in boosts.items() for x in kv]), F.col("field"))
     weight = strength * boost * bm25_idf(F.col("n_docs"), F.col("df_used"))
@@ -69,24 +65,16 @@ def query_clauses(
     return materialise(clauses, "clauses").where(F.col("weight") > 0)
 
 
-def score_documents(
-    clauses: DataFrame, index: TextIndex, boosts: dict[str, float], k1: float = K1, b: float = B,
-    broadcast_rows: int = CLAUSE_ROWS,
-) -> DataFrame:
+def score_documents(clauses: DataFrame, index: TextIndex, boosts: dict[str, float], k1: float = K1, b: float = B) -> DataFrame:
     """``(query_id, doc_id, score)`` for every document that shares a term with a query.
 
-    Up to ``broadcast_rows`` clauses are broadcast and prune the postings' partitions; more are
-    joined by shuffle, where each term is cut into salts by document so that no task meets all postings of a common term.
+    The clauses are a stored table: the planner knows its bytes, broadcasts it where they fit (it then
+    prunes the postings' partitions) and else joins by shuffle, splitting the postings of a common term.
     The per-field sums and their maximum come from one aggregation.
     """
     postings = index.postings.where(F.col("field").isin(*boosts)).drop("head")
     keys = ["field", "term_bucket", "term"]
-    if fits(clauses, broadcast_rows):
-        matched = postings.join(F.broadcast(clauses), keys)
-    else:
-        salted = clauses.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        postings = postings.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-        matched = postings.join(salted, [*keys, "salt"])
+    matched = postings.join(clauses, keys)
     part = F.col("weight") * bm25_tf(F.col("tf"), F.col("dl"), F.col("avgdl"), k1, b)
     fields = list(boosts)
     sums = [F.sum(F.when(F.col("field") == f, part)).alias(f"_{i}") for i, f in enumerate(fields)]
@@ -99,11 +87,13 @@ def score_documents(
 def in_country(scored: DataFrame, queries: DataFrame, documents: DataFrame, col: str = "origin_country") -> DataFrame:
     """Keep scored documents that carry the country asked for; queries without one keep all.
 
-    Runs before ranking.  The document side is its (key, code) pairs only, and both keys take part
-    in the join, so a country with very many documents is spread by document.
+    Runs before ranking; an empty code asks for none.  The document side is its (key, code) pairs of the
+    codes asked for, and both keys take part in the join, so a country with very many documents is spread
+    by document.
     """
-    codes = documents.select("doc_id", F.explode(F.array_distinct(col)).alias("country"))
-    asked, _ = small_side(queries.select("query_id", "country"))
+    asked = queries.select("query_id", F.nullif("country", F.lit("")).alias("country"))
+    wanted = asked.where("country IS NOT NULL").select("country").distinct()
+    codes = documents.select("doc_id", F.explode(F.array_distinct(col)).alias("country")).join(wanted, "country", "left_semi")
     tagged = scored.join(asked, "query_id")
     free = tagged.where(F.col("country").isNull())
     bound = tagged.where(F.col("country").isNotNull()).join(codes, ["doc_id", "country"], "left_semi")
@@ -111,13 +101,9 @@ def in_country(scored: DataFrame, queries: DataFrame, documents: DataFrame, col:
 
 
 def best_per_query(scored: DataFrame, queries: DataFrame, top_k: int = 10) -> DataFrame:
-    """Ranked hits: score descending, then document key; k is the query's own where given, at most 100."""
+    """Ranked hits: score descending, then document key; k is the query's own where given."""
     order = [F.desc(F.round("score", SCORE_DIGITS)), F.col("doc_id")]
-    if "top_k" not in queries.columns:
-        return top_n(scored, ["query_id"], order, min(top_k, MAX_K))
-    wanted = queries.select("query_id", F.least(F.coalesce("top_k", F.lit(top_k)), F.lit(MAX_K)).alias("k"))
-    ranked = top_n(scored, ["query_id"], order, MAX_K).join(wanted, "query_id")
-    return ranked.where(F.col("rank") <= F.col("k")).drop("k")
+    return top_per_query(scored, queries, order, top_k)
 
 
 def sparse_search(
@@ -127,7 +113,7 @@ def sparse_search(
     fields: dict[str, float] | None = None,
     fuzzy: str | None = "AUTO",
     top_k: int = 10,
-    max_expansions: int | None = MAX_EXPANSIONS,
+    max_expansions: int | None = None,
     k1: float = K1,
     b: float = B,
 ) -> DataFrame:
@@ -139,7 +125,9 @@ def sparse_search(
     boosts = fields or FIELD_BOOSTS
     clauses = query_clauses(queries, index, boosts, fuzzy, max_expansions)
     scored = score_documents(clauses, index, boosts, k1, b)
-    if "country" in queries.columns and documents is not None:
+    if "country" in queries.columns:
+        if documents is None:
+            raise ValueError("a country filter needs the documents")
         scored = in_country(scored, queries, documents)
     hits = best_per_query(scored, queries, top_k)
     return hits.select("query_id", "rank", "doc_id", F.round("score", 4).alias("score"))

@@ -313,7 +313,7 @@ def _line_countries(spark, sf_dir):
     return lines.groupBy("l_orderkey").agg(F.collect_set("n_name").alias("origin_country"))
 
 
-@query("facet_docs", f"WITH {_FACET} SELECT * FROM facet ORDER BY count DESC, country_code LIMIT 300")
+@query("facet_docs", f"WITH {_FACET} SELECT * FROM facet")
 def facet_docs(spark, sf_dir):
     return facet_counts(_line_countries(spark, sf_dir))
 
@@ -679,3 +679,19 @@ def bucket_sizes(spark, sf_dir):
 )
 def bands(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", count_band(F.floor("o_totalprice") % 20000).alias("band"))
+
+
+@query(
+    "rewrite_bucket",
+    "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority ELSE o_orderstatus END AS title "
+    "FROM orders WHERE o_orderkey <> 0 AND o_orderkey % 4 <> 1 OR o_orderkey <> 0 AND o_orderkey % 3 = 0",
+)
+def rewrite_bucket(spark, sf_dir):
+    """Two overlapping runs of the record store: the second replaces its ids and leaves all others."""
+    path = scratch_path(spark, "store")
+    orders = table(spark, sf_dir, "orders")
+    first = orders.where("o_orderkey % 4 <> 1").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("title"))
+    second = orders.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("title"))
+    sinks.write_movies(first, path)
+    sinks.write_movies(second, path)
+    return spark.read.schema("id bigint, title string").json(path).select("id", "title")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.values import similarity
 from marquee.operators.dense import dense_search, embed, knn, mean_pool
+from marquee.operators.search import search
 from marquee.plans import check_sql as sql
 from marquee.plans.registry import query
 from marquee.plans.views import table
@@ -169,3 +170,18 @@ def hashed_embed_search(spark, sf_dir):
     stored = embed(docs, "text", hashed_words).select("vec_id", "embedding")
     asked = embed(table(spark, sf_dir, "benchmark"), "text", hashed_words).select(F.col("item_id").alias("query_id"), "embedding")
     return knn(asked, stored, K).withColumnRenamed("vec_id", "doc_id")
+
+
+@query(
+    "router_dense_topk",
+    f"WITH {_DISTANCES}, r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM d) "
+    "SELECT query_id, rank, vec_id, round(1 / (1 + distance), 4) AS score FROM r WHERE rank <= least(query_id % 40 + 1, 30)",
+)
+def router_dense_topk(spark, sf_dir):
+    """The router hands each request's own k to the vectors."""
+    vectors = _vectors(spark, sf_dir)
+    own = F.least(F.col("vec_id") % 40 + 1, F.lit(30)).cast("int")
+    requests = vectors.select(F.col("vec_id").alias("query_id"), F.concat(F.lit("vector "), "vec_id").alias("query"), own.alias("top_k"))
+    encode = lambda valid: valid.join(vectors.withColumnRenamed("vec_id", "query_id"), "query_id")
+    hits = search(requests, "dense", vectors=vectors.withColumn("movie_id", F.col("vec_id")), encode=encode)
+    return hits.select("query_id", "rank", F.col("movie_id").alias("vec_id"), "score")

@@ -134,7 +134,7 @@ _EXPANDED = (
     "ranked_terms AS (SELECT field, q, term, df, edits, row_number() OVER (PARTITION BY field, q ORDER BY edits, term) AS r "
     "FROM near JOIN dfs USING (term)), "
     "expanded AS MATERIALIZED (SELECT field, q, term, df, edits, 1.0::DOUBLE - edits / least(length(q), length(term))::DOUBLE AS similarity, "
-    "max(df) OVER (PARTITION BY field, q) AS df_used FROM ranked_terms WHERE r <= 50)"
+    "max(df) OVER (PARTITION BY field, q) AS df_used FROM ranked_terms)"
 )
 
 
@@ -271,3 +271,30 @@ def country_scoped(spark, sf_dir):
     return asked.select("query_id").join(counts, "query_id", "left").select(
         "query_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("hits")
     )
+
+
+@query(
+    "search_k_over_100",
+    f"WITH {_tables(sql.tokens)}, {_ONE_FIELD} SELECT query_id, rank, doc_id, round(score, 4) AS score FROM ranked "
+    "WHERE rank <= CASE WHEN query_id % 2 = 0 THEN 150 ELSE 3 END",
+)
+def search_k_over_100(spark, sf_dir):
+    """The operator itself has no largest k (a request has), and every query has its own."""
+    index = build_index(table(spark, sf_dir, "documents"), ["text"], "standard")
+    own = F.when(F.col("query_id") % 2 == 0, 150).otherwise(3)
+    return sparse_search(benchmark_queries(spark, sf_dir).withColumn("top_k", own), index, fields={"text": 1.0}, fuzzy=None)
+
+
+@query(
+    "empty_country",
+    f"WITH {_tables(sql.tokens)}, {_SCORES}, best AS (SELECT query_id, doc_id, s AS score FROM scores "
+    "JOIN documents USING (doc_id) WHERE query_id % 2 = 0 OR lang = 'fr'), "
+    f"{_ranked('best')} {_HITS}",
+)
+def empty_country(spark, sf_dir):
+    """An empty country is no filter."""
+    docs = table(spark, sf_dir, "documents")
+    index = build_index(docs, ["text"], "standard")
+    asked = benchmark_queries(spark, sf_dir).withColumn("country", F.when(F.col("query_id") % 2 == 0, "").otherwise("fr"))
+    tagged = docs.select("doc_id", F.array("lang").alias("origin_country"))
+    return sparse_search(asked, index, tagged, fields={"text": 1.0}, fuzzy=None, top_k=K)

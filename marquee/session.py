@@ -1,15 +1,14 @@
-"""Session settings, bounded broadcasts and shared-storage materialisation."""
+"""Session settings and shared-storage materialisation."""
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Row bound under which a side may be broadcast.  Callers that exceed it take a shuffle join instead.
-BROADCAST_ROWS = 200_000
 
 
 def get_session(app: str = "marquee", master: str | None = None, **conf: str) -> SparkSession:
@@ -24,6 +23,8 @@ def get_session(app: str = "marquee", master: str | None = None, **conf: str) ->
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # Ranks up to this are cut in each task before rows are shuffled by group.
+        "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     }
     settings.update(conf)
     for key, value in settings.items():
@@ -34,11 +35,17 @@ def get_session(app: str = "marquee", master: str | None = None, **conf: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared scratch folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (tests, a laptop) is a local folder chosen, once per session.
+    Only a session in one process (tests, a laptop) that names none gets a local folder, once per session
+    and removed at its end.  Executors elsewhere would write to disks that nobody else reads, so on a
+    cluster a missing folder is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         configured = tempfile.mkdtemp(prefix="marquee-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")
 
@@ -59,13 +66,3 @@ def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None)
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than ``max_rows + 1``."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` when the row bound holds, else ``(df, False)``."""
-    return (F.broadcast(df), True) if fits(df, max_rows) else (df, False)

@@ -7,6 +7,7 @@ All readers return ``(source_path string, pos bigint, body string)`` or, after `
 from __future__ import annotations
 
 import contextlib
+import re
 import zipfile
 import zlib
 from collections.abc import Iterator
@@ -28,22 +29,16 @@ _FRAME_BYTES = 8 << 20
 def wanted_name(path: Column, subpath: str | None = None, include_jsonl: bool = False) -> Column:
     """Which source names are read.
 
-    Archive litter (``__MACOSX/``, ``._*``) is out, ``.json`` is in, ``.jsonl`` only on request;
-    with ``subpath`` the name must equal it, lie under it or end in it, at a folder boundary.
+    Archive litter (anything below ``__MACOSX``, files named ``._*``) is out, ``.json`` is in, ``.jsonl``
+    only on request; ``subpath`` asks for one or more whole path parts.  Either slash parts a path.
     """
-    name = F.replace(path, F.lit("\\"), F.lit("/"))
-    base = F.element_at(F.split(name, "/"), -1)
-    keep = ~(name.contains("/__MACOSX/") | name.startswith("__MACOSX/") | base.startswith("._"))
-    if subpath:
-        sub = subpath.strip("/").replace("\\", "/")
-        keep &= (
-            name.startswith(sub + "/") | (name == sub) | name.contains(f"/{sub}/") | name.endswith("/" + sub)
-        )
-    lower = F.lower(name)
-    suffix = lower.endswith(".json")
-    if include_jsonl:
-        suffix |= lower.endswith(".jsonl")
-    return keep & suffix
+    name = F.translate(path, "\\", "/")
+    litter = name.rlike(r"(^|/)(__MACOSX/|\._[^/]*$)")
+    suffix = name.rlike(r"(?i)\.jsonl?$" if include_jsonl else r"(?i)\.json$")
+    if not subpath:
+        return suffix & ~litter
+    parts = [re.escape(part) for part in re.split(r"[\\/]+", subpath) if part]
+    return suffix & ~litter & name.rlike("(^|/)" + "/".join(parts) + "(/|$)")
 
 
 def _text(content: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marquee.functions.values import bucket
 from marquee.operators.dedup import dedup_first
 from marquee.operators.records import has_id, write_rejects
+from marquee.session import materialise
 
 VERSION_FORMAT = "v%06d"
 
@@ -15,27 +16,25 @@ VERSION_FORMAT = "v%06d"
 def write_movies(movies: DataFrame, path: str) -> None:
     """Records as JSON lines under ``bucket=<id div 1000>``; null and zero ids are left out.
 
-    A second run replaces the buckets it touches.  Rows are spread by bucket *and* id hash, so a
-    bucket with very many records is written by several tasks.
+    Records that are stored already stay, unless one with their id is written: of equal ids in ``movies``
+    the first by content is taken, and it replaces the stored one.  Only the buckets that receive records
+    are read; the result is staged in shared storage before it replaces them, because a table cannot be
+    overwritten while it is read.  Rows are spread by bucket *and* a rebalance, so a bucket with very many
+    records is written by several tasks.
     """
-    rows = has_id(movies).withColumn("bucket", bucket(F.col("id")))
-    rows.hint("rebalance", "bucket").write.option("partitionOverwriteMode", "dynamic").partitionBy("bucket").mode(
-        "overwrite"
-    ).json(path)
+    spark = movies.sparkSession
+    fresh = dedup_first(has_id(movies), ["id"], [F.to_json(F.struct(*movies.columns))]).withColumn("bucket", bucket(F.col("id")))
+    rows = fresh
+    if path_exists(spark, path):
+        stored = spark.read.schema(fresh.schema).json(path)
+        rows = fresh.unionByName(stored.join(fresh.select("bucket").distinct(), "bucket", "left_semi").join(fresh.select("id"), "id", "left_anti"))
+    staged = materialise(rows, "movies")
+    staged.hint("rebalance", "bucket").write.option("partitionOverwriteMode", "dynamic").partitionBy("bucket").mode("overwrite").json(path)
 
 
-def merge_movies(spark: SparkSession, movies: DataFrame, path: str, schema: str, staging: str) -> None:
-    """Upsert records by id into a store written by `write_movies`; the new record wins.
-
-    Only the buckets that receive records are read; the result is staged in shared storage before
-    it replaces them, because a table cannot be overwritten while it is read.
-    """
-    fresh = has_id(movies).withColumn("bucket", bucket(F.col("id")))
-    touched = fresh.select("bucket").distinct()
-    stored = spark.read.schema(schema + ", bucket bigint").json(path)
-    kept = stored.join(touched, "bucket", "left_semi").join(fresh.select("id"), "id", "left_anti")
-    fresh.unionByName(kept, allowMissingColumns=True).drop("bucket").write.mode("errorifexists").parquet(staging)
-    write_movies(spark.read.parquet(staging), path)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
 def append_ledger(ids: DataFrame, path: str) -> None:

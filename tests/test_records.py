@@ -90,7 +90,7 @@ def test_first_record_wins_and_counters_add_up(spark):
 
 def test_top_n_beyond_the_planner_limit(spark):
     rows = spark.range(20_000).select((F.col("id") % 3 > 0).cast("int").alias("g"), F.xxhash64("id").alias("v"), "id")
-    got = top_n(rows, ["g"], [F.desc("v"), F.col("id")], 5000, ["id"]).select("g", "id", "rank").toPandas()
+    got = top_n(rows, ["g"], [F.desc("v"), F.col("id")], 5000).select("g", "id", "rank").toPandas()
     whole = rows.toPandas().sort_values(["g", "v", "id"], ascending=[True, False, True])
     want = whole.groupby("g").head(5000)
     assert len(got) == 10_000 and set(zip(got.g, got.id)) == set(zip(want.g, want.id))
@@ -98,10 +98,13 @@ def test_top_n_beyond_the_planner_limit(spark):
 
 def test_large_limit_equals_top_n(spark):
     rows = spark.range(5000).select(F.xxhash64("id").alias("v"), "id").repartition(7)
-    want = {r.id for r in limit_first(rows, 1234, ["v", "id"]).collect()}
-    got = limit_first(rows, 1234, ["v", "id"], take_max=10)
+    want = {r.id for r in rows.orderBy("v", "id").limit(1234).collect()}
+    got = limit_first(rows, 1234, ["v", "id"])
     assert {r.id for r in got.collect()} == want and got.columns == ["v", "id"]
-    assert limit_first(rows, 0, ["v"]).count() == limit_first(rows, 9000, ["v"], take_max=10).count() == 5000
+    assert limit_first(rows, 0, ["v"]).count() == limit_first(rows, 9000, ["v"]).count() == 5000
+    tied = rows.withColumn("v", F.lit(1))
+    kept = {r.id for r in limit_first(tied, 50, ["v"]).collect()}
+    assert len(kept) == 50 and kept == {r.id for r in limit_first(tied.repartition(3), 50, ["v"]).collect()}
 
 
 def test_dedup_is_idempotent(spark):

@@ -52,11 +52,25 @@ def test_filter_limits_and_empty_queries(spark, docs, index):
     assert set(ids(hits)) == {"00", "06"} and len(ids(hits, 2)) == 1 and ids(hits, 3) == ids(hits, 4) == []
 
 
-def test_salted_join_equals_broadcast(spark, docs, index):
+def test_shuffled_join_equals_broadcast(spark, docs, index):
     queries = asked(spark, (1, "space drama dreams", 10, None), (2, "a robot movie in paris", 10, None))
     clauses = query_clauses(queries, index, BOOSTS)
-    rows = lambda n: sorted(map(tuple, best_per_query(score_documents(clauses, index, BOOSTS, broadcast_rows=n), queries).collect()))
-    assert rows(1_000_000) == rows(0) != []
+    rows = lambda: sorted(map(tuple, best_per_query(score_documents(clauses, index, BOOSTS), queries).collect()))
+    small = rows()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows() == small != []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_country_needs_documents_and_empty_is_none(spark, docs, index):
+    queries = asked(spark, (1, "space drama", 10, ""))
+    with pytest.raises(ValueError):
+        sparse_search(queries, index, fields=BOOSTS)
+    free = sparse_search(queries.drop("country"), index, fields=BOOSTS)
+    assert sorted(map(tuple, sparse_search(queries, index, docs, fields=BOOSTS).collect())) == sorted(map(tuple, free.collect())) != []
 
 
 def test_uncapped_expansion_is_a_superset(spark, docs, index):

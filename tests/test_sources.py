@@ -132,7 +132,7 @@ def test_store_overwrite_and_merge(spark, tmp_path):
     path = str(tmp_path / "store")
     rows = lambda pairs: spark.createDataFrame(pairs, "id bigint, title string")
     sinks.write_movies(rows([(1, "a"), (2, "b"), (1500, "c"), (0, "zero"), (None, "none")]), path)
-    sinks.merge_movies(spark, rows([(2, "B"), (3, "d")]), path, "id bigint, title string", str(tmp_path / "stage"))
+    sinks.write_movies(rows([(2, "B"), (3, "d")]), path)
     stored = spark.read.schema("id bigint, title string").json(path)
     assert sorted((r.id, r.title) for r in stored.collect()) == [(1, "a"), (2, "B"), (3, "d"), (1500, "c")]
 
@@ -171,3 +171,31 @@ def test_watermarked_stream(spark, tmp_path):
     stream = ledger.stream_ids(spark, str(tmp_path / "in"), "movie_id bigint, t timestamp", "parquet", watermark=("t", "10 minutes"))
     ledger.run_available(stream, str(tmp_path / "out"), str(tmp_path / "state"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from marquee.session import shared_dir
+
+    conf = SimpleNamespace(get=lambda key, default: default)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            shared_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master)))
+
+
+def test_dates_are_read_strictly(spark):
+    from marquee.operators.records import write_rejects
+
+    dates = ["2020-01-01", "2020-01-01T10:00:00Z", None, "2020-1-1", "T12:30", "2020-13-01", "2020"]
+    rows = spark.createDataFrame([(i, d, None) for i, d in enumerate(dates)], "i int, release_date string, crawled_at string")
+    assert [r.reject_reason is None for r in write_rejects(rows).orderBy("i").collect()] == [True] * 3 + [False] * 4
+
+
+def test_names_read(spark):
+    names = ["a.json", "__MACOSX/a.json", "x/__MACOSX/b.json", "x/._a.json", "data/movies/1/1.JSON", "data\\movies\\2.json", "a.jsonl", "my-data/movies.json", "z/data/movies"]
+    rows = spark.createDataFrame([(n,) for n in names], "n string")
+    read = lambda *a: [r.n for r in rows.where(files.wanted_name(rows.n, *a)).collect()]
+    assert read() == ["a.json", "data/movies/1/1.JSON", "data\\movies\\2.json", "my-data/movies.json"]
+    assert read("data/movies/") == ["data/movies/1/1.JSON", "data\\movies\\2.json"]
+    assert read(None, True) == [*read()[:3], "a.jsonl", "my-data/movies.json"]
