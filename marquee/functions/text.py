@@ -27,7 +27,8 @@ STOP_WORDS = (
 FOLD_ONE = {"ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "ħ": "h", "Ħ": "H",
             "ı": "i", "ł": "l", "Ł": "L", "ŋ": "n", "Ŋ": "N", "ŧ": "t", "Ŧ": "T",
             "‘": "'", "’": "'", "‛": "'", "＇": "'", "“": '"', "”": '"', "‐": "-", "–": "-", "—": "-"}
-FOLD_MANY = {"ß": "ss", "ẞ": "SS", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "þ": "th", "Þ": "TH"}
+FOLD_MANY = {"ß": "ss", "ẞ": "SS", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "þ": "th", "Þ": "TH",
+             "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl"}
 
 WHITESPACE = "".join(chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace())
 
@@ -47,7 +48,7 @@ _WORD = (
 def _fold_table() -> dict[str, str]:
     """Accented Latin letters and their ASCII base, derived from Unicode decompositions."""
     table = dict(FOLD_ONE)
-    for code in (*range(0xA0, 0x250), *range(0x1E00, 0x1F00)):
+    for code in (*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0xFF01, 0xFF5F)):
         char = chr(code)
         if unicodedata.category(char)[0] not in "LN":
             continue
@@ -85,6 +86,14 @@ def tokenize(col: Column) -> Column:
     return F.when(F.length(col) <= MAX_TOKEN_CHARS, words).when(too_long, pieces).otherwise(words)
 
 
+def fold_tokens(tokens: Column) -> Column:
+    """Lower-cased, folded tokens: one pass over the joined tokens, none of which holds a line end.
+
+    Folding follows tokenising, so a letter that folds to several stays one token.
+    """
+    return F.filter(F.split(ascii_fold(F.lower(F.array_join(tokens, "\n"))), "\n"), lambda t: t != "")
+
+
 def drop_possessive(tokens: Column) -> Column:
     """Remove a final ``'s`` from each (lower-cased, folded) token."""
     return F.transform(
@@ -179,7 +188,7 @@ def analyze(col: Column, option: str = "english_stem") -> Column:
 
 def words(col: Column, option: str) -> Column:
     """Token array before stemming."""
-    tokens = tokenize(ascii_fold(F.lower(F.coalesce(col, F.lit("")))))
+    tokens = fold_tokens(tokenize(F.coalesce(col, F.lit(""))))
     if option == "standard":
         return tokens
     if option == "english_stem":
@@ -192,10 +201,6 @@ def raw_keyword(col: Column, ignore_above: int = 512) -> Column:
     return F.when(F.length(col) <= ignore_above, col)
 
 
-def raw_keywords(values: Column, ignore_above: int = 512) -> Column:
-    return F.filter(values, lambda v: F.length(v) <= ignore_above)
-
-
 def truncate(col: Column, n: int) -> Column:
     """First ``n`` code points."""
     return F.substring(col, 1, n)

@@ -6,19 +6,26 @@ Written against the published definitions, independently of the Spark expression
 from __future__ import annotations
 
 from marquee.functions.porter import STEP2, STEP3, STEP4
-from marquee.functions.text import STOP_WORDS
 
 _L = r"[\p{L}\p{M}\p{Nl}]"
 WORD = rf"(?:{_L}+(?:[.:''’·]{_L}+)*|\p{{Nd}}+(?:[.,;''’]\p{{Nd}}+)*|_+)+"
-STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
+# The 33 English stop words, written out apart from those of the library.
+STOPS = (
+    "'a', 'an', 'and', 'are', 'as', 'at', 'be', 'but', 'by', 'for', 'if', 'in', 'into', 'is', 'it', 'no', 'not', 'of', 'on', "
+    "'or', 'such', 'that', 'the', 'their', 'then', 'there', 'these', 'they', 'this', 'to', 'was', 'will', 'with'"
+)
 
 
 def folded(text: str) -> str:
-    return f"replace(replace(replace(replace(strip_accents(lower({text})), 'ß', 'ss'), 'æ', 'ae'), 'œ', 'oe'), '’', '''')"
+    whole = f"strip_accents(lower({text}))"
+    for letter, ascii_form in (("ß", "ss"), ("æ", "ae"), ("œ", "oe"), ("’", "''"), ("ﬁ", "fi"), ("ﬂ", "fl")):
+        whole = f"replace({whole}, '{letter}', '{ascii_form}')"
+    return whole
 
 
 def tokens(text: str) -> str:
-    return f"regexp_extract_all({folded(text)}, '{WORD}')"
+    """Words of the text as it is, each then lower-cased and folded."""
+    return f"list_transform(regexp_extract_all({text}, '{WORD}'), lambda t: {folded('t')})"
 
 
 def no_possessive(toks: str) -> str:

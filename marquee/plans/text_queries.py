@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.edits import allowed_edits
 from marquee.functions.text import (
-    analyze, ascii_fold, drop_possessive, drop_stop_words, raw_keyword, tokenize, truncate,
+    analyze, ascii_fold, drop_possessive, drop_stop_words, fold_tokens, raw_keyword, tokenize, truncate,
 )
 from marquee.operators.postings import build_index, build_postings
 from marquee.plans import check_sql as sql
@@ -31,6 +31,18 @@ def tokens_per_doc(spark, sf_dir):
     return _token_summary(table(spark, sf_dir, "documents"), analyze(F.col("text"), "standard"))
 
 
+_ODD = " 90 m² x³ ﬁne ﬂow 5½ O’Neil’s"
+
+
+@query(
+    "tokens_before_folding",
+    f"{_COUNTS} FROM (SELECT doc_id, {sql.tokens(f"(text || '{_ODD}')")} AS toks FROM documents)",
+)
+def tokens_before_folding(spark, sf_dir):
+    """Words end before characters that only folding would turn into letters or digits."""
+    return _token_summary(table(spark, sf_dir, "documents"), analyze(F.concat("text", F.lit(_ODD)), "standard"))
+
+
 @query(
     "stopword_filter",
     f"{_COUNTS} FROM (SELECT doc_id, {sql.no_stops(sql.tokens('text'))} AS toks FROM documents)",
@@ -49,7 +61,7 @@ def fold_documents(spark, sf_dir):
     f"{_COUNTS} FROM (SELECT doc_id, {sql.english('text')} AS toks FROM documents)",
 )
 def possessive(spark, sf_dir):
-    tokens = drop_stop_words(drop_possessive(tokenize(ascii_fold(F.lower("text")))))
+    tokens = drop_stop_words(drop_possessive(fold_tokens(tokenize(F.col("text")))))
     return _token_summary(table(spark, sf_dir, "documents"), tokens)
 
 
@@ -62,7 +74,7 @@ def stem_terms(spark, sf_dir):
     """Vocabulary with its stems: how many distinct words share each stem."""
     from marquee.functions.text import stem_tokens
 
-    tokens = drop_stop_words(drop_possessive(tokenize(ascii_fold(F.lower("text")))))
+    tokens = drop_stop_words(drop_possessive(fold_tokens(tokenize(F.col("text")))))
     words = table(spark, sf_dir, "documents").select(F.explode(tokens).alias("term")).distinct()
     stems = words.select("term", F.element_at(stem_tokens(F.array("term")), 1).alias("stem"))
     return stems.groupBy("stem").agg(F.count("*").alias("n_words"), F.min("term").alias("first_word"))
