@@ -66,10 +66,14 @@ def has_id(df: DataFrame, key: str = "id") -> DataFrame:
     return df.where(F.col(key).isNotNull() & (F.col(key) != 0))
 
 
-def normalize(records: DataFrame, max_review_chars: int = 2000) -> DataFrame:
+def normalize(
+    records: DataFrame, max_review_chars: int = 2000, max_cast: int = CAST_HEAD, max_reviews: int = REVIEW_HEAD, combined: bool = True,
+) -> DataFrame:
     """One flat document per movie record: ``doc_id`` plus `INDEX_FIELDS` (and ``pos``).
 
-    Empty strings become NULL; empty arrays, zero and false stay.
+    Empty strings become NULL; empty arrays, zero and false stay.  The first ``max_cast`` cast entries and
+    ``max_reviews`` reviews count, reviews up to ``max_review_chars``.  ``all_text`` repeats the other
+    texts; without ``combined`` it is left out, to be added (`with_all_text`) after rows were shuffled.
     """
     rec = F.col("record")
     # One pass over the record: every value as text, lists as lists of texts.  A value of another
@@ -90,13 +94,13 @@ def normalize(records: DataFrame, max_review_chars: int = 2000) -> DataFrame:
         text("release_date").alias("_date_text"),
         texts("genres", "name").alias("genres"),
         int_list(rec, "$.genres", "id", F.col("_t.genres.id")).alias("genre_ids"),
-        texts("cast", "name", CAST_HEAD).alias("cast_names"),
-        texts("cast", "character", CAST_HEAD).alias("cast_characters"),
+        texts("cast", "name", max_cast).alias("cast_names"),
+        texts("cast", "character", max_cast).alias("cast_characters"),
         texts("crew", "name").alias("crew_names"),
         texts("crew", "job").alias("crew_jobs"),
-        texts("reviews", "author", REVIEW_HEAD).alias("review_authors"),
+        texts("reviews", "author", max_reviews).alias("review_authors"),
         F.transform(
-            texts("reviews", "content", REVIEW_HEAD, False), lambda t: truncate(t, max_review_chars)
+            texts("reviews", "content", max_reviews, False), lambda t: truncate(t, max_review_chars)
         ).alias("reviews_text"),
         as_int(rec, "$.review_count", "int", value("review_count")).alias("_review_count"),
         decimal("vote_average"),
@@ -108,7 +112,6 @@ def normalize(records: DataFrame, max_review_chars: int = 2000) -> DataFrame:
         truthy(rec, "$.adult", value("adult")).alias("adult"),
         F.coalesce(value("origin_country"), F.array().cast("array<string>")).alias("origin_country"),
     )
-    joined = lambda c: F.array_join(c, " ")
     done = flat.withColumns(
         {
             "doc_id": F.coalesce(
@@ -117,15 +120,24 @@ def normalize(records: DataFrame, max_review_chars: int = 2000) -> DataFrame:
             "release_date": release_date(F.col("_date_text")),
             "release_year": release_year(release_date(F.col("_date_text"))),
             "review_count": F.coalesce(F.col("_review_count"), F.size("reviews_text")),
-            "all_text": combined_text(
-                *map(F.col, ("title", "original_title", "overview", "tagline")),
-                *map(joined, ("genres", "cast_names", "crew_names", "reviews_text")),
-            ),
         }
     )
     types = dict(done.dtypes)
-    fields = [F.nullif(F.col(c), F.lit("")).alias(c) if types[c] == "string" else F.col(c) for c in INDEX_FIELDS]
-    return done.select("doc_id", *fields, "pos")
+    names = [c for c in INDEX_FIELDS if c != "all_text"]
+    fields = [F.nullif(F.col(c), F.lit("")).alias(c) if types[c] == "string" else F.col(c) for c in names]
+    documents = done.select("doc_id", *fields, "pos")
+    return with_all_text(documents) if combined else documents
+
+
+def with_all_text(documents: DataFrame) -> DataFrame:
+    """Documents with ``all_text``, in the order of `INDEX_FIELDS`."""
+    joined = lambda c: F.array_join(c, " ")
+    text = combined_text(
+        *[F.coalesce(F.col(c), F.lit("")) for c in ("title", "original_title", "overview", "tagline")],
+        *map(joined, ("genres", "cast_names", "crew_names", "reviews_text")),
+    )
+    whole = documents.withColumn("all_text", F.nullif(text, F.lit("")))
+    return whole.select("doc_id", *INDEX_FIELDS, *[c for c in documents.columns if c not in ("doc_id", *INDEX_FIELDS)])
 
 
 def to_sparse_json(documents: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Movie-shaped records derived from the order tables, one per order that has lines.
 
-Arrays stay bounded whatever the data: the cast is the first 20 lines of the order, genres and
-countries are distinct values of small dimensions, reviews are the first 10 turns.
+Arrays are whole: the cast is every line of the order, reviews are all turns; the record operators cut
+them.  Genres and countries are distinct values of small dimensions.
 """
 
 from __future__ import annotations
@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.operators.merge import gather_first
-from marquee.operators.records import CAST_HEAD, REVIEW_HEAD
+from marquee.operators.merge import gather_all
 
 # How an order's customer number picks a language and a job.
 VIEW_LANGUAGES = ("en", "es", "fr", "de", "ja")
@@ -41,7 +40,7 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_returnflag").alias("character"), F.col("l_linenumber").alias("order"),
         ).alias("c"),
     )
-    cast = gather_first(cast_rows, "id", ["l_linenumber", "c"], ["c"], CAST_HEAD, "cast")
+    cast = gather_all(cast_rows, "id", ["l_linenumber", "c"], ["c"], "cast")
     cast = cast.withColumn("cast", F.transform("cast", lambda x: x["c"]))
     sets = lines.groupBy(F.col("l_orderkey").alias("id")).agg(
         F.array_sort(F.collect_set(F.struct(F.col("p_size").alias("id"), F.col("p_type").alias("name")))).alias("genres"),
@@ -50,7 +49,7 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").alias("id"), "turn", F.col("role").alias("author"), F.col("text").alias("content")
     )
-    reviews = gather_first(turns, "id", ["turn", "author", "content"], ["author", "content"], REVIEW_HEAD, "reviews")
+    reviews = gather_all(turns, "id", ["turn", "author", "content"], ["author", "content"], "reviews")
     customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
     pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("o_custkey") % len(values) + 1).cast("int"))
     orders = table(spark, sf_dir, "orders").join(customer, "o_custkey").select(

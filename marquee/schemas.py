@@ -29,15 +29,6 @@ INDEX_FIELDS = (
     "origin_country", "crawled_at", "source_path",
 )
 
-# Fields whose text is analysed into postings.
-TEXT_FIELDS = (
-    "title", "original_title", "overview", "tagline", "all_text",
-    "cast_names", "cast_characters", "crew_names", "reviews_text",
-)
-
-# Fields carrying an exact `.raw` companion value.
-RAW_FIELDS = ("title", "original_title", "cast_names", "crew_names")
-
 # Searched fields and their boosts (fixed values).
 FIELD_BOOSTS = {
     "title": 3.0,
@@ -49,12 +40,6 @@ FIELD_BOOSTS = {
     "all_text": 1.0,
 }
 
-# Columns returned with a keyword hit (fixed values).
-HIT_SOURCE_FIELDS = (
-    "movie_id", "title", "overview", "genres", "vote_average", "release_year", "release_date",
-    "cast_names", "crew_names", "original_language", "origin_country", "poster_path", "imdb_id",
-)
-
 TERM_STATS_DDL = "field string, term string, df bigint"
 FIELD_STATS_DDL = "field string, n_docs bigint, sum_dl bigint"
 
