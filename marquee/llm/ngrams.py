@@ -79,8 +79,13 @@ def gather(docs: DataFrame, key: str, text: str, dims: int, counter: Callable[[]
     for place, n in total.items():
         if place >= 0:
             frequencies[place] = n
-    rows = found.where("k IS NOT NULL").groupBy("k").agg(F.min(F.struct("at", "n")).alias("v")).collect()
-    return frequencies, int(total.get(-1, 0)), {r["k"]: (np.array(r["v"]["at"], np.int64), np.array(r["v"]["n"], np.float64)) for r in rows}
+    first = found.where("k IS NOT NULL").groupBy("k").agg(F.min(F.struct("at", "n")).alias("v"))
+    rows = first.select("k", "v.at", "v.n").toArrow()
+    counts = {
+        k.as_py(): (at.values.to_numpy().astype(np.int64), n.values.to_numpy().astype(np.float64))
+        for k, at, n in zip(rows["k"], rows["at"], rows["n"], strict=True)
+    }
+    return frequencies, int(total.get(-1, 0)), counts
 
 
 def _rows(keys: list, places: list, counts: list) -> pa.RecordBatch:
