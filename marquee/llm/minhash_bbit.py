@@ -31,6 +31,8 @@ BAND_MISS = 1e-6
 DEVIATIONS = 4.0
 # Bits of the filter that tells which texts must be read again.
 FILTER_BITS = 1 << 23
+# Rows of a bucket that are compared in one task; a larger bucket is cut.
+CHUNK_ROWS = 2_048
 SEED = 77
 
 
@@ -180,20 +182,19 @@ def _may_link(near: Near, a: str, b: str) -> Column:
     return (F.least(na, nb) * 100 >= F.greatest(na, nb) * near.percent) & (equal_minima(f"sig_{a}", f"sig_{b}") >= near.least_equal)
 
 
-def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, near: Near, text: str, key: str) -> DataFrame:
-    """Stored: those of ``pairs (a, b)`` of classes whose full sets reach the threshold.
+def sets_of(ids: DataFrame, classes: DataFrame, docs: DataFrame, near: Near, text: str, key: str) -> DataFrame:
+    """Stored ``(cid, items)``: the full sets of the classes in ``ids (cid)``, distinct.
 
     Sets are made again, only for texts whose key a fixed-size filter lets through: little else is
-    shuffled.  The filter passes one key of each class in the pairs, and some others.
+    shuffled.  The filter passes one key of each class asked for, and some others.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
     place = lambda k: F.pmod(F.xxhash64(k), F.lit(FILTER_BITS))
     spots = ids.join(classes.select("cid", place(F.col("first.key")).alias("p")), "cid")
     words = spots.select((F.col("p") / 64).cast("int").alias("w"), F.expr("shiftleft(1L, cast(p % 64 AS int))").alias("m"))
     known = np.zeros(FILTER_BITS // 64, np.int64)
     for r in words.groupBy("w").agg(F.bit_or("m").alias("m")).toLocalIterator():
         known[r["w"]] = r["m"]
-    sent = pairs.sparkSession.sparkContext.broadcast(known)
+    sent = ids.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = sent.value
@@ -207,13 +208,73 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, near: Near, t
                     names=["cid", "items"],
                 )
 
-    sets = docs.select(F.col(text), place(F.col(key).cast("long")).alias("place")).mapInArrow(run, "cid binary, items array<long>")
-    sets = materialise(sets.join(ids, "cid", "left_semi").dropDuplicates(["cid"]), "sets")
-    both = pairs.join(sets.select(F.col("cid").alias("a"), F.col("items").alias("x")), "a").join(
-        sets.select(F.col("cid").alias("b"), F.col("items").alias("y")), "b"
-    )
-    shared = both.select("a", "b", (F.size("x") + F.size("y")).alias("n"), F.size(F.array_intersect("x", "y")).alias("i"))
-    return materialise(shared.where(F.col("i") * 100 >= (F.col("n") - F.col("i")) * near.percent).select("a", "b"), "links")
+    made = docs.select(F.col(text), place(F.col(key).cast("long")).alias("place")).mapInArrow(run, "cid binary, items array<long>")
+    return materialise(made.join(ids, "cid", "left_semi").dropDuplicates(["cid"]), "sets")
+
+
+def reaches(near: Near, a: str, b: str) -> Column:
+    """Whether two full sets reach the threshold."""
+    shared = F.size(F.array_intersect(a, b))
+    return shared * 100 >= (F.size(a) + F.size(b) - shared) * near.percent
+
+
+def likely_pairs(cell: pa.Table, near: Near) -> list[tuple[int, int, int]]:
+    """``(- equal minima, row, row)`` of one cell: in different components, and the signatures allow a link.
+
+    Pairs are those of two chunks, or of one with itself, whose first shared bucket this is.
+    """
+    rows = lambda name: np.stack([v.values.to_numpy() for v in cell[name].combine_chunks()]).astype(np.int64)
+    i, j, place = (cell[name][0].as_py() for name in ("i", "j", "place"))
+    chunk, n = cell["chunk"].to_numpy(), cell["n"].to_numpy()
+    sig, bands = rows("sig").view(np.uint64), rows("bands")
+    part = _codes(cell["part"])
+    found: list[tuple[int, int, int]] = []
+    for p in range(len(n)):
+        q = np.flatnonzero((part != part[p]) & (np.minimum(n, n[p]) * 100 >= np.maximum(n, n[p]) * near.percent))
+        q = q[q > p] if i == j else q[chunk[q] == j] if chunk[p] == i else q[:0]
+        x = sig[q] ^ sig[p]
+        x |= x >> np.uint64(2)
+        x |= x >> np.uint64(1)
+        equal = MINIMA - np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=1, dtype=np.int64)
+        q, equal = q[equal >= near.least_equal], equal[equal >= near.least_equal]
+        first = (bands[q] == bands[p]).argmax(axis=1) == place
+        found += [(-int(e), p, int(o)) for e, o in zip(equal[first], q[first], strict=True)]
+    return sorted(found)
+
+
+def _codes(column: pa.ChunkedArray) -> np.ndarray:
+    return column.combine_chunks().dictionary_encode().indices.to_numpy()
+
+
+def needed_rows(cell: pa.Table, near: Near) -> pa.Table:
+    """The rows of one cell that are in any likely pair."""
+    rows = sorted({r for _, p, q in likely_pairs(cell, near) for r in (p, q)})
+    return cell.select(["band", "cid"]).take(pa.array(rows, pa.int64()))
+
+
+def compare_cell(cell: pa.Table, near: Near) -> pa.Table:
+    """Links between different components of one cell, enough to connect what they connect.
+
+    Likely pairs first, and none between components that a link found here has joined already.
+    """
+    n, cid, part, items = cell["n"].to_numpy(), cell["cid"].to_pylist(), _codes(cell["part"]), cell["items"].combine_chunks()
+    joined = list(range(int(part.max(initial=0)) + 1))
+
+    def root(c: int) -> int:
+        while joined[c] != c:
+            joined[c] = joined[joined[c]]
+            c = joined[c]
+        return c
+
+    links = []
+    for _, p, q in likely_pairs(cell, near):
+        a, b = root(int(part[p])), root(int(part[q]))
+        if a != b:
+            shared = len(np.intersect1d(items[p].values.to_numpy(), items[q].values.to_numpy(), assume_unique=True))
+            if shared * 100 >= (int(n[p]) + int(n[q]) - shared) * near.percent:
+                joined[a] = b
+                links.append((cid[p], cid[q]))
+    return pa.table({"a": pa.array([a for a, _ in links], pa.binary()), "b": pa.array([b for _, b in links], pa.binary())})
 
 
 def _sided(classes: DataFrame, side: str) -> DataFrame:
@@ -224,29 +285,43 @@ def link_classes(classes: DataFrame, docs: DataFrame, near: Near, text: str, key
     """``(id, component)`` of the classes that link with another.
 
     First every member of a bucket against the bucket's representative (the smallest by a hash of bucket
-    and class, so that buckets of one group ask different ones).  What then stands outside the largest
-    component of its bucket is compared with all of the bucket's other components.
+    and class, so that buckets of one group ask different ones).  Buckets that this leaves in several
+    components are compared across them, signatures first, then the full sets of rows that these leave,
+    in cells of bounded size (a large bucket is cut into chunks, and every two chunks meet).  Rows and
+    links leave a cell, never its pairs.  Two classes meet in the first bucket they share, nowhere else.
     """
-    banded = classes.select("cid", F.explode("bands").alias("band"))
+    banded = classes.select("cid", F.posexplode("bands").alias("place", "band"))
     buckets = banded.groupBy("band").agg(F.min(F.struct(F.xxhash64("band", "cid").alias("h"), "cid")).alias("rep"), F.count("*").alias("n"))
     members = materialise(banded.join(buckets.where("n > 1").select("band", F.col("rep.cid").alias("rep")), "band"), "members")
     stars = members.where("cid <> rep").select(F.least("cid", "rep").alias("a"), F.greatest("cid", "rep").alias("b")).distinct()
     likely = stars.join(_sided(classes, "a"), "a").join(_sided(classes, "b"), "b").where(_may_link(near, "a", "b"))
-    links = confirm(materialise(likely.select("a", "b"), "pairs"), classes, docs, near, text, key)
-    found = components(links)
-    own = members.join(found.withColumnRenamed("id", "cid"), "cid", "left").select("band", "cid", F.coalesce("component", "cid").alias("part"))
+    pairs = materialise(likely.select("a", "b"), "pairs")
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), classes, docs, near, text, key)
+    both = pairs.join(sets.select(F.col("cid").alias("a"), F.col("items").alias("x")), "a").join(
+        sets.select(F.col("cid").alias("b"), F.col("items").alias("y")), "b"
+    )
+    links = materialise(both.where(reaches(near, "x", "y")).select("a", "b"), "links")
+    found = components(links).withColumnRenamed("id", "cid")
+
+    own = members.join(found, "cid", "left").select("band", "place", "cid", F.coalesce("component", "cid").alias("part"))
     parts = own.groupBy("band", "part").agg(F.count("*").alias("n")).groupBy("band").agg(
-        F.max(F.struct("n", "part")).alias("most"), F.count("*").alias("n_parts")
+        F.sum("n").alias("size"), F.count("*").alias("n_parts")
     )
-    open_rows = own.join(parts.where("n_parts > 1").select("band", F.col("most.part").alias("major")), "band")
-    open_rows = open_rows.join(classes.select("cid", "n", "sig"), "cid")
-    side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("n", "sig", "part")] + [F.col("cid").alias(s), "band"]
-    minor = open_rows.where("part <> major").select(*side("a"))
-    rest = open_rows.select(*side("b"), (F.col("part") == F.col("major")).alias("in_major"))
-    once = (F.col("part_a") != F.col("part_b")) & (F.col("in_major") | (F.col("a") < F.col("b")))
-    across = minor.join(rest, "band").where(once & _may_link(near, "a", "b"))
-    more = confirm(materialise(across.select("a", "b").distinct(), "pairs"), classes, docs, near, text, key)
-    return components(links.union(more))
+    open_bands = parts.where("n_parts > 1").select("band", F.ceil(F.col("size") / F.lit(CHUNK_ROWS)).cast("int").alias("chunks"))
+    open_rows = materialise(own.join(open_bands, "band").join(classes.select("cid", "n", "sig", "bands"), "cid"), "open")
+
+    chunk = F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int")
+
+    def cells(rows: DataFrame):
+        pieces = rows.withColumn("chunk", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        pieces = pieces.withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")})
+        return pieces.drop("chunks", "other").groupBy("band", "i", "j")
+
+    asked = cells(open_rows).applyInArrow(lambda cell: needed_rows(cell, near), "band long, cid binary").distinct()
+    few = materialise(open_rows.join(asked, ["band", "cid"], "left_semi"), "needed")
+    whole = few.join(sets_of(few.select("cid").distinct(), classes, docs, near, text, key), "cid")
+    across = cells(whole).applyInArrow(lambda cell: compare_cell(cell, near), "a binary, b binary")
+    return components(links.union(across))
 
 
 def find(docs: DataFrame, near: Near = Near(), text: str = "text", key: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
