@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.spans import Kind, locate, redact, tagged, written
+from marquee.llm.spans import Kind, gaps_before, locate, redact, running, written
 from marquee.session import materialise
 
 # The base kinds in their order.  Loops are possessive, and a mail address or an IP address
@@ -67,10 +67,34 @@ def _filtered() -> dict[str, Column]:
     }
 
 
-def pattern_of(left: Column) -> Column:
-    """The last two words before an identifier, lower-cased, without digits; empty when there are not two."""
-    words = F.regexp_extract(F.lower(left), r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 1)
-    return F.regexp_replace(F.translate(words, "0123456789", ""), r"[\x20\x09-\x0D]+", " ")
+def _short(word: Column) -> Column:
+    """A word, or the hash of a long one: words are only compared, and one may stand before many identifiers."""
+    return F.when(F.length(word) > 64, F.sha2(word, 256)).otherwise(word)
+
+
+def _last_two(words: Column) -> Column:
+    return F.slice(words, F.greatest(F.size(words) - 1, F.lit(1)), 2)
+
+
+def _words(gap: Column) -> Column:
+    """The last two words of a text, lower-cased, without digits.  A run of digits and signs is no word.
+
+    Nearly always they are in its last 256 characters, behind the run that begins there; else all is read.
+    """
+    kept = lambda runs: F.filter(runs, lambda w: (w != "") & (~w.rlike("[0-9]") | w.rlike(r"\p{L}")))
+    runs = lambda t: F.split(F.lower(t), r"[\x20\x09-\x0D]+", -1)
+    near = runs(F.right(gap, F.lit(256)))
+    behind = _last_two(kept(F.slice(near, F.lit(2), F.size(near))))
+    two = F.when(F.size(behind) == 2, behind).otherwise(_last_two(kept(runs(gap))))
+    return F.transform(two, lambda w: _short(F.translate(w, "0123456789", "")))
+
+
+def patterns_before(text: Column, spans: Column) -> Column:
+    """The last two words before each of the sorted ``spans``, across earlier ones; empty when there are not two."""
+    words = F.transform(gaps_before(text, spans), _words)
+    join = lambda a, b: _last_two(F.concat(a, b))
+    before = running(words, "array<string>", F.array().cast("array<string>"), join)
+    return F.transform(F.zip_with(before, words, join), lambda w: F.when(F.size(w) == 2, F.array_join(w, " ")).otherwise(F.lit("")))
 
 
 def find(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
@@ -79,15 +103,27 @@ def find(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
     Seeds are pattern and value of the base spans; leads are identifier-like runs outside them.
     """
     rows = docs.select(F.struct(*carry).alias("_carry"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
-    found = locate(rows, [*BASE, LIKE], left=True).select("_carry", "like", *[c.alias(n) for n, c in _filtered().items()])
-    base = F.array_sort(F.concat(*[tagged(F.col(k.name), ORDER[k.name], k.name) for k in BASE]))
-    told = lambda s: F.struct(pattern_of(s["left"]).alias("pattern"), s["match"].alias("value"))
-    seeds = F.transform(F.concat(*[F.transform(k.name, lambda s: F.struct(s["left"].alias("left"), s["match"].alias("match"))) for k in BASE]), told)
-    based = found.select("_carry", "like", base.alias("base"), seeds.alias("seeds"))
-    free = F.filter("like", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    lead = lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), pattern_of(s["left"]).alias("pattern"), s["match"].alias("value"))
-    return materialise(based.select(
-        "_carry", F.monotonically_increasing_id().alias("row"), "base", "seeds", F.transform(free, lead).alias("leads")
+    found = locate(rows, [*BASE, LIKE]).select("_carry", "_t", "like", *[c.alias(n) for n, c in _filtered().items()])
+
+    def mark(kind: str) -> Column:
+        return F.transform(kind, lambda s: F.struct(
+            s["start"].alias("start"), F.lit(ORDER.get(kind, ORDER["context"])).alias("order"), s["end"].alias("end"),
+            F.lit(kind).alias("kind"), _short(s["match"]).alias("value"),
+        ))
+
+    based = found.select("_carry", "_t", "like", F.concat(*[mark(k.name) for k in BASE]).alias("based"))
+    free = F.filter(mark("like"), lambda s: ~F.exists("based", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    marked = based.select("_carry", "_t", F.array_sort(F.concat("based", free)).alias("marks"))
+    told = marked.select("_carry", "marks", F.when(F.size("marks") > 0, patterns_before(F.col("_t"), F.col("marks"))).otherwise(F.array().cast("array<string>")).alias("told"))
+    whole = told.select("_carry", F.zip_with("marks", "told", lambda m, p: F.struct(m.alias("m"), p.alias("pattern"))).alias("marks"))
+    sure, lead = (F.filter("marks", lambda x: x["m"]["order"] < ORDER["context"]), F.filter("marks", lambda x: x["m"]["order"] == ORDER["context"]))
+    return materialise(whole.select(
+        "_carry", F.monotonically_increasing_id().alias("row"),
+        F.transform(sure, lambda x: F.struct(*[x["m"][n].alias(n) for n in ("start", "order", "end", "kind")])).alias("base"),
+        F.transform(sure, lambda x: F.struct(x["pattern"].alias("pattern"), x["m"]["value"].alias("value"))).alias("seeds"),
+        F.transform(lead, lambda x: F.struct(
+            x["m"]["start"].alias("start"), x["m"]["end"].alias("end"), x["pattern"].alias("pattern"), x["m"]["value"].alias("value")
+        )).alias("leads"),
     ), "pii")
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 256
-LEFT_CHARS = 64
 
 
 @dataclass(frozen=True)
@@ -29,38 +28,69 @@ class Kind:
     needle: str = ""
 
 
-def running_sums(values: Column, size: Column) -> Column:
-    """Sum of all earlier elements, for each element of an integer array.
+def once(value: Column, use) -> Column:
+    """``use`` of ``value``, made once however often ``use`` reads it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-    Lambdas have no scan and appending to an array copies it, so sums are first made in blocks: the
+
+def running(values: Column, kind: str, zero: Column, join) -> Column:
+    """All earlier elements joined, for each element of an array; ``kind`` is the element type, ``join`` associative.
+
+    Lambdas have no scan and appending to an array copies it, so elements are first joined in blocks: the
     work is elements x block size, not elements squared.
     """
-    zero = F.array(F.lit(0).cast("long"))
     last = lambda a: F.element_at(a, -1)
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.ceil(size / F.lit(BLOCK)).cast("int") - 1, F.lit(0))),
-        lambda b: F.aggregate(F.slice(values, b * BLOCK + 1, BLOCK), zero, lambda acc, x: F.concat(acc, F.array(last(acc) + x))),
-    )
-    # The sum of a block goes with its sums; blocks are then moved by what stands before them.
-    moved = F.aggregate(
-        blocks,
-        F.struct(F.lit(0).cast("long").alias("before"), F.array().cast("array<array<bigint>>").alias("done")),
-        lambda acc, b: F.struct(
-            (acc["before"] + last(b)).alias("before"),
-            F.concat(acc["done"], F.array(F.transform(F.slice(b, F.lit(1), F.size(b) - 1), lambda x: x + acc["before"]))).alias("done"),
-        ),
-        lambda acc: F.flatten(acc["done"]),
-    )
-    return F.when(size > 0, moved).otherwise(F.array().cast("array<bigint>"))
+
+    def scanned(v: Column) -> Column:
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.greatest(F.ceil(F.size(v) / F.lit(BLOCK)).cast("int") - 1, F.lit(0))),
+            lambda b: F.aggregate(F.slice(v, b * BLOCK + 1, BLOCK), F.array(zero), lambda acc, x: F.concat(acc, F.array(join(last(acc), x)))),
+        )
+        # The whole of a block goes with its elements; blocks are then moved by what stands before them.
+        return F.aggregate(
+            blocks,
+            F.struct(zero.alias("before"), F.array().cast(f"array<array<{kind}>>").alias("done")),
+            lambda acc, b: F.struct(
+                join(acc["before"], last(b)).alias("before"),
+                F.concat(acc["done"], F.array(F.transform(F.slice(b, F.lit(1), F.size(b) - 1), lambda x: join(acc["before"], x)))).alias("done"),
+            ),
+            lambda acc: F.flatten(acc["done"]),
+        )
+
+    return once(values, lambda v: F.when(F.size(v) > 0, scanned(v)).otherwise(F.array().cast(f"array<{kind}>")))
+
+
+def running_sums(values: Column) -> Column:
+    """Sum of all earlier elements, for each element of an integer array."""
+    return running(values, "bigint", F.lit(0).cast("long"), lambda a, x: a + x)
+
+
+def gaps_before(text: Column, spans: Column) -> Column:
+    """The text before each of the sorted ``spans``, back to where the spans before it end; empty inside one.
+
+    The text is cut at every 256th span first, as in ``redact``.
+    """
+    upto = running(F.transform(spans, lambda s: s["end"]), "int", F.lit(0), F.greatest)
+    places = F.zip_with(spans, upto, lambda s, u: F.struct(u.alias("from"), F.greatest(s["start"], u).alias("upto")))
+
+    def cut(group: Column) -> Column:
+        base = F.get(group, F.lit(0))["from"]
+        part = F.substring(text, base + 1, F.element_at(group, -1)["upto"] - base)
+        return once(part, lambda p: F.transform(group, lambda c: F.substring(p, c["from"] - base + 1, c["upto"] - c["from"])))
+
+    def groups(c: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(c) / F.lit(BLOCK)).cast("int") - 1, F.lit(0))
+        return F.flatten(F.transform(F.sequence(F.lit(0), last), lambda g: once(F.slice(c, g * BLOCK + 1, BLOCK), cut)))
+
+    return F.when(F.size(spans) > 0, once(places, groups)).otherwise(F.array().cast("array<string>"))
 
 
-def locate(rows: DataFrame, kinds: list[Kind], text: str = "_t", left: bool = False) -> DataFrame:
+def locate(rows: DataFrame, kinds: list[Kind], text: str = "_t") -> DataFrame:
     """``rows`` with a column per kind: its leftmost matches that do not overlap, in order.
 
-    Each is ``array<struct<start, end, match, value, left>>``: code points, end exclusive, the match, the
-    wanted group, and (if asked for) the end of the text between the match before and this one.  Texts
-    without the probe are not searched.  ``text`` must not be null.  The columns are made in steps, so
-    that lambdas only read arrays that exist.
+    Each is ``array<struct<start, end, match, value>>``: code points, end exclusive, the match and the
+    wanted group.  Texts without the probe are not searched.  ``text`` must not be null.  The columns are
+    made in steps, so that lambdas only read arrays that exist.
     """
     keep = rows.columns
     t = F.col(text)
@@ -71,16 +101,14 @@ def locate(rows: DataFrame, kinds: list[Kind], text: str = "_t", left: bool = Fa
         if k.group:
             made[f"_{k.name}_v"] = F.when(on, F.regexp_extract_all(t, pattern, F.lit(k.group))).otherwise(F.array().cast("array<string>"))
         gaps = F.split(t, k.pattern, -1)
-        shown = lambda g: F.struct(F.length(g).alias("n"), F.right(g, F.lit(LEFT_CHARS)).alias("left"))
-        plain = lambda g: F.struct(F.length(g).alias("n"))
-        made[f"_{k.name}_g"] = F.when(on, F.transform(gaps, shown if left else plain))
+        made[f"_{k.name}_g"] = F.when(on, F.transform(gaps, lambda g: F.struct(F.length(g).alias("n"))))
     found = rows.select(*keep, *[c.alias(n) for n, c in made.items()])
 
     def taken(k: Kind) -> Column:
         return F.transform(f"_{k.name}_m", lambda m, i: F.get(f"_{k.name}_g", i)["n"] + F.length(m)).alias(f"_{k.name}_n")
 
     found = found.select("*", *[taken(k) for k in kinds])
-    found = found.select("*", *[running_sums(F.col(f"_{k.name}_n"), F.size(f"_{k.name}_n")).alias(f"_{k.name}_s") for k in kinds])
+    found = found.select("*", *[running_sums(F.col(f"_{k.name}_n")).alias(f"_{k.name}_s") for k in kinds])
 
     def span(k: Kind) -> Column:
         def one(m: Column, i: Column) -> Column:
@@ -89,7 +117,6 @@ def locate(rows: DataFrame, kinds: list[Kind], text: str = "_t", left: bool = Fa
             return F.struct(
                 start.alias("start"), (start + F.length(m)).alias("end"), m.alias("match"),
                 (F.get(f"_{k.name}_v", i) if k.group else m).alias("value"),
-                *([gap["left"].alias("left")] if left else []),
             )
 
         return F.transform(f"_{k.name}_m", one).alias(k.name)

@@ -65,3 +65,16 @@ def test_trusted_pattern_discovers_identifiers(spark):
 
 def test_empty_table(spark):
     assert bp.digest(bp.scan(frame(spark, []))).count() == 0
+
+
+def test_context_reaches_across_earlier_identifiers(spark):
+    texts = [f"you can call me at +1 555 010 {1000 + i} or +1 555 011 {1000 + i} today" for i in range(8)]
+    texts += ["call me at 555-010-7777 or 555-010-8888", "call me at 20240011 , 7 or 555-010-9999 now"]
+    texts += [f"ask{' ' * 90}about{' ' * 90}x{i}@y.org" for i in range(4)] + ["ask about 31337-31337"]
+    texts += ["w" * 5000 + " near" + " 20240011" * 600]
+    found = bp.find(frame(spark, texts), "text", ["doc_id"]).collect()
+    told = {r["_carry"]["doc_id"]: [e["pattern"] for e in sorted(r["leads"], key=lambda e: e["start"])] for r in found}
+    assert told[8] == ["me at", "at or"] and told[9] == ["me at", ", or"] and told[14] == ["ask about"]
+    assert len(told[15]) == 600 and set(told[15]) == {hashlib.sha256(b"w" * 5000).hexdigest() + " near"}
+    spans = {r["doc_id"]: r["spans"] for r in bp.digest(bp.scan(frame(spark, texts))).collect()}
+    assert spans[8] == "context:11:23,context:27:39" and spans[14] == "context:10:21"
