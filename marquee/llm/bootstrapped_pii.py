@@ -25,11 +25,13 @@ BASE = [
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", probe=r"[0-9](?:[\x20-]?[0-9]){13}"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", probe=r"\+[0-9]"),
 ]
-# Identifier-like: one run of letters, digits and joining marks with four digits or more.
-_JOINED = r"[A-Za-z@._%+/-]"
+# Identifier-like: one whole run of letters, digits and joining marks with four digits or more.  A run is
+# entered at its start only and the loops are possessive; its value begins behind the marks in front.
+_MARKS = "@._%+/-"
+_JOINED = rf"[A-Za-z{_MARKS}]"
 LIKE = Kind(
-    "like", rf"(?<![A-Za-z0-9])(?=[A-Za-z0-9])(?:{_JOINED}{{0,24}}[0-9]){{4}}[A-Za-z0-9@._%+/-]{{0,40}}",
-    probe=rf"[0-9](?:{_JOINED}{{0,24}}[0-9]){{3}}",
+    "like", rf"(?<![A-Za-z0-9{_MARKS}])[{_MARKS}]*+(?=(?:{_JOINED}*+[0-9]){{4}})[A-Za-z0-9{_MARKS}]++",
+    probe=rf"[0-9](?:{_JOINED}*+[0-9]){{3}}",
 )
 ORDER = {"email": 0, "ip": 1, "card": 2, "phone": 3, "context": 4}
 # A pattern is trusted with this score and so many different believed identifiers.
@@ -59,7 +61,13 @@ def _octet(part: Column) -> Column:
 
 def _filtered() -> dict[str, Column]:
     digits = lambda s, others: F.translate(s["match"], others, "")
+
+    def bare(s: Column) -> Column:
+        value = F.ltrim(s["match"], F.lit(_MARKS))
+        return F.struct((s["end"] - F.length(value)).alias("start"), s["end"].alias("end"), value.alias("match"))
+
     return {
+        "like": F.transform("like", bare),
         "email": F.col("email"),
         "ip": F.filter("ip", lambda s: F.forall(F.split(s["match"], r"\."), _octet)),
         "card": F.filter("card", lambda s: _luhn(digits(s, " -"))),
@@ -103,7 +111,7 @@ def find(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
     Seeds are pattern and value of the base spans; leads are identifier-like runs outside them.
     """
     rows = docs.select(F.struct(*carry).alias("_carry"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
-    found = locate(rows, [*BASE, LIKE]).select("_carry", "_t", "like", *[c.alias(n) for n, c in _filtered().items()])
+    found = locate(rows, [*BASE, LIKE]).select("_carry", "_t", *[c.alias(n) for n, c in _filtered().items()])
 
     def mark(kind: str) -> Column:
         return F.transform(kind, lambda s: F.struct(

@@ -78,3 +78,14 @@ def test_context_reaches_across_earlier_identifiers(spark):
     assert len(told[15]) == 600 and set(told[15]) == {hashlib.sha256(b"w" * 5000).hexdigest() + " near"}
     spans = {r["doc_id"]: r["spans"] for r in bp.digest(bp.scan(frame(spark, texts))).collect()}
     assert spans[8] == "context:11:23,context:27:39" and spans[14] == "context:10:21"
+
+
+def test_identifier_like_runs_are_whole(spark):
+    run = re.compile(r"(?<![A-Za-z0-9@._%+/-])[@._%+/-]*([A-Za-z0-9][A-Za-z0-9@._%+/-]*)")
+    texts = ["0123456789abcdef" * 4, "user jonathan.alexander.fitzgerald.1234 x", "--é12345/-_- " + "ab." * 40 + "1.2.3.4x5", "/" * 50 + "a1b2c3", "2024" * 3]
+    texts += ["a." * 30_000, "a." * 30_000 + "1234", "1a" * 30_000, "/" * 60_000]
+    for r in bp.find(frame(spark, texts), "text", ["doc_id"]).collect():
+        text = texts[r["_carry"]["doc_id"]]
+        want = {m.span(1) for m in run.finditer(text) if sum(c.isdigit() for c in m[1]) >= 4}
+        base = [(b["start"], b["end"]) for b in r["base"]]
+        assert {(e["start"], e["end"]) for e in r["leads"]} == {(s, e) for s, e in want if not any(b < e and s < f for b, f in base)}
