@@ -26,8 +26,10 @@ SHARD_BYTES = 64 << 20
 QUERY_ROWS = 1_024
 LINKS = 12
 BEAM = 32
-# An audit asks so many of a block's vectors by brute force and wants this share of their links found.
+# An audit asks a block's vectors by brute force, so many at once, until so many with links were seen (or
+# all were asked), and wants this share of their links found, on average over those vectors.
 AUDIT_ROWS = 48
+AUDIT_LINKED = 48
 AUDIT_RECALL = 0.99
 
 
@@ -139,24 +141,39 @@ class Graph:
         return np.array([i for s, i in self.walk(q, start, 0, beam, least) if s >= least], np.int64)
 
 
-def search_block(graph: Graph, queries: np.ndarray, least: float, beam: int = BEAM) -> tuple[list[np.ndarray], int, float]:
+def _exact(x: np.ndarray, queries: np.ndarray, least: float) -> list[np.ndarray]:
+    """All nodes with a cosine of ``least`` or more, for each query: a matrix product proposes, the cosine decides."""
+    near = queries @ x.T >= least - 1e-9
+    return [c[x[c] @ q >= least] for q, c in zip(queries, map(np.flatnonzero, near), strict=True)]
+
+
+def search_block(graph: Graph, queries: np.ndarray, least: float, beam: int = BEAM, own: np.ndarray | None = None) -> tuple[list[np.ndarray], int, float]:
     """``(links of each query, beam, audited recall)``; the beam doubles until the audit passes.
 
-    A beam as wide as the shard is brute force, so the loop ends.
+    Recall is the mean over the audited queries that have links, so one with thousands counts once; ``own``
+    is each query's node in the graph (-1: none), which is no link.  Audited queries keep their exact links.
+    A block audited to its end, or a beam as wide as the shard, is brute force, so the loop ends.
     """
-    audit = np.linspace(0, len(queries) - 1, min(AUDIT_ROWS, len(queries))).astype(int)
-    truth = [np.flatnonzero(graph.x @ queries[i] >= least) for i in audit]
-    total = sum(map(len, truth))
-    while True:
-        if beam >= len(graph.x):
-            return [np.flatnonzero(graph.x @ q >= least) for q in queries], beam, 1.0
-        sampled = {int(i): graph.search(queries[i], beam, least) for i in audit}
-        hit = sum(len(np.intersect1d(t, sampled[int(i)])) for i, t in zip(audit, truth, strict=True))
-        recall = hit / total if total else 1.0
+    own = np.full(len(queries), -1) if own is None else own
+    truth: dict[int, np.ndarray] = {}
+    linked: dict[int, np.ndarray] = {}
+    order = np.random.default_rng(7).permutation(len(queries))
+    for at in range(0, len(order), AUDIT_ROWS):
+        rows = order[at : at + AUDIT_ROWS]
+        truth |= zip(rows.tolist(), _exact(graph.x, queries[rows], least), strict=True)
+        linked = {i: others for i, t in truth.items() if len(others := t[t != own[i]])}
+        if len(linked) >= AUDIT_LINKED:
+            break
+    while len(truth) < len(queries) and beam < len(graph.x):
+        recall = np.mean([np.isin(t, graph.search(queries[i], beam, least)).mean() for i, t in linked.items()])
         if recall >= AUDIT_RECALL:
-            found = [sampled[i] if i in sampled else graph.search(q, beam, least) for i, q in enumerate(queries)]
-            return found, beam, recall
+            return [truth[i] if i in truth else graph.search(q, beam, least) for i, q in enumerate(queries)], beam, float(recall)
         beam *= 2
+    rest = [i for i in range(len(queries)) if i not in truth]
+    for at in range(0, len(rest), AUDIT_ROWS):
+        rows = rest[at : at + AUDIT_ROWS]
+        truth |= zip(rows, _exact(graph.x, queries[rows], least), strict=True)
+    return [truth[i] for i in range(len(queries))], max(beam, len(graph.x)), 1.0
 
 
 def _forest(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -197,11 +214,14 @@ def _ask(cosine: float):
         own, own_ids, _ = pickle.loads(row["asker"])
         block = slice(int(row["block"]) * QUERY_ROWS, (int(row["block"]) + 1) * QUERY_ROWS)
         own_ids = own_ids[block]
-        found, _, _ = search_block(graph, own["x"][block], cosine)
+        place = np.minimum(np.searchsorted(ids, own_ids), len(ids) - 1)
+        place[ids[place] != own_ids] = -1
+        found, _, recall = search_block(graph, own["x"][block], cosine, own=place)
         others = [f[ids[f] != i] for f, i in zip(found, own_ids, strict=True)]
         edges = _forest([(int(i), int(j)) for i, f in zip(own_ids, others, strict=True) for j in ids[f]])
         counts = [(int(i), int(copies[f].sum()), None) for i, f in zip(own_ids, others, strict=True)]
-        return pd.DataFrame(counts + [(a, None, b) for a, b in edges], columns=["id", "n", "other"]).astype("Int64")
+        rows = pd.DataFrame(counts + [(a, None, b) for a, b in edges], columns=["id", "n", "other"]).astype("Int64")
+        return rows.assign(recall=recall)
 
     return ask
 
@@ -215,7 +235,7 @@ def find(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id", vector
     reachable, ``kept`` says that it is the row's own.  A vector that is null, zero, or holds null or
     non-finite numbers, or whose label is null, links with nothing.  Equal vectors are one node with a
     weight, so copies are never paired.  Repeated keys stay rows of their own; a null key counts as larger
-    than any other.  Audited recall of each block is at least 0.99.
+    than any other.  A block's recall is at least 0.99 on average over the audited rows that have links.
     """
     rows = materialise(vectors.select(
         F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("key"), F.col(label).cast("string").alias("label"),
@@ -238,7 +258,7 @@ def find(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id", vector
     blocks = F.sequence(F.lit(0), F.ceil(F.col("rows") / F.lit(QUERY_ROWS)).cast("int") - 1)
     askers = graphs.select("label", "dim", F.col("shard").alias("from"), F.col("graph").alias("asker"), F.explode(blocks).alias("block"))
     tasks = graphs.drop("rows").join(askers, ["label", "dim"])
-    answers = materialise(tasks.groupBy("label", "dim", "shard", "from", "block").applyInPandas(_ask(cosine), "id long, n long, other long"), "answers")
+    answers = materialise(tasks.groupBy("label", "dim", "shard", "from", "block").applyInPandas(_ask(cosine), "id long, n long, other long, recall double"), "answers")
     linked = answers.where("n IS NOT NULL").groupBy("id").agg(F.sum("n").alias("n"))
     found = components(answers.where("other IS NOT NULL").select(F.col("id").alias("a"), F.col("other").alias("b")))
     placed = nodes.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))

@@ -104,3 +104,31 @@ def test_vectors(spark, shard_rows):
 
 def test_no_vectors(spark):
     assert hnsw_dedup.find(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+class Narrow(hnsw_dedup.Graph):
+    """Finds hot groups at any beam, links of pairs from a beam of 128 on only."""
+
+    def search(self, q, beam, least):
+        found = np.flatnonzero(self.x @ q >= least)
+        return found if len(found) > 100 or beam >= 128 else found[:1]
+
+
+def unit(x):
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_audit_counts_hot_rows_once_and_looks_for_linked_rows():
+    rng = np.random.default_rng(3)
+    hot = unit(np.ones((1, 32)) + rng.normal(0, 0.001, (400, 32)))
+    pairs = np.repeat(unit(rng.normal(size=(312, 32))), 2, axis=0) + rng.normal(0, 0.001, (624, 32))
+    x = unit(np.concatenate([hot, pairs]))[rng.permutation(1024)]
+    graph = Narrow.restored({"x": x})
+    found, beam, recall = hnsw_dedup.search_block(graph, x, 0.98, own=np.arange(1024))
+    assert recall >= 0.99 and beam >= 128
+    assert all(np.array_equal(f, np.flatnonzero(x @ q >= 0.98)) for f, q in zip(found, x, strict=True))
+    # Another shard: twelve of 1,024 queries have a link there.
+    other = np.concatenate([unit(rng.normal(size=(1012, 32))), x[:12]])[rng.permutation(1024)]
+    found, _, recall = hnsw_dedup.search_block(graph, other, 0.98)
+    assert recall == 1.0
+    assert all(np.array_equal(f, np.flatnonzero(x @ q >= 0.98)) for f, q in zip(found, other, strict=True))
