@@ -76,31 +76,34 @@ def find(docs: DataFrame, text: str = "text", carry: list[str] | None = None) ->
 
 
 def link(found: DataFrame, scope: int = SCOPE_CHARS) -> DataFrame:
-    """``(row, linked)``: weak parts whose complements start within ``scope`` characters, as spans.
+    """``(row, linked)``: weak parts with their complements at most ``scope`` characters away, as spans.
 
     An identifier needs a secret; a secret needs an identifier; an endpoint needs both.  Certain spans are
-    complements too.  Places are joined by row and scope-wide bin (each part looks into its own bin and
-    the two beside it), so a long text is spread over bins and no list of parts is compared with itself.
+    complements too.  The distance is that from the end of one part to the start of the other.  Parts are
+    joined by row and scope-wide bin (each is in all bins that it touches and looks into those within its
+    scope), so a long text is spread over bins and no list of parts is compared with itself.
     What is asked of a bin is whether it holds a role near enough; roles are joined, never pairs of parts
-    kept.  A weak part that overlaps a certain span is dropped, it is reported already.
+    kept.  A weak part that one certain span contains is dropped, it is reported already.
     """
     weak = found.where(F.size("parts") > 0).select("row", F.explode("parts").alias("p")).select("row", "p.*", F.lit(True).alias("weak"))
     role = F.element_at(F.create_map(*[F.lit(x) for kv in BASE_ROLE.items() for x in kv]), F.col("b.kind"))
     sure = found.where((F.size("parts") > 0) & (F.size("base") > 0)).select("row", F.explode("base").alias("b")).select(
         "row", "b.start", "b.end", role.alias("role"), F.lit(False).alias("weak")
     )
-    parts = weak.union(sure).withColumn("bin", F.floor(F.col("start") / scope).cast("int"))
+    parts = weak.union(sure)
+    bins = lambda start, end: F.explode(F.sequence(F.floor(start / scope).cast("int"), F.floor(end / scope).cast("int"))).alias("bin")
     seen = parts.select(
-        "row", F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)).alias("bin"),
+        "row", bins(F.col("start") - scope, F.col("end") + scope),
         F.col("start").alias("o_start"), F.col("end").alias("o_end"), F.col("role").alias("o_role"), F.col("weak").alias("o_weak"),
     )
-    asked = parts.where("weak").drop("weak")
-    near = F.abs(F.col("start") - F.col("o_start")) <= scope
+    asked = weak.select("row", "start", "end", "role", bins(F.col("start"), F.col("end")))
+    near = F.greatest(F.col("o_start") - F.col("end"), F.col("start") - F.col("o_end")) <= scope
     over = (F.col("o_start") < F.col("end")) & (F.col("start") < F.col("o_end"))
+    inside = (F.col("o_start") <= F.col("start")) & (F.col("end") <= F.col("o_end"))
     met = asked.join(seen, ["row", "bin"]).where(near).groupBy("row", "start", "end", "role").agg(
         F.bool_or((F.col("o_role") == "id") & ~over).alias("id"),
         F.bool_or((F.col("o_role") == "secret") & ~over).alias("secret"),
-        F.bool_or(over & ~F.col("o_weak")).alias("covered"),
+        F.bool_or(inside & ~F.col("o_weak")).alias("covered"),
     )
     told = F.when(F.col("role") == "id", F.col("secret")).when(F.col("role") == "secret", F.col("id")).otherwise(F.col("id") & F.col("secret"))
     kind = F.concat(F.lit("linked_"), F.col("role"))

@@ -63,3 +63,20 @@ def test_redaction_keeps_rows_columns_and_plain_text(spark):
 
 def test_empty_table(spark):
     assert ls.digest(ls.scan(frame(spark, []))).count() == 0
+
+
+def test_long_parts_are_near_their_neighbours(spark):
+    jwt, path = "eyJ" + "aB3." * 150, "https://db.example.org/" + "p" * 300
+    texts = [
+        f"auth: {jwt} user_name: bob", f"url={path} user=bob pwd=hunt3r", f"user=bob{' ' * 256}pwd=hunt3r", f"user=bob{' ' * 257}pwd=hunt3r",
+        "https://x/y?token=abcdefgh12 user=bob pwd=hunt3r", 'login=bob password="abcdefgh!xyz"', 'login=bob password="abcdefgh"',
+    ]
+    spans = {r["doc_id"]: r["spans"] for r in ls.digest(ls.scan(frame(spark, texts))).collect()}
+    assert spans[0] == f"linked_secret:0:{6 + len(jwt)},linked_id:{7 + len(jwt)}:{21 + len(jwt)}"
+    end = 4 + len(path)
+    assert spans[1] == f"linked_endpoint:4:{end},linked_id:{end + 1}:{end + 9},linked_secret:{end + 10}:{end + 20}"
+    assert spans[2] == "linked_id:0:8,linked_secret:264:274" and spans[3] == ""
+    assert spans[4] == "linked_endpoint:0:28,assign:12:28,linked_id:29:37,linked_secret:38:48"
+    assert spans[5] == "linked_id:0:9,assign:10:28,linked_secret:10:32" and spans[6] == "linked_id:0:9,assign:10:28"
+    out = {r["doc_id"]: r["text"] for r in ls.redacted(frame(spark, texts)).collect()}
+    assert out[1] == "url=[LINKED_ENDPOINT] [LINKED_ID] [LINKED_SECRET]" and out[5] == '[LINKED_ID] [ASSIGN]"'
