@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.session import materialise
@@ -96,3 +96,17 @@ def _fingerprint(edges: DataFrame) -> tuple:
     """Count and order-free hashes of an edge list."""
     row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a", F.lit(7)))).first()
     return tuple(row)
+
+
+def ranked(df: DataFrame, order: list[Column], name: str = "ranked") -> DataFrame:
+    """``df`` with ``rank``: 1, 2, 3, ... in ``order`` over all rows, which no task sees together.
+
+    Rows are laid out in ranges of the order and numbered within them, after as many as earlier ranges hold.
+    End ``order`` with a column that is unique, else rows that compare as equal stay in one range.
+    """
+    placed = materialise(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), name)
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range goes through one task.
+    starts = placed.groupBy("_range").agg(F.count("*").alias("n")).select("_range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_start"))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return placed.withColumn("rank", own).join(starts, "_range").withColumn("rank", F.col("rank") + F.col("_start")).drop("_range", "_start")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bootstrapped_pii, bpe_tree, budget_mix, chat_collapse, hnsw_dedup, langid_ftrl, linked_secrets, minhash_bbit, quality_knn, rule_ledger
+from marquee.llm import bootstrapped_pii, bpe_tree, budget_mix, chat_collapse, filter_audit, hnsw_dedup, langid_ftrl, linked_secrets, minhash_bbit, quality_knn, rule_ledger, target_resample, topk_threshold
 from marquee.llm.registry import CHECK_SQL, QUERIES, query, table  # noqa: F401
 
 OP3_SQL = r"""
@@ -178,3 +178,115 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_personal_data")
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bootstrapped_pii.digest(bootstrapped_pii.scan(table(spark, sf_dir, "documents")))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+    doc_id > min(doc_id) OVER (PARTITION BY t) AS repeated FROM d
+), l AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), m AS (
+  SELECT part, (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(repeated, false)::INT AS mask,
+    coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+  FROM w LEFT JOIN l USING (doc_id)
+), c AS (
+  SELECT part, mask, count(*) AS docs, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL
+), f AS (
+  SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(name, bit)
+), o AS (
+  SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e WHERE (a.bit | b.bit | c.bit | d.bit | e.bit) = 31
+), s AS (
+  SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+  FROM o, (SELECT unnest(range(1, 6)) AS step)
+), r AS (
+  SELECT part, filter_order, step, own,
+    sum(CASE WHEN mask & (own | before) = 0 THEN docs ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN docs ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & own <> 0 AND mask & before <> 0 THEN docs ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = own THEN docs ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM c, s GROUP BY ALL
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM r
+"""
+
+
+@query("op11_filter_audit", OP11_SQL)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE tab AS (
+  SELECT i, i AS c, 0 AS step FROM range(256) AS r(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM tab WHERE step < 8
+), lut AS (
+  SELECT list(c ORDER BY i) AS t FROM tab WHERE step = 8
+), texts AS (
+  SELECT 'd' AS kind, row_number() OVER () AS row, doc_id, text FROM documents
+  UNION ALL SELECT 't', row_number() OVER (), item_id, text FROM benchmark
+), words AS (
+  SELECT kind, row, unnest(list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS word
+  FROM texts
+), bytes AS (
+  SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM words)
+), hashed AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM bytes, lut
+), found AS (
+  SELECT kind, row, bucket, count(*) AS n FROM words JOIN hashed USING (word) GROUP BY ALL
+), sums AS (
+  SELECT bucket, coalesce(sum(n) FILTER (kind = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (kind = 't'), 0)::DOUBLE AS t FROM found GROUP BY bucket
+), totals AS (
+  SELECT sum(s) AS s_all, sum(t) AS t_all FROM sums
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000))))::BIGINT AS gain FROM sums, totals
+), weighed AS (
+  SELECT row, sum(n)::BIGINT AS n_features, floor(sum(n * gain) / sum(n)::DOUBLE)::BIGINT AS weight
+  FROM found JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY row
+), scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM texts LEFT JOIN weighed USING (row) WHERE kind = 'd'
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+    count(*) OVER (PARTITION BY n_features >= 20) AS able FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= (10 * able) // 100 THEN place END AS rank FROM placed
+"""
+
+
+@query("op12_target_resample", OP12_SQL)
+def op12_target_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target_resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query("op13_exact_topk", OP13_SQL)
+def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_threshold.search(table(spark, sf_dir, "embeddings"))
