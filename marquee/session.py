@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import contextvars
 import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SCOPE: contextvars.ContextVar[Scratch | None] = contextvars.ContextVar("scratch", default=None)
+
 
 def get_session(app: str = "marquee", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators assume; explicit ``conf`` entries win."""
@@ -50,6 +56,51 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+class Scratch:
+    """The scratch tables written since a ``scratch_scope`` began."""
+
+    def __init__(self, outer: Scratch | None) -> None:
+        self.outer, self.paths = outer, []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df``; the tables that it still reads outlive this scope and fall to the one around it."""
+        read = {_table_name(f) for f in df.inputFiles()}
+        kept = [p for p in self.paths if _table_name(p) in read]
+        self.paths = [p for p in self.paths if p not in kept]
+        if self.outer is not None:
+            self.outer.paths += kept
+        return df
+
+
+def _table_name(path: str) -> str:
+    """What names a scratch table in the path of one of its files."""
+    found = re.search(r"/marquee/([^/]+-[0-9a-f]{32})(/|$)", unquote(path))
+    return found[1] if found else path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[Scratch]:
+    """Deletes the scratch tables written inside, but for those that ``keep`` names.
+
+    For a step whose result is written, or reads few of the tables made on its way.  Scopes nest; without
+    any, tables stay until the shared folder is cleared.
+    """
+    scope = Scratch(_SCOPE.get())
+    token = _SCOPE.set(scope)
+    try:
+        yield scope
+    finally:
+        _SCOPE.reset(token)
+        for path in scope.paths:
+            delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a table of the shared folder, wherever that is kept."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/marquee/{name}-{uuid.uuid4().hex}"
 
@@ -58,9 +109,11 @@ def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None)
     """Write ``df`` as a Parquet table in shared storage and read it back.
 
     Cuts lineage (a lost executor re-reads the table, not the whole history) and gives the planner
-    real file sizes for its join choices.
+    real file sizes for its join choices.  Inside a ``scratch_scope`` the table goes when the scope ends.
     """
     path = scratch_path(df.sparkSession, name)
+    if (scope := _SCOPE.get()) is not None:
+        scope.paths.append(path)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
