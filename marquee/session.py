@@ -13,6 +13,10 @@ from collections.abc import Iterator
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Rows of a slim table (keys and a few numbers) that may be sent to every task.
+MOST_ROWS_SENT = 500_000
 
 _SCOPE: contextvars.ContextVar[Scratch | None] = contextvars.ContextVar("scratch", default=None)
 
@@ -29,6 +33,8 @@ def get_session(app: str = "marquee", master: str | None = None, **conf: str) ->
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # Terms and keys asked for are pushed to the scan one by one up to this many.
+        "spark.sql.parquet.pushdown.inFilterThreshold": "500",
         # Ranks up to this are cut in each task before rows are shuffled by group.
         "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     }
@@ -71,6 +77,13 @@ class Scratch:
             self.outer.paths += kept
         return df
 
+    def drop(self, df: DataFrame) -> None:
+        """Delete the tables of this scope that ``df`` reads, now."""
+        read = {_table_name(f) for f in df.inputFiles()}
+        for path in [p for p in self.paths if _table_name(p) in read]:
+            self.paths.remove(path)
+            delete_path(df.sparkSession, path)
+
 
 def _table_name(path: str) -> str:
     """What names a scratch table in the path of one of its files."""
@@ -119,3 +132,8 @@ def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None)
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sent_if_few(rows: DataFrame, most: int = MOST_ROWS_SENT) -> DataFrame:
+    """A stored slim table, marked to be sent to all tasks if it has at most ``most`` rows."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows

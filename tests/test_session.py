@@ -30,6 +30,8 @@ def test_scopes_nest(spark):
             materialise(spark.range(3), "gone")
         assert kept.count() == 3 and len(tables(spark) - before) == 1
         last = outer.keep(materialise(kept, "last"))
+        outer.drop(kept)
+        assert len(tables(spark) - before) == 1
     assert last.count() == 3 and len(tables(spark) - before) == 1
     with pytest.raises(ZeroDivisionError), scratch_scope(spark):
         materialise(spark.range(3), "lost")
