@@ -203,8 +203,8 @@ def filter_audit(docs: DataFrame, labels: DataFrame, text: str = "text", part: s
 
     Null and empty texts fail the first filter only (and the last, if a smaller key is empty too).  Very
     long texts are measured whole, one at a time.  Null parts count as the empty one; other columns are
-    not read.  An empty table has no parts and gives no rows; a document without labels is neither good
-    nor toxic.
+    not read.  An empty table has no parts and gives no rows; a document without labels, or
+    with a null key, is neither good nor toxic.
     """
     rows = masks(docs, text, part, key)
     return audit(mask_counts(rows, labels.select(F.col(key).alias("doc_id"), "quality", "toxic")))
