@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Terms up to this length are matched by deletion keys, longer ones by segments.
+# Terms up to this length are matched by keys of their halves, longer ones by segments.
 DELETION_MAX = 16
 
 
@@ -62,23 +62,47 @@ def variants(term: Column, edits: Column) -> Column:
     )
 
 
-def deletions(rows: DataFrame, term: str, drops: Column) -> DataFrame:
-    """Each row once per way to leave out up to ``drops`` (at most 2) characters: adds ``key, dropped``.
+def _left_out(text: Column, i: Column) -> Column:
+    """``text`` without its ``i``-th character; all of it for 0."""
+    return F.when(i == 0, text).otherwise(F.concat(F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.length(text))))
 
-    Two terms within that many plain edits share a key.  Positions are exploded rather than handled
-    inside array functions, so the string work is compiled.
+
+def half_keys(terms: DataFrame, term: str = "term") -> DataFrame:
+    """Each term once per way to leave out at most one character of one of its halves: adds ``size, key``.
+
+    Of two edits one half takes one at most, so a near text has a prefix or suffix that shares a key with
+    that half.  Terms under four characters are never two edits away and keep their halves whole.
+    Positions are exploded rather than handled inside array functions, so the string work is compiled.
+    """
+    n = F.length(term)
+    rows = terms.select("*", n.alias("size"), F.explode(F.array(F.lit(0), F.lit(1))).alias("_side"))
+    middle = F.floor(n / 2).cast("int")
+    half = F.when(F.col("_side") == 0, F.substring(term, F.lit(1), middle)).otherwise(F.substring(term, middle + 1, n))
+    rows = rows.withColumn("_half", half)
+    rows = rows.withColumn("_i", F.explode(F.sequence(F.lit(0), F.when(n >= 4, F.length("_half")).otherwise(0))))
+    key = F.xxhash64("size", "_side", _left_out(F.col("_half"), F.col("_i")))
+    return rows.withColumn("key", key).drop("_side", "_half", "_i")
+
+
+def half_probes(forms: DataFrame, form: str = "form", budget: str = "budget", longest: int = DELETION_MAX) -> DataFrame:
+    """Keys of `half_keys` under which every term within ``budget`` plain edits of ``form`` is found: adds ``size, key``.
+
+    A half that takes no edit begins or ends the form as it is; one that takes an edit is up to one
+    character longer or shorter there.
     """
-    text, n = F.col(term), F.length(term)
-    i, j = F.col("_i"), F.col("_j")
-    rows = rows.withColumn("_d", drops)
-    rows = rows.withColumn("_i", F.explode(F.sequence(F.lit(0), F.when(F.col("_d") > 0, n).otherwise(0))))
-    rows = rows.withColumn("_j", F.explode(F.sequence(i, F.when((F.col("_d") > 1) & (i > 0), n).otherwise(i))))
-    part = lambda start, size: F.substring(text, start, size)
-    one = F.concat(part(F.lit(1), i - 1), part(i + 1, n))
-    two = F.concat(part(F.lit(1), i - 1), part(i + 1, j - i - 1), part(j + 1, n))
-    key = F.when(i == 0, text).when(i == j, one).otherwise(two)
-    dropped = F.when(i == 0, 0).when(i == j, 1).otherwise(2)
-    return rows.withColumns({"key": F.xxhash64(key), "dropped": dropped}).drop("_d", "_i", "_j")
+    m, b = F.length(form), F.col(budget)
+    rows = forms.withColumn("size", F.explode(F.sequence(m - b, m + b))).where(F.col("size").between(1, longest))
+    rows = rows.withColumn("_side", F.explode(F.array(F.lit(0), F.lit(1))))
+    middle = F.floor(F.col("size") / 2).cast("int")
+    spare = F.when(b > 1, 1).otherwise(0)
+    rows = rows.withColumn("_own", F.when(F.col("_side") == 0, middle).otherwise(F.col("size") - middle))
+    rows = rows.withColumn("_l", F.explode(F.sequence(F.col("_own") - spare, F.col("_own") + spare)))
+    rows = rows.where(F.col("_l").between(0, m))
+    piece = F.when(F.col("_side") == 0, F.substring(form, F.lit(1), F.col("_l"))).otherwise(F.substring(form, m - F.col("_l") + 1, F.col("_l")))
+    rows = rows.withColumn("_piece", piece)
+    rows = rows.withColumn("_i", F.explode(F.sequence(F.lit(0), F.when(b > 1, F.col("_l")).otherwise(0))))
+    key = F.xxhash64("size", "_side", _left_out(F.col("_piece"), F.col("_i")))
+    return rows.withColumn("key", key).drop("_side", "_own", "_l", "_piece", "_i")
 
 
 def segments(term: Column, parts: int) -> Column:

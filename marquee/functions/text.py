@@ -76,14 +76,29 @@ def ascii_fold(col: Column) -> Column:
     return F.when(F.length(col) == F.octet_length(col), col).otherwise(folded)
 
 
+def _once(value: Column, use) -> Column:
+    """``use`` of ``value``, worked out once however often ``use`` reads it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _word_lines(col: Column) -> Column:
+    """The words of a text joined by line ends, which no word holds; words over 255 characters are cut.
+
+    One text instead of an array lets the later steps pass over all words at once.
+    """
+    cut = lambda j: F.when(
+        j.rlike(rf"[^\n]{{{MAX_TOKEN_CHARS + 1}}}"), F.regexp_replace(j, rf"([^\n]{{{MAX_TOKEN_CHARS}}})(?=[^\n])", "$1\n")
+    ).otherwise(j)
+    return _once(F.array_join(F.regexp_extract_all(col, F.lit(_WORD), F.lit(0)), "\n"), cut)
+
+
+def _lines(joined: Column) -> Column:
+    return F.filter(F.split(joined, "\n"), lambda t: t != "")
+
+
 def tokenize(col: Column) -> Column:
     """Unicode words of a text, in order; words over 255 characters are cut into pieces."""
-    words = F.regexp_extract_all(col, F.lit(_WORD), F.lit(0))
-    pieces = F.flatten(
-        F.transform(words, lambda w: F.regexp_extract_all(w, F.lit(rf"(?s).{{1,{MAX_TOKEN_CHARS}}}"), F.lit(0)))
-    )
-    too_long = F.exists(words, lambda w: F.length(w) > MAX_TOKEN_CHARS)
-    return F.when(F.length(col) <= MAX_TOKEN_CHARS, words).when(too_long, pieces).otherwise(words)
+    return _lines(_word_lines(col))
 
 
 def fold_tokens(tokens: Column) -> Column:
@@ -91,7 +106,7 @@ def fold_tokens(tokens: Column) -> Column:
 
     Folding follows tokenising, so a letter that folds to several stays one token.
     """
-    return F.filter(F.split(ascii_fold(F.lower(F.array_join(tokens, "\n"))), "\n"), lambda t: t != "")
+    return _lines(_once(F.lower(F.array_join(tokens, "\n")), ascii_fold))
 
 
 def drop_possessive(tokens: Column) -> Column:
@@ -124,58 +139,48 @@ def stem_tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.ListArray.from_arrays(offsets, stems.take(coded.indices), mask=tokens.is_null())
 
 
-@F.arrow_udf(
-    T.StructType(
-        [
-            T.StructField("dl", T.IntegerType()),
-            T.StructField(
-                "terms",
-                T.ArrayType(
-                    T.StructType(
-                        [
-                            T.StructField("term", T.StringType()),
-                            T.StructField("tf", T.IntegerType()),
-                            T.StructField("head", T.BooleanType()),
-                        ]
-                    )
-                ),
-            ),
-        ]
-    )
-)
-def stem_counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Stems of each token list with their counts, and the list's length.
-
-    Counting here, while the list is at hand, spares a shuffle of one row per token.
+COUNTS_DDL = "struct<dl:int,terms:array<struct<term:string,tf:int,head:boolean>>>"
+
+
+def _counter(stemmed: bool):
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        memo: dict[str, str] = {}
+        for tokens in batches:
+            coded = tokens.flatten().dictionary_encode()
+            terms, codes = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+            if stemmed:
+                known = terms.to_pylist()
+                if len(memo) > STEM_MEMO:
+                    memo.clear()
+                for word in known:
+                    if word not in memo:
+                        memo[word] = stem_word(word)
+                stems = pa.array([memo[w] for w in known], pa.string()).dictionary_encode()
+                terms, codes = stems.dictionary, stems.indices.to_numpy().astype(np.int64)[codes]
+            lengths = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            rows = np.repeat(np.arange(len(lengths)), lengths)
+            width = max(len(terms), 1)
+            cells, first, counts = np.unique(rows * width + codes, return_index=True, return_counts=True)
+            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(lengths) else np.zeros(0, np.int64)
+            owners = cells // width
+            found = pa.StructArray.from_arrays(
+                [terms.take(pa.array(cells % width)), pa.array(counts.astype(np.int32)), pa.array(first == starts[owners])],
+                ["term", "tf", "head"],
+            )
+            offsets = np.searchsorted(owners, np.arange(len(lengths) + 1)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), found)
+            yield pa.StructArray.from_arrays([pa.array(lengths.astype(np.int32)), lists], ["dl", "terms"])
+
+    return count
+
+
+def term_counts(tokens: Column, stemmed: bool) -> Column:
+    """Distinct tokens (or their Porter stems) of each token list with their counts, and the list's length.
+
+    Counting here, while the list is at hand, spares an aggregation of one row per token.  ``head`` marks
+    the first token's.
     """
-    memo: dict[str, str] = {}
-    for tokens in batches:
-        coded = tokens.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        if len(memo) > STEM_MEMO:
-            memo.clear()
-        for word in words:
-            if word not in memo:
-                memo[word] = stem_word(word)
-        stems = pa.array([memo[w] for w in words], pa.string()).dictionary_encode()
-        codes = stems.indices.to_numpy()[coded.indices.to_numpy()].astype(np.int64)
-        lengths = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        rows = np.repeat(np.arange(len(lengths)), lengths)
-        width = max(len(stems.dictionary), 1)
-        cells, first, counts = np.unique(rows * width + codes, return_index=True, return_counts=True)
-        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(lengths) else np.zeros(0, np.int64)
-        owners = cells // width
-        terms = pa.StructArray.from_arrays(
-            [
-                stems.dictionary.take(pa.array(cells % width)),
-                pa.array(counts.astype(np.int32)),
-                pa.array(first == starts[owners]),
-            ],
-            ["term", "tf", "head"],
-        )
-        offsets = np.searchsorted(owners, np.arange(len(lengths) + 1)).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), terms)
-        yield pa.StructArray.from_arrays([pa.array(lengths.astype(np.int32)), lists], ["dl", "terms"])
+    return F.arrow_udf(_counter(stemmed), COUNTS_DDL)(tokens)
 
 
 def analyze(col: Column, option: str = "english_stem") -> Column:
@@ -187,13 +192,17 @@ def analyze(col: Column, option: str = "english_stem") -> Column:
 
 
 def words(col: Column, option: str) -> Column:
-    """Token array before stemming."""
-    tokens = fold_tokens(tokenize(F.coalesce(col, F.lit(""))))
-    if option == "standard":
-        return tokens
+    """Token array before stemming.
+
+    Everything up to the split works on one joined text, and each step reads the one before it once.
+    """
+    folded = _once(F.lower(_word_lines(F.coalesce(col, F.lit("")))), ascii_fold)
     if option == "english_stem":
-        tokens = drop_possessive(tokens)
-    return drop_stop_words(tokens)
+        folded = _once(folded, lambda j: F.when(j.contains("'s"), F.regexp_replace(j, r"'s(?=\n|\z)", "")).otherwise(j))
+    tokens = F.split(folded, "\n")
+    if option == "standard":
+        return F.filter(tokens, lambda t: t != "")
+    return F.filter(tokens, lambda t: ~t.isin("", *STOP_WORDS))
 
 
 def raw_keyword(col: Column, ignore_above: int = 512) -> Column:

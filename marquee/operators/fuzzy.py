@@ -1,66 +1,62 @@
 """Fuzzy term expansion: query terms to vocabulary terms within AUTO edit distance.
 
-Near pairs are found by equality on signatures (deletion keys for short terms, segments for long
-ones) and then verified, so the work follows the number of true neighbours, not the product of the
-two vocabularies.
+Near pairs are found by equality on spelling keys and then verified.  The keys of the vocabulary (a few
+for each character of a term) are a table of the index, written once; a search makes keys for its own
+terms only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.functions.edits import DELETION_MAX, allowed_edits, deletions, segment_probes, segments, variants
+from marquee.functions.edits import DELETION_MAX, allowed_edits, half_keys, half_probes, segment_probes, segments, variants
 from marquee.operators.dedup import top_n
-from marquee.session import materialise
+from marquee.session import materialise, sent_if_few
 
 _PARTS = 3
 
 
-def _piece_rows(rows: DataFrame, pieces: Column) -> DataFrame:
-    keyed = rows.withColumn("key", F.explode(pieces))
-    return keyed.withColumns({"key": F.xxhash64("key"), "dropped": F.lit(0)})
+def spelling_keys(terms: DataFrame) -> DataFrame:
+    """``(size, key, term)`` of each term of ``terms``: keys of halves for short terms, of pieces for long ones."""
+    n = F.length("term")
+    rows = terms.select("term").where(n > 0)
+    short = half_keys(rows.where(n <= DELETION_MAX)).select("size", "key", "term")
+    long = rows.where(n > DELETION_MAX).select(n.alias("size"), F.explode(segments(F.col("term"), _PARTS)).alias("piece"), "term")
+    return short.union(long.select("size", F.xxhash64("piece").alias("key"), "term"))
 
 
 def _query_keys(forms: DataFrame) -> DataFrame:
-    """Keys of query forms that may still take ``budget`` plain edits."""
-    long = (F.length("form") > DELETION_MAX) & (F.col("budget") > 0)
-    short = deletions(forms.where(~long), "form", F.col("budget"))
-    return short.unionByName(_piece_rows(forms.where(long), segments(F.col("form"), _PARTS)))
-
-
-def _vocabulary_keys(terms: DataFrame) -> DataFrame:
-    """Keys under which any query form within its budget would be found."""
-    n = F.length("term")
-    drops = F.when((n < 2) | (n > DELETION_MAX + 2), 0).when(n <= 3, 1).otherwise(2)
-    pieces = _piece_rows(terms.where(n >= DELETION_MAX - 1), segment_probes(F.col("term"), _PARTS))
-    return deletions(terms, "term", drops).unionByName(pieces)
+    """``forms`` once per key of a term that they may reach with ``budget`` plain edits."""
+    m = F.length("form")
+    short = half_probes(forms).select(*forms.columns, "key")
+    long = forms.where(m + F.col("budget") > DELETION_MAX)
+    pieces = long.select(*forms.columns, F.explode(segment_probes(F.col("form"), _PARTS)).alias("piece"))
+    return short.union(pieces.withColumn("piece", F.xxhash64("piece"))).distinct()
 
 
 def near_terms(query_terms: DataFrame, vocabulary: DataFrame, prefix_length: int = 0) -> DataFrame:
     """``(query_term, term, edits)`` for every vocabulary term within the allowance of a query term.
 
-    Swaps are spelt out on the query side, so one plain (and JVM-side) edit distance per candidate
-    decides; keys are compared by hash and a collision fails that test like any other candidate.
+    ``vocabulary`` is a table of spelling keys, or of bare terms, which then get their keys here.  Swaps
+    are spelt out on the query side, so one plain (and JVM-side) edit distance per candidate decides; a
+    hash collision fails that test like any other candidate.
     """
     terms = query_terms.select(F.col("term").alias("query_term")).distinct()
     terms = terms.withColumn("allowed", allowed_edits(F.col("query_term")))
     forms = terms.select("query_term", "allowed", F.explode(variants(F.col("query_term"), F.col("allowed"))).alias("v"))
     forms = forms.select("query_term", "v.form", "v.cost", (F.col("allowed") - F.col("v.cost")).alias("budget"))
-    # Stored, so that the planner knows its size when it joins.
-    keys = materialise(_query_keys(forms).drop("dropped").distinct(), "query-keys")
-
-    # Vocabulary terms of a length no query term can reach make no keys.
-    reach = terms.select(F.length("query_term").alias("n"), F.col("allowed").alias("k"))
-    reach = reach.select(F.explode(F.sequence(F.col("n") - F.col("k"), F.col("n") + F.col("k"))).alias("n")).distinct()
-    # One shuffle brings equal terms together; its width is fixed, as few bytes make much work here.
-    width = int(vocabulary.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    vocab = vocabulary.select("term").where(F.length("term") > 0).repartition(width, "term").distinct()
-    vocab = vocab.join(reach, F.length("term") == F.col("n"), "left_semi")
+    # Stored, so that its size is known before the join.
+    keys = materialise(_query_keys(forms), "query-keys")
+    if "key" not in vocabulary.columns:
+        vocabulary = spelling_keys(vocabulary.select("term").distinct())
+    # Sizes that no query term can reach are not read (there are at most 255 sizes).
+    reach = terms.select(F.explode(F.sequence(F.length("query_term") - F.col("allowed"), F.length("query_term") + F.col("allowed"))).alias("n"))
+    vocabulary = vocabulary.where(F.col("size").isin([r["n"] for r in reach.distinct().collect()]))
     if prefix_length:
         keys = keys.withColumn("prefix", F.substring("query_term", 1, prefix_length))
-        vocab = vocab.withColumn("prefix", F.substring("term", 1, prefix_length))
-    pairs = _vocabulary_keys(vocab).join(keys, ["key", "prefix"] if prefix_length else ["key"]).where(F.col("dropped") <= F.col("budget"))
+        vocabulary = vocabulary.withColumn("prefix", F.substring("term", 1, prefix_length))
+    pairs = vocabulary.join(sent_if_few(keys), ["key", "prefix"] if prefix_length else ["key"])
     plain = F.when(F.col("budget") == 2, F.levenshtein("form", "term", 2)).otherwise(F.levenshtein("form", "term", 1))
     pairs = pairs.withColumn("plain", F.when(F.col("form") == F.col("term"), 0).otherwise(plain))
     pairs = pairs.where(F.col("plain").between(0, F.col("budget")))
@@ -72,14 +68,15 @@ def expand_terms(
     term_stats: DataFrame,
     max_expansions: int | None = None,
     prefix_length: int = 0,
+    spelling: DataFrame | None = None,
 ) -> DataFrame:
     """``(field, query_term, term, df, edits, similarity, df_used)`` per field of ``term_stats``.
 
-    All near terms are kept, or of each query term and field the nearest ``max_expansions`` (order: edits,
+    ``spelling`` are the spelling keys of an index; without them, keys are made of all terms.  All near terms are kept, or of each query term and field the nearest ``max_expansions`` (order: edits,
     term).  ``similarity`` is 1 - edits / shorter length; ``df_used`` is the largest
     document frequency among the kept terms, so that a rare misspelling does not outscore the word.
     """
-    near = materialise(near_terms(query_terms, term_stats, prefix_length), "near")
+    near = materialise(near_terms(query_terms, term_stats if spelling is None else spelling, prefix_length), "near")
     found = term_stats.join(near, "term")
     group = ["field", "query_term"]
     if max_expansions:

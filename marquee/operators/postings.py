@@ -1,82 +1,121 @@
-"""Inverted index as three tables: postings, term statistics and field statistics."""
+"""Inverted index as tables: postings by document shard, term and field statistics, spelling keys.
+
+Postings are bucketed by document, so the terms of one document lie together: a search adds up scores and
+takes the best of each shard where the postings are read, and only those best are shuffled.
+"""
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.functions.text import stem_counts, words
-from marquee.schemas import FIELD_STATS_DDL, TERM_STATS_DDL, postings_ddl
+from marquee.functions.text import term_counts, words
+from marquee.operators.fuzzy import spelling_keys
+from marquee.schemas import FIELD_STATS_DDL, SPELLING_DDL, TERM_STATS_DDL, postings_ddl
 from marquee.session import scratch_path
 
-BUCKETS = 16
+
+@dataclass(frozen=True)
+class IndexPart:
+    """One folder of index tables, and the tables that name documents replaced since (``segment, doc_id``)."""
+
+    path: str
+    name: str = ""
+    removed: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
 class TextIndex:
-    """The three index tables below ``path`` and the analyser they were built with."""
+    """An index of one or more parts, all built with one analyser and one number of shards."""
 
     spark: SparkSession
-    path: str
+    parts: tuple[IndexPart, ...]
     option: str = "english_stem"
-    buckets: int = BUCKETS
+    shards: int = 8
     key_type: str = "string"
 
-    def _table(self, name: str, ddl: str) -> DataFrame:
-        return self.spark.read.schema(ddl).parquet(f"{self.path}/{name}")
+    def _bucketed(self, path: str, ddl: str, by: str, order: str) -> DataFrame:
+        """A table that Spark knows to be bucketed; the catalogue entry only names the folder."""
+        name = f"marquee_{hashlib.md5(path.encode()).hexdigest()}"
+        spec = f"USING parquet CLUSTERED BY ({by}) SORTED BY ({order}) INTO {self.shards} BUCKETS LOCATION '{path}'"
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) {spec}")
+        return self.spark.table(name)
+
+    def _live(self, part: IndexPart) -> DataFrame:
+        rows = self._bucketed(f"{part.path}/postings", postings_ddl(self.key_type), "doc_id", "field, term")
+        if not part.removed:
+            return rows
+        gone = self.spark.read.parquet(*part.removed).where(F.col("segment") == part.name).select("doc_id")
+        return rows.join(gone, "doc_id", "left_anti")
+
+    def _all(self, name: str, ddl: str) -> DataFrame:
+        return self.spark.read.schema(ddl).parquet(*[f"{p.path}/{name}" for p in self.parts])
+
+    def _minus(self, name: str, ddl: str) -> DataFrame | None:
+        """What replaced documents had added to the statistics, as negative numbers, beside each part that replaced any."""
+        found = {table.rsplit("/", 1)[0] for p in self.parts for table in p.removed}
+        return self.spark.read.schema(ddl).parquet(*[f"{at}/{name}" for at in sorted(found)]) if found else None
+
+    def _summed(self, name: str, ddl: str, keys: list[str]) -> DataFrame:
+        rows, less = self._all(name, ddl), self._minus(f"removed_{name}", ddl)
+        if len(self.parts) == 1 and less is None:
+            return rows
+        rows = rows if less is None else rows.union(less)
+        counted = [c for c in rows.columns if c not in keys]
+        summed = rows.groupBy(*keys).agg(*[F.sum(c).cast("bigint").alias(c) for c in counted])
+        return summed.where(F.col(counted[0]) > 0)
 
     @property
     def postings(self) -> DataFrame:
-        return self._table("postings", postings_ddl(self.key_type))
+        return reduce(DataFrame.unionByName, [self._live(p) for p in self.parts])
 
     @property
     def term_stats(self) -> DataFrame:
-        return self._table("term_stats", TERM_STATS_DDL)
+        return self._summed("term_stats", TERM_STATS_DDL, ["field", "term"])
 
     @property
     def field_stats(self) -> DataFrame:
-        return self._table("field_stats", FIELD_STATS_DDL)
+        return self._summed("field_stats", FIELD_STATS_DDL, ["field"])
+
+    @property
+    def spelling(self) -> DataFrame:
+        """Spelling keys of all parts; a term of several parts has them several times."""
+        tables = [self._bucketed(f"{p.path}/spelling", SPELLING_DDL, "key", "size, key") for p in self.parts]
+        return reduce(DataFrame.unionByName, tables)
 
 
-def term_bucket(term: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+def shard_width(spark: SparkSession, shards: int | None = None) -> int:
+    """Shards of an index: as many as asked for, else the session's shuffle partitions."""
+    return shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _field_texts(docs: DataFrame, fields: list[str], key: str) -> DataFrame:
+def _field_texts(docs: DataFrame, fields: list[str], key: str, shards: int) -> DataFrame:
     """``(doc_id, field, text)``: one row per document and non-empty field; arrays are joined."""
     types = dict(docs.dtypes)
     text = lambda c: F.array_join(c, " ") if types[c].startswith("array") else F.col(c)
     stacked = F.array(*[F.struct(F.lit(f).alias("field"), text(f).alias("text")) for f in fields])
     # Documents are hashed by key before the analysis: text is smaller than the postings made of
-    # it, the work spreads evenly, and grouping by document then needs no shuffle of its own.
-    # The width is fixed because few bytes of text make much work.
-    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    docs = docs.select(F.col(key).alias("doc_id"), *fields).repartition(width, "doc_id")
+    # it, the work spreads evenly, and the postings are written by shard without another shuffle.
+    docs = docs.select(F.col(key).alias("doc_id"), *fields).repartition(shards, "doc_id")
     rows = docs.select("doc_id", F.explode(stacked).alias("f")).select("doc_id", "f.field", "f.text")
     return rows.where(F.col("text") != "")
 
 
-def build_postings(docs: DataFrame, fields: list[str], option: str = "english_stem", key: str = "doc_id") -> DataFrame:
+def build_postings(docs: DataFrame, fields: list[str], option: str = "english_stem", key: str = "doc_id", shards: int | None = None) -> DataFrame:
     """``(doc_id, field, dl, term, tf, head)``: one row per document, field and term.
 
     ``head`` marks the one posting that holds a document's first token, so documents can be counted
     from postings alone.  No step gathers the rows of a term, however common it is.
     """
-    texts = _field_texts(docs, fields, key)
-    if option == "english_stem":
-        counted = texts.select("doc_id", "field", stem_counts(words(F.col("text"), option)).alias("c"))
-        # The outer form keeps the planner from evaluating the counts twice for an emptiness test.
-        rows = counted.select("doc_id", "field", "c.dl", F.explode_outer("c.terms").alias("t"))
-        rows = rows.select("doc_id", "field", "dl", "t.term", "t.tf", "t.head")
-        return rows.where(F.col("term").isNotNull())
-    tokens = texts.select("doc_id", "field", words(F.col("text"), option).alias("tokens"))
-    rows = tokens.select("doc_id", "field", F.size("tokens").alias("dl"), F.posexplode_outer("tokens").alias("pos", "term"))
-    counted = rows.where(F.col("term").isNotNull()).groupBy("doc_id", "field", "dl", "term").agg(
-        F.count("*").cast("int").alias("tf"), (F.min("pos") == 0).alias("head")
-    )
-    return counted.select("doc_id", "field", "dl", "term", "tf", "head")
+    texts = _field_texts(docs, fields, key, shard_width(docs.sparkSession, shards))
+    counted = texts.select("doc_id", "field", term_counts(words(F.col("text"), option), option == "english_stem").alias("c"))
+    # The outer form keeps the planner from evaluating the counts twice for an emptiness test.
+    rows = counted.select("doc_id", "field", "c.dl", F.explode_outer("c.terms").alias("t"))
+    return rows.select("doc_id", "field", "dl", "t.term", "t.tf", "t.head").where(F.col("term").isNotNull())
 
 
 def term_statistics(postings: DataFrame) -> DataFrame:
@@ -91,34 +130,51 @@ def field_statistics(postings: DataFrame) -> DataFrame:
     )
 
 
+def _write_bucketed(rows: DataFrame, path: str, shards: int, by: str, order: list[str]) -> None:
+    """Files of one bucket each.  The entry in the session's catalogue is dropped again; the files stay."""
+    spark, name = rows.sparkSession, f"marquee_{hashlib.md5(path.encode()).hexdigest()}"
+    writer = rows.write.format("parquet").mode("errorifexists").option("path", path)
+    writer.bucketBy(shards, by).sortBy(*order).saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")
+
+
 def write_index(
     docs: DataFrame,
     fields: list[str],
     path: str,
     option: str = "english_stem",
     key: str = "doc_id",
-    buckets: int = BUCKETS,
+    shards: int | None = None,
 ) -> TextIndex:
-    """Build the three tables under ``path``.
+    """Build the four tables under ``path``.
 
-    Postings are partitioned on disk by field and term bucket, so a query reads only the buckets of
-    its terms; ``rebalance`` lets adaptive execution split a bucket with a very common term over
-several files and join tiny ones; rows are sorted by term inside a file.  Both statistics tables come from the written postings, so the
-    text is analysed once.
+    Postings are bucketed by document and sorted by field and term inside a file, so a scan for terms
+    skips row groups.  Statistics come from the written postings, spelling keys from the statistics, so
+    the text is analysed once and shuffled once.
     """
-    postings = build_postings(docs, fields, option, key).select(
-        "doc_id", "dl", "term", "tf", "head", "field", term_bucket(F.col("term"), buckets).alias("term_bucket")
-    )
-    index = TextIndex(docs.sparkSession, path, option, buckets, dict(postings.dtypes)["doc_id"])
-    laid_out = postings.hint("rebalance", "field", "term_bucket").sortWithinPartitions("field", "term_bucket", "term")
-    laid_out.write.mode("errorifexists").partitionBy("field", "term_bucket").parquet(f"{path}/postings")
-    term_statistics(index.postings).write.mode("errorifexists").partitionBy("field").parquet(f"{path}/term_stats")
-    field_statistics(index.postings).coalesce(1).write.mode("errorifexists").parquet(f"{path}/field_stats")
+    width = shard_width(docs.sparkSession, shards)
+    return _write_tables(build_postings(docs, fields, option, key, width), path, option, width)
+
+
+def merge_index(index: TextIndex, path: str) -> TextIndex:
+    """An index of one part with all that is live in ``index``, made from its postings."""
+    return _write_tables(index.postings.repartition(index.shards, "doc_id"), path, index.option, index.shards)
+
+
+def _write_tables(postings: DataFrame, path: str, option: str, shards: int) -> TextIndex:
+    """The tables of one part, from postings that are dealt by document."""
+    _write_bucketed(postings, f"{path}/postings", shards, "doc_id", ["field", "term"])
+    index = TextIndex(postings.sparkSession, (IndexPart(path),), option, shards, dict(postings.dtypes)["doc_id"])
+    stats = term_statistics(index.postings.select("field", "term"))
+    stats.sortWithinPartitions("term").write.mode("errorifexists").parquet(f"{path}/term_stats")
+    keys = spelling_keys(index.term_stats.select("term").distinct())
+    _write_bucketed(keys.repartition(shards, "key"), f"{path}/spelling", shards, "key", ["size", "key"])
+    field_statistics(index.postings.select("field", "head", "tf")).coalesce(1).write.mode("errorifexists").parquet(f"{path}/field_stats")
     return index
 
 
 def build_index(
-    docs: DataFrame, fields: list[str], option: str = "english_stem", key: str = "doc_id", buckets: int = BUCKETS
+    docs: DataFrame, fields: list[str], option: str = "english_stem", key: str = "doc_id", shards: int | None = None
 ) -> TextIndex:
     """`write_index` into the shared scratch folder."""
-    return write_index(docs, fields, scratch_path(docs.sparkSession, "index"), option, key, buckets)
+    return write_index(docs, fields, scratch_path(docs.sparkSession, "index"), option, key, shards)

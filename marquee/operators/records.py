@@ -68,17 +68,22 @@ def has_id(df: DataFrame, key: str = "id") -> DataFrame:
 
 def normalize(
     records: DataFrame, max_review_chars: int = 2000, max_cast: int = CAST_HEAD, max_reviews: int = REVIEW_HEAD, combined: bool = True,
+    all_kinds: bool = False,
 ) -> DataFrame:
     """One flat document per movie record: ``doc_id`` plus `INDEX_FIELDS` (and ``pos``).
 
     Empty strings become NULL; empty arrays, zero and false stay.  The first ``max_cast`` cast entries and
     ``max_reviews`` reviews count, reviews up to ``max_review_chars``.  ``all_text`` repeats the other
     texts; without ``combined`` it is left out, to be added (`with_all_text`) after rows were shuffled.
+    With ``all_kinds`` no row is left out and ``kind`` tells them apart: ``movie``, ``other`` (parsed, but no
+    movie) and ``error`` (not parsed), so that one pass serves documents and counters.
     """
     rec = F.col("record")
     # One pass over the record: every value as text, lists as lists of texts.  A value of another
     # shape is NULL here, and the coercions look at the record itself where text does not decide.
-    rows = records.where(is_movie_record(rec)).withColumn("_t", get(rec, "$", _TEXTS))
+    movie = F.coalesce(is_movie_record(rec), F.lit(False))
+    kind = F.when(rec.isNull(), "error").when(movie, "movie").otherwise("other").alias("kind")
+    rows = (records if all_kinds else records.where(movie)).withColumn("_t", get(rec, "$", _TEXTS))
     value = lambda key: F.col(f"_t.{key}")
     text = lambda key: as_text(rec, f"$.{key}", value(key))
     number = lambda key, kind: as_int(rec, f"$.{key}", kind, value(key)).alias(key)
@@ -89,6 +94,7 @@ def normalize(
     flat = rows.select(
         "source_path",
         "pos",
+        *([kind] if all_kinds else []),
         as_int(rec, "$.id", "bigint", value("id")).alias("movie_id"),
         *[text(key).alias(key) for key in _TEXT_KEYS],
         text("release_date").alias("_date_text"),
@@ -125,7 +131,7 @@ def normalize(
     types = dict(done.dtypes)
     names = [c for c in INDEX_FIELDS if c != "all_text"]
     fields = [F.nullif(F.col(c), F.lit("")).alias(c) if types[c] == "string" else F.col(c) for c in names]
-    documents = done.select("doc_id", *fields, "pos")
+    documents = done.select("doc_id", *fields, "pos", *(["kind"] if all_kinds else []))
     return with_all_text(documents) if combined else documents
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,12 +134,49 @@ def progress_checkpoints(run_log: DataFrame, group: str, order_by: list[str | Co
     return kept.select(group, "n", F.round(elapsed, 3).alias("elapsed"))
 
 
+def stored_counters(stored: DataFrame, files_seen: int, kept: DataFrame | None = None) -> DataFrame:
+    """One row of build counters from the stored result of one pass (``kind, doc_id, source_path, pos``).
+
+    ``kept`` names the first ``(source_path, pos)`` of each key where a document limit stopped the build:
+    rows after the last of them were never seen.  Files are counted by their listing, so a file without any
+    record was seen too.  Always seen = prepared + skipped non-movie + skipped duplicate.
+    """
+    rows = stored.select("kind", "doc_id", "source_path", "pos")
+    if kept is not None:
+        last = kept.agg(F.max(F.struct("source_path", "pos")).alias("last"))
+        rows = rows.join(F.broadcast(last), F.struct("source_path", "pos") <= F.col("last"))
+    is_movie = F.col("kind") == "movie"
+    # Keys are counted one by one, each added up before the shuffle.
+    keys = rows.groupBy(F.when(is_movie, F.col("doc_id")).alias("key"), "kind").agg(F.count("*").alias("n"))
+    total = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0))
+    return keys.agg(
+        F.lit(files_seen).cast("bigint").alias("files_seen"),
+        (total("movie") + total("other")).alias("docs_seen"),
+        F.count_if(is_movie).alias("docs_prepared"),
+        total("other").alias("docs_skipped_non_movie"),
+        (total("movie") - F.count_if(is_movie)).alias("docs_skipped_duplicate"),
+        total("error").alias("parse_errors"),
+    )
+
+
 def run_report(counters: DataFrame, args: dict, source: str, index_name: str, option: str,
-               dry_run: bool = False, final_count: int | None = None, duration_sec: float | None = None,
+               dry_run: bool = False, final_count: int | None = None, started: float | None = None,
                errors: DataFrame | None = None) -> DataFrame:
-    """One report row: time, source, options, counters and at most 20 error samples."""
-    stats = counters.withColumn("duration_sec", F.lit(duration_sec).cast("double"))
-    names = stats.columns
+    """One report row: times, source, options, counters and at most 20 error samples.
+
+    Of the documents prepared some may be refused (``errors``): those failed, the rest was indexed.  A dry
+    run counts all as indexed.
+    """
+    ended = time.time()
+    failed = 0 if errors is None else errors.count()
+    utc = lambda at: datetime.fromtimestamp(at, timezone.utc).isoformat()
+    stats = counters.withColumns({
+        "docs_indexed": F.col("docs_prepared") - F.lit(failed),
+        "docs_failed": F.lit(failed).cast("bigint"),
+        "started_at": F.lit(None if started is None else utc(started)).cast("string"),
+        "ended_at": F.lit(utc(ended)),
+        "duration_sec": F.lit(None if started is None else round(ended - started, 2)).cast("double"),
+    })
     report = stats.select(
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("timestamp_utc"),
         F.lit(source).alias("source"),
@@ -147,7 +185,7 @@ def run_report(counters: DataFrame, args: dict, source: str, index_name: str, op
         F.lit(dry_run).alias("dry_run"),
         F.lit(final_count).cast("bigint").alias("final_count"),
         F.struct(*[F.lit(v).alias(k) for k, v in sorted(args.items())]).alias("args"),
-        F.struct(*names).alias("stats"),
+        F.struct(*stats.columns).alias("stats"),
     )
     if errors is None:
         return report.withColumn("error_samples", F.array().cast("array<string>"))

@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from marquee.functions.text import analyze
 from marquee.operators.dedup import top_per_query
 from marquee.operators.fuzzy import expand_terms
-from marquee.operators.postings import TextIndex, term_bucket
+from marquee.operators.postings import TextIndex
 from marquee.schemas import FIELD_BOOSTS
-from marquee.session import materialise
+from marquee.session import materialise, sent_if_few
 
 K1, B = 1.2, 0.75
 # Scores are compared at this many digits, so that summation order cannot split equal documents.
 SCORE_DIGITS = 6
+# Distinct terms that are named to the scan of the postings, which then skips what cannot hold them.
+MOST_TERMS_NAMED = 500
 
 
 def bm25_idf(n_docs: Column, df: Column) -> Column:
@@ -40,7 +42,7 @@ def query_clauses(
 ) -> DataFrame:
     """Scored index terms of each query, as a small stored table.
 
-    ``(query_id, field, term, term_bucket, weight, avgdl)``, where weight is query frequency x field
+    ``(query_id, field, term, weight, avgdl)``, where weight is query frequency x field
     boost x fuzzy similarity x idf.  Stored, its size is known before the large join is planned and
     it is not worked out twice.
     """
@@ -50,7 +52,7 @@ def query_clauses(
     sizes = F.broadcast(index.field_stats.select("field", "n_docs", (F.col("sum_dl") / F.col("n_docs")).alias("avgdl")))
     if fuzzy:
         terms = materialise(terms, "query-terms")
-        expanded = expand_terms(terms, stats, max_expansions)
+        expanded = expand_terms(terms, stats, max_expansions, spelling=index.spelling)
         clauses = terms.withColumnRenamed("term", "query_term").join(expanded, "query_term")
         strength = F.col("qtf") * F.col("similarity")
     else:
@@ -58,23 +60,22 @@ def query_clauses(
         strength = F.col("qtf")
     boost = F.element_at(F.create_map(*[F.lit(x) for kv in boosts.items() for x in kv]), F.col("field"))
     weight = strength * boost * bm25_idf(F.col("n_docs"), F.col("df_used"))
-    clauses = clauses.join(sizes, "field").select(
-        "query_id", "field", "term", term_bucket(F.col("term"), index.buckets).alias("term_bucket"),
-        weight.alias("weight"), "avgdl",
-    )
+    clauses = clauses.join(sizes, "field").select("query_id", "field", "term", weight.alias("weight"), "avgdl")
     return materialise(clauses, "clauses").where(F.col("weight") > 0)
 
 
 def score_documents(clauses: DataFrame, index: TextIndex, boosts: dict[str, float], k1: float = K1, b: float = B) -> DataFrame:
     """``(query_id, doc_id, score)`` for every document that shares a term with a query.
 
-    The clauses are a stored table: the planner knows its bytes, broadcasts it where they fit (it then
-    prunes the postings' partitions) and else joins by shuffle, splitting the postings of a common term.
-    The per-field sums and their maximum come from one aggregation.
+    Few clauses go to all tasks; the postings are bucketed by document, so scores are added up where they
+    are read and nothing is shuffled.  Very many clauses are joined by shuffle, splitting the postings of
+    a common term.  The per-field sums and their maximum come from one aggregation.
     """
     postings = index.postings.where(F.col("field").isin(*boosts)).drop("head")
-    keys = ["field", "term_bucket", "term"]
-    matched = postings.join(clauses, keys)
+    named = [r["term"] for r in clauses.select("term").distinct().limit(MOST_TERMS_NAMED + 1).collect()]
+    if len(named) <= MOST_TERMS_NAMED:
+        postings = postings.where(F.col("term").isin(named))
+    matched = postings.join(sent_if_few(clauses), ["field", "term"])
     part = F.col("weight") * bm25_tf(F.col("tf"), F.col("dl"), F.col("avgdl"), k1, b)
     fields = list(boosts)
     sums = [F.sum(F.when(F.col("field") == f, part)).alias(f"_{i}") for i, f in enumerate(fields)]

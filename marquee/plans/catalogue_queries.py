@@ -29,6 +29,7 @@ from marquee.plans.search_queries import _SCORES, _ranked, _tables
 from marquee.plans.views import table
 from marquee.schemas import FIELD_BOOSTS
 from marquee.session import materialise, scratch_path
+from marquee.sources import catalogue as store
 from marquee.sources import files, sinks
 from marquee.streaming import ledger
 
@@ -634,12 +635,12 @@ def upsert(spark, sf_dir):
     keyed = lambda df, key, run: df.select(key.alias("doc_id"), F.lit(run).alias("run"), none.alias("release_date"), none.alias("crawled_at"))
     orders = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey").cast("string")
-    sinks.write_documents(keyed(orders, key, "first"), path)
+    store.write_documents(keyed(orders, key, "first"), path)
     fresh = keyed(orders.where(F.col("o_orderstatus") == "F"), key, "second").unionByName(
         keyed(table(spark, sf_dir, "customer"), F.concat(F.lit("new-"), F.col("c_custkey").cast("string")), "second")
     )
-    sinks.write_documents(fresh, path)
-    return sinks.stored_documents(spark, path).select("doc_id", "run")
+    store.write_documents(fresh, path)
+    return store.stored_documents(spark, path).select("doc_id", "run")
 
 
 @query(

@@ -19,7 +19,7 @@ origin_country array<string>, homepage string, crawled_at string
 # Discovered-id ledger line.
 LEDGER_DDL = "movie_id bigint, vote_count int, popularity double"
 
-# Columns of a normalised document, in index order (the document key `doc_id` comes first).
+# Columns of a normalised document, in index order (the document key `doc_id` comes first).
 INDEX_FIELDS = (
     "movie_id", "imdb_id", "title", "original_title", "overview", "tagline", "all_text",
     "release_date", "release_year", "status", "original_language", "genres", "genre_ids",
@@ -42,7 +42,8 @@ FIELD_BOOSTS = {
 
 TERM_STATS_DDL = "field string, term string, df bigint"
 FIELD_STATS_DDL = "field string, n_docs bigint, sum_dl bigint"
+SPELLING_DDL = "size int, key bigint, term string"
 
 
 def postings_ddl(key_type: str = "string") -> str:
-    return f"doc_id {key_type}, dl int, term string, tf int, head boolean, field string, term_bucket int"
+    return f"doc_id {key_type}, field string, dl int, term string, tf int, head boolean"

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.text import strip
 
-_JSON_GLOB, _JSONL_GLOB = "*.[jJ][sS][oO][nN]", "*.[jJ][sS][oO][nN][lL]"
+_JSON_GLOB, _JSONL_GLOB, _NAME_GLOB = "*.[jJ][sS][oO][nN]", "*.[jJ][sS][oO][nN][lL]", "*.[jJ][sS][oO][nN]*"
 _MEMBER_LIST_DDL = "archive string, member string, header_offset bigint"
 _MEMBER_BODY_DDL = "member string, chunk bigint, content binary"
 # A task hands on member bodies in frames of about this many bytes, and long JSONL members in
@@ -107,6 +107,13 @@ def _read_members(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(rows, columns=columns)
 
 
+def _members(spark: SparkSession, path: str, subpath: str | None, include_jsonl: bool) -> DataFrame:
+    """``(archive, member, header_offset)`` of the wanted members, from the archives' directories alone."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]").option("recursiveFileLookup", "true")
+    members = files.load(path).select(F.col("path").alias("archive")).mapInPandas(_list_members, _MEMBER_LIST_DDL)
+    return members.where(wanted_name(F.col("member"), subpath, include_jsonl))
+
+
 def read_archives(
     spark: SparkSession,
     path: str,
@@ -120,15 +127,7 @@ def read_archives(
     ``parallelism`` tasks, each of which seeks to its own members in file order, so one huge archive
     is read in parallel and never held whole.  Rows are ``(source_path, chunk, body)``.
     """
-    archives = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.[zZ][iI][pP]")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select(F.col("path").alias("archive"))
-    )
-    members = archives.mapInPandas(_list_members, _MEMBER_LIST_DDL)
-    members = members.where(wanted_name(F.col("member"), subpath, include_jsonl))
+    members = _members(spark, path, subpath, include_jsonl)
     width = parallelism or spark.sparkContext.defaultParallelism
     spread = members.repartition(width, "archive", "member").sortWithinPartitions("archive", "header_offset")
     bodies = spread.select("archive", "member").mapInPandas(_read_members, _MEMBER_BODY_DDL)
@@ -202,6 +201,16 @@ def read_records(
     raise ValueError(f"unsupported source type: {source}")
 
 
+def list_sources(spark: SparkSession, source: str, subpath: str | None = None, include_jsonl: bool = False) -> DataFrame:
+    """``source_path`` of every file or archive member that `read_records` reads; no content is read."""
+    lower = source.lower().rstrip("/")
+    if not _is_folder(spark, source) and lower.endswith(".zip"):
+        return _members(spark, source, subpath, include_jsonl).select(F.col("member").alias("source_path"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    names = files.option("pathGlobFilter", _NAME_GLOB).load(source).select(F.col("path").alias("source_path"))
+    return names.where(wanted_name(F.col("source_path"), subpath, include_jsonl))
+
+
 def _is_folder(spark: SparkSession, source: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(source)
     system = path.getFileSystem(spark._jsc.hadoopConfiguration())

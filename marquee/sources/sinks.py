@@ -1,4 +1,4 @@
-"""Writers: record store, ledger, keyed document table, reports, vectors."""
+"""Writers: record store, ledger, reports, vectors.  The keyed document table is in ``catalogue``."""
 
 from __future__ import annotations
 
@@ -7,12 +7,9 @@ from pyspark.sql import functions as F
 
 from marquee.functions.values import bucket
 from marquee.operators.dedup import dedup_first
-from marquee.operators.records import has_id, write_rejects
+from marquee.operators.records import has_id
 from marquee.session import materialise
 
-VERSION_FORMAT = "v%06d"
-
-
 def write_movies(movies: DataFrame, path: str) -> None:
     """Records as JSON lines under ``bucket=<id div 1000>``; null and zero ids are left out.
 
@@ -42,54 +39,6 @@ def append_ledger(ids: DataFrame, path: str) -> None:
     ids.select("movie_id", "vote_count", "popularity").write.mode("append").json(path)
 
 
-def _versions(spark: SparkSession, path: str) -> list[str]:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(folder):
-        return []
-    names = [s.getPath().getName() for s in system.listStatus(folder)]
-    done = spark._jvm.org.apache.hadoop.fs.Path
-    return sorted(n for n in names if n.startswith("v") and system.exists(done(f"{path}/{n}/documents/_SUCCESS")))
-
-
-def stored_documents(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest complete version of a document table, or None."""
-    versions = _versions(spark, path)
-    return spark.read.parquet(f"{path}/{versions[-1]}/documents") if versions else None
-
-
-def stored_option(spark: SparkSession, path: str) -> str | None:
-    """The analyser option a document table was created with."""
-    versions = _versions(spark, path)
-    return spark.read.json(f"{path}/{versions[-1]}/settings").first()["analyzer_option"] if versions else None
-
-
-def write_documents(documents: DataFrame, path: str, option: str = "english_stem", recreate: bool = False) -> tuple[str, DataFrame]:
-    """Keyed write: ``(version path, rejects)``.
-
-    Rows with a date that a typed index would refuse are split off.  A document whose key is stored
-    already replaces the old one; everything else stays.  Each run writes a complete new version,
-    so a reader never sees half a run and a lost executor only repeats its tasks.  Without
-    ``recreate`` an existing table keeps its analyser option; a different one raises.
-    """
-    spark = documents.sparkSession
-    versions = _versions(spark, path)
-    judged = write_rejects(documents)
-    rejects = judged.where(F.col("reject_reason").isNotNull())
-    fresh = judged.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    if versions and not recreate:
-        kept_option = stored_option(spark, path)
-        if kept_option != option:
-            raise ValueError(f"table was created with analyzer option {kept_option!r}; recreate it to use {option!r}")
-        old = stored_documents(spark, path).withColumn("_run", F.lit(0))
-        both = old.unionByName(fresh.withColumn("_run", F.lit(1)), allowMissingColumns=True)
-        fresh = dedup_first(both, ["doc_id"], [F.desc("_run")]).drop("_run")
-    target = f"{path}/{VERSION_FORMAT % (int(versions[-1][1:]) + 1 if versions else 1)}"
-    spark.createDataFrame([(option,)], "analyzer_option string").coalesce(1).write.mode("overwrite").json(f"{target}/settings")
-    fresh.write.mode("overwrite").parquet(f"{target}/documents")
-    return target, rejects
-
-
 def error_samples(rejects: DataFrame, n: int = 20) -> DataFrame:
     return rejects.limit(n)
 

@@ -26,7 +26,7 @@ def docs(spark):
 
 @pytest.fixture(scope="module")
 def index(docs):
-    return build_index(docs, ["title", "all_text"], "english_stem", buckets=4)
+    return build_index(docs, ["title", "all_text"], "english_stem", shards=4)
 
 
 def asked(spark, *rows):
@@ -52,19 +52,32 @@ def test_filter_limits_and_empty_queries(spark, docs, index):
     assert set(ids(hits)) == {"00", "06"} and len(ids(hits, 2)) == 1 and ids(hits, 3) == ids(hits, 4) == []
 
 
-def test_shuffled_join_equals_broadcast(spark, docs, index):
+def test_shuffled_join_equals_broadcast(spark, docs, index, monkeypatch):
     queries = asked(spark, (1, "space drama dreams", 10, None), (2, "a robot movie in paris", 10, None))
     clauses = query_clauses(queries, index, BOOSTS)
     rows = lambda: sorted(map(tuple, best_per_query(score_documents(clauses, index, BOOSTS), queries).collect()))
     small = rows()
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr("marquee.operators.sparse.sent_if_few", lambda df: df)
     try:
         assert rows() == small != []
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_scores_are_added_up_without_a_shuffle(spark, docs, index):
+    queries = asked(spark, (1, "space drama dreams", 10, None))
+    scored = score_documents(query_clauses(queries, index, BOOSTS), index, BOOSTS)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_spelling_keys_are_read_from_the_index(spark, docs, index):
+    plan = index.spelling.where("size IN (4, 5)")._jdf.queryExecution().executedPlan().toString()
+    assert "In(size, [4,5])" in plan and "Generate" not in plan
+
+
 def test_country_needs_documents_and_empty_is_none(spark, docs, index):
     queries = asked(spark, (1, "space drama", 10, ""))
     with pytest.raises(ValueError):

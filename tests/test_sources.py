@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee.plans.build import run
 from marquee.schemas import LEDGER_DDL
+from marquee.sources import catalogue as store
 from marquee.sources import files, sinks
 from marquee.streaming import ledger
 
@@ -109,22 +110,25 @@ def test_source_names(spark, name, sub, lines, kept):
 
 
 def test_whole_build(spark, tree, tmp_path):
-    report = run(spark, str(tree), str(tmp_path / "out"), include_jsonl=True, report_path=str(tmp_path / "report"), buckets=2).first()
+    report = run(spark, str(tree), str(tmp_path / "out"), include_jsonl=True, report_path=str(tmp_path / "report"), shards=2).first()
     assert report.final_count == 6 and report.stats.docs_prepared == 6 and report.stats.docs_skipped_duplicate == 1
     assert report.stats.parse_errors == 2 and files.read_report(spark, str(tmp_path / "report")).first().stats.docs_seen == 7
-    stored = sinks.stored_documents(spark, str(tmp_path / "out"))
-    assert stored.count() == 6 and sinks.stored_option(spark, str(tmp_path / "out")) == "english_stem"
-    with pytest.raises(ValueError):
-        run(spark, str(tree), str(tmp_path / "out"), option="standard", buckets=2)
+    assert report.stats.docs_indexed == 6 and report.stats.docs_failed == 0 and report.stats.started_at < report.stats.ended_at
+    stored = store.stored_documents(spark, str(tmp_path / "out"))
+    assert stored.count() == 6 and store.stored_option(spark, str(tmp_path / "out")) == "english_stem"
+    # Another analyser is not taken up: the stored one stays, with a warning.
+    with pytest.warns(UserWarning, match="english_stem"):
+        again = run(spark, str(tree), str(tmp_path / "out"), option="standard", shards=2).first()
+    assert again.analyzer_option == "english_stem" and again.final_count == 6
     dry = run(spark, str(tree), str(tmp_path / "none"), dry_run=True, max_docs=2).first()
-    assert dry.stats.docs_prepared == 2 and not os.path.exists(tmp_path / "none")
+    assert dry.stats.docs_prepared == dry.stats.docs_indexed == 2 and not os.path.exists(tmp_path / "none")
 
 
 def test_rejects_raise_after_the_report(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text(json.dumps({**MOVIE, "id": 1, "release_date": "not a date"}))
     with pytest.raises(RuntimeError):
-        run(spark, str(tmp_path / "in"), str(tmp_path / "out"), report_path=str(tmp_path / "r"), buckets=2)
+        run(spark, str(tmp_path / "in"), str(tmp_path / "out"), report_path=str(tmp_path / "r"), shards=2)
     assert len(files.read_report(spark, str(tmp_path / "r")).first().error_samples) == 1
 
 
