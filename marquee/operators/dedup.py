@@ -43,20 +43,30 @@ def top_per_query(df: DataFrame, queries: DataFrame, order_by: list[str | Column
 def limit_first(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
     """First ``n`` rows overall; 0 or less keeps all.
 
-    No task meets the n rows: they are range-partitioned and sorted, each partition numbers its own, and
-    the partition sizes (one row per partition) give the offset of each.  Rows that tie in ``order_by``
-    are ordered by a hash of all columns, so the same rows are kept whatever the partitions.
+    Only the columns of the order are sorted, in ranges that number their own rows: the sizes of the ranges
+    give the place of the n-th row, and rows are kept where they are read by comparing with it.  Rows that
+    tie in ``order_by`` are ordered by a hash of all columns, so the same rows are kept whatever the
+    partitions.
     """
     if n <= 0:
         return df
     order = [*order_by, "_tie"]
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.withColumn("_tie", F.xxhash64(*df.columns)).repartitionByRange(width, *order).sortWithinPartitions(*order)
+    keyed = df.withColumn("_tie", F.xxhash64(*df.columns))
+    ranged = keyed.select(*order).repartitionByRange(width, *order).sortWithinPartitions(*order)
     # The low 33 bits of this id are the row's place in its partition.
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     numbered = materialise(ranged.withColumns({"_part": F.spark_partition_id(), "_place": place}), "ordered")
     sizes = numbered.groupBy("_part").agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")
     offsets = F.broadcast(sizes.select("_part", before.alias("_before")))
-    kept = numbered.join(offsets, "_part").where(F.col("_before") + F.col("_place") < n)
-    return kept.select(*df.columns)
+    last = numbered.join(offsets, "_part").where(F.col("_before") + F.col("_place") == n - 1)
+    last = materialise(last.select(F.struct(*order).alias("_last"), F.lit(0).alias("_one")), "last")
+    if last.isEmpty():
+        return df
+    key, cut = F.struct(*order), F.broadcast(last)
+    earlier = numbered.withColumn("_one", F.lit(0)).join(cut, "_one").where(key < F.col("_last")).count()
+    rows = keyed.withColumn("_one", F.lit(0)).join(cut, "_one")
+    # Rows with the key of the n-th are equal in all columns.
+    equal = rows.where(key == F.col("_last")).limit(n - earlier)
+    return rows.where(key < F.col("_last")).union(equal).select(*df.columns)

@@ -43,16 +43,41 @@ def embed(df: DataFrame, text_col: str, encoder: Callable[[], Callable[[list[str
 
 
 def mean_pool(tokens: DataFrame, key: str = "id", vector: str = "embedding", mask: str = "mask") -> DataFrame:
-    """``(key, embedding)``: masked mean of the token vectors of each key.
+    """``(key, embedding)``: masked mean of the token vectors of each key, position by position.
 
-    Sums are taken per vector position, so a key with very many tokens is added up partially in
-    every task and never gathered; only one row per key and position is shuffled.
+    Each task adds up the vectors of a key in a batch; one row per key and batch is shuffled and added
+    again, so a key with very many tokens is never gathered.  Null vectors count for nothing, null numbers
+    as zero; of vectors of different lengths each counts for the positions it has.
     """
-    cells = tokens.select(key, F.col(mask).cast("double").alias("m"), F.posexplode(vector).alias("pos", "x"))
-    mean = F.sum(F.col("x").cast("double") * F.col("m")) / F.greatest(F.sum("m"), F.lit(1e-9))
-    sums = cells.groupBy(key, "pos").agg(mean.alias("x"))
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "x")))
-    return sums.groupBy(key).agg(F.transform(ordered, lambda c: c["x"].cast("float")).alias("embedding"))
+    rows = tokens.select(F.col(key).alias("key"), F.coalesce(F.col(mask).cast("double"), F.lit(0.0)).alias("m"), F.col(vector).cast("array<double>").alias("v"))
+    schema = rows.where("v IS NOT NULL").schema
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = batch.column(2).value_lengths().to_numpy()
+            for length in np.unique(lengths):
+                own = batch.take(pa.array(np.flatnonzero(lengths == length)))
+                coded = own.column(0).dictionary_encode(null_encoding="encode")
+                codes, m = coded.indices.to_numpy(), own.column(1).to_numpy()
+                x = own.column(2).flatten().fill_null(0.0).to_numpy(zero_copy_only=False).reshape(len(codes), -1)
+                sums = np.zeros((len(coded.dictionary), x.shape[1]))
+                np.add.at(sums, codes, x * m[:, None])
+                weights = np.bincount(codes, m, len(sums))
+                yield pa.RecordBatch.from_arrays([coded.dictionary, pa.array(weights), pa.array(list(sums), pa.list_(pa.float64()))], names=["key", "m", "v"])
+
+    def total(group: pa.Table) -> pa.Table:
+        width = max(len(v) for v in group["v"])
+        sums, weights = np.zeros(width), np.zeros(width)
+        for m, v in zip(group["m"].to_pylist(), group["v"], strict=True):
+            sums[: len(v)] += v.values.to_numpy(zero_copy_only=False)
+            weights[: len(v)] += m
+        mean = (sums / np.maximum(weights, 1e-9)).astype(np.float32)
+        return pa.table({"key": group["key"].slice(0, 1), "embedding": pa.array([mean], pa.list_(pa.float32()))})
+
+    parts = rows.where("v IS NOT NULL").mapInArrow(partial, schema)
+    kind = schema["key"].dataType.simpleString()
+    pooled = parts.groupBy("key").applyInArrow(total, f"key {kind}, embedding array<float>")
+    return pooled.withColumnRenamed("key", key)
 
 
 def squared_l2(a, b):

@@ -32,27 +32,23 @@ def vote_slices(votes, ranges=VOTE_RANGES):
 def slice_rows(catalogue: DataFrame, strategy: str = "all", genres=GENRES, years=YEARS, languages=LANGUAGES) -> DataFrame:
     """``(slice, id, vote_count, popularity)``: each movie once per slice that lists it.
 
-    Slices are found row by row from the movie's own values; no join is needed.
+    Slices are found row by row from the movie's own values, all in one array: no join is needed, and the
+    catalogue is read once.
     """
-    fields = ("id", "vote_count", "popularity")
-    parts = []
     chosen = _strategies(strategy)
+    none = F.array().cast("array<string>")
+    labels = []
     if "genre" in chosen:
         wanted = F.array_intersect("genre_ids", F.array(*[F.lit(g) for g in genres]))
-        rows = catalogue.select(*fields, F.explode(wanted).alias("genre"))
-        rows = rows.select(*fields, "genre", F.explode(vote_slices(F.col("vote_count"))).alias("votes"))
-        label = F.format_string("genre_%d_vote_%d_%d", "genre", "votes.lo", "votes.hi")
-        parts.append(rows.select(label.alias("slice"), *fields))
+        ranges = F.transform(vote_slices(F.col("vote_count")), lambda r: F.concat_ws("_", r["lo"].cast("string"), r["hi"].cast("string")))
+        each = lambda g: F.transform(ranges, lambda r: F.concat(F.lit("genre_"), g.cast("string"), F.lit("_vote_"), r))
+        labels.append(F.flatten(F.transform(wanted, each)))
     if "year" in chosen:
-        rows = catalogue.where(F.col("release_year").between(*years))
-        parts.append(rows.select(F.format_string("year_%d", "release_year").alias("slice"), *fields))
+        labels.append(F.when(F.col("release_year").between(*years), F.array(F.format_string("year_%d", "release_year"))))
     if "language" in chosen:
-        rows = catalogue.where(F.col("original_language").isin(*languages))
-        parts.append(rows.select(F.concat(F.lit("lang_"), "original_language").alias("slice"), *fields))
-    united = parts[0]
-    for part in parts[1:]:
-        united = united.unionByName(part)
-    return united
+        labels.append(F.when(F.col("original_language").isin(*languages), F.array(F.concat(F.lit("lang_"), "original_language"))))
+    all_labels = F.concat(*[F.coalesce(c, none) for c in labels])
+    return catalogue.select(F.explode(all_labels).alias("slice"), "id", "vote_count", "popularity")
 
 
 def listed(catalogue: DataFrame, strategy: str = "all", pages: int = PAGES, page_size: int = PAGE_SIZE, **axes) -> DataFrame:

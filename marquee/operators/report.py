@@ -14,7 +14,7 @@ from marquee.operators.records import is_movie_record
 MAX_ERROR_SAMPLES = 20
 
 
-def _side_by_side(*rows: DataFrame) -> DataFrame:
+def one_row(*rows: DataFrame) -> DataFrame:
     """One-row tables with different columns as one row."""
     united = rows[0]
     for row in rows[1:]:
@@ -44,7 +44,7 @@ def build_counters(records: DataFrame, documents: DataFrame, limited: bool = Fal
         F.coalesce(F.sum("other"), F.lit(0)).alias("docs_skipped_non_movie"),
         F.coalesce(F.sum("bad"), F.lit(0)).alias("parse_errors"),
     )
-    both = _side_by_side(seen, documents.agg(F.count("*").alias("docs_prepared")))
+    both = one_row(seen, documents.agg(F.count("*").alias("docs_prepared")))
     return both.withColumn(
         "docs_skipped_duplicate", F.col("docs_seen") - F.col("docs_skipped_non_movie") - F.col("docs_prepared")
     )
@@ -65,7 +65,7 @@ def crawl_stats(movies: DataFrame, files: DataFrame | None = None) -> DataFrame:
     )
     if files is None:
         return stats
-    return _side_by_side(stats, stored_size(files))
+    return one_row(stats, stored_size(files))
 
 
 def stored_size(files: DataFrame) -> DataFrame:
@@ -190,7 +190,7 @@ def run_report(counters: DataFrame, args: dict, source: str, index_name: str, op
     if errors is None:
         return report.withColumn("error_samples", F.array().cast("array<string>"))
     samples = errors.select(F.to_json(F.struct("*")).alias("e")).limit(MAX_ERROR_SAMPLES)
-    return _side_by_side(report, samples.agg(F.collect_list("e").alias("error_samples")))
+    return one_row(report, samples.agg(F.collect_list("e").alias("error_samples")))
 
 
 def observed(df: DataFrame, name: str):

@@ -668,6 +668,17 @@ def stream_dedup(spark, sf_dir):
     return spark.read.schema("user_id bigint").parquet(target)
 
 
+@query("stream_replay", "SELECT DISTINCT user_id FROM events WHERE user_id <> 0")
+def stream_replay(spark, sf_dir):
+    """A stream run twice from one checkpoint into numbered batches: each user once."""
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    target, state = scratch_path(spark, "batches"), scratch_path(spark, "batches-state")
+    for _ in range(2):
+        stream = ledger.stream_ids(spark, sf_dir, schema, "parquet", "user_id", pathGlobFilter="events.parquet")
+        ledger.run_batches(stream.select("user_id"), target, state)
+    return spark.read.schema("user_id bigint").parquet(target).select("user_id")
+
+
 @query("bucket_sizes", "SELECT o_orderkey // 1000 AS bucket, count(*) AS n FROM orders GROUP BY 1")
 def bucket_sizes(spark, sf_dir):
     return table(spark, sf_dir, "orders").groupBy(bucket(F.col("o_orderkey")).alias("bucket")).agg(F.count("*").alias("n"))

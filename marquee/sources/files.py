@@ -26,19 +26,27 @@ _MEMBER_BODY_DDL = "member string, chunk bigint, content binary"
 _FRAME_BYTES = 8 << 20
 
 
-def wanted_name(path: Column, subpath: str | None = None, include_jsonl: bool = False) -> Column:
-    """Which source names are read.
+def name_patterns(subpath: str | None = None, include_jsonl: bool = False) -> tuple[list[str], str]:
+    """Patterns that a source name must match, and one that it must not; names are parted by slashes.
 
     Archive litter (anything below ``__MACOSX``, files named ``._*``) is out, ``.json`` is in, ``.jsonl``
-    only on request; ``subpath`` asks for one or more whole path parts.  Either slash parts a path.
+    only on request; ``subpath`` asks for one or more whole path parts.
     """
+    wanted = [r"(?i)\.jsonl?$" if include_jsonl else r"(?i)\.json$"]
+    if subpath:
+        parts = [re.escape(part) for part in re.split(r"[\\/]+", subpath) if part]
+        wanted.append("(^|/)" + "/".join(parts) + "(/|$)")
+    return wanted, r"(^|/)(__MACOSX/|\._[^/]*$)"
+
+
+def wanted_name(path: Column, subpath: str | None = None, include_jsonl: bool = False) -> Column:
+    """Which source names are read (`name_patterns`); either slash parts a path."""
     name = F.translate(path, "\\", "/")
-    litter = name.rlike(r"(^|/)(__MACOSX/|\._[^/]*$)")
-    suffix = name.rlike(r"(?i)\.jsonl?$" if include_jsonl else r"(?i)\.json$")
-    if not subpath:
-        return suffix & ~litter
-    parts = [re.escape(part) for part in re.split(r"[\\/]+", subpath) if part]
-    return suffix & ~litter & name.rlike("(^|/)" + "/".join(parts) + "(/|$)")
+    wanted, litter = name_patterns(subpath, include_jsonl)
+    kept = ~name.rlike(litter)
+    for pattern in wanted:
+        kept = kept & name.rlike(pattern)
+    return kept
 
 
 def _text(content: Column) -> Column:

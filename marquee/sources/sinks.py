@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +42,66 @@ def append_ledger(ids: DataFrame, path: str) -> None:
     ids.select("movie_id", "vote_count", "popularity").write.mode("append").json(path)
 
 
+def write_files(rows: DataFrame, path: str) -> int:
+    """One file below ``path`` for each row of ``rows (name, body)``; the number written.
+
+    A task that is repeated writes the same files again.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(path)
+        made: set[str] = set()
+        for batch in batches:
+            for name, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                folder = f"{root}/{name}".rsplit("/", 1)[0]
+                if folder not in made:
+                    system.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with system.open_output_stream(f"{root}/{name}") as out:
+                    out.write((body.as_py() or "").encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    return rows.select("name", "body").mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def write_archives(rows: DataFrame, path: str) -> int:
+    """One ZIP archive below ``path`` for each ``archive`` of ``rows (archive, name, body)``; the number of members.
+
+    An archive's members come to one task in name order and are streamed into it; it gets its name when it
+    is whole.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zipfile
+
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(path)
+        system.create_dir(root, recursive=True)
+        current, out, archive = None, None, None
+
+        def close() -> None:
+            if archive is not None:
+                archive.close()
+                out.close()
+                system.move(f"{root}/{current}.part", f"{root}/{current}")
+
+        for batch in batches:
+            for name, member, body in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if name != current:
+                    close()
+                    current, out = name, system.open_output_stream(f"{root}/{name}.part")
+                    archive = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)
+                archive.writestr(member, body or "")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+        close()
+
+    spread = rows.select("archive", "name", "body").repartition("archive").sortWithinPartitions("archive", "name")
+    return spread.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def error_samples(rejects: DataFrame, n: int = 20) -> DataFrame:
     return rejects.limit(n)
 

@@ -27,6 +27,20 @@ def stream_ids(
     return rows.dropDuplicates([key])
 
 
+def run_batches(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Write each batch to a folder of its own number below ``target``, then stop.
+
+    A batch that is repeated after a failure replaces its folder, so its rows are stored once.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    query = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
 def run_available(stream: DataFrame, target: str, checkpoint: str, fmt: str = "parquet", name: str = "ids") -> StreamingQuery:
     """Process everything that is there and stop; a restart goes on after the last finished batch."""
     counted = stream.observe(name, F.count(F.lit(1)).alias("rows"))

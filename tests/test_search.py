@@ -8,7 +8,7 @@ from marquee.operators.discover import discover, page_plan, slice_plan
 from marquee.operators.facets import facet_counts, facet_with_source, index_status, translate_codes
 from marquee.operators.postings import build_index
 from marquee.operators.records import find_by_id, normalize
-from marquee.operators.search import compare_rankings, dense_hits, scoped_queries, search, sparse_hits, validate_requests
+from marquee.operators.search import answer, compare_rankings, dense_hits, scoped_queries, search, sparse_hits, validate_requests
 from marquee.operators.sparse import best_per_query, query_clauses, score_documents, sparse_search
 from marquee.plans.dense_queries import hashed_words
 
@@ -101,6 +101,9 @@ def test_router_hits_and_comparison(spark, docs, index):
     sparse = search(queries, "sparse", index=index, documents=docs, fields=BOOSTS)
     dense = search(queries, "bert", vectors=vectors, encode=encode)
     assert ids(sparse)[0] == "01" and dense.orderBy("rank").first().movie_id == 1
+    whole = answer(queries, "sparse", index=index, documents=docs, fields=BOOSTS)
+    assert whole.hits.count() == sparse.count() and whole.errors.count() == 2 and whole.seconds > 0
+    assert [(r.query_id, r.result_count) for r in whole.summary.collect()] == [(1, 3)]
     named = dense.select("query_id", "rank", F.format_string("%02d", "movie_id").alias("doc_id"), "score")
     both = {r.doc_id: r.rank_change for r in compare_rankings(sparse, named).collect()}
     assert both["01"] == 0
@@ -170,6 +173,10 @@ def test_mean_pool_of_a_fully_masked_key(spark):
     rows = spark.createDataFrame([(1, [2.0, 4.0], 1), (1, [4.0, 0.0], 1), (1, [100.0, 1.0], 0), (2, [5.0, 5.0], 0)], "id int, embedding array<float>, mask int")
     got = {r.id: r.embedding for r in mean_pool(rows).collect()}
     assert got == {1: [3.0, 2.0], 2: [0.0, 0.0]}
+    odd = spark.createDataFrame([("a", [2.0], 1.0), ("a", [4.0, 8.0], 1.0), (None, [1.0, None], 2.0), ("b", None, 1.0)], "key string, v array<double>, m double")
+    got = {r["key"]: r.embedding for r in mean_pool(odd.repartition(3), "key", "v", "m").collect()}
+    assert got == {"a": [3.0, 8.0], None: [1.0, 0.0]}
+    assert mean_pool(odd.limit(0), "key", "v", "m").count() == 0
 
 
 def test_facets_codes_and_bands(spark, docs):
