@@ -1,14 +1,14 @@
 """Near duplicates among vectors: a navigable small-world graph per shard, every shard asked.
 
 Vectors of one label (and length) are dealt into shards of bounded size.  Each shard builds a hierarchical
-graph once and stores it; blocks of vectors then walk the graph of every shard of their label.  The beam
-is widened until an audit against brute force passes.  Cosines decide in double precision, links found
-are counted where they are found, and only a spanning forest of them leaves a task.
+graph once; the vectors of every shard of the label then walk it, in batches.  A seeded share of them is
+also answered by brute force: if the walks miss too much of that, the beam is doubled.  Cosines decide in
+double precision, links found are counted where they are found, and only a spanning forest of them
+leaves a task.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
 import pickle
 
@@ -23,219 +23,290 @@ from marquee.session import materialise
 COSINE = 0.98
 SHARD_ROWS = 16_384
 SHARD_BYTES = 64 << 20
-QUERY_ROWS = 1_024
-LINKS = 12
+LINKS = 16
 BEAM = 32
-# An audit asks a block's vectors by brute force, so many at once, until so many with links were seen (or
-# all were asked), and wants this share of their links found, on average over those vectors.
-AUDIT_ROWS = 48
-AUDIT_LINKED = 48
+# Nodes of the top level, nodes inserted or asked at once, and nodes of a beam opened in one step.
+TOP_NODES = 64
+BATCH = 512
+OPENED = 4
+# Share of the asking vectors that is audited (at least so many), and the recall wanted of them.
+AUDIT_SHARE = 0.02
+AUDIT_LEAST = 48
 AUDIT_RECALL = 0.99
+# Walks go by single precision; what they find this far below the threshold is looked at in double.
+SLACK = 1e-4
 
 
 class Graph:
-    """Hierarchical navigable small world over unit vectors; more similar is nearer."""
+    """Hierarchical navigable small world over unit vectors; more similar is nearer.
+
+    Levels are built from the top: a level begins with the edges of the one above it, and its other nodes
+    are inserted in batches.  Each node has edges of its own, in different directions, and room for as
+    many of nodes that chose it, the nearest of which stay.
+    """
 
     def __init__(self, vectors: np.ndarray, links: int = LINKS, beam: int = 2 * BEAM, seed: int = 5):
-        self.x = vectors
-        n = len(vectors)
-        # Exponential levels: about one in ``links`` nodes reaches the next.
+        n = self.n = len(vectors)
+        # The row after the last stands for no node.
+        self.x = np.concatenate([vectors, np.zeros((1, vectors.shape[1]))]).astype(np.float32)
+        self.links = links
         draw = np.random.default_rng(seed).random(n)
-        self.level = np.floor(-np.log(np.maximum(draw, 1e-300)) / math.log(links)).astype(int)
-        self.most = [2 * links if level == 0 else links for level in range(int(self.level.max(initial=0)) + 1)]
-        self.edges: list[dict[int, np.ndarray]] = [{} for _ in self.most]
-        self.entry = 0
-        for node in range(n):
-            self._insert(node, beam)
+        level = np.floor(-np.log(np.maximum(draw, 1e-300)) / math.log(links)).astype(int)
+        top = 0
+        while np.count_nonzero(level >= top) > TOP_NODES:
+            top += 1
+        top = max(0, top - 1) if not np.any(level >= top) else top
+        self.top = np.flatnonzero(level >= top)
+        self.edges: list[np.ndarray] = []
+        for below in range(top, -1, -1):
+            edges = self.edges[0].copy() if self.edges else np.full((n + 1, 2 * links), n, np.int32)
+            self.edges.insert(0, edges)
+            known = np.flatnonzero(level > below) if below < top else np.empty(0, int)
+            fresh = np.flatnonzero(level == below) if below < top else self.top
+            near = np.full((n + 1, links), -np.inf, np.float32)
+            if len(known):
+                near[known] = self._cosines(self.x[known], edges[known, links:])
+            # Batches grow with the graph, so that a node can find those that came shortly before.
+            at = 0
+            while at < len(fresh):
+                step = min(BATCH, max(TOP_NODES, len(known) + at))
+                self._insert(fresh[at : at + step], near, beam, at + len(known) > 0)
+                at += step
+
+    def state(self) -> tuple:
+        return self.n, self.links, self.top, self.edges
 
     @classmethod
-    def restored(cls, state: dict) -> Graph:
+    def restored(cls, state: tuple, vectors: np.ndarray) -> Graph:
         graph = cls.__new__(cls)
-        graph.__dict__.update(state)
+        graph.n, graph.links, graph.top, graph.edges = state
+        graph.x = np.concatenate([vectors, np.zeros((1, vectors.shape[1]))]).astype(np.float32)
         return graph
 
-    def _insert(self, node: int, beam: int) -> None:
-        top = int(self.level[node])
-        for level in range(top + 1):
-            self.edges[level][node] = np.empty(0, np.int64)
-        if node == 0:
-            return
-        q, start = self.x[node], [self.entry]
-        highest = int(self.level[self.entry])
-        for level in range(highest, top, -1):
-            start = [self.walk(q, start, level, 1)[0][1]]
-        for level in range(min(top, highest), -1, -1):
-            near = self.walk(q, start, level, beam)
-            chosen = self._spread([i for _, i in near], [s for s, _ in near], self.most[level] // (2 if level == 0 else 1))
-            self.edges[level][node] = np.array(chosen, np.int64)
-            for other in chosen:
-                known = np.append(self.edges[level][other], node)
-                if len(known) > self.most[level]:
-                    near_other = self.x[known] @ self.x[other]
-                    order = np.argsort(-near_other, kind="stable")
-                    known = np.array(self._spread(known[order].tolist(), near_other[order].tolist(), self.most[level]), np.int64)
-                self.edges[level][other] = known
-            start = [i for _, i in near]
-        if top > highest:
-            self.entry = node
-
-    def _spread(self, nodes: list[int], near: list[float], most: int) -> list[int]:
+    def _cosines(self, q: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        """Of each query with its row of nodes; no node is infinitely far."""
+        near = np.matmul(self.x[nodes], q[:, :, None])[:, :, 0]
+        near[nodes == self.n] = -np.inf
+        return near
+
+    def _insert(self, batch: np.ndarray, near: np.ndarray, beam: int, walked: bool) -> None:
+        edges, links, n = self.edges[0], self.links, self.n
+        q = self.x[batch]
+        inside = q @ q.T
+        np.fill_diagonal(inside, -np.inf)
+        first = np.argsort(-inside, axis=1, kind="stable")[:, : 2 * links]
+        nodes, cosines = batch[first], np.take_along_axis(inside, first, 1)
+        if walked:
+            found, far = self._descend(q, beam, 0, len(self.edges) > 1)
+            nodes, cosines = np.concatenate([found, nodes], 1), np.concatenate([far, cosines], 1)
+        order = np.argsort(-cosines, axis=1, kind="stable")[:, : beam + links]
+        nodes, cosines = np.take_along_axis(nodes, order, 1), np.take_along_axis(cosines, order, 1)
+        own = self._spread(nodes, cosines)
+        edges[batch, :links] = own
+        # The nodes chosen learn of it: of all that chose them the nearest stay.
+        new, old = np.repeat(batch, links), own.ravel()
+        new, old = new[old < n], old[old < n]
+        close = np.einsum("ij,ij->i", self.x[new], self.x[old])
+        order = np.lexsort((-close, old))
+        new, old, close = new[order], old[order], close[order]
+        place = np.arange(len(old)) - np.searchsorted(old, old)
+        touched = np.unique(old)
+        row = np.searchsorted(touched, old)
+        width = int(min(place.max(initial=-1) + 1, 4 * links))
+        some = place < width
+        ids, sims = np.full((len(touched), width), n, np.int32), np.full((len(touched), width), -np.inf, np.float32)
+        ids[row[some], place[some]], sims[row[some], place[some]] = new[some], close[some]
+        ids, sims = np.concatenate([edges[touched, links:], ids], 1), np.concatenate([near[touched], sims], 1)
+        order = np.argsort(-sims, axis=1, kind="stable")[:, :links]
+        edges[touched, links:] = np.take_along_axis(ids, order, 1)
+        near[touched] = np.take_along_axis(sims, order, 1)
+
+    def _spread(self, nodes: np.ndarray, near: np.ndarray) -> np.ndarray:
         """Neighbours in different directions first: one nearer to a chosen neighbour than to the node waits."""
-        if len(nodes) <= most:
-            return nodes
-        between = self.x[nodes] @ self.x[nodes].T
-        chosen: list[int] = []
-        waiting: list[int] = []
-        for i in range(len(nodes)):
-            if len(chosen) == most:
-                break
-            (waiting if chosen and between[i, chosen].max() > near[i] else chosen).append(i)
-        chosen += waiting[: most - len(chosen)]
-        return [nodes[i] for i in chosen]
-
-    def walk(self, q: np.ndarray, start: list[int], level: int, beam: int, least: float = math.inf) -> list[tuple[float, int]]:
-        """Best first search: the ``beam`` nearest found, and all found with a cosine of ``least`` or more; nearest first.
-
-        It ends when the nearest node not visited is outside the beam and below ``least``, so a large
-        group of near copies widens it by itself.
+        x = self.x[nodes]
+        between = np.matmul(x, x.transpose(0, 2, 1))
+        real = near > -np.inf
+        chosen = np.zeros(nodes.shape, bool)
+        for j in range(nodes.shape[1]):
+            hidden = ((between[:, j] > near[:, j, None]) & chosen).any(1)
+            chosen[:, j] = real[:, j] & ~hidden & (chosen.sum(1) < self.links)
+        waiting = real & ~chosen
+        chosen |= waiting & (np.cumsum(waiting, 1) <= (self.links - chosen.sum(1))[:, None])
+        order = np.argsort(~chosen, axis=1, kind="stable")[:, : self.links]
+        taken = np.where(np.take_along_axis(chosen, order, 1), np.take_along_axis(nodes, order, 1), self.n)
+        return np.pad(taken, ((0, 0), (0, self.links - taken.shape[1])), constant_values=self.n)
+
+    def _descend(self, q: np.ndarray, beam: int, level: int, above: bool, hits: list | None = None, least: float = math.inf):
+        """The ``beam`` nearest nodes of a level; the levels above it lead to where the walk begins."""
+        start = self.top[np.argsort(-(q @ self.x[self.top].T), axis=1, kind="stable")[:, :OPENED]]
+        if above:
+            for upper in range(len(self.edges) - 1, level, -1):
+                start = self._walk(q, start, upper, OPENED)[0]
+        return self._walk(q, start, level, beam, hits, least)
+
+    def _walk(self, q: np.ndarray, start: np.ndarray, level: int, beam: int, hits: list | None = None, least: float = math.inf):
+        """Best first in all rows at once: ``(nodes, cosines)``, nearest first; ends when all of a beam was opened.
+
+        Whatever is met at ``least`` or above goes to ``hits`` as ``(rows, nodes)``, also beyond the beam.
         """
-        edges, x = self.edges[level], self.x
-        seen = np.zeros(len(x), bool)
-        seen[start] = True
-        near = x[start] @ q
-        todo = [(-s, i) for s, i in zip(near.tolist(), start, strict=True)]
-        heapq.heapify(todo)
-        best = [(s, i) for s, i in zip(near.tolist(), start, strict=True)]
-        heapq.heapify(best)
-        kept: list[tuple[float, int]] = []
-        while len(best) > beam:
-            self._drop(best, kept, least)
-        while todo:
-            s, node = heapq.heappop(todo)
-            if -s < best[0][0] and len(best) >= beam and -s < least:
-                break
-            fresh = edges[node]
-            fresh = fresh[~seen[fresh]]
-            if not len(fresh):
-                continue
-            seen[fresh] = True
-            for t, i in zip((x[fresh] @ q).tolist(), fresh.tolist(), strict=True):
-                if len(best) < beam or t > best[0][0] or t >= least:
-                    heapq.heappush(todo, (-t, i))
-                    heapq.heappush(best, (t, i))
-                    if len(best) > beam:
-                        self._drop(best, kept, least)
-        return sorted([*best, *kept], key=lambda e: (-e[0], e[1]))
-
-    @staticmethod
-    def _drop(best: list, kept: list, least: float) -> None:
-        out = heapq.heappop(best)
-        if out[0] >= least:
-            kept.append(out)
-
-    def search(self, q: np.ndarray, beam: int, least: float) -> np.ndarray:
-        """Nodes found with a cosine of ``least`` or more."""
-        start = [self.entry]
-        for level in range(int(self.level[self.entry]), 0, -1):
-            start = [self.walk(q, start, level, 1)[0][1]]
-        return np.array([i for s, i in self.walk(q, start, 0, beam, least) if s >= least], np.int64)
-
-
-def _exact(x: np.ndarray, queries: np.ndarray, least: float) -> list[np.ndarray]:
-    """All nodes with a cosine of ``least`` or more, for each query: a matrix product proposes, the cosine decides."""
-    near = queries @ x.T >= least - 1e-9
-    return [c[x[c] @ q >= least] for q, c in zip(queries, map(np.flatnonzero, near), strict=True)]
-
-
-def search_block(graph: Graph, queries: np.ndarray, least: float, beam: int = BEAM, own: np.ndarray | None = None) -> tuple[list[np.ndarray], int, float]:
-    """``(links of each query, beam, audited recall)``; the beam doubles until the audit passes.
-
-    Recall is the mean over the audited queries that have links, so one with thousands counts once; ``own``
-    is each query's node in the graph (-1: none), which is no link.  Audited queries keep their exact links.
-    A block audited to its end, or a beam as wide as the shard, is brute force, so the loop ends.
+        edges, n = self.edges[level], self.n
+        seen = np.zeros((len(q), n + 1), bool)
+        seen[:, n] = True
+        ids, near = np.full((len(q), beam), n, np.int64), np.full((len(q), beam), -np.inf, np.float32)
+        opened = np.ones((len(q), beam), bool)
+        rows, fresh = np.arange(len(q)), start
+        while len(rows):
+            fresh = np.sort(np.where(seen[rows[:, None], fresh], n, fresh), axis=1)
+            fresh[:, 1:][fresh[:, 1:] == fresh[:, :-1]] = n
+            seen[rows[:, None], fresh] = True
+            close = self._cosines(q[rows], fresh)
+            if hits is not None:
+                r, c = np.nonzero(close >= least)
+                hits.append((rows[r], fresh[r, c]))
+            both, sims = np.concatenate([ids[rows], fresh], 1), np.concatenate([near[rows], close], 1)
+            done = np.concatenate([opened[rows], fresh == n], 1)
+            order = np.argsort(-sims, axis=1, kind="stable")[:, :beam]
+            ids[rows], near[rows] = np.take_along_axis(both, order, 1), np.take_along_axis(sims, order, 1)
+            opened[rows] = np.take_along_axis(done, order, 1)
+            todo = ~opened[rows]
+            rows = rows[todo.any(1)]
+            pick = ~opened[rows]
+            pick &= np.cumsum(pick, 1) <= OPENED
+            opened[rows] |= pick
+            at = np.argsort(~pick, axis=1, kind="stable")[:, :OPENED]
+            nodes = np.where(np.take_along_axis(pick, at, 1), np.take_along_axis(ids[rows], at, 1), n)
+            fresh = edges[nodes].reshape(len(rows), OPENED * edges.shape[1]).astype(np.int64)
+        return ids, near
+
+    def search(self, q: np.ndarray, beam: int, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(rows, nodes)`` of what was met at about ``least`` or above, and each row's ``beam`` nearest."""
+        hits: list = []
+        ids, _ = self._descend(q.astype(np.float32), beam, 0, True, hits, least - SLACK)
+        rows, nodes = (np.concatenate([h[i] for h in hits]) for i in (0, 1))
+        return rows, nodes, ids
+
+
+class Asked:
+    """Answers of one shard to blocks of vectors: links found, their weights, edges that connect them."""
+
+    def __init__(self, x: np.ndarray, ids: np.ndarray, copies: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, least: float):
+        self.x, self.ids, self.copies, self.least = x, ids, copies, least
+        self.queries, self.query_ids = queries, query_ids
+        place = np.minimum(np.searchsorted(ids, query_ids), len(ids) - 1)
+        self.own = np.where(ids[place] == query_ids, place, -1)
+        self.links = np.zeros(len(queries), np.int64)
+        self.edges: list[tuple[int, int]] = []
+        self.part = np.arange(len(x))
+
+    def exact(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(rows, nodes)`` of all links of some queries, and each one's nearest other node."""
+        near = self.queries[rows] @ self.x.T
+        inside = np.flatnonzero(self.own[rows] >= 0)
+        near[inside, self.own[rows][inside]] = -np.inf
+        r, nodes = np.nonzero(near >= self.least)
+        return rows[r], nodes, near.argmax(1)
+
+    def take(self, rows: np.ndarray, nodes: np.ndarray) -> None:
+        """Count links given as pairs, verified, and keep the edges that join what was apart."""
+        sure = np.einsum("ij,ij->i", self.queries[rows], self.x[nodes]) >= self.least
+        sure &= nodes != self.own[rows]
+        rows, nodes = rows[sure], nodes[sure]
+        np.add.at(self.links, rows, self.copies[nodes])
+        order = np.argsort(rows, kind="stable")
+        rows, nodes = rows[order], nodes[order]
+        for group in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(rows)) + 1) if len(rows) else []:
+            query, others = int(rows[group[0]]), nodes[group]
+            parts, first = np.unique(self.part[others], return_index=True)
+            self.edges += [(int(self.query_ids[query]), int(self.ids[others[f]])) for f in first]
+            if self.own[query] >= 0:
+                parts = np.union1d(parts, self.part[self.own[query]])
+            if len(parts) > 1:
+                self.part[np.isin(self.part, parts[1:])] = parts[0]
+
+
+def ask(graph: Graph, asked: Asked) -> tuple[int, float, int]:
+    """Answer all queries: ``(beam, recall of the audit, queries answered by brute force)``.
+
+    The audit wants an audited query's links and its nearest other node, so shards without links are
+    audited too, and a query with thousands of links counts once.  A query that meets as many links as its
+    beam is wide is asked again with twice the beam.  A beam wider than an eighth of the shard costs more
+    than brute force, which is then used.
     """
-    own = np.full(len(queries), -1) if own is None else own
-    truth: dict[int, np.ndarray] = {}
-    linked: dict[int, np.ndarray] = {}
-    order = np.random.default_rng(7).permutation(len(queries))
-    for at in range(0, len(order), AUDIT_ROWS):
-        rows = order[at : at + AUDIT_ROWS]
-        truth |= zip(rows.tolist(), _exact(graph.x, queries[rows], least), strict=True)
-        linked = {i: others for i, t in truth.items() if len(others := t[t != own[i]])}
-        if len(linked) >= AUDIT_LINKED:
-            break
-    while len(truth) < len(queries) and beam < len(graph.x):
-        recall = np.mean([np.isin(t, graph.search(queries[i], beam, least)).mean() for i, t in linked.items()])
+    n, total = len(asked.x), len(asked.queries)
+    order = np.random.default_rng(7).permutation(total)
+    audited = np.sort(order[: max(AUDIT_LEAST, math.ceil(AUDIT_SHARE * total))])
+    blocks = lambda rows: np.split(rows, range(BATCH, len(rows), BATCH))
+    truth = [asked.exact(rows) for rows in blocks(audited)]
+    for rows, nodes, _ in truth:
+        asked.take(rows, nodes)
+    beam, recall, brute = BEAM, 0.0, len(audited)
+    while beam <= n // 8:
+        shares = []
+        for rows, (linked, nodes, nearest) in zip(blocks(audited), truth, strict=True):
+            r, found, ids = graph.search(asked.queries[rows], beam, asked.least)
+            for i, row in enumerate(rows):
+                wanted = np.union1d(nodes[linked == row], nearest[i])
+                shares.append(np.isin(wanted, np.concatenate([found[r == i], ids[i]])).mean())
+        recall = float(np.mean(shares)) if shares else 1.0
         if recall >= AUDIT_RECALL:
-            return [truth[i] if i in truth else graph.search(q, beam, least) for i, q in enumerate(queries)], beam, float(recall)
+            break
         beam *= 2
-    rest = [i for i in range(len(queries)) if i not in truth]
-    for at in range(0, len(rest), AUDIT_ROWS):
-        rows = rest[at : at + AUDIT_ROWS]
-        truth |= zip(rows, _exact(graph.x, queries[rows], least), strict=True)
-    return [truth[i] for i in range(len(queries))], max(beam, len(graph.x)), 1.0
-
-
-def _forest(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Edges that connect what the pairs connect, one for each node but the roots."""
-    parent: dict[int, int] = {}
-
-    def root(i: int) -> int:
-        while parent.setdefault(i, i) != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    kept = []
-    for a, b in pairs:
-        ra, rb = root(a), root(b)
-        if ra != rb:
-            parent[max(ra, rb)] = min(ra, rb)
-            kept.append((a, b))
-    return kept
+    rest = np.setdiff1d(np.arange(total), audited)
+    widest = beam
+    while len(rest) and widest <= n // 8:
+        again = []
+        for rows in blocks(rest):
+            r, nodes, _ = graph.search(asked.queries[rows], widest, asked.least)
+            full = np.bincount(r, minlength=len(rows)) >= widest
+            again.append(rows[full])
+            asked.take(rows[r[~full[r]]], nodes[~full[r]])
+        rest, widest = np.concatenate(again), 2 * widest
+    brute += len(rest)
+    for rows in blocks(rest):
+        asked.take(*asked.exact(rows)[:2])
+    return beam, recall if beam <= n // 8 else 1.0, brute
 
 
 def _build(rows: pd.DataFrame) -> pd.DataFrame:
-    """One shard's graph (its fields, pickled) with the ids and weights of its nodes."""
+    """One shard: its graph, and apart from it the ids, weights and unit vectors of its nodes."""
     rows = rows.sort_values("id")
     x = np.stack([np.asarray(v, np.float64) for v in rows["embedding"]])
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    blob = pickle.dumps((vars(Graph(x)), rows["id"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64)), protocol=5)
+    nodes = (rows["id"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64), x)
     first = rows.iloc[0]
-    return pd.DataFrame({"label": [first["label"]], "dim": [first["dim"]], "shard": [first["shard"]], "rows": [len(rows)], "graph": [blob]})
+    return pd.DataFrame({
+        "label": [first["label"]], "dim": [first["dim"]], "shard": [first["shard"]],
+        "graph": [pickle.dumps(Graph(x).state(), protocol=5)], "nodes": [pickle.dumps(nodes, protocol=5)],
+    })
 
 
 def _ask(cosine: float):
-    def ask(task: pd.DataFrame) -> pd.DataFrame:
-        """One block of one shard's vectors against the graph of one shard."""
+    def one(task: pd.DataFrame) -> pd.DataFrame:
+        """All vectors of one shard against the graph of one shard."""
         row = task.iloc[0]
-        state, ids, copies = pickle.loads(row["graph"])
-        graph = Graph.restored(state)
-        own, own_ids, _ = pickle.loads(row["asker"])
-        block = slice(int(row["block"]) * QUERY_ROWS, (int(row["block"]) + 1) * QUERY_ROWS)
-        own_ids = own_ids[block]
-        place = np.minimum(np.searchsorted(ids, own_ids), len(ids) - 1)
-        place[ids[place] != own_ids] = -1
-        found, _, recall = search_block(graph, own["x"][block], cosine, own=place)
-        others = [f[ids[f] != i] for f, i in zip(found, own_ids, strict=True)]
-        edges = _forest([(int(i), int(j)) for i, f in zip(own_ids, others, strict=True) for j in ids[f]])
-        counts = [(int(i), int(copies[f].sum()), None) for i, f in zip(own_ids, others, strict=True)]
-        rows = pd.DataFrame(counts + [(a, None, b) for a, b in edges], columns=["id", "n", "other"]).astype("Int64")
-        return rows.assign(recall=recall)
-
-    return ask
+        ids, copies, x = pickle.loads(row["nodes"])
+        query_ids, _, queries = pickle.loads(row["asker"])
+        asked = Asked(x, ids, copies, queries, query_ids, cosine)
+        beam, recall, brute = ask(Graph.restored(pickle.loads(row["graph"]), x), asked)
+        counts = [(int(i), int(c), None) for i, c in zip(query_ids, asked.links, strict=True)]
+        rows = pd.DataFrame(counts + [(a, None, b) for a, b in set(asked.edges)], columns=["id", "n", "other"]).astype("Int64")
+        return rows.assign(recall=recall, beam=beam, brute=brute / max(1, len(queries)))
+
+    return one
 
 
 def find(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id", vector: str = "embedding", label: str = "label",
          shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """``(vec_id, n_links, component_id, kept)`` of every row of ``vectors``.
+    """``(vec_id, n_links, component_id, kept, recall, beam, brute)`` of every row of ``vectors``.
 
     Rows of one label (not null) and one vector length are compared; links have a cosine of ``cosine`` or
     more.  ``n_links`` counts the other rows linked directly, ``component_id`` is the smallest key
     reachable, ``kept`` says that it is the row's own.  A vector that is null, zero, or holds null or
     non-finite numbers, or whose label is null, links with nothing.  Equal vectors are one node with a
     weight, so copies are never paired.  Repeated keys stay rows of their own; a null key counts as larger
-    than any other.  A block's recall is at least 0.99 on average over the audited rows that have links.
+    than any other; an empty table gives no rows.  ``recall`` (the least audited), ``beam`` (the widest) and
+    ``brute`` (the largest share answered by brute force) are those of the shards that a row's vector asked;
+    null where it asked none.
     """
     rows = materialise(vectors.select(
         F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("key"), F.col(label).cast("string").alias("label"),
@@ -252,22 +323,29 @@ def find(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id", vector
     shards = nodes.groupBy("label", "dim").agg(F.count("*").alias("n")).withColumn("shards", F.ceil(F.col("n") / fits))
     dealt = nodes.join(shards, ["label", "dim"]).withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards")).cast("int"))
     graphs = dealt.select("label", "dim", "shard", "id", "copies", "embedding").groupBy("label", "dim", "shard").applyInPandas(
-        _build, "label string, dim int, shard int, rows long, graph binary"
+        _build, "label string, dim int, shard int, graph binary, nodes binary"
     )
     graphs = materialise(graphs, "graphs")
-    blocks = F.sequence(F.lit(0), F.ceil(F.col("rows") / F.lit(QUERY_ROWS)).cast("int") - 1)
-    askers = graphs.select("label", "dim", F.col("shard").alias("from"), F.col("graph").alias("asker"), F.explode(blocks).alias("block"))
-    tasks = graphs.drop("rows").join(askers, ["label", "dim"])
-    answers = materialise(tasks.groupBy("label", "dim", "shard", "from", "block").applyInPandas(_ask(cosine), "id long, n long, other long, recall double"), "answers")
-    linked = answers.where("n IS NOT NULL").groupBy("id").agg(F.sum("n").alias("n"))
+    askers = graphs.select("label", "dim", F.col("shard").alias("from"), F.col("nodes").alias("asker"))
+    tasks = graphs.join(askers, ["label", "dim"])
+    answers = tasks.groupBy("label", "dim", "shard", "from").applyInPandas(
+        _ask(cosine), "id long, n long, other long, recall double, beam int, brute double"
+    )
+    answers = materialise(answers, "answers")
+    linked = answers.where("n IS NOT NULL").groupBy("id").agg(
+        F.sum("n").alias("n"), F.min("recall").alias("recall"), F.max("beam").alias("beam"), F.max("brute").alias("brute")
+    )
     found = components(answers.where("other IS NOT NULL").select(F.col("id").alias("a"), F.col("other").alias("b")))
     placed = nodes.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     heads = placed.groupBy("component").agg(F.min("first").alias("head"))
     named = placed.join(heads, "component").join(linked, "id").select(
-        "label", "embedding", (F.col("n") + F.col("copies") - 1).alias("n_links"), F.col("head.key").alias("component_id")
+        "label", "embedding", (F.col("n") + F.col("copies") - 1).alias("n_links"), F.col("head.key").alias("component_id"),
+        "recall", "beam", "brute",
     )
     inside = marked.where("usable").join(named, ["label", "embedding"])
-    alone = marked.where("NOT usable").select("key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id"))
-    return inside.select("key", "n_links", "component_id").union(alone).select(
-        F.col("key").alias("vec_id"), "n_links", "component_id", F.col("key").eqNullSafe(F.col("component_id")).alias("kept")
+    none = [F.lit(None).cast(kind).alias(c) for c, kind in (("recall", "double"), ("beam", "int"), ("brute", "double"))]
+    alone = marked.where("NOT usable").select("key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id"), *none)
+    return inside.select("key", "n_links", "component_id", "recall", "beam", "brute").union(alone).select(
+        F.col("key").alias("vec_id"), "n_links", "component_id", F.col("key").eqNullSafe(F.col("component_id")).alias("kept"),
+        "recall", "beam", "brute",
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm import bootstrapped_pii, bpe_tree, budget_mix, chat_collapse, filter_audit, hnsw_dedup, langid_ftrl, linked_secrets, minhash_bbit, quality_knn, rule_ledger, target_resample, topk_threshold
 from marquee.llm.registry import CHECK_SQL, QUERIES, query, table  # noqa: F401
+from marquee.session import materialise
 
 OP3_SQL = r"""
 WITH t AS (
@@ -52,6 +53,27 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_RULE_BITS = (
+    "n_words < 10", "100 * n_repeat_words > 20 * n_words", "100 * n_symbols > 10 * word_chars", "100 * n_dup_lines > 30 * n_lines",
+    "word_chars < 2 * n_words", "word_chars > 20 * n_words", "2 * n_capitals > word_chars",
+)
+_RULE_NAMES = ("few_words", "repeated_words", "symbols", "repeated_lines", "short_words", "long_words", "capitals")
+ABLATIONS_SQL = OP3_SQL.split("SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines")[0].rstrip() + (
+    ", b AS (SELECT " + " + ".join(f"{1 << i} * ({rule})::INT" for i, rule in enumerate(_RULE_BITS)) + " AS bits FROM m) "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS rule, count(*) FILTER (bits & {1 << i} <> 0) AS n_failed, count(*) FILTER (bits = {1 << i}) AS n_only FROM b"
+        for i, name in enumerate(_RULE_NAMES)
+    )
+)
+
+
+@query("quality_rule_ablations", ABLATIONS_SQL)
+def quality_rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the policy rejects, and what it rejects alone, from the ledger once stored."""
+    book = materialise(rule_ledger.ledger(table(spark, sf_dir, "documents")), "ledger")
+    return rule_ledger.ablations(book)
+
+
 @query("op9_secrets")
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_secrets.digest(linked_secrets.scan(table(spark, sf_dir, "documents")))
@@ -172,7 +194,30 @@ FROM v JOIN reach ON reach.a = vec_id LEFT JOIN n ON n.a = vec_id
 
 @query("op5_embedding_dedup", OP5_SQL)
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hnsw_dedup.find(table(spark, sf_dir, "embeddings"))
+    return hnsw_dedup.find(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
+COPIES_SQL = OP5_SQL.replace("FROM embeddings", "FROM copies").replace("WITH v AS", """WITH copies AS (
+  SELECT vec_id, embedding::DOUBLE[] AS embedding, label FROM embeddings
+  UNION ALL SELECT vec_id + 1000000000, list_transform(embedding::DOUBLE[], lambda x, i: x * (1 + ((i + vec_id) % 5 - 2) / 100.0::DOUBLE)), label FROM embeddings
+  UNION ALL SELECT e.vec_id + 2000000000, list_transform(h.embedding::DOUBLE[], lambda x, i: x * (1 + ((7 * i + e.vec_id) % 11 - 5) / 1000.0::DOUBLE)), h.label
+  FROM embeddings e JOIN (SELECT * FROM embeddings WHERE vec_id = 1) h ON e.vec_id % 2 = 0
+), v AS""", 1)
+
+
+@query("embedding_dedup_copies", COPIES_SQL)
+def embedding_dedup_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vectors with a near copy of each, and half as many again around one of them: links, and a hot group."""
+    own = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"), "label")
+    moved = lambda vector, step, parts, scale: F.transform(
+        vector, lambda x, i: x * (1 + ((step * (i + 1) + F.col("vec_id")) % parts - (parts - 1) / 2) / scale)
+    )
+    near = own.select((F.col("vec_id") + 1_000_000_000).alias("vec_id"), moved("embedding", 1, 5, 100.0).alias("embedding"), "label")
+    hot = own.where("vec_id = 1").select(F.col("embedding").alias("h"), F.col("label").alias("hot_label"), F.lit(0).alias("even"))
+    around = own.where("vec_id % 2 = 0").withColumn("even", F.lit(0)).join(F.broadcast(hot), "even").select(
+        (F.col("vec_id") + 2_000_000_000).alias("vec_id"), moved("h", 7, 11, 1000.0).alias("embedding"), F.col("hot_label").alias("label")
+    )
+    return hnsw_dedup.find(own.union(near).union(around)).select("vec_id", "n_links", "component_id", "kept")
 
 
 @query("op10_personal_data")
