@@ -128,12 +128,13 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
     if {"lang_pred", "score"} & set(docs.columns):
         raise ValueError("columns lang_pred and score exist already")
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain values: a class in a broadcast is found by name only, and workers need no copy of this package.
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType(), False), T.StructField("score", T.DoubleType(), False)])
     place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, count = sent.value, make_counter()
+        known, count = Model(*sent.value), make_counter()
 
         def one(value: str | None) -> tuple[str, float]:
             counts = count(value) if value and known.langs else None
