@@ -12,8 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import word_array
-from marquee.session import materialise
+from marquee.llm.common import ROW, numbered, word_array
+from marquee.session import materialise, scratch_scope, sent_if_few
 
 # Weights of the sources in order, the total against all sizes, and the cap of a source.
 WEIGHTS = (3, 1, 2)
@@ -115,39 +115,87 @@ def _plan(groups: pd.DataFrame) -> pd.DataFrame:
     return groups[["sid", "size"]].assign(repeats=repeats, extra=extra)
 
 
-def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", carry: list[str] | None = None,
-        weights: tuple[int, ...] = WEIGHTS, percent: int = SHARE_PERCENT, cap: int = CAP, seed: int = SEED) -> DataFrame:
-    """``_carry`` (a struct of the columns named), ``size``, ``source_size``, ``target`` and ``times`` of every row.
+def _sized(docs: DataFrame, text: str, source: str, key: str, seed: int) -> list[Column]:
+    """Source id, size, seeded hash and its range of each row."""
+    h = F.xxhash64(F.lit(seed), F.col(key).cast("string"), F.col(text))
+    return [
+        F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("none")).alias("sid"), word_count(F.col(text)).alias("size"),
+        h.alias("h"), F.pmod(h, F.lit(RANGES)).alias("range"),
+    ]
 
-    ``times`` is how often the mix takes the row: the whole repeats of its source, or one more.  Words per
-    source meet the source's target to the word where its lengths allow.  Null and empty texts have size 0
-    and only follow whole repeats; a null source is a source of its own; repeated rows are ranked like any
-    others.  Reruns agree: the order is a hash of seed, key and text.  No group of rows is gathered: one
-    source's histogram (a row per length) goes to one task, documents are ranked in ranges of their hash.
+
+def _cut(sized: DataFrame, weights: tuple[int, ...], percent: int, cap: int) -> tuple[DataFrame, DataFrame]:
+    """From ``sized (sid, source, size, range)``: ``(sid, size, range, docs, repeats, extra, some)`` and each source's target.
+
+    ``some`` is how many documents of a range the cut takes beyond whole repeats: all, none, or some of the
+    range that it falls into.
     """
-    carry = [key] if carry is None else carry
-    own = F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("none")).alias("sid")
-    sized = materialise(docs.select(
-        F.struct(*carry).alias("_carry"), F.col(source).alias("source"), own, word_count(F.col(text)).alias("size"),
-        F.xxhash64(F.lit(seed), F.col(key).cast("string"), F.col(text)).alias("h"),
-    ).withColumn("range", F.pmod("h", F.lit(RANGES))), "sizes")
     ranges = materialise(sized.groupBy("sid", "source", "size", "range").agg(F.count("*").alias("docs")), "ranges")
     lengths = ranges.groupBy("sid", "source", "size").agg(F.sum("docs").alias("docs"))
     totals = lengths.groupBy("sid", "source").agg(F.sum(F.col("size") * F.col("docs")).alias("source_size"))
     goals = materialise(targets(totals, weights, percent, cap).drop("source"), "targets")
     wanted = lengths.drop("source").join(goals, "sid").groupBy("sid").applyInPandas(_plan, "sid string, size long, repeats int, extra long")
-    # How many documents of each range the cut takes: all, none, or some of the range it falls into.
     before = Window.partitionBy("sid", "size").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     some = F.col("extra") - F.coalesce(F.sum("docs").over(before), F.lit(0))
     cut = ranges.drop("source").join(wanted, ["sid", "size"]).withColumn("some", F.least("docs", F.greatest(F.lit(0), some)))
+    return cut, goals
+
+
+def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", carry: list[str] | None = None,
+        weights: tuple[int, ...] = WEIGHTS, percent: int = SHARE_PERCENT, cap: int = CAP, seed: int = SEED) -> DataFrame:
+    """``_carry`` (a struct of the columns named), ``size``, ``source_size``, ``target`` and ``times`` of every row.
+
+    ``times`` is how often the mix takes the row: the whole repeats of its source, or one more.  Words per
+    source meet the source's target to the word where its lengths allow.  Null and empty texts have size 0
+    and only follow whole repeats; a null source is a source of its own; repeated rows are ranked like any
+    others; an empty table has no rows.  Reruns agree: the order is a hash of seed, key and text.  No group
+    of rows is gathered: one source's histogram (a row per length) goes to one task, documents are ranked
+    in ranges of their hash.
+    """
+    carry = [key] if carry is None else carry
+    sized = materialise(docs.select(F.struct(*carry).alias("_carry"), F.col(source).alias("source"), *_sized(docs, text, source, key, seed)), "sizes")
+    cut, goals = _cut(sized, weights, percent, cap)
     rows = sized.drop("source").join(cut.join(goals, "sid"), ["sid", "size", "range"])
     rank = F.row_number().over(Window.partitionBy("sid", "size", "range").orderBy("h", F.col("_carry").getField(carry[0])))
     more = F.when(F.col("some") == 0, 0).when(F.col("some") == F.col("docs"), 1).otherwise((rank <= F.col("some")).cast("int"))
     return rows.select("_carry", "size", "source_size", "target", (F.col("repeats") + more).cast("int").alias("times"))
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: the rows of ``docs`` with their columns, each as often as it is taken."""
-    rows = mix(docs, carry=docs.columns, **options).where("times > 0")
-    repeated = rows.select("_carry", F.explode(F.array_repeat(F.lit(0), F.col("times"))))
-    return repeated.select(*[F.col("_carry").getField(c).alias(c) for c in docs.columns])
+def cut_lines(sized: DataFrame, weights: tuple[int, ...], percent: int, cap: int) -> DataFrame:
+    """``(sid, size, repeats, line)``: rows up to ``line`` (range, hash, name) of their length are taken once more.
+
+    From stored ``sized (sid, source, size, range, h, <names of rows>)``.  One row per source and length;
+    a null line takes none.  Rows are ranked only in the range that a cut falls into.
+    """
+    cut, _ = _cut(sized, weights, percent, cap)
+    place = F.struct("range", "h", *ROW)
+    inside = cut.where("some > 0 AND some < docs").select("sid", "size", "range", "some")
+    rank = F.row_number().over(Window.partitionBy("sid", "size", "range").orderBy("h", *ROW))
+    edges = sized.join(inside, ["sid", "size", "range"]).withColumn("rank", rank).where("rank = some").select("sid", "size", place.alias("edge"))
+    end = F.lit((1 << 63) - 1)
+    last = F.max(F.when(F.col("some") > 0, F.col("range")))
+    whole = cut.groupBy("sid", "size").agg(F.any_value("repeats").alias("repeats"), last.alias("last")).join(edges, ["sid", "size"], "left")
+    top = F.when(F.col("last").isNotNull(), F.struct(F.col("last").alias("range"), end.alias("h"), *[end.alias(c) for c in ROW]))
+    return whole.select("sid", "size", "repeats", F.coalesce("edge", top).alias("line"))
+
+
+def mixed(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", weights: tuple[int, ...] = WEIGHTS,
+          percent: int = SHARE_PERCENT, cap: int = CAP, seed: int = SEED) -> DataFrame:
+    """The mix itself: the rows of ``docs`` with their columns, each as often as it is taken.
+
+    Nulls, ties and empty tables as in ``mix``.  Texts stay where they are read: what goes to them is where
+    the cut lies in each length of each source.
+    """
+    rows = numbered(docs)
+    with scratch_scope(docs.sparkSession) as scope:
+        own = _sized(rows, text, source, key, seed)
+        sized = materialise(rows.select(*ROW, F.col(source).alias("source"), *own), "sizes")
+        lines = scope.keep(materialise(cut_lines(sized, weights, percent, cap), "lines"))
+    names = [f"_{c}" for c in ("sid", "size", "h", "range")]
+    lines = lines.select(F.col("sid").alias("_sid"), F.col("size").alias("_size"), "repeats", "line")
+    told = rows.select(F.struct(*docs.columns).alias("_doc"), *ROW, *[c.alias(n) for c, n in zip(own, names, strict=True)])
+    told = told.join(sent_if_few(lines), ["_sid", "_size"])
+    place = F.struct(F.col("_range").alias("range"), F.col("_h").alias("h"), *ROW)
+    times = F.col("repeats") + F.coalesce((place <= F.col("line")).cast("int"), F.lit(0))
+    repeated = told.select("_doc", F.explode(F.array_repeat(F.lit(0), times)))
+    return repeated.select(*[F.col("_doc").getField(c).alias(c) for c in docs.columns])

@@ -17,6 +17,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 BLOCK_BYTES = 1 << 20
+# What names a row of a stored table: a hash of its file's path, and its place in the file.
+ROW = ["_file", "_at"]
 
 
 def word_array(text: Column) -> Column:
@@ -59,6 +61,19 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with the columns of ``ROW``, the same for a row however often it is read.
+
+    A stored table is read as it is; anything else is stored first.  What is found about rows can then be
+    kept without their texts and be joined back.
+    """
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() == "Project":
+        plan = plan.children().head()
+    stored = docs if plan.nodeName() == "LogicalRelation" and docs.inputFiles() else materialise(docs, "numbered")
+    return stored.select("*", F.xxhash64("_metadata.file_path").alias(ROW[0]), F.col("_metadata.row_index").alias(ROW[1]))
+
+
 def components(edges: DataFrame, name: str = "components", max_rounds: int = 60) -> DataFrame:
     """``(id, component)`` of every id in ``edges (a, b)``: the smallest id reachable.
 
@@ -67,22 +82,14 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 60)
     edges costs no more than they do.  Every round is a table in the shared folder; the loop ends when
     the edges stay the same.  Ids that are null are ignored.
     """
-    spark = edges.sparkSession
     high, low = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-    stars = materialise(edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(high, low).distinct(), name)
+    start = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(high, low).distinct()
+    stars = materialise(start, name)
     mark = _fingerprint(stars)
     for _ in range(max_rounds):
         if mark[0] == 0:
             break
-        both = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(
-            F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))
-        )).alias("e")).select("e.a", "e.b")
-        stars = materialise(small.where("a <> b").distinct(), name)
+        stars = materialise(_round(stars), name)
         before, mark = mark, _fingerprint(stars)
         if before == mark:
             break
@@ -92,6 +99,19 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 60)
     return members.union(stars.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
+def _round(stars: DataFrame) -> DataFrame:
+    """Larger neighbours hung on the smallest one, then smaller ones."""
+    both = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    large = large.where("a <> b").distinct()
+    least = large.groupBy("a").agg(F.min("b").alias("m"))
+    small = large.join(least, "a").select(F.explode(F.array(
+        F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))
+    )).alias("e")).select("e.a", "e.b")
+    return small.where("a <> b").distinct()
+
+
 def _fingerprint(edges: DataFrame) -> tuple:
     """Count and order-free hashes of an edge list."""
     row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a", F.lit(7)))).first()

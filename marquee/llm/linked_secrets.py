@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.llm.common import ROW, numbered
 from marquee.llm.spans import Kind, locate, redact, tagged, written
-from marquee.session import materialise
+from marquee.session import MOST_ROWS_SENT, materialise, scratch_scope
 
 SCOPE_CHARS = 256
 
@@ -146,8 +147,16 @@ def digest(scanned: DataFrame) -> DataFrame:
 def redacted(docs: DataFrame, text: str = "text", scope: int = SCOPE_CHARS) -> DataFrame:
     """``docs`` with every reported span replaced by its kind; same columns, same rows.
 
-    A null text stays null.
+    A null text stays null; an empty table stays empty; rows that repeat are redacted alike.  Only spans
+    are stored, under the names of their rows; they go to the texts where those are read if they are few.
     """
-    own = F.col("_carry").getField
-    rows = scan_rows(docs, text, docs.columns, scope).select("_carry", "spans", own(text).alias("_t"))
-    return rows.select(*[(redact(F.col("_t"), F.col("spans")) if c == text else own(c)).alias(c) for c in docs.columns])
+    rows = numbered(docs)
+    with scratch_scope(docs.sparkSession) as tables:
+        found = scan_rows(rows, text, ROW, scope)
+        spans = materialise(found.where(F.size("spans") > 0).select(*[F.col("_carry").getField(c).alias(c) for c in ROW], F.col("spans").alias("_spans")), "spans")
+        tables.keep(spans)
+    # A span counts as a row here: one document may hold most of them.
+    few = spans.agg(F.coalesce(F.sum(F.size("_spans") + 1), F.lit(0))).first()[0] <= MOST_ROWS_SENT
+    marked = rows.join(F.broadcast(spans) if few else spans, ROW, "left")
+    clean = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(redact(F.col(text), F.col("_spans")))
+    return marked.select(*[clean.alias(c) if c == text else F.col(c) for c in docs.columns])
