@@ -92,7 +92,11 @@ def measure(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
 
 
 def ledger(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Measurements and ``fail_bits``: bit i is set when rule i fails."""
+    """Measurements and ``fail_bits``: bit i is set when rule i fails.
+
+    Store it before rows are filtered by it: a filter would be moved below the measurements, which would
+    then be worked out again for every use.
+    """
     bits = [F.when(F.expr(rule), F.lit(1 << i)).otherwise(F.lit(0)) for i, rule in enumerate(RULES.values())]
     total = bits[0].cast("long")
     for bit in bits[1:]:
