@@ -23,8 +23,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from marquee.llm.common import text_blocks
+
 CUT_CHARS = 1 << 14
-MEMO_PIECES = 400_000
+MEMO_PIECES = 1 << 17
 LEAF_BYTES = 16
 NO_RANK = 1 << 62
 
@@ -51,7 +53,9 @@ class TreeCodec:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.written = {rank: str(rank) for rank in self.bytes_of}
         self.pieces = regex.compile(pattern)
+        # Pieces met lately, and those before them: what is still in use moves over when the first is full.
         self.memo: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
 
     def merge(self, data: bytes) -> list[int]:
@@ -129,10 +133,11 @@ class TreeCodec:
             for piece in self.pieces.findall(part):
                 known = memo.get(piece)
                 if known is None:
-                    known = tuple(self.encode_piece(piece.encode("utf-8", "replace")))
+                    known = self.older.get(piece) or tuple(self.encode_piece(piece.encode("utf-8", "replace")))
                     if len(piece) <= 32:
                         if len(memo) >= MEMO_PIECES:
-                            memo.clear()
+                            self.older, memo = memo, {}
+                            self.memo = memo
                         memo[piece] = known
                 ids.extend(known)
         return ids
@@ -155,9 +160,11 @@ def _per_text(docs: DataFrame, text: str, ranks: bytes, pattern: str, fields: li
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = TreeCodec(parse_ranks(sent.value), pattern)
         for batch in batches:
-            made = [make(codec, value.as_py() or "") for value in batch.column(place)]
-            columns = [pa.array([row[i] for row in made], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[f.name for f in schema.fields])
+            for first, block in text_blocks(batch.column(place)):
+                made = [make(codec, value.decode("utf-8", "surrogatepass")) for value in block]
+                columns = [pa.array([row[i] for row in made], kind) for i, kind in enumerate(kinds)]
+                own = [c.slice(first, len(block)) for c in batch.columns]
+                yield pa.RecordBatch.from_arrays([*own, *columns], names=[f.name for f in schema.fields])
 
     return docs.mapInArrow(run, schema)
 
