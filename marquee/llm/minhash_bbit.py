@@ -12,23 +12,24 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import components, mix64, text_blocks
-from marquee.session import materialise
+from marquee.llm.common import ROW, components, mix64, numbered, text_blocks
+from marquee.session import materialise, scratch_scope, sent_if_few
 
 # Minima per text, and low bits kept of each: a signature is 96 bytes.
 MINIMA = 192
 BITS = 4
 BAND_ROWS = 5
-# Chance that a pair at the threshold shares no band.
-BAND_MISS = 1e-6
-# An estimate may fall short of the threshold by so many standard deviations.
-DEVIATIONS = 4.0
+# Chance that a pair at the threshold shares no band, and that its packed minima speak against it.
+MISS = 1e-6
+# Words of more bytes get a cryptographic hash; the fast one could be made to collide there.
+LONG_WORD = 64
 # Bits of the filter that tells which texts must be read again.
 FILTER_BITS = 1 << 23
 # Rows of a bucket that are compared in one task; a larger bucket is cut.
@@ -43,20 +44,30 @@ class Near:
     words: int = 5
     percent: int = 80
 
+    def __post_init__(self) -> None:
+        if self.bands * BAND_ROWS > MINIMA:
+            raise ValueError(f"{MINIMA} minima have too few bands of {BAND_ROWS} for {self.percent} percent")
+
     @property
     def bands(self) -> int:
         """As many bands as keep a pair at the threshold from being missed."""
-        return min(MINIMA // BAND_ROWS, math.ceil(math.log(BAND_MISS) / math.log(1 - (self.percent / 100) ** BAND_ROWS)))
+        return math.ceil(math.log(MISS) / math.log(1 - (self.percent / 100) ** BAND_ROWS))
 
     @property
     def least_equal(self) -> int:
         """Equal packed minima below which a pair is taken not to reach the threshold.
 
-        By chance 1 in 2**BITS minima agree: P = c + (1 - c) J.  P at the threshold, less the allowance.
+        By chance 1 in 2**BITS minima agree: P = c + (1 - c) J.  At the threshold fewer minima are equal with
+        a chance of at most ``MISS`` (the tail of the binomial distribution).
         """
         chance = 1 / (1 << BITS)
         p = chance + (1 - chance) * self.percent / 100
-        return math.floor(MINIMA * (p - DEVIATIONS * math.sqrt(p * (1 - p) / MINIMA)))
+        tail = 0.0
+        for equal in range(MINIMA + 1):
+            tail += math.comb(MINIMA, equal) * p**equal * (1 - p) ** (MINIMA - equal)
+            if tail > MISS:
+                return equal
+        return MINIMA
 
 
 def shingle_sets(block: list[bytes], words: int) -> Iterator[np.ndarray]:
@@ -80,6 +91,8 @@ def shingle_sets(block: list[bytes], words: int) -> Iterator[np.ndarray]:
     values[inside] = letter[data[inside]] * power[place[inside]]
     sums = np.concatenate([[np.uint64(0)], np.cumsum(values, dtype=np.uint64)])
     hashes = mix64(sums[ends] - sums[starts] + (ends - starts).astype(np.uint64))
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        hashes[i] = int.from_bytes(blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
     # First word of each text: the first that starts at or after the text does.
     lengths = np.array([len(b) + 1 for b in block])
     first = np.searchsorted(starts, np.concatenate([[0], np.cumsum(lengths)]))
@@ -290,6 +303,11 @@ def link_classes(classes: DataFrame, docs: DataFrame, near: Near, text: str, key
     in cells of bounded size (a large bucket is cut into chunks, and every two chunks meet).  Rows and
     links leave a cell, never its pairs.  Two classes meet in the first bucket they share, nowhere else.
     """
+    with scratch_scope(classes.sparkSession) as scope:
+        return scope.keep(_link_classes(classes, docs, near, text, key))
+
+
+def _link_classes(classes: DataFrame, docs: DataFrame, near: Near, text: str, key: str) -> DataFrame:
     banded = classes.select("cid", F.posexplode("bands").alias("place", "band"))
     buckets = banded.groupBy("band").agg(F.min(F.struct(F.xxhash64("band", "cid").alias("h"), "cid")).alias("rep"), F.count("*").alias("n"))
     members = materialise(banded.join(buckets.where("n > 1").select("band", F.col("rep.cid").alias("rep")), "band"), "members")
@@ -355,6 +373,14 @@ def find(docs: DataFrame, near: Near = Near(), text: str = "text", key: str = "d
 
 
 def deduplicated(docs: DataFrame, near: Near = Near(), text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with one row of each component; same columns."""
-    rows = find(docs, near, text, key, docs.columns).where("first")
-    return rows.select(*[F.col("_carry").getField(c).alias(c) for c in docs.columns])
+    """``docs`` with one row of each component; same columns.
+
+    Null and empty texts link with nothing and stay, as in ``find``.  Only names of rows are stored, never
+    their texts: those that go are few and are taken out where the table is read.
+    """
+    rows = numbered(docs)
+    with scratch_scope(docs.sparkSession) as scope:
+        found = find(rows, near, text, key, ROW)
+        gone = materialise(found.where("NOT first").select(*[F.col("_carry").getField(c).alias(c) for c in ROW]), "gone")
+        scope.keep(gone)
+    return rows.join(sent_if_few(gone), ROW, "left_anti").select(*docs.columns)

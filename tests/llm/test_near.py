@@ -61,6 +61,27 @@ def test_texts_with_odd_keys(spark):
     assert minhash_bbit.find(docs.limit(0)).count() == 0
 
 
+def test_chances_at_the_threshold():
+    """Neither bands nor packed minima lose more than one pair in a million at the threshold."""
+    for near in (minhash_bbit.Near(3, 85), minhash_bbit.Near(5, 80)):
+        j = near.percent / 100
+        assert (1 - j**minhash_bbit.BAND_ROWS) ** near.bands <= 1e-6
+        draws = np.random.default_rng(1).binomial(minhash_bbit.MINIMA, 1 / 16 + 15 / 16 * j, 3_000_000)
+        assert (draws < near.least_equal).mean() <= 2e-6 < (draws < near.least_equal + 4).mean()
+    with pytest.raises(ValueError):
+        minhash_bbit.Near(5, 60)
+
+
+def test_long_words_do_not_collide():
+    """Two words of one length whose polynomial hashes are equal for any odd base."""
+    word = [0]
+    while len(word) < 4096:
+        word += [1 - b for b in word]
+    texts = [" ".join("".join("ab"[b ^ flip] for b in word) for _ in range(5)).encode() for flip in (0, 1)]
+    one, two = minhash_bbit.shingle_sets(texts, 5)
+    assert len(one) == len(two) == 1 and one[0] != two[0]
+
+
 def test_estimate_is_corrected(spark):
     near = minhash_bbit.Near(1, 80)
     rows = [(0, " ".join(f"a{i}" for i in range(1000))), (1, " ".join(f"a{i}" for i in range(250, 1250)))]
@@ -110,25 +131,56 @@ class Narrow(hnsw_dedup.Graph):
     """Finds hot groups at any beam, links of pairs from a beam of 128 on only."""
 
     def search(self, q, beam, least):
-        found = np.flatnonzero(self.x @ q >= least)
-        return found if len(found) > 100 or beam >= 128 else found[:1]
+        close = q @ self.x[: self.n].T >= least
+        hot = close.sum(1) > 100
+        nearest = np.where(hot[:, None] | (beam >= 128), (-(q @ self.x[: self.n].T)).argsort(1)[:, :beam], 0)
+        rows, nodes = np.nonzero(close & (hot[:, None] | (beam >= 128)))
+        return rows, nodes, nearest
 
 
 def unit(x):
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def test_audit_counts_hot_rows_once_and_looks_for_linked_rows():
+def asked(x, queries, own):
+    ids = np.arange(len(x)) * 3
+    query_ids = ids if own else 1 + np.arange(len(queries)) * 3
+    return hnsw_dedup.Asked(x, ids, np.ones(len(x), np.int64), queries, query_ids, 0.98)
+
+
+def exact_links(x, queries, own):
+    near = queries @ x.T >= 0.98
+    return near.sum(1) - (1 if own else 0)
+
+
+def test_audit_counts_hot_rows_once_and_sees_shards_without_links():
     rng = np.random.default_rng(3)
     hot = unit(np.ones((1, 32)) + rng.normal(0, 0.001, (400, 32)))
     pairs = np.repeat(unit(rng.normal(size=(312, 32))), 2, axis=0) + rng.normal(0, 0.001, (624, 32))
     x = unit(np.concatenate([hot, pairs]))[rng.permutation(1024)]
-    graph = Narrow.restored({"x": x})
-    found, beam, recall = hnsw_dedup.search_block(graph, x, 0.98, own=np.arange(1024))
-    assert recall >= 0.99 and beam >= 128
-    assert all(np.array_equal(f, np.flatnonzero(x @ q >= 0.98)) for f, q in zip(found, x, strict=True))
-    # Another shard: twelve of 1,024 queries have a link there.
-    other = np.concatenate([unit(rng.normal(size=(1012, 32))), x[:12]])[rng.permutation(1024)]
-    found, _, recall = hnsw_dedup.search_block(graph, other, 0.98)
-    assert recall == 1.0
-    assert all(np.array_equal(f, np.flatnonzero(x @ q >= 0.98)) for f, q in zip(found, other, strict=True))
+    graph = Narrow(x)
+    got = asked(x, x, True)
+    beam, recall, brute = hnsw_dedup.ask(graph, got)
+    assert beam == 128 and recall >= 0.99 and (got.links == exact_links(x, x, True)).all()
+    assert brute == 400 + np.count_nonzero(np.isin(np.random.default_rng(7).permutation(1024)[:48], np.flatnonzero(exact_links(x, x, True) < 100)))
+    # Another shard without a link there: nearest nodes are audited all the same.
+    other = unit(rng.normal(size=(1024, 32)))
+    got = asked(x, other, False)
+    assert hnsw_dedup.ask(graph, got)[0] == 128 and not got.links.any() and not got.edges
+
+
+def test_graph_answers_nearly_all(spark):
+    """Walked, not compared: at most a tenth by brute force, and 0.99 of all links at least."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(5000, 48))
+    x[:1500] = x[rng.integers(1500, 5000, 1500)] + rng.normal(size=(1500, 48)) * 0.05
+    x[4900:] = x[4900] + rng.normal(size=(100, 48)) * 0.03
+    x = unit(x[rng.permutation(5000)])
+    got = asked(x, x, True)
+    beam, recall, brute = hnsw_dedup.ask(hnsw_dedup.Graph(x), got)
+    assert brute <= 500 and recall >= 0.99 and beam <= 256
+    assert got.links.sum() >= 0.99 * exact_links(x, x, True).sum() > 5000
+    assert (got.links <= exact_links(x, x, True)).all()
+    want = reach(range(5000), [(a, b) for a, b in zip(*np.nonzero(np.triu(x @ x.T >= 0.98, 1)), strict=True)])
+    found = reach(range(5000), [(a // 3, b // 3) for a, b in got.edges])
+    assert sum(found[i] == want[i] for i in want) >= 0.99 * 5000
