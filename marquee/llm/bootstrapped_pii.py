@@ -35,7 +35,6 @@ LIKE = Kind(
 )
 ORDER = {"email": 0, "ip": 1, "card": 2, "phone": 3, "context": 4}
 # A pattern is trusted with this score and so many different believed identifiers.
-ROUNDS = 3
 TRUSTED = 0.6
 SUPPORT = 3
 BELIEVED = 0.6
@@ -135,7 +134,7 @@ def find(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
     ), "pii")
 
 
-def trusted_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def trusted_patterns(found: DataFrame) -> DataFrame:
     """``(pattern, score)`` of the patterns that end with high confidence.
 
     Edges are distinct (pattern, value) pairs, so copies of a text count once.  A pattern's score is the
@@ -146,21 +145,23 @@ def trusted_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     leads = found.select(F.explode("leads").alias("e")).select("e.pattern", "e.value", F.lit(0).alias("seed"))
     edges = materialise(seeds.union(leads).where("pattern <> ''").groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "edges")
     known = edges.where("seed = 1").select("value").distinct().withColumn("belief", F.lit(1.0))
-    belief, trusted = known, None
-    for _ in range(rounds):
+    belief, mark = known, None
+    while True:
         scored = edges.join(belief, "value", "left").groupBy("pattern").agg(
             (F.sum(F.coalesce("belief", F.lit(0.0))) / (F.count("*") + 1)).alias("score"),
             F.sum((F.coalesce("belief", F.lit(0.0)) >= BELIEVED).cast("int")).alias("support"),
         )
         trusted = materialise(scored.where((F.col("score") >= TRUSTED) & (F.col("support") >= SUPPORT)).select("pattern", "score"), "patterns")
+        before, mark = mark, tuple(trusted.agg(F.count("*"), F.bit_xor(F.xxhash64("pattern", F.round("score", 6)))).first())
+        if before == mark:
+            return trusted
         told = edges.where("seed = 0").join(trusted, "pattern").groupBy("value").agg(
             (1 - F.exp(F.sum(F.log(1 - F.least("score", F.lit(0.999)))))).alias("belief")
         )
         belief = materialise(known.union(told.join(known, "value", "left_anti")), "beliefs")
-    return trusted
 
 
-def scan_rows(docs: DataFrame, text: str, carry: list[str], rounds: int = ROUNDS) -> DataFrame:
+def scan_rows(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
     """``_carry`` (a struct, so that no name can clash), ``base`` and ``spans`` of every row.
 
     Only leads of trusted patterns are joined back; rows without any lead take no part in a shuffle.
@@ -168,7 +169,7 @@ def scan_rows(docs: DataFrame, text: str, carry: list[str], rounds: int = ROUNDS
     found = find(docs, text, carry)
     leads = found.where(F.size("leads") > 0).select("row", F.explode("leads").alias("e")).select("row", "e.*").where("pattern <> ''")
     span = F.struct("start", F.lit(ORDER["context"]).alias("order"), "end", F.lit("context").alias("kind"))
-    added = leads.join(trusted_patterns(found, rounds), "pattern", "left_semi").groupBy("row").agg(F.collect_set(span).alias("added"))
+    added = leads.join(trusted_patterns(found), "pattern", "left_semi").groupBy("row").agg(F.collect_set(span).alias("added"))
     lone = found.where(F.size("leads") == 0).select("_carry", "base", F.col("base").alias("spans"))
     none = F.array().cast(f"array<{SPAN}>")
     rest = found.where(F.size("leads") > 0).join(added, "row", "left").select(
@@ -177,13 +178,13 @@ def scan_rows(docs: DataFrame, text: str, carry: list[str], rounds: int = ROUNDS
     return lone.union(rest)
 
 
-def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", rounds: int = ROUNDS) -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``doc_id``, ``base`` spans and ``spans`` (base and discovered, in order) of every row of ``docs``.
 
     A null or empty text has none.  Repeated rows and repeated or null keys each keep their row; other
     columns are not read.  An empty table gives none.
     """
-    return scan_rows(docs, text, [key], rounds).select(F.col("_carry").getField(key).alias("doc_id"), "base", "spans")
+    return scan_rows(docs, text, [key]).select(F.col("_carry").getField(key).alias("doc_id"), "base", "spans")
 
 
 def digest(scanned: DataFrame) -> DataFrame:
@@ -192,6 +193,7 @@ def digest(scanned: DataFrame) -> DataFrame:
     return scanned.select(
         "doc_id", *[count(k.name) for k in BASE],
         F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
     )
 
 

@@ -89,3 +89,50 @@ def test_identifier_like_runs_are_whole(spark):
         want = {m.span(1) for m in run.finditer(text) if sum(c.isdigit() for c in m[1]) >= 4}
         base = [(b["start"], b["end"]) for b in r["base"]]
         assert {(e["start"], e["end"]) for e in r["leads"]} == {(s, e) for s, e in want if not any(b < e and s < f for b, f in base)}
+
+
+def settled(rows):
+    """Patterns that end trusted, with their scores, by plain loops over the pattern-value graph."""
+    edges = {}
+    for r in rows:
+        for name, sure in (("seeds", 1), ("leads", 0)):
+            for e in r[name]:
+                if e["pattern"]:
+                    key = (e["pattern"], e["value"])
+                    edges[key] = max(sure, edges.get(key, 0))
+    known = {v for (_, v), sure in edges.items() if sure}
+    belief, before = {v: 1.0 for v in known}, None
+    while True:
+        trusted = {}
+        for p in {p for p, _ in edges}:
+            values = [belief.get(v, 0.0) for q, v in edges if q == p]
+            score = sum(values) / (len(values) + 1)
+            if score >= bp.TRUSTED and sum(b >= bp.BELIEVED for b in values) >= bp.SUPPORT:
+                trusted[p] = score
+        mark = {p: round(s, 6) for p, s in trusted.items()}
+        if mark == before:
+            return trusted
+        before = mark
+        belief = {v: 1.0 for v in known}
+        for v in {v for _, v in edges} - known:
+            wrong = 1.0
+            for p, w in edges:
+                if w == v and p in trusted:
+                    wrong *= 1 - min(trusted[p], 0.999)
+            if wrong < 1:
+                belief[v] = 1 - wrong
+
+
+def test_rounds_run_until_settled(spark):
+    """A chain of patterns, each trusted only by what the one before it discovers."""
+    texts = [f"write to me at +1 555 010 {1000 + i} today" for i in range(60)]
+    texts += [f"write to me at 555-{i:03d}-7777 today" for i in range(12)]
+    for step, name in enumerate("abcdef"):
+        texts += [f"so link {name * 2} 555-{i:03d}-7777 or" for i in range(3 * step, 3 * step + 15)]
+    found = bp.find(frame(spark, texts), "text", ["doc_id"])
+    want = settled(found.collect())
+    got = {r["pattern"]: r["score"] for r in bp.trusted_patterns(found).collect()}
+    assert set(got) == set(want) >= {"me at", "link aa", "link ff"}
+    assert all(abs(got[p] - want[p]) < 1e-6 for p in want)
+    digests = bp.digest(bp.scan(frame(spark, texts))).collect()
+    assert all(r["n_spans"] == 1 for r in digests)
