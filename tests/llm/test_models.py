@@ -53,6 +53,78 @@ def test_votes_match_all_cosines():
         assert got == pytest.approx(sum(w * voters.labels[i] for w, i in zip(weight, near, strict=True)) / sum(weight))
 
 
+def test_repeats_are_told_at_any_length():
+    """The step says which share of a text's windows is new, for short texts and for very long ones."""
+    count, rng = quality_knn.make_counter(), np.random.default_rng(3)
+    first = 2 << quality_knn.BITS
+
+    def step(text):
+        steps = count(text)[first:].reshape(quality_knn.REPEAT_STEPS, -1).sum(1)
+        return int(np.flatnonzero(steps)[0])
+
+    for length in (300, 6_000, 1_000_000):
+        plain = "".join(map(chr, rng.integers(97, 123, length)))
+        assert step(plain) == quality_knn.REPEAT_STEPS - 1
+        windows = {(plain[: length // 3] * 3)[i : i + 12] for i in range(length // 3 * 3 - 11)}
+        assert step(plain[: length // 3] * 3) == quality_knn.REPEAT_STEPS * len(windows) // (length // 3 * 3 - 11)
+
+
+def plain_ftrl(rows, n_langs, alpha=0.5, beta=1.0, l1=0.02, l2=0.05, epochs=4):
+    """Follow the regularised leader, one weight at a time."""
+    z, n = {}, {}
+
+    def weight(i, k):
+        zi = z.get((i, k), 0.0)
+        if abs(zi) <= l1:
+            return 0.0
+        return -(zi - (l1 if zi > 0 else -l1)) / ((beta + n.get((i, k), 0.0) ** 0.5) / alpha + l2)
+
+    order = np.random.default_rng(11)
+    for _ in range(epochs):
+        for r in order.permutation(len(rows)):
+            at, x, lang = rows[r]
+            w = {(i, k): weight(i, k) for i in at for k in range(n_langs)}
+            scores = [sum(w[i, k] * v for i, v in zip(at, x, strict=True)) for k in range(n_langs)]
+            top = max(scores)
+            e = [np.exp(s - top) for s in scores]
+            for k in range(n_langs):
+                error = e[k] / sum(e) - (k == lang)
+                for i, v in zip(at, x, strict=True):
+                    g = error * v
+                    old = n.get((i, k), 0.0)
+                    z[i, k] = z.get((i, k), 0.0) + g - ((old + g * g) ** 0.5 - old**0.5) / alpha * w[i, k]
+                    n[i, k] = old + g * g
+    return {key: weight(*key) for key in z}
+
+
+def test_ftrl_matches_plain_loops():
+    rng = np.random.default_rng(4)
+    rows = [(np.sort(rng.choice(40, 6, replace=False)), rng.random(6), int(rng.integers(0, 3))) for _ in range(30)]
+    got, want = langid_ftrl.ftrl(rows, 3), plain_ftrl(rows, 3)
+    assert all(got[i, k] == pytest.approx(w, abs=1e-9) for (i, k), w in want.items())
+    assert np.count_nonzero(got) == sum(w != 0 for w in want.values())
+
+
+def test_predictions_match_plain_python(spark):
+    texts = ["die der und das ist", "the of and is", "UND the 12 Straße", "a", "ñandú año", None, "  "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    learned = spark.createDataFrame([(i, t, "de" if i % 2 else "en") for i, t in enumerate(["the of and is a", "die der und das"] * 15)], "doc_id long, text string, lang string")
+    model = langid_ftrl.fit(learned)
+    count = langid_ftrl.make_counter()
+    for r in langid_ftrl.predict(docs, model).collect():
+        counts = count(r["text"]) if r["text"] else None
+        if counts is None:
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        at = [i for i, c in enumerate(counts) if c]
+        x = [(1 + np.log(counts[i])) * model.idf[i] for i in at]
+        norm = sum(v * v for v in x) ** 0.5
+        scores = [sum(v / norm * model.weights[i, k] for i, v in zip(at, x, strict=True)) / model.temperature for k in range(2)] if norm else [0.0, 0.0]
+        e = [np.exp(s - max(scores)) for s in scores]
+        best = max(range(2), key=lambda k: (e[k], -k))
+        assert r["lang_pred"] == model.langs[best] and r["score"] == pytest.approx(e[best] / sum(e), rel=1e-6)
+
+
 def test_quality_odd_inputs(spark):
     docs = spark.createDataFrame([(1, "good words here", 1), (2, None, 1), (3, "", 1), (4, "x", 1), (1, "again", 1), (None, "no key", 1), (5, "### " * 40_000, 1)], "doc_id long, text string, label int")
     labels = spark.createDataFrame([(1, 1), (1, 0), (5, 0), (None, 1), (2, None)], "doc_id long, quality int")
