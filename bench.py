@@ -68,6 +68,7 @@ def main() -> None:
     timed("bm25_fuzzy_topk", lambda: store(sparse_search(asked, index, fields=texts)))
     one = asked.limit(1)
     timed("bm25_single_query", lambda: store(sparse_search(one, index, fields=texts, fuzzy=None)))
+    timed("bm25_fuzzy_single_query", lambda: store(sparse_search(one, index, fields=texts)))
     vectors = views.table(spark, SF_DIR, "embeddings").select("vec_id", "embedding")
     timed("knn_all_vectors", lambda: store(knn(vectors.withColumnRenamed("vec_id", "query_id"), vectors, 10)))
     timed("discover_all", lambda: store(discover(views.catalogue(spark, SF_DIR))))
