@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import fold_of
+from marquee.llm.common import fold_of, mix64
 from marquee.llm.ngrams import gather, hashed, idf, sample_keys, weighted
 
 BITS = 12
@@ -58,11 +58,12 @@ def make_counter():
         shapes = hashed([shape[:-3], shape[1:-2], shape[2:-1], shape[3:]], BITS, 4)
         counts[1 << BITS : 2 << BITS] = np.bincount(shapes, minlength=1 << BITS)
         if len(data) >= 24:
-            # Distinct places of 12-byte windows against what as many distinct windows would fill.
-            step = [data[i : len(data) - 11 + i] for i in range(0, 12, 2)]
-            filled = np.count_nonzero(np.bincount(hashed(step, 16, 5), minlength=1 << 16))
-            expected = -np.expm1(-len(step[0]) / 65536.0) * 65536.0
-            level = min(REPEAT_STEPS - 1, int(REPEAT_STEPS * filled / (expected + 1e-9)))
+            # Distinct 12-byte windows against all of them; memory follows the text.
+            eight = np.ndarray((len(data) - 7,), "<u8", data.tobytes(), strides=(1,))
+            windows = mix64(eight[:-4]) ^ eight[4:]
+            windows.sort()
+            distinct = 1 + np.count_nonzero(windows[1:] != windows[:-1])
+            level = min(REPEAT_STEPS - 1, REPEAT_STEPS * distinct // len(windows))
             first = (2 << BITS) + level * REPEAT_PLACES
             counts[first : first + REPEAT_PLACES] = len(data)
         return counts
@@ -136,12 +137,13 @@ def score(docs: DataFrame, voters: Voters, text: str = "text", name: str = "scor
     """
     if name in docs.columns:
         raise ValueError(f"column exists already: {name}")
-    sent = docs.sparkSession.sparkContext.broadcast(voters)
+    # Plain values: a class in a broadcast is found by name only, and workers need no copy of this package.
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(vars(voters).values()))
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType(), False)])
     place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, count = sent.value, make_counter()
+        known, count = Voters(*sent.value), make_counter()
         for batch in batches:
             scores = np.zeros(batch.num_rows)
             column = batch.column(place)
