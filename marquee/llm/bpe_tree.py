@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -128,20 +129,23 @@ class TreeCodec:
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
-        memo = self.memo
         for part in self.cuts(text):
-            for piece in self.pieces.findall(part):
-                known = memo.get(piece)
-                if known is None:
-                    known = self.older.get(piece) or tuple(self.encode_piece(piece.encode("utf-8", "replace")))
-                    if len(piece) <= 32:
-                        if len(memo) >= MEMO_PIECES:
-                            self.older, memo = memo, {}
-                            self.memo = memo
-                        memo[piece] = known
-                ids.extend(known)
+            pieces = self.pieces.findall(part)
+            known = [*map(self.memo.get, pieces)]
+            if None in known:
+                known = [self.remembered(p) if k is None else k for p, k in zip(pieces, known, strict=True)]
+            ids.extend(chain.from_iterable(known))
         return ids
 
+    def remembered(self, piece: str) -> tuple[int, ...]:
+        """The ids of a piece that was not met lately."""
+        known = self.memo.get(piece) or self.older.get(piece) or tuple(self.encode_piece(piece.encode("utf-8", "replace")))
+        if len(piece) <= 32:
+            if len(self.memo) >= MEMO_PIECES:
+                self.older, self.memo = self.memo, {}
+            self.memo[piece] = known
+        return known
+
     def decode(self, ids: list[int]) -> bytes:
         """Bytes of the ids, concatenated pairwise up the tree; a leaf is a run of 1,024 tokens."""
         level = [b"".join(map(self.bytes_of.__getitem__, ids[i : i + 1024])) for i in range(0, len(ids), 1024)]
