@@ -12,13 +12,21 @@ from pyspark.sql import types as T
 
 from marquee.functions.values import similarity
 from marquee.operators.dedup import dedup_first, top_n, top_per_query
+from marquee.session import materialise
 
 ENCODE_BATCH = 64
 # Bytes of queries sent to every task at once, and rows of a block when there are more than that.
 QUERY_BYTES = 16 << 20
 QUERY_BLOCK = 2048
 VECTOR_BLOCK = 65_536
+# Bytes (as doubles) of a tile of queries or vectors, and of the vectors that stream past a tile in one task.
+TILE_BYTES = 4 << 20
+STREAM_BYTES = 128 << 20
+# Queries and vectors of one matrix product, vectors of the first, and bytes of differences taken at once.
 _QUERY_SLICE = 256
+_VECTOR_SLICE = 512
+_FIRST_STEP = 64
+_PAIR_BYTES = 8 << 20
 
 
 def embed(df: DataFrame, text_col: str, encoder: Callable[[], Callable[[list[str]], np.ndarray]],
@@ -108,19 +116,6 @@ def _keys(column) -> np.ndarray:
     return values.astype(str) if values.dtype == object else values
 
 
-def _blocked(query_country: list, codes) -> np.ndarray:
-    """Query x vector mask of the pairs that the query's country rules out."""
-    codes = _flat(codes)
-    flat = np.asarray(codes.flatten().to_pylist(), dtype=object)
-    owner = np.repeat(np.arange(len(codes)), codes.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-    mask = np.zeros((len(query_country), len(codes)), dtype=bool)
-    for country in set(query_country) - {None}:
-        carried = np.zeros(len(codes), dtype=bool)
-        carried[owner[flat == country]] = True
-        mask[[c == country for c in query_country]] = ~carried
-    return mask
-
-
 def _first_k(found: dict[str, np.ndarray], k: int) -> dict[str, np.ndarray]:
     """Nearest k rows per query, one per group when groups are given; ties to the smaller id."""
     order = np.lexsort((found["vec_id"], found["distance"], found["query"]))
@@ -134,40 +129,115 @@ def _first_k(found: dict[str, np.ndarray], k: int) -> dict[str, np.ndarray]:
     return {name: values[place < k] for name, values in found.items()}
 
 
-def _nearest(queries: pa.Table, query: np.ndarray, block, k: int) -> dict[str, np.ndarray]:
-    """The k nearest vectors of a block for every query, as parallel arrays.
-
-    A matrix product finds the candidates, with a margin above its rounding error; their distances
-    are then computed by difference.  Queries go in slices so that the product stays small.
+class _Block:
+    """Vectors that are compared at once, with their ids, groups and country codes; what is not finite is left out."""
+
+    def __init__(self, rows) -> None:
+        vectors = _matrix(rows["embedding"])
+        norms = (vectors**2).sum(1)
+        sound = np.isfinite(norms)
+        names = rows.schema.names
+        self.vectors, self.ids = vectors[sound], _keys(rows["vec_id"])[sound]
+        self.groups = _keys(rows["group"])[sound] if "group" in names else None
+        self.codes = _flat(rows["codes"]).filter(pa.array(sound)) if "codes" in names else None
+        self.most = norms[sound].max(initial=0.0)
+        # One product gives |v|^2 - 2qv.
+        self.product = np.hstack([self.vectors, norms[sound][:, None]]) if len(vectors) else np.zeros((0, 1))
+
+    def carrying(self, country: str) -> _Block:
+        """The vectors that carry a country."""
+        flat = np.asarray(self.codes.flatten().to_pylist(), dtype=object)
+        owner = np.repeat(np.arange(len(self.codes)), self.codes.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        rows = np.unique(owner[flat == country])
+        part = _Block.__new__(_Block)
+        part.vectors, part.ids, part.product, part.most, part.codes = self.vectors[rows], self.ids[rows], self.product[rows], self.most, None
+        part.groups = None if self.groups is None else self.groups[rows]
+        return part
+
+
+class _Nearest:
+    """The k nearest vectors met so far by some queries, one per group when vectors have groups.
+
+    A matrix product finds the candidates, with a margin above its rounding error; their distances are then
+    computed by difference.  What lies beyond the k-th met so far is dropped at once, so of many vectors few
+    are candidates; the first are compared in small steps until there are k.
     """
-    vectors, ids = _matrix(block["embedding"]), _keys(block["vec_id"])
-    names = block.schema.names
-    groups = _keys(block["group"]) if "group" in names else np.arange(len(ids))
-    by_group = np.argsort(groups, kind="stable")
-    vectors, ids, groups = vectors[by_group], ids[by_group], groups[by_group]
-    starts = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
-    blocked = None
-    if "codes" in names:
-        blocked = _blocked(queries["country"].to_pylist(), block["codes"])[:, by_group]
-    v_norm = (vectors**2).sum(1)
-    parts = []
-    for at in range(0, len(query), _QUERY_SLICE):
-        q = query[at : at + _QUERY_SLICE]
-        q_norm = (q**2).sum(1)
-        rough = q_norm[:, None] + v_norm[None, :] - 2.0 * (q @ vectors.T)
-        if blocked is not None:
-            rough[blocked[at : at + _QUERY_SLICE]] = np.inf
-        best = np.minimum.reduceat(rough, starts, axis=1)
-        depth = min(k, best.shape[1])
-        margin = 1e-12 * (q_norm + v_norm.max()) * q.shape[1]
-        bound = np.partition(best, depth - 1, axis=1)[:, depth - 1] + margin
-        q_rows, v_rows = np.nonzero((rough <= bound[:, None]) & np.isfinite(rough))
-        exact = ((q[q_rows] - vectors[v_rows]) ** 2).sum(1)
-        parts.append({"query": q_rows + at, "vec_id": ids[v_rows], "distance": exact, "group": groups[v_rows]})
-    found = {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
-    if "group" not in names:
-        del found["group"]
-    return _first_k(found, k)
+
+    def __init__(self, query: np.ndarray, rows: np.ndarray, k: int, width: int) -> None:
+        self.query, self.rows, self.k, self.width = query, rows, k, width
+        self.norm = (query**2).sum(1)
+        self.product = np.hstack([-2.0 * query, np.ones((len(query), 1))])
+        self.bound = np.full(len(query), np.inf)
+        self.found: list[dict[str, np.ndarray]] = []
+        self.met = self.waiting = 0
+
+    def meet(self, block: _Block) -> None:
+        margin = 1e-12 * (self.norm + block.most) * self.query.shape[1]
+        at = 0
+        while at < len(block.ids):
+            step = slice(at, at + min(self.width, max(2 * self.k, _FIRST_STEP, self.met)))
+            at = step.stop
+            rough = self.product @ block.product[step].T
+            limit = np.minimum(self.bound + margin - self.norm, np.finfo(float).max)
+            q_rows, v_rows = np.divmod(np.flatnonzero(rough <= limit[:, None]), rough.shape[1])
+            self.met += rough.shape[1]
+            if len(q_rows):
+                self._take(q_rows, v_rows + step.start, block)
+
+    def _take(self, q_rows: np.ndarray, v_rows: np.ndarray, block: _Block) -> None:
+        pairs = max(1, _PAIR_BYTES // (8 * self.query.shape[1]))
+        exact = [
+            ((self.query[q_rows[i : i + pairs]] - block.vectors[v_rows[i : i + pairs]]) ** 2).sum(1) for i in range(0, len(q_rows), pairs)
+        ]
+        found = {"query": q_rows, "vec_id": block.ids[v_rows], "distance": np.concatenate(exact)}
+        if block.groups is not None:
+            found["group"] = block.groups[v_rows]
+        self.found.append(found)
+        self.waiting += len(q_rows)
+        if self.waiting >= self.k * len(self.query):
+            self.settle()
+
+    def settle(self) -> None:
+        """Cut what was found to the k nearest."""
+        if not self.waiting:
+            return
+        best = _first_k({name: np.concatenate([f[name] for f in self.found]) for name in self.found[0]}, self.k)
+        counts = np.bincount(best["query"], minlength=len(self.query))
+        last = best["distance"][np.maximum(counts.cumsum() - 1, 0)]
+        self.bound = np.where(counts >= self.k, last, np.inf)
+        self.found, self.waiting = [best], 0
+
+
+class _Asked:
+    """Queries of one task in blocks, those of a country together: they are compared with what carries it."""
+
+    def __init__(self, queries, k: int, query_block: int, vector_block: int) -> None:
+        query = _matrix(queries["embedding"])
+        self.ids = _flat(queries["query_id"])
+        countries = queries["country"].to_pylist() if "country" in queries.schema.names else [None] * len(query)
+        rows_of: dict = {}
+        for row, country in enumerate(countries):
+            rows_of.setdefault(country, []).append(row)
+        size = min(query_block, _QUERY_SLICE)
+        self.parts = [
+            (country, [_Nearest(query[r], r, k, min(vector_block, _VECTOR_SLICE)) for r in np.split(np.array(rows), range(size, len(rows), size))])
+            for country, rows in rows_of.items()
+        ]
+
+    def meet(self, rows) -> None:
+        block = _Block(rows)
+        for country, parts in self.parts:
+            carried = block if country is None or block.codes is None else block.carrying(country)
+            for part in parts:
+                part.meet(carried)
+
+    def answers(self, vec_type: pa.DataType, group_type: pa.DataType | None) -> Iterator[pa.RecordBatch]:
+        for _, parts in self.parts:
+            for part in parts:
+                part.settle()
+                for found in part.found:
+                    out = _as_batch(found | {"query": part.rows[found["query"]]}, self.ids, vec_type, group_type)
+                    yield from out.to_batches(max_chunksize=50_000)
 
 
 def _as_batch(found: dict[str, np.ndarray], query_ids: pa.Array, vec_type: pa.DataType, group_type) -> pa.Table:
@@ -189,53 +259,60 @@ def _scan(queries: DataFrame, vectors: DataFrame, k: int, ddl: str) -> DataFrame
     shared = vectors.sparkSession.sparkContext.broadcast(queries.toArrow())
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        query = _matrix(table["embedding"])
-        best: dict[str, np.ndarray] = {}
-        schema = None
+        asked = None
         for batch in batches:
-            if not batch.num_rows or not len(query):
-                continue
-            schema = batch.schema
-            found = _nearest(table, query, batch, k)
-            if best:
-                found = _first_k({name: np.concatenate([best[name], found[name]]) for name in found}, k)
-            best = found
-        if best:
-            group_type = schema.field("group").type if "group" in best else None
-            out = _as_batch(best, _flat(table["query_id"]), schema.field("vec_id").type, group_type)
-            yield from out.to_batches(max_chunksize=50_000)
+            if batch.num_rows and len(shared.value):
+                asked = asked or _Asked(shared.value, k, QUERY_BLOCK, VECTOR_BLOCK)
+                asked.meet(batch)
+                vec_type, group_type = _types(batch.schema)
+        if asked:
+            yield from asked.answers(vec_type, group_type)
 
     return vectors.mapInArrow(nearest, ddl)
 
 
-def _blocks(queries: DataFrame, vectors: DataFrame, k: int, ddl: str, query_block: int, vector_block: int) -> DataFrame:
-    """Both sides cut into blocks by hash; every pair of blocks meets in one task of bounded size.
+def _types(schema: pa.Schema) -> tuple[pa.DataType, pa.DataType | None]:
+    return schema.field("vec_id").type, schema.field("group").type if "group" in schema.names else None
+
+
+def _tiles(rows: DataFrame, key: str, n: int, name: str) -> DataFrame:
+    """``(tile, <name>)``: rows dealt by hash into ``n`` lists, stored."""
+    tile = F.pmod(F.xxhash64(key, "embedding"), F.lit(n)).cast("int")
+    packed = rows.groupBy(tile.alias("tile")).agg(F.collect_list(F.struct(*rows.columns)).alias(name))
+    return materialise(packed, name)
 
-    Each side is replicated once per block of the other, and a cell returns k rows per query.
+
+def _blocks(queries: DataFrame, vectors: DataFrame, k: int, ddl: str, query_block: int, vector_block: int, width: int) -> DataFrame:
+    """Both sides stored as tiles of bounded size; every tile of queries meets all tiles of vectors.
+
+    A task streams a part of the vectors (128 MB at most) past one tile of queries and hands on k rows per
+    query.  Inside, blocks of at most ``query_block`` x ``vector_block`` are multiplied.  Vectors are read
+    once per tile of queries; a single row stands for a tile, so pairs are never rows.
     """
-    n_q = max(1, -(-queries.count() // query_block))
-    n_v = max(1, -(-vectors.count() // vector_block))
-    cell = lambda df, key, own, other, n_own, n_other: df.withColumns(
-        {
-            own: F.pmod(F.xxhash64(key), F.lit(n_own)).cast("int"),
-            other: F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))),
-        }
-    )
-    left = cell(queries, "query_id", "qb", "vb", n_q, n_v)
-    right = cell(vectors, "vec_id", "vb", "qb", n_v, n_q)
+    spark = vectors.sparkSession
+    fits = max(1, TILE_BYTES // (8 * width))
+    n_queries, n_vectors = queries.count(), vectors.count()
+    few = min(spark.sparkContext.defaultParallelism, -(-n_queries // query_block))
+    n_q, n_v = max(1, few, -(-n_queries // fits)), max(1, -(-n_vectors // fits))
+    left = _tiles(queries, "query_id", n_q, "asked").repartition(n_q)
+    right = _tiles(vectors, "vec_id", n_v, "stored").coalesce(max(1, -(-n_v * TILE_BYTES // STREAM_BYTES)))
+    met = left.crossJoin(right.select("stored").hint("shuffle_replicate_nl"))
 
-    def nearest(query_part: pa.Table, block: pa.Table) -> pa.Table:
-        if query_part.num_rows and block.num_rows:
-            found = _nearest(query_part, _matrix(query_part["embedding"]), block, k)
-        else:
-            found = {name: np.array([], dtype=int) for name in ("query", "vec_id", "distance")}
-            if "group" in block.schema.names:
-                found["group"] = np.array([], dtype=int)
-        group_type = block.schema.field("group").type if "group" in found else None
-        return _as_batch(found, _flat(query_part["query_id"]), block.schema.field("vec_id").type, group_type)
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = asked = None
+        for batch in batches:
+            for tile, some, stored in zip(*[batch.column(c) for c in ("tile", "asked", "stored")], strict=True):
+                block = pa.RecordBatch.from_struct_array(stored.values)
+                if tile.as_py() != held:
+                    if asked:
+                        yield from asked.answers(vec_type, group_type)
+                    held, asked = tile.as_py(), _Asked(pa.RecordBatch.from_struct_array(some.values), k, query_block, vector_block)
+                    vec_type, group_type = _types(block.schema)
+                asked.meet(block)
+        if asked:
+            yield from asked.answers(vec_type, group_type)
 
-    return left.groupBy("qb", "vb").cogroup(right.groupBy("qb", "vb")).applyInArrow(nearest, ddl)
+    return met.mapInArrow(nearest, ddl)
 
 
 def _compare(queries: DataFrame, vectors: DataFrame, k: int, query_block: int, vector_block: int) -> DataFrame:
@@ -249,10 +326,11 @@ def _compare(queries: DataFrame, vectors: DataFrame, k: int, query_block: int, v
         ddl += f", group {types['group']}"
     queries, vectors = queries.where("embedding IS NOT NULL"), vectors.where("embedding IS NOT NULL AND vec_id IS NOT NULL")
     rows, width = queries.agg(F.count("*"), F.max(F.size("embedding"))).first()
-    query_block = max(1, min(query_block, QUERY_BYTES // (8 * (width or 1))))
+    width = max(1, width or 1)
+    query_block = max(1, min(query_block, QUERY_BYTES // (8 * width)))
     if rows <= query_block:
         return _scan(queries, vectors, k, ddl)
-    return _blocks(queries, vectors, k, ddl, query_block, vector_block)
+    return _blocks(queries, vectors, k, ddl, query_block, vector_block, width)
 
 
 def knn(

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,6 +170,45 @@ def test_prefilter_equals_brute_force(spark):
     assert got == want
 
 
+def test_prefilter_in_tiles_equals_brute_force(spark, monkeypatch):
+    """More queries than one broadcast takes, asked of the table that they come from."""
+    monkeypatch.setattr("marquee.operators.dense.QUERY_BLOCK", 16)
+    monkeypatch.setattr("marquee.operators.dense.TILE_BYTES", 8 * 5 * 40)
+    rng = np.random.default_rng(6)
+    v = np.round(rng.normal(size=(150, 5)) * 4).astype(np.float32)
+    rows = spark.createDataFrame([(i, x.tolist(), i % 3) for i, x in enumerate(v)], "vec_id int, embedding array<float>, label int")
+    asked = rows.select(F.col("vec_id").alias("query_id"), "embedding", F.when(F.col("label") != 0, F.col("label").cast("string")).alias("country"))
+    stored = rows.select("vec_id", "embedding", F.expr("vec_id div 2").alias("movie_id"), F.array(F.col("label").cast("string")).alias("origin_country"))
+    allowed = [[q % 3 == 0 or i % 3 == q % 3 for i in range(150)] for q in range(150)]
+    want = {(q, r, i // 2) for q, r, i in brute(v.astype(float), v.astype(float), 6, allowed, [i // 2 for i in range(150)])}
+    got = {(r.query_id, r.rank, r.movie_id) for r in dense_search(asked, stored, 6, prefilter=True).collect()}
+    assert got == want
+
+
+def test_knn_in_tiles_keeps_tasks_small(spark, monkeypatch):
+    """Ties, repeated query ids and broken vectors; a candidate list is cut while vectors stream by."""
+    from marquee.operators import dense
+
+    monkeypatch.setattr(dense, "TILE_BYTES", 8 * 4 * 64)
+    most = []
+    settle = dense._Nearest.settle
+    monkeypatch.setattr(dense._Nearest, "settle", lambda self: (most.append(self.waiting), settle(self))[1])
+    rng = np.random.default_rng(8)
+    v = np.round(rng.normal(size=(2000, 4)) * 3)
+    near = dense._Nearest(v[:100], np.arange(100), 5, 128)
+    for at in range(0, 2000, 250):
+        table = pa.table({"vec_id": pa.array(range(at, at + 250)), "embedding": pa.array(v[at : at + 250].tolist())})
+        near.meet(dense._Block(table))
+    near.settle()
+    assert {(int(q), int(i)) for f in near.found for q, i in zip(f["query"], f["vec_id"])} == {(q, i) for q, _, i in brute(v[:100], v, 5)}
+    assert max(most) <= 100 * (5 + 128)
+    rows = [(i, x.tolist()) for i, x in enumerate(v[:300])]
+    vectors = spark.createDataFrame([*rows, (300, [float("nan")] * 4), (301, None), (None, [0.0] * 4)], "vec_id int, embedding array<double>")
+    queries = spark.createDataFrame([*rows, (0, v[0].tolist()), (None, v[1].tolist())], "query_id int, embedding array<double>")
+    got = {(r.query_id, r["rank"], r.vec_id) for r in knn(queries, vectors, 5, query_block=16, vector_block=32).collect() if r.query_id}
+    assert got == {t for t in brute(v[:300], v[:300], 5) if t[0]}
+
+
 def test_mean_pool_of_a_fully_masked_key(spark):
     rows = spark.createDataFrame([(1, [2.0, 4.0], 1), (1, [4.0, 0.0], 1), (1, [100.0, 1.0], 0), (2, [5.0, 5.0], 0)], "id int, embedding array<float>, mask int")
     got = {r.id: r.embedding for r in mean_pool(rows).collect()}
