@@ -45,7 +45,8 @@ def append_ledger(ids: DataFrame, path: str) -> None:
 def write_files(rows: DataFrame, path: str) -> int:
     """One file below ``path`` for each row of ``rows (name, body)``; the number written.
 
-    A task that is repeated writes the same files again.
+    A task that is repeated writes the same files again.  Rows are spread first: a small table with very many
+    names would otherwise be one task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,7 +64,8 @@ def write_files(rows: DataFrame, path: str) -> int:
                     out.write((body.as_py() or "").encode())
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
 
-    return rows.select("name", "body").mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    spread = rows.select("name", "body").repartition(2 * rows.sparkSession.sparkContext.defaultParallelism, "name")
+    return spread.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def write_archives(rows: DataFrame, path: str) -> int:

@@ -203,3 +203,22 @@ def test_names_read(spark):
     assert read() == ["a.json", "data/movies/1/1.JSON", "data\\movies\\2.json", "my-data/movies.json"]
     assert read("data/movies/") == ["data/movies/1/1.JSON", "data\\movies\\2.json"]
     assert read(None, True) == [*read()[:3], "a.jsonl", "my-data/movies.json"]
+
+
+def test_tree_is_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """Names as Spark's reader gives them, hidden ones skipped, and no folder listed by the driver."""
+    tree = tmp_path / "a tree%"
+    for name in ("x/1.json", "x/deep/er/2.JSON", "x/_3.json", "x/.4.json", "_no/5.json", "x/6.txt", "x/__MACOSX/7.json", "p=1/8.json"):
+        (tree / name).parent.mkdir(parents=True, exist_ok=True)
+        (tree / name).write_text('{"id":%s}' % name[-6])
+    (tree / "empty").mkdir()
+    plain = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[jJ][sS][oO][nN]").load(str(tree))
+    want = {r.path for r in plain.select("path").collect()}
+    assert len(want) == 3
+    rows = files.read_tree(spark, str(tree))
+    assert {r.source_path for r in rows.collect()} == {r.source_path for r in files.list_sources(spark, str(tree)).collect()} == want
+    assert {r.body for r in rows.collect()} == {'{"id":1}', '{"id":2}', '{"id":8}'}
+    assert not [f for f in rows.inputFiles() if f.lower().endswith(".json")]
+    monkeypatch.setattr(files, "_arrow_root", lambda spark, path: None)
+    assert {r.source_path for r in files.read_tree(spark, str(tree)).collect()} == want
+    assert files.list_sources(spark, str(tree)).count() == 3
