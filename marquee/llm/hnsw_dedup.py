@@ -215,13 +215,36 @@ class Asked:
         order = np.argsort(rows, kind="stable")
         rows, nodes = rows[order], nodes[order]
         for group in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(rows)) + 1) if len(rows) else []:
-            query, others = int(rows[group[0]]), nodes[group]
-            parts, first = np.unique(self.part[others], return_index=True)
-            self.edges += [(int(self.query_ids[query]), int(self.ids[others[f]])) for f in first]
-            if self.own[query] >= 0:
-                parts = np.union1d(parts, self.part[self.own[query]])
-            if len(parts) > 1:
-                self.part[np.isin(self.part, parts[1:])] = parts[0]
+            self._connect(int(rows[group[0]]), nodes[group])
+
+    def take_all(self, rows: np.ndarray) -> None:
+        """Count all links of some queries by one product; links are never listed, however many a query has."""
+        near = self.queries[rows] @ self.x.T
+        linked = near >= self.least
+        # At the threshold the sum decides that `take` uses too.
+        r, nodes = np.nonzero(np.abs(near - self.least) <= 1e-12 * self.x.shape[1])
+        linked[r, nodes] = np.einsum("ij,ij->i", self.queries[rows[r]], self.x[nodes]) >= self.least
+        inside = np.flatnonzero(self.own[rows] >= 0)
+        linked[inside, self.own[rows][inside]] = False
+        self.links[rows] += linked @ self.copies
+        for query, some in zip(rows, linked, strict=True):
+            if len(nodes := np.flatnonzero(some)):
+                self._connect(int(query), nodes)
+
+    def _connect(self, query: int, others: np.ndarray) -> None:
+        """Keep the edges of a query that join what was apart."""
+        parts, own = self.part[others], self.own[query]
+        if (parts == parts[0]).all():
+            if own >= 0 and self.part[own] == parts[0]:
+                return
+            parts, first = parts[:1], np.zeros(1, int)
+        else:
+            parts, first = np.unique(parts, return_index=True)
+        self.edges += [(int(self.query_ids[query]), int(self.ids[others[f]])) for f in first]
+        if own >= 0:
+            parts = np.union1d(parts, self.part[own])
+        if len(parts) > 1:
+            self.part[np.isin(self.part, parts[1:])] = parts[0]
 
 
 def ask(graph: Graph, asked: Asked) -> tuple[int, float, int]:
@@ -229,22 +252,26 @@ def ask(graph: Graph, asked: Asked) -> tuple[int, float, int]:
 
     The audit wants an audited query's links and its nearest other node, so shards without links are
     audited too, and a query with thousands of links counts once.  A query that meets as many links as its
-    beam is wide is asked again with twice the beam.  A beam wider than an eighth of the shard costs more
-    than brute force, which is then used.
+    beam is wide is answered by brute force, which costs it less than wider walks; the audit takes it as
+    found.  A beam wider than an eighth of the shard costs more than brute force, which is then used.
     """
     n, total = len(asked.x), len(asked.queries)
     order = np.random.default_rng(7).permutation(total)
     audited = np.sort(order[: max(AUDIT_LEAST, math.ceil(AUDIT_SHARE * total))])
     blocks = lambda rows: np.split(rows, range(BATCH, len(rows), BATCH))
     truth = [asked.exact(rows) for rows in blocks(audited)]
-    for rows, nodes, _ in truth:
-        asked.take(rows, nodes)
+    for rows in blocks(audited):
+        asked.take_all(rows)
     beam, recall, brute = BEAM, 0.0, len(audited)
     while beam <= n // 8:
         shares = []
         for rows, (linked, nodes, nearest) in zip(blocks(audited), truth, strict=True):
             r, found, ids = graph.search(asked.queries[rows], beam, asked.least)
+            full = np.bincount(r, minlength=len(rows)) >= beam
             for i, row in enumerate(rows):
+                if full[i]:
+                    shares.append(1.0)
+                    continue
                 wanted = np.union1d(nodes[linked == row], nearest[i])
                 shares.append(np.isin(wanted, np.concatenate([found[r == i], ids[i]])).mean())
         recall = float(np.mean(shares)) if shares else 1.0
@@ -252,18 +279,17 @@ def ask(graph: Graph, asked: Asked) -> tuple[int, float, int]:
             break
         beam *= 2
     rest = np.setdiff1d(np.arange(total), audited)
-    widest = beam
-    while len(rest) and widest <= n // 8:
+    if beam <= n // 8 and len(rest):
         again = []
         for rows in blocks(rest):
-            r, nodes, _ = graph.search(asked.queries[rows], widest, asked.least)
-            full = np.bincount(r, minlength=len(rows)) >= widest
+            r, nodes, _ = graph.search(asked.queries[rows], beam, asked.least)
+            full = np.bincount(r, minlength=len(rows)) >= beam
             again.append(rows[full])
             asked.take(rows[r[~full[r]]], nodes[~full[r]])
-        rest, widest = np.concatenate(again), 2 * widest
+        rest = np.concatenate(again)
     brute += len(rest)
     for rows in blocks(rest):
-        asked.take(*asked.exact(rows)[:2])
+        asked.take_all(rows)
     return beam, recall if beam <= n // 8 else 1.0, brute
 
 

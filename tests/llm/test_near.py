@@ -169,6 +169,23 @@ def test_audit_counts_hot_rows_once_and_sees_shards_without_links():
     assert hnsw_dedup.ask(graph, got)[0] == 128 and not got.links.any() and not got.edges
 
 
+def test_hot_group_is_counted_without_pairs(monkeypatch):
+    """A group of thousands of links each: walked once, then counted by products, never listed."""
+    rng = np.random.default_rng(9)
+    x = unit(np.concatenate([np.ones((1500, 16)) + rng.normal(0, 0.002, (1500, 16)), rng.normal(size=(1500, 16))])[rng.permutation(3000)])
+    listed, beams = [], []
+    take, search = hnsw_dedup.Asked.take, hnsw_dedup.Graph.search
+    monkeypatch.setattr(hnsw_dedup.Asked, "take", lambda self, rows, nodes: (listed.append(len(rows)), take(self, rows, nodes))[1])
+    monkeypatch.setattr(hnsw_dedup.Graph, "search", lambda self, q, beam, least: (beams.append(beam), search(self, q, beam, least))[1])
+    got = asked(x, x, True)
+    beam, _, brute = hnsw_dedup.ask(hnsw_dedup.Graph(x), got)
+    truth = exact_links(x, x, True)
+    assert max(listed, default=0) <= hnsw_dedup.BATCH * beam and max(beams) == beam <= 256 and brute >= 1400
+    assert (got.links[truth > 1000] == truth[truth > 1000]).all() and len(got.edges) <= 3000
+    found = reach(range(3000), [(a // 3, b // 3) for a, b in got.edges])
+    assert len({found[i] for i in np.flatnonzero(truth > 1000)}) == 1
+
+
 def test_graph_answers_nearly_all(spark):
     """Walked, not compared: at most a tenth by brute force, and 0.99 of all links at least."""
     rng = np.random.default_rng(5)
