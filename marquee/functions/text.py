@@ -33,7 +33,9 @@ FOLD_MANY = {"ß": "ss", "ẞ": "SS", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ":
 WHITESPACE = "".join(chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace())
 
 MAX_TOKEN_CHARS = 255
-STEM_MEMO = 1_000_000
+# Stems that a task remembers between batches; words over so many characters are rare and not remembered.
+STEM_MEMO = 200_000
+STEM_MEMO_CHARS = 32
 
 # A word is a run of letters (joined inside by . ' : and the middle dot), of digits (joined by
 # . , ; ') or of underscores, in any mix.  Possessive quantifiers make the matcher iterate, not
@@ -121,19 +123,28 @@ def drop_stop_words(tokens: Column) -> Column:
     return F.filter(tokens, lambda t: ~t.isin(*STOP_WORDS))
 
 
+def _stems(words: list[str], memo: dict[str, str]) -> pa.Array:
+    """Stems of distinct words; ``memo`` is cut before it outgrows its bound, so a task's memory does not grow with its rows."""
+    stems = []
+    for word in words:
+        stem = memo.get(word)
+        if stem is None:
+            stem = stem_word(word)
+            if len(word) <= STEM_MEMO_CHARS:
+                if len(memo) >= STEM_MEMO:
+                    memo.clear()
+                memo[word] = stem
+        stems.append(stem)
+    return pa.array(stems, pa.string())
+
+
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def stem_tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Porter stems of token lists; a task stems each distinct token once (its memo is bounded)."""
     memo: dict[str, str] = {}
     for tokens in batches:
         coded = tokens.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        if len(memo) > STEM_MEMO:
-            memo.clear()
-        for word in words:
-            if word not in memo:
-                memo[word] = stem_word(word)
-        stems = pa.array([memo[w] for w in words], pa.string())
+        stems = _stems(coded.dictionary.to_pylist(), memo)
         lengths = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
         offsets = pa.array([0, *lengths.cumsum().tolist()], pa.int32())
         yield pa.ListArray.from_arrays(offsets, stems.take(coded.indices), mask=tokens.is_null())
@@ -149,13 +160,7 @@ def _counter(stemmed: bool):
             coded = tokens.flatten().dictionary_encode()
             terms, codes = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
             if stemmed:
-                known = terms.to_pylist()
-                if len(memo) > STEM_MEMO:
-                    memo.clear()
-                for word in known:
-                    if word not in memo:
-                        memo[word] = stem_word(word)
-                stems = pa.array([memo[w] for w in known], pa.string()).dictionary_encode()
+                stems = _stems(terms.to_pylist(), memo).dictionary_encode()
                 terms, codes = stems.dictionary, stems.indices.to_numpy().astype(np.int64)[codes]
             lengths = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             rows = np.repeat(np.arange(len(lengths)), lengths)

@@ -115,3 +115,17 @@ def test_allowed_edits(spark):
 def test_stem_never_grows_much_and_is_prefix_like(word):
     stem = stem_word(word)
     assert stem and len(stem) <= len(word) + 1
+
+
+def test_stem_memo_is_bounded():
+    """Batches of ever new words: the memo stays below its bound, the stems stay right."""
+    import pyarrow as pa
+
+    from marquee.functions import text
+
+    lists = [[[f"word{i}s" for i in range(at, at + 90_000)], None, ["x" * 200 + "s"]] for at in range(0, 360_000, 90_000)]
+    stems = text.stem_tokens.func(pa.array(rows, pa.list_(pa.string())) for rows in lists)
+    for rows, got in zip(lists, stems):
+        assert got.to_pylist() == [[w[:-1] for w in rows[0]], None, ["x" * 200]]
+        memo = stems.gi_frame.f_locals["memo"]
+        assert len(memo) <= 200_000 and max(map(len, memo)) < 200
