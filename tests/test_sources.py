@@ -222,3 +222,17 @@ def test_tree_is_listed_by_tasks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "_arrow_root", lambda spark, path: None)
     assert {r.source_path for r in files.read_tree(spark, str(tree)).collect()} == want
     assert files.list_sources(spark, str(tree)).count() == 3
+
+
+def parses(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("parseJson(")
+
+
+def test_records_of_the_tables_are_parsed_once(spark, monkeypatch):
+    from marquee.operators.records import normalize
+    from marquee.plans import views
+
+    rows = spark.createDataFrame([(1, "a"), (2, " "), (3, "c")], "id long, title string").selectExpr("*", "'2001' AS release_date")
+    monkeypatch.setattr(views, "movies", lambda spark, sf_dir: rows)
+    made = normalize(files.parsed(views.records(spark, "")))
+    assert parses(made) == 1 and sorted(r.doc_id for r in made.collect()) == ["1", "3"]
