@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.edits import DELETION_MAX, allowed_edits
 from marquee.functions.porter import stem_word
-from marquee.functions.text import analyze, ascii_fold, raw_keyword, strip
+from marquee.functions.text import _WORD, analyze, ascii_fold, raw_keyword, strip
 from marquee.operators.fuzzy import near_terms
 
 # Word and stem pairs printed in the 1980 paper.
@@ -129,3 +129,12 @@ def test_stem_memo_is_bounded():
         assert got.to_pylist() == [[w[:-1] for w in rows[0]], None, ["x" * 200]]
         memo = stems.gi_frame.f_locals["memo"]
         assert len(memo) <= 200_000 and max(map(len, memo)) < 200
+
+
+def test_words_follow_unicode_classes(spark):
+    letter = r"[\p{L}\p{M}\p{Nl}&&[^\p{IsHan}\p{IsHiragana}]]"
+    word = rf"[\p{{IsHan}}\p{{IsHiragana}}]|(?:{letter}++(?:[.:'’·]{letter}++)*+|\p{{Nd}}++(?:[.,;'’]\p{{Nd}}++)*+|_++)++"
+    text = "".join(f"x{c} 1{c}a.b'1,2_{c}" for c in map(chr, range(0x20, 0x3200))) + "漢字ひ〇a"
+    rows = spark.createDataFrame([(text,)], "text string")
+    plain, own = rows.select(F.regexp_extract_all("text", F.lit(word), F.lit(0)), F.regexp_extract_all("text", F.lit(_WORD), F.lit(0))).first()
+    assert plain == own and len(own) > 20_000
