@@ -3,9 +3,12 @@
 import os
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from marquee import session
+from marquee.operators import postings
 from marquee.operators.sparse import sparse_search
 from marquee.sources import catalogue as store
 
@@ -106,3 +109,52 @@ def test_merge(spark, built, tmp_path):
 def test_lookup_pushes_the_key(spark, built):
     found = store.open_catalogue(spark, built[1]).live("s000001").where(F.col("doc_id") == "k0005")
     assert "EqualTo(doc_id,k0005)" in found._jdf.queryExecution().executedPlan().toString() and found.count() == 1
+
+
+def pieces(path, name, table):
+    """Files of each bucket of a table, with their rows."""
+    found = {}
+    folder = f"{path}/segments/{name}/index/{table}"
+    for file in sorted(f for f in os.listdir(folder) if f.endswith(".parquet")):
+        found.setdefault(file.split("_")[-1].split(".")[0], []).append(pq.read_metadata(f"{folder}/{file}").num_rows)
+    return found
+
+
+def three_runs(spark, path):
+    """A merged catalogue of three runs."""
+    for data in (FIRST, SECOND, THIRD):
+        store.write_documents(spark.createDataFrame(data, DDL), path, fields=FIELDS, shards=3)
+    return store.merge_segments(spark, path).path
+
+
+def test_a_merging_task_holds_one_bucket(spark, tmp_path):
+    # Tasks that took the rows of file pieces would each write all buckets.
+    found = pieces(three_runs(spark, str(tmp_path / "c")), "s000004", "postings")
+    assert [len(f) for f in found.values()] == [1, 1, 1]
+
+
+def test_more_tasks_write_a_large_bucket(spark, tmp_path, monkeypatch):
+    whole = str(tmp_path / "whole")
+    last = {r[0]: r for data in (FIRST, SECOND, THIRD) for r in data}
+    store.write_documents(spark.createDataFrame(list(last.values()), DDL), whole, fields=FIELDS, shards=3)
+    monkeypatch.setattr(postings, "MOST_ROWS_SORTED", 500)
+    monkeypatch.setattr(postings, "MOST_TEXT_SORTED", 5000)
+    # Keys are too many to be sent, so tasks hash them.
+    monkeypatch.setattr(session.sent_or_hashed, "__defaults__", (10,))
+    path = three_runs(spark, str(tmp_path / "d"))
+    for name in ("s000001", "s000004"):
+        found = pieces(path, name, "postings")
+        assert len(found) == 3 and all(len(f) > 1 and max(f) < 800 for f in found.values()), (name, found)
+    same(spark, path, whole)
+
+
+def test_more_tasks_write_many_spelling_keys(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(i, w) for i, w in enumerate(WORDS)], "doc_id long, body string")
+    one = postings.write_index(docs, ["body"], f"{tmp_path}/segments/s1/index", shards=2)
+    monkeypatch.setattr(postings, "MOST_ROWS_SORTED", 20)
+    two = postings.write_index(docs, ["body"], f"{tmp_path}/segments/s2/index", shards=2)
+    found = [pieces(tmp_path, name, "spelling") for name in ("s1", "s2")]
+    assert found[0].keys() == found[1].keys() and all(len(f) > len(found[0][b]) for b, f in found[1].items()), found
+    for bucket, files in found[0].items():
+        assert sum(files) == sum(found[1][bucket])
+    assert content(one.spelling) == content(two.spelling) != []
