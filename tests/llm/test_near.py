@@ -201,3 +201,54 @@ def test_graph_answers_nearly_all(spark):
     want = reach(range(5000), [(a, b) for a, b in zip(*np.nonzero(np.triu(x @ x.T >= 0.98, 1)), strict=True)])
     found = reach(range(5000), [(a // 3, b // 3) for a, b in got.edges])
     assert sum(found[i] == want[i] for i in want) >= 0.99 * 5000
+
+
+def test_isolated_vectors_do_not_widen_the_beam():
+    """What counts is links: random vectors, whose nearest nodes are far, are walked with the first beam, and no link is lost."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(4096, 64))
+    x[:400] = x[400:800] + rng.normal(size=(400, 64)) * 0.05
+    x = unit(x[rng.permutation(4096)])
+    got = asked(x, x, True)
+    beam, recall, brute = hnsw_dedup.ask(hnsw_dedup.Graph(x), got)
+    assert beam == hnsw_dedup.BEAM and recall >= 0.99 and brute <= 100
+    truth = exact_links(x, x, True)
+    assert truth.sum() >= 800 and got.links.sum() >= 0.99 * truth.sum() and (got.links <= truth).all()
+
+
+def test_probes_lie_at_the_threshold():
+    rng = np.random.default_rng(13)
+    x = unit(rng.normal(size=(500, 8)))
+    near = (hnsw_dedup._probes(x, 60, 0.98) @ x.T).max(1)
+    assert len(near) == 60 and (near >= 0.98).all() and np.median(near) < 0.981
+    assert np.allclose(np.abs(hnsw_dedup._probes(np.ones((3, 1)), 3, 0.98)), 1)
+
+
+@pytest.mark.parametrize("brute", [False, True])
+def test_a_link_between_shards_is_counted_on_both_sides(monkeypatch, brute):
+    rng = np.random.default_rng(14)
+    if brute:
+        monkeypatch.setattr(hnsw_dedup, "BEAM", 1 << 20)
+    all_of = unit(np.concatenate([np.repeat(rng.normal(size=(300, 32)), 2, axis=0), rng.normal(size=(1400, 32))]) + rng.normal(size=(2000, 32)) * 0.01)
+    x, queries = all_of[::2], all_of[1::2]
+    weights, copies = rng.integers(1, 4, 1000), rng.integers(1, 4, 1000)
+    parts = np.arange(1000), np.arange(1000)
+    parts[0][:10] = 0  # connected in their own shard, as are their links below
+    parts[1][:10] = 0
+    got = hnsw_dedup.Asked(x, np.arange(1000) * 2, copies, queries, np.arange(1000) * 2 + 1, 0.98, weights, parts)
+    hnsw_dedup.ask(hnsw_dedup.Graph(x), got)
+    near = queries @ x.T >= 0.98
+    assert (got.links == near @ copies).all() and (got.back == weights @ near).all()
+    # One edge joins the two groups that were connected before.
+    assert len(got.edges) == near.sum() - 9 and len(set(got.edges)) == len(got.edges)
+
+
+def test_vectors_in_many_shards(spark):
+    """Every pair of shards is asked, also where a shard has more askers than one task takes."""
+    rng = np.random.default_rng(15)
+    x = np.repeat(rng.normal(size=(300, 8)), 3, axis=0) + rng.normal(size=(900, 8)) * 0.01
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r for r in hnsw_dedup.find(df, shard_rows=100).collect()}
+    near = unit(x) @ unit(x).T >= 0.98
+    want = reach(range(900), list(zip(*np.nonzero(np.triu(near, 1)), strict=True)))
+    assert all(got[i]["n_links"] == near[i].sum() - 1 and got[i]["component_id"] == want[i] for i in want)
