@@ -158,3 +158,51 @@ def test_more_tasks_write_many_spelling_keys(spark, tmp_path, monkeypatch):
     for bucket, files in found[0].items():
         assert sum(files) == sum(found[1][bucket])
     assert content(one.spelling) == content(two.spelling) != []
+
+
+def test_passes_write_the_same_catalogue(spark, built, tmp_path):
+    path = str(tmp_path / "passes")
+    last = {r[0]: r for data in (FIRST, SECOND, THIRD) for r in data}
+    docs = spark.createDataFrame(list(last.values()), DDL)
+    stored = session.materialise(docs.withColumnRenamed("body", "other"), "docs")
+    finish = lambda rows: rows.withColumnRenamed("other", "body")
+    store.write_documents(stored, path, fields=FIELDS, shards=3, finish=finish, passes=2)
+    same(spark, built[1], path)
+    names = [f for f in os.listdir(f"{path}/segments/s000001/documents") if f.endswith(".parquet")]
+    assert sorted(int(f.split("_")[-1].split(".")[0]) for f in names) == [0, 1, 2]
+
+
+def test_neither_scores_nor_documents_are_shuffled_for_a_country(spark, tmp_path):
+    path = str(tmp_path / "countries")
+    codes = [["US"], ["GB", "US"], [], None]
+    data = [(*r, codes[i % 4]) for i, r in enumerate(FIRST)]
+    made, _ = store.write_documents(spark.createDataFrame(data, f"{DDL}, origin_country array<string>"), path, fields=FIELDS, shards=3)
+    asked = spark.createDataFrame([(1, "robot dream", "US"), (2, "robot dream", None), (3, "river", "GB"), (4, "river", "XX")], "query_id int, query string, country string")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hits = sparse_search(asked, made.index, made.documents, fields={"title": 3.0, "body": 1.0}, fuzzy=None, top_k=400)
+        plan = hits._jdf.queryExecution().executedPlan().toString()
+        got = content(hits)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    # Only ranks are dealt, by query; the join with the requests is by query too.
+    assert "hashpartitioning(doc_id" not in plan and "hashpartitioning(_doc" not in plan
+    free = sparse_search(asked.drop("country"), made.index, fields={"title": 3.0, "body": 1.0}, fuzzy=None, top_k=400).collect()
+    code, country = {r[0]: r[-1] or [] for r in data}, {1: "US", 2: None, 3: "GB", 4: "XX"}
+    want = {(r.query_id, r.doc_id) for r in free if country[r.query_id] is None or country[r.query_id] in code[r.doc_id]}
+    at = sorted(hits.columns)
+    assert {(row[at.index("query_id")], row[at.index("doc_id")]) for row in got} == want and {q for q, _ in want} == {1, 2, 3}
+
+
+def test_an_empty_run_keeps_its_columns(spark, tmp_path):
+    made, _ = store.write_documents(spark.createDataFrame([], DDL), str(tmp_path / "none"), fields=FIELDS, shards=3)
+    assert made.documents.columns == [c.split()[0] for c in DDL.split(", ")] and made.documents.count() == 0
+
+
+def test_segments_of_plain_files_are_read(spark, tmp_path):
+    """A manifest from before documents were bucketed names no columns."""
+    path = str(tmp_path / "plain")
+    made, _ = store.write_documents(spark.createDataFrame(FIRST, DDL), path, fields=FIELDS, shards=3)
+    old = store.Catalogue(spark, path, 1, made.option, 3, made.fields, "string", (store.Segment("s000001"),))
+    assert content(old.documents) == content(made.documents) and len(FIRST) == old.documents.count()

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.values import as_float, as_int, as_text, passage, truthy
 from marquee.operators.dedup import dedup_first, limit_first, top_n
-from marquee.operators.merge import merge_entities, pending
+from marquee.operators.merge import gather_all, merge_entities, pending
 from marquee.operators.records import INDEX_FIELDS, is_api_error, normalize
 from marquee.operators.report import build_counters, run_report
 from marquee.plans.build import prepare
@@ -88,6 +88,27 @@ def test_first_record_wins_and_counters_add_up(spark):
     assert report.stats.docs_seen == 4 and len(report.error_samples) == 5
 
 
+def test_repeats_are_found_without_shuffling_documents(spark):
+    """Records that share key and place too are told apart by where they are stored."""
+    movie = {"title": "a", "genres": []}
+    records = decoded(spark, [{**movie, "id": 7}, {**movie, "id": 8}, {**movie, "id": 7, "title": "b"}])
+    docs = prepare(records.union(records).union(records))
+    assert sorted((r.doc_id, r.title) for r in docs.collect()) == [("7", "a"), ("8", "a")]
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    slim = prepare(records, combined=False)
+    assert set(docs.columns) - set(slim.columns) == {"all_text"} and slim.count() == 2
+
+
+def test_what_orders_children_is_gathered_once(spark):
+    rows = spark.createDataFrame([(1, 2, "b", "x"), (1, 1, "c", "y"), (1, 1, "a", None), (2, None, "d", "z"), (None, 1, "e", "w")], "k int, o int, t string, u string")
+    made = gather_all(rows, "k", ["o", "t"], ["t", "u"], "all")
+    got = {r.k: [(x.t, x.u) for x in r["all"]] for r in made.collect()}
+    assert got == {1: [("a", None), ("c", "y"), ("b", "x")], 2: [("d", "z")], None: [("e", "w")]}
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(struct(o0, o#" in plan and plan.count(", t#") <= 3 and "item" not in plan
+
+
 def test_top_n_beyond_the_planner_limit(spark):
     rows = spark.range(20_000).select((F.col("id") % 3 > 0).cast("int").alias("g"), F.xxhash64("id").alias("v"), "id")
     got = top_n(rows, ["g"], [F.desc("v"), F.col("id")], 5000).select("g", "id", "rank").toPandas()

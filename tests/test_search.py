@@ -247,3 +247,19 @@ def test_discovery(spark):
 def test_scoped_queries(spark):
     countries = spark.createDataFrame([("US",)], "country_code string")
     assert scoped_queries(countries, " ").first().query == "*"
+
+
+def test_documents_are_not_shuffled_for_hits(spark):
+    names = "doc_id movie_id title overview genres origin_country vote_average release_year release_date cast_names imdb_id poster_path".split()
+    kinds = dict(genres="array<string>", origin_country="array<string>", cast_names="array<string>", vote_average="double", release_year="int", movie_id="bigint")
+    rows = [tuple(str(i) if n == "doc_id" else None for n in names) for i in range(50)]
+    docs = spark.createDataFrame(rows, ", ".join(f"{n} {kinds.get(n, 'string')}" for n in names))
+    hits = spark.createDataFrame([(1, 1, "3", 0.5), (1, 2, "44", 0.25)], "query_id int, rank int, doc_id string, score double")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = sparse_hits(hits, docs)
+        assert "hashpartitioning" not in made._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r["rank"], r.movie_id, r.title) for r in made.collect()) == [(1, "3", "Unknown"), (2, "44", "Unknown")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)

@@ -1,6 +1,7 @@
 """Scratch tables and their scopes."""
 
 import os
+import time
 
 import pytest
 
@@ -37,3 +38,19 @@ def test_scopes_nest(spark):
         materialise(spark.range(3), "lost")
         1 / 0
     assert len(tables(spark) - before) == 1
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle")}
+
+
+def test_shuffles_of_stored_tables_go(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, kept = shuffle_files(spark), spark.conf.get(key)
+    stored = materialise(spark.range(1000).repartition(3, "id"), "dealt")
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before and spark.conf.get(key) == kept
+    assert stored.groupBy().count().first()[0] == 1000
